@@ -1,0 +1,33 @@
+"""Consecutive ids without a single-task window."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from rosterline.session import work_dir
+
+
+def assign_ids(df: DataFrame, name: str, order_by: list[str], start: Column | int = 1) -> DataFrame:
+    """Number the rows ``start, start + 1, …`` in the order of the (unique) columns ``order_by``.
+
+    Rows are range-partitioned and checkpointed, so a lost executor cannot move a row to another
+    partition afterwards; each partition numbers its own rows and adds the rows before it. The only
+    global step sums one count per partition.
+    """
+    work_dir(df.sparkSession)
+    ranged = df.repartitionByRange(*order_by).withColumn("id_part", F.spark_partition_id()).checkpoint()
+    earlier = Window.orderBy("id_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("id_part")
+        .agg(F.count("*").alias("part_rows"))
+        .select("id_part", F.coalesce(F.sum("part_rows").over(earlier), F.lit(0)).alias("id_offset"))
+    )
+    within = Window.partitionBy("id_part").orderBy(*order_by)
+    first = F.lit(start) if isinstance(start, int) else start
+    return (
+        ranged.withColumn("id_rank", F.row_number().over(within))
+        .join(F.broadcast(offsets), "id_part")  # one row per partition
+        .withColumn(name, (first + F.col("id_offset") + F.col("id_rank") - 1).cast("long"))
+        .drop("id_part", "id_offset", "id_rank")
+    )
