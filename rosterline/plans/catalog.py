@@ -173,19 +173,14 @@ def _terms(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 PAIR = academic_functions.PAIR
-STUDENT_SCHEMA = (
-    "student_id long, student_first_name string, student_last_name string, student_email string, "
-    "student_date_of_birth date, student_year int, student_phone_number string, department_id int"
-)
 
 
 def _student_table(t: Tables) -> VersionedTable:
-    return registration.empty_table(t.spark, fresh_path(t.spark, "student"), ["student_email"], STUDENT_SCHEMA)
+    return sinks.student_table(t.spark, fresh_path(t.spark, "student"))
 
 
 def _enrollment_table(t: Tables) -> VersionedTable:
-    schema = "enrollment_id long, student_id long, course_id string, grade string, enrollment_date date"
-    return registration.empty_table(t.spark, fresh_path(t.spark, "enrollment"), PAIR, schema)
+    return sinks.enrollment_table(t.spark, fresh_path(t.spark, "enrollment"))
 
 
 @query("snk_1_load_students")
@@ -221,7 +216,7 @@ def _(t: Tables) -> DataFrame:
     row = F.concat_ws("\t", F.col("event_id").cast("string"), F.col("user_id").cast("string"), "event_type")
     t.given("events").select(row.alias("value")).write.text(path)
     schema = "event_id long, user_id long, event_type string"
-    table = registration.empty_table(t.spark, fresh_path(t.spark, "first"), ["user_id"], schema)
+    table = sinks.empty_table(t.spark, fresh_path(t.spark, "first"), ["user_id"], schema)
     sinks.insert_new(table, readers.read_copy_text(t.spark, path, schema), "event_id")
     return table.current()
 
@@ -567,8 +562,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     """Accepted requests added to the stored enrollments."""
     table = _enrollment_table(t)
-    stored = first_per_key(t.activity_enrollment, PAIR, "enrollment_id")
-    table.publish(stored.select("enrollment_id", *PAIR, "grade", "enrollment_date"))
+    table.publish(first_per_key(t.activity_enrollment, PAIR, "enrollment_id"))
     sinks.enroll_students(table, _enroll_requests(t), t.student, t.course)
     return table.current().drop("enrollment_id")
 
@@ -938,7 +932,7 @@ def _stream(t: Tables, name: str) -> DataFrame:
 @query("str_1_registration")
 def _(t: Tables) -> DataFrame:
     root = fresh_path(t.spark, "registration")
-    outcomes = registration.empty_table(t.spark, f"{root}/outcomes", ["row_id"], registration.OUTCOME_SCHEMA)
+    outcomes = sinks.empty_table(t.spark, f"{root}/outcomes", ["row_id"], registration.OUTCOME_SCHEMA)
     stream = registration.RegistrationStream(outcomes, _student_table(t), t.registry, AS_OF)
     requests = derive(_stream(t, "customer"), "requests")
     events = requests.withColumn("event_seq", F.col("seq")).withColumnRenamed("seq", "row_id")
@@ -950,7 +944,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     root = fresh_path(t.spark, "first_events")
     schema = "user_id long, event_id long, event_type string"
-    table = registration.empty_table(t.spark, f"{root}/table", ["user_id"], schema)
+    table = sinks.empty_table(t.spark, f"{root}/table", ["user_id"], schema)
     events = _stream(t, "events").select("user_id", "event_id", "event_type")
     registration.keep_first(events, table, "event_id", f"{root}/checkpoint").awaitTermination()
     return table.current()
@@ -960,7 +954,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     root = fresh_path(t.spark, "digest")
     schema = "day date, status string, message string, records long"
-    table = registration.empty_table(t.spark, f"{root}/table", ["day", "status", "message"], schema)
+    table = sinks.empty_table(t.spark, f"{root}/table", ["day", "status", "message"], schema)
     records = derive(_stream(t, "events"), "status_records").withColumn("ts", F.col("ts").cast("timestamp"))
     digest.start_digest(records, table, f"{root}/checkpoint").awaitTermination()
     return table.current()

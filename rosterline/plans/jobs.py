@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.operators.validation import (
+    ENROLLMENT_COLUMNS,
+    STUDENT_COLUMNS,
     run_statistics,
     split,
-    STUDENT_COLUMNS,
-    ENROLLMENT_COLUMNS,
     tag_enrollments,
     tag_students,
     validate_pending,

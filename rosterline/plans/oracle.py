@@ -708,6 +708,7 @@ CTES["artist_sales"] = (
     f"{ARTIST_JOIN} GROUP BY a.ArtistId, a.Name"
 )
 oracle("mv_1_artist_sales", "SELECT * FROM artist_sales")
+GENRE_AMOUNT = f"{cents('l.UnitPrice')} * Quantity"
 GENRE_JOIN = (
     "FROM genre g LEFT JOIN part_track t ON g.GenreId = t.GenreId LEFT JOIN part_album al ON t.AlbumId = al.AlbumId "
     "LEFT JOIN part_line l ON t.TrackId = l.TrackId"
@@ -715,9 +716,9 @@ GENRE_JOIN = (
 CTES["genre_sales"] = (
     'SELECT g.GenreId AS "GenreId", g.Name AS genre_name, count(DISTINCT t.TrackId) AS track_count, '
     "count(DISTINCT al.AlbumId) AS album_count, CAST(coalesce(sum(Quantity), 0) AS BIGINT) AS total_sales, "
-    f"coalesce(sum({AMOUNT}), 0) / 100.0 AS total_revenue, "
+    f"coalesce(sum({GENRE_AMOUNT}), 0) / 100.0 AS total_revenue, "
     f"coalesce({half_up('sum(Milliseconds)', '60000 * count(Milliseconds)', 2)}, 0) AS avg_track_minutes, "
-    f"{half_up(f'coalesce(sum({AMOUNT}), 0)', '100 * count(DISTINCT t.TrackId)', 2)} AS revenue_per_track "
+    f"{half_up(f'coalesce(sum({GENRE_AMOUNT}), 0)', '100 * count(DISTINCT t.TrackId)', 2)} AS revenue_per_track "
     f"{GENRE_JOIN} GROUP BY g.GenreId, g.Name"
 )
 oracle("mv_2_genre_popularity", "SELECT * EXCLUDE (revenue_per_track) FROM genre_sales")

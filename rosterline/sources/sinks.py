@@ -9,47 +9,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.operators.academic_functions import PAIR, check_enrollments
-from rosterline.operators.ids import assign_ids
-from rosterline.sources.store import Change, VersionedTable, latest_per_key
+from rosterline.schemas import ENROLLMENT, STUDENT
+from rosterline.sources.store import Change, VersionedTable
 
 
-def next_id(current: DataFrame, id_column: str) -> int:
-    return current.agg(F.coalesce(F.max(id_column), F.lit(0)) + 1).first()[0]
+def empty_table(spark: SparkSession, path: str, keys: list[str], schema: str, **options) -> VersionedTable:
+    """A keyed table with a first, empty version, unless it already has one."""
+    table = VersionedTable(spark, path, keys, **options)
+    if not table.exists():
+        table.publish(spark.createDataFrame([], schema))
+    return table
 
 
-def _with_ids(new: DataFrame, current: DataFrame, keys: list[str], id_column: str, order_by: str) -> DataFrame:
-    """Give rows with a known key its id and number the others after the highest id."""
-    rows = new.join(current.select(*keys, id_column), keys, "left")
-    start = next_id(current, id_column)
-    fresh = assign_ids(rows.filter(F.col(id_column).isNull()).drop(id_column), id_column, [order_by], start)
-    return rows.filter(F.col(id_column).isNotNull()).unionByName(fresh)
+def student_table(spark: SparkSession, path: str, **options) -> VersionedTable:
+    return empty_table(spark, path, ["student_email"], STUDENT, id_column="student_id", **options)
+
+
+def enrollment_table(spark: SparkSession, path: str, **options) -> VersionedTable:
+    return empty_table(spark, path, PAIR, ENROLLMENT, id_column="enrollment_id", **options)
 
 
 def load_students(table: VersionedTable, students: DataFrame, seq: str = "seq", tag: str | None = None) -> Change:
     """Upsert on the e-mail: known students keep their id and get all other columns replaced."""
-    last = latest_per_key(students, ["student_email"], seq)
-    return table.upsert(_with_ids(last, table.current(), ["student_email"], "student_id", seq), seq, tag)
+    return table.upsert(students, seq, tag)
 
 
 def load_enrollments(
     table: VersionedTable, enrollments: DataFrame, seq: str = "seq", tag: str | None = None
 ) -> Change:
     """Upsert on (student, course): grade and date are replaced."""
-    last = latest_per_key(enrollments, PAIR, seq)
-    return table.upsert(_with_ids(last, table.current(), PAIR, "enrollment_id", seq), seq, tag)
+    return table.upsert(enrollments, seq, tag)
 
 
 def enroll_students(
     table: VersionedTable, requests: DataFrame, student: DataFrame, course: DataFrame, seq: str = "seq"
 ) -> Change:
     """Add the accepted enrollment requests, ungraded, with new ids."""
-    current = table.current()
-    judged = check_enrollments(requests, student, course, current, seq)
-    accepted = judged.filter(F.col("outcome") == "enrolled").select(
-        seq, *PAIR, F.lit(None).cast("string").alias("grade"), "enrollment_date"
-    )
-    numbered = assign_ids(accepted, "enrollment_id", [seq], next_id(current, "enrollment_id"))
-    return table.insert_ignore(numbered, seq)
+    judged = check_enrollments(requests, student, course, table.current(), seq)
+    accepted = judged.filter(F.col("outcome") == "enrolled")
+    return table.insert_ignore(accepted.withColumn("grade", F.lit(None).cast("string")), seq)
 
 
 def insert_new(table: VersionedTable, rows: DataFrame, order_by: str, tag: str | None = None) -> int:

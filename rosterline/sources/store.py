@@ -1,9 +1,9 @@
 """Versioned Parquet tables: publish, upsert, insert-ignore and delete without overwriting a live file.
 
 A keyed table is cut into hash buckets of its key. A change rewrites only the buckets it touches (an
-insert only adds files), and becomes visible through one small log entry written after its data. Readers
-therefore see the old version until the new one is whole, and a failed or repeated job leaves nothing
-behind but unused files. One writer per table is assumed.
+insert only adds files), and becomes visible through one small list of the live files, written after
+the data. Readers therefore see the old version until the new one is whole, and a failed or repeated
+job leaves nothing behind but unused files. One writer per table is assumed.
 """
 
 from __future__ import annotations
@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterline.operators.ids import assign_ids
+
 BUCKET = "store_bucket"
 LOG_SCHEMA = (
-    "version long, bucket int, folder string, replaces boolean, row_schema string, rows long, "
-    "action string, tag string, committed_at timestamp"
+    "version long, bucket int, folder string, rows long, next_id long, row_schema string, action string, "
+    "tag string, committed_at timestamp"
 )
 
 
@@ -46,16 +48,37 @@ class Change:
     deleted: int = 0
 
 
+@dataclass
+class _Live:
+    """What the current version consists of."""
+
+    version: int
+    files: list
+    schema: T.StructType
+    next_id: int
+
+
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: list[str] | None = None, buckets: int = 16):
+    """``keys`` make rows unique; ``id_column`` is numbered by the table, and known keys keep their id."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: list[str] | None = None,
+        buckets: int = 16,
+        id_column: str | None = None,
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys or [])
         self.buckets = buckets if self.keys else 1
+        self.id_column = id_column
 
-    # -- log -----------------------------------------------------------------------------------
+    # -- the list of live files ----------------------------------------------------------------
 
     def log(self) -> DataFrame:
+        """Every version with its files, tag and time."""
         try:
             return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
         except AnalysisException as error:
@@ -63,43 +86,50 @@ class VersionedTable:
                 raise
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
-    def _live(self) -> list:
-        """Log entries that make up the current version: per bucket the last rewrite and later additions."""
-        log = self.log()
-        rewrites = log.filter("replaces").groupBy("bucket").agg(F.max("version").alias("base"))
-        return (
-            log.join(rewrites, "bucket", "left")
-            .filter(F.col("version") >= F.coalesce("base", F.lit(0)))
-            .orderBy("version")
-            .collect()
-        )
-
     def version(self) -> int:
         return self.log().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
+    def exists(self) -> bool:
+        return self.version() > 0
+
     def has_tag(self, tag: str) -> bool:
         return not self.log().filter(F.col("tag") == tag).isEmpty()
 
-    def exists(self) -> bool:
-        return self.version() > 0
+    def _live(self) -> _Live:
+        version = self.version()
+        if version == 0:
+            raise ValueError(f"no version published at {self.path}")
+        rows = self.log().filter(F.col("version") == version).collect()  # one row per live file group
+        schema = T.StructType.fromJson(json.loads(rows[0]["row_schema"]))
+        return _Live(version, [r for r in rows if r["folder"] is not None], schema, rows[0]["next_id"])
+
+    def _commit(self, live: _Live, action: str, tag: str | None) -> None:
+        schema = live.schema.json()
+        entries = [
+            (live.version, f["bucket"], f["folder"], f["rows"], live.next_id, schema, action, tag) for f in live.files
+        ] or [(live.version, None, None, 0, live.next_id, schema, action, tag)]
+        (
+            self.spark.createDataFrame(entries, LOG_SCHEMA.rsplit(", committed_at", 1)[0])
+            .withColumn("committed_at", F.current_timestamp())
+            .coalesce(1)
+            .write.mode("append")
+            .parquet(f"{self.path}/log")
+        )
 
     # -- reading -------------------------------------------------------------------------------
 
     def current(self) -> DataFrame:
         return self._read(self._live()).drop(BUCKET)
 
-    def _read(self, entries: list, buckets: set[int] | None = None) -> DataFrame:
-        if not entries:
-            raise ValueError(f"no version published at {self.path}")
-        schema = T.StructType.fromJson(json.loads(entries[-1]["row_schema"]))
+    def _read(self, live: _Live, buckets: set[int] | None = None) -> DataFrame:
+        full = T.StructType(live.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
         paths = [
-            f"{self.path}/data/{e['folder']}/{BUCKET}={e['bucket']}"
-            for e in entries
-            if e["folder"] is not None and (buckets is None or e["bucket"] in buckets)
+            f"{self.path}/data/{f['folder']}/{BUCKET}={f['bucket']}"
+            for f in live.files
+            if buckets is None or f["bucket"] in buckets
         ]
         if not paths:
-            return self.spark.createDataFrame([], schema).withColumn(BUCKET, F.lit(0))
-        full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+            return self.spark.createDataFrame([], full)
         reader = self.spark.read.schema(full).option("basePath", f"{self.path}/data")
         return reader.parquet(*paths).select(*full.fieldNames())
 
@@ -110,108 +140,91 @@ class VersionedTable:
             return df.withColumn(BUCKET, F.lit(0))
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
-    def _write(self, df: DataFrame, sort: list[str] | None = None) -> tuple[str, dict[int, int]]:
-        """Write a bucketed frame; returns its folder and the rows per bucket.
+    def _write(self, df: DataFrame, sort: list[str] | None = None) -> tuple[list[dict], int]:
+        """Write a bucketed frame; returns its files per bucket and the first unused id.
 
-        Rebalancing lets adaptive execution split a large bucket over several files and merge small ones.
+        Rebalancing lets adaptive execution split a large bucket over several files and merge small
+        ones. The counts afterwards read no column but the id.
         """
         folder = f"part={uuid.uuid4().hex}"
         target = f"{self.path}/data/{folder}"
-        order = sort or self.keys
         laid_out = df.hint("rebalance", BUCKET)
+        order = sort or self.keys
         if order:
             laid_out = laid_out.sortWithinPartitions(BUCKET, *order)
         laid_out.write.partitionBy(BUCKET).parquet(target)
-        written = self.spark.read.schema(f"{BUCKET} int").parquet(target)  # row counts only, no column is read
-        counts = written.groupBy(BUCKET).agg(F.count("*").alias("rows")).collect()  # one row per bucket
-        return folder, {row[BUCKET]: row["rows"] for row in counts}
-
-    def _commit(
-        self,
-        schema: T.StructType,
-        folder: str,
-        rows: dict[int, int],
-        touched: set[int],
-        replaces: bool,
-        action: str,
-        tag: str | None,
-        version: int,
-    ) -> None:
-        listed = sorted(touched) if replaces else sorted(rows)
-        entries = [
-            (version, b, folder if b in rows else None, replaces, schema.json(), rows.get(b, 0), action, tag)
-            for b in listed
-        ]
-        if not entries:  # nothing changed, but the tag has to be remembered
-            entries = [(version, -1, None, False, schema.json(), 0, action, tag)]
-        names = LOG_SCHEMA.rsplit(", committed_at", 1)[0]
-        (
-            self.spark.createDataFrame(entries, names)
-            .withColumn("committed_at", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.path}/log")
-        )
+        top = F.max(self.id_column) if self.id_column else F.lit(0)
+        columns = f"{self.id_column} long, {BUCKET} int" if self.id_column else f"{BUCKET} int"
+        written = self.spark.read.schema(columns).parquet(target).groupBy(BUCKET)
+        counts = written.agg(F.count("*").alias("rows"), top.cast("long").alias("top")).collect()  # per bucket
+        files = [{"bucket": row[BUCKET], "folder": folder, "rows": row["rows"]} for row in counts]
+        return files, max((row["top"] for row in counts), default=0) + 1
 
     def publish(self, df: DataFrame, tag: str | None = None, sort: list[str] | None = None) -> Change:
         """Replace the whole table."""
         version = self.version() + 1
-        folder, rows = self._write(self._bucketed(df), sort)
-        self._commit(df.schema, folder, rows, set(range(self.buckets)), True, "publish", tag, version)
-        return Change(version, inserted=sum(rows.values()))
-
-    def _stage(self, df: DataFrame) -> tuple[DataFrame, set[int]]:
-        """Write the deduplicated change once, so that every later step reads the same rows."""
+        files, next_id = self._write(self._bucketed(df), sort)
+        self._commit(_Live(version, files, df.schema, next_id), "publish", tag)
+        return Change(version, inserted=sum(f["rows"] for f in files))
+
+    def _stage(self, df: DataFrame, live: _Live, order_by: str) -> tuple[DataFrame, dict[int, int]]:
+        """Write a change once, so that every later step reads the same rows; also its rows per bucket."""
+        columns = [c for c in live.schema.fieldNames() if c != self.id_column]
+        rows = self._bucketed(df.select(*columns, *([] if order_by in columns else [order_by])))
         path = f"{self.path}/staged/{uuid.uuid4().hex}"
-        self._bucketed(df).write.parquet(path)
-        staged = self.spark.read.schema(self._bucketed(df).schema).parquet(path)
-        return staged, {row[0] for row in staged.select(BUCKET).distinct().collect()}  # at most ``buckets`` rows
+        rows.write.parquet(path)
+        staged = self.spark.read.schema(rows.schema).parquet(path)
+        counts = staged.groupBy(BUCKET).agg(F.count("*").alias("rows")).collect()  # one row per bucket
+        return staged, {row[BUCKET]: row["rows"] for row in counts}
+
+    def _numbered(self, fresh: DataFrame, live: _Live, order_by: str) -> DataFrame:
+        return assign_ids(fresh, self.id_column, [order_by], live.next_id) if self.id_column else fresh
 
-    def upsert(self, df: DataFrame, order_by: str, tag: str | None = None, update_only: bool = False) -> Change:
-        """Insert new keys and replace all columns of known ones; the last row per key wins.
+    def upsert(self, df: DataFrame, order_by: str, tag: str | None = None) -> Change:
+        """Insert new keys and replace all columns of known ones, except the id; the last row per key wins.
 
         ``order_by`` gives the order of the input rows; it is dropped when the table has no such column.
         """
-        entries = self._live()
-        current = self._read(entries)
-        columns = [c for c in current.columns if c != BUCKET]
-        staged, touched = self._stage(latest_per_key(df, self.keys, order_by).select(*columns))
-        before = self._read(entries, touched)
+        live = self._live()
+        staged, staged_rows = self._stage(latest_per_key(df, self.keys, order_by), live, order_by)
+        before = self._read(live, set(staged_rows))
         known = self.keys + [BUCKET]
-        if update_only:
-            staged = staged.join(before.select(*known), known, "left_semi")
+        incoming = staged
+        if self.id_column:
+            matched = staged.join(before.select(*known, self.id_column), known, "left")
+            missing = F.col(self.id_column).isNull()
+            fresh = self._numbered(matched.filter(missing).drop(self.id_column), live, order_by)
+            incoming = matched.filter(~missing).unionByName(fresh)
         kept = before.join(staged.select(*known), known, "left_anti")
-        version = entries[-1]["version"] + 1
-        folder, rows = self._write(kept.unionByName(staged))
-        old_rows = sum(e["rows"] for e in entries if e["bucket"] in touched)
-        inserted = sum(rows.values()) - old_rows
-        updated = staged.count() - inserted
-        self._commit(current.drop(BUCKET).schema, folder, rows, touched, True, "upsert", tag, version)
-        return Change(version, inserted=inserted, updated=updated)
+        files, next_id = self._write(kept.unionByName(incoming.select(*kept.columns)))
+        untouched = [f for f in live.files if f["bucket"] not in staged_rows]
+        old_rows = sum(f["rows"] for f in live.files if f["bucket"] in staged_rows)
+        inserted = sum(f["rows"] for f in files) - old_rows
+        new = _Live(live.version + 1, untouched + files, live.schema, max(live.next_id, next_id))
+        self._commit(new, "upsert", tag)
+        return Change(new.version, inserted=inserted, updated=sum(staged_rows.values()) - inserted)
 
     def insert_ignore(self, df: DataFrame, order_by: str, tag: str | None = None) -> Change:
         """Add rows with new keys, the first row per key; files already there are left alone."""
-        entries = self._live()
-        current = self._read(entries)
-        columns = [c for c in current.columns if c != BUCKET]
-        staged, touched = self._stage(first_per_key(df, self.keys, order_by).select(*columns))
+        live = self._live()
+        staged, staged_rows = self._stage(first_per_key(df, self.keys, order_by), live, order_by)
         known = self.keys + [BUCKET]
-        fresh = staged.join(self._read(entries, touched).select(*known), known, "left_anti")
-        version = entries[-1]["version"] + 1
-        folder, rows = self._write(fresh)
-        self._commit(current.drop(BUCKET).schema, folder, rows, touched, False, "insert", tag, version)
-        return Change(version, inserted=sum(rows.values()))
+        before = self._read(live, set(staged_rows))
+        fresh = self._numbered(staged.join(before.select(*known), known, "left_anti"), live, order_by)
+        files, next_id = self._write(fresh.select(*before.columns))
+        new = _Live(live.version + 1, live.files + files, live.schema, max(live.next_id, next_id))
+        self._commit(new, "insert", tag)
+        return Change(new.version, inserted=sum(f["rows"] for f in files))
 
     def delete_where(self, condition: Column, tag: str | None = None) -> Change:
         """Remove rows for which the condition holds; rows where it is NULL stay."""
-        entries = self._live()
-        current = self._read(entries)
-        hits = current.filter(condition).groupBy(BUCKET).agg(F.count("*").alias("rows")).collect()
+        live = self._live()
+        hits = self._read(live).filter(condition).groupBy(BUCKET).agg(F.count("*").alias("rows")).collect()
         touched = {row[BUCKET] for row in hits}
-        version = entries[-1]["version"] + 1
         if not touched:
-            return Change(entries[-1]["version"])
-        keep = self._read(entries, touched).filter(~F.coalesce(condition, F.lit(False)))
-        folder, rows = self._write(keep)
-        self._commit(current.drop(BUCKET).schema, folder, rows, touched, True, "delete", tag, version)
-        return Change(version, deleted=sum(row["rows"] for row in hits))
+            return Change(live.version)
+        files, _ = self._write(self._read(live, touched).filter(~F.coalesce(condition, F.lit(False))))
+        untouched = [f for f in live.files if f["bucket"] not in touched]
+        new = _Live(live.version + 1, untouched + files, live.schema, live.next_id)
+        self._commit(new, "delete", tag)
+        return Change(new.version, deleted=sum(row["rows"] for row in hits))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rosterline.operators.ids import assign_ids
 from rosterline.operators.validation import STUDENT_COLUMNS, not_yet_registered, split_complete, submit
 from rosterline.sources.store import VersionedTable, latest_per_key
 
@@ -17,14 +16,6 @@ OUTCOME_SCHEMA = (
 )
 
 
-def empty_table(spark: SparkSession, path: str, keys: list[str], schema: str, buckets: int = 16) -> VersionedTable:
-    """A keyed table with a first, empty version, unless it already has one."""
-    table = VersionedTable(spark, path, keys, buckets)
-    if not table.exists():
-        table.publish(spark.createDataFrame([], schema))
-    return table
-
-
 class RegistrationStream:
     """Turns record edits into statuses and students.
 
@@ -51,9 +42,7 @@ class RegistrationStream:
             self.outcomes.upsert(judged, "row_id", tag)
         if not self.students.has_tag(tag):
             created = self.outcomes.current().filter((F.col("batch_id") == batch_id) & (F.col("status_code") == 201))
-            highest = self.students.current().agg(F.coalesce(F.max("student_id"), F.lit(0))).first()[0]
-            numbered = assign_ids(created.select("row_id", *STUDENT_COLUMNS), "student_id", ["row_id"], highest + 1)
-            self.students.insert_ignore(numbered, "row_id", tag)
+            self.students.insert_ignore(created.select("row_id", *STUDENT_COLUMNS), "row_id", tag)
 
     def start(self, events: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
         writer = events.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
