@@ -86,8 +86,8 @@ def keys_not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> Da
     keys empties the result, and a NULL key qualifies only against an empty table.
     """
     keys = other.select(F.col(other_key).alias(key))
-    facts = keys.agg(F.count("*").alias("all_keys"), F.count(key).alias("real_keys"))
-    empty = facts.select(F.col("all_keys") == 0).scalar()
-    complete = facts.select(F.col("all_keys") == F.col("real_keys")).scalar()
+    all_keys, real_keys = F.count("*"), F.count(key)
+    state = F.when(all_keys == 0, F.lit("empty")).when(all_keys == real_keys, F.lit("complete")).otherwise(F.lit("null"))
+    found = keys.agg(state.alias("state")).scalar()
     absent = df.join(keys.filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
-    return absent.filter(empty | (complete & F.col(key).isNotNull()))
+    return absent.filter((found == "empty") | ((found == "complete") & F.col(key).isNotNull()))

@@ -596,6 +596,15 @@ def _(t: Tables) -> DataFrame:
     return academic_functions.update_grades(t.activity_enrollment, _grade_updates(t))
 
 
+@query("f_6_stored_grades")
+def _(t: Tables) -> DataFrame:
+    """The same updates applied to stored enrollments, one per (student, course)."""
+    table = _enrollment_table(t)
+    table.publish(first_per_key(t.activity_enrollment, PAIR, "enrollment_id"))
+    sinks.store_grades(table, _grade_updates(t))
+    return table.current()
+
+
 @query("f_7_pending_grades")
 def _(t: Tables) -> DataFrame:
     return academic_functions.pending_grades(t.enrollment, t.student, t.course, AS_OF)

@@ -24,10 +24,11 @@ from rosterline.sources.store import Change, VersionedTable
 
 @dataclass
 class CleaningRun:
-    """What a cleaning run did: both loads, and the records per job and outcome."""
+    """What a cleaning run did: both loads, the rejected records, and the records per job and outcome."""
 
     students: Change
     enrollments: Change
+    rejects: DataFrame
     statistics: DataFrame
 
 
@@ -43,11 +44,16 @@ def run_cleaning(
 ) -> CleaningRun:
     """Clean and load students, then enrollments against the students just loaded."""
     students = tag_students(raw_students, department, as_of, seq)
-    student_change = load_students(student_table, split(students, STUDENT_COLUMNS, seq)[0], seq)
+    accepted, rejected = split(students, STUDENT_COLUMNS, seq)
+    student_change = load_students(student_table, accepted, seq)
     enrollments = tag_enrollments(raw_enrollments, student_table.current(), course, seq)
-    enrollment_change = load_enrollments(enrollment_table, split(enrollments, ENROLLMENT_COLUMNS, seq)[0], seq)
+    enrolled, refused = split(enrollments, ENROLLMENT_COLUMNS, seq)
+    enrollment_change = load_enrollments(enrollment_table, enrolled, seq)
+    rejects = rejected.withColumn("job", F.lit("students")).unionByName(
+        refused.withColumn("job", F.lit("enrollments"))
+    )
     statistics = run_statistics(students, "students").unionByName(run_statistics(enrollments, "enrollments"))
-    return CleaningRun(student_change, enrollment_change, statistics)
+    return CleaningRun(student_change, enrollment_change, rejects, statistics)
 
 
 def run_pending(

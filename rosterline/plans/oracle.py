@@ -7,6 +7,8 @@ use decimals. Queries whose result depends on files or runs are stated as the ta
 
 from __future__ import annotations
 
+import re
+
 from rosterline.functions.cleaning import DEPARTMENT_SPELLINGS, YEAR_WORDS
 from rosterline.functions.grades import GRADE_POINTS, GRADES
 from rosterline.operators.countries import METRICS
@@ -198,8 +200,6 @@ ORACLE: dict[str, str] = {}
 
 def _needs(text: str) -> list[str]:
     """The CTEs a text uses, directly or through others, in definition order."""
-    import re
-
     found: set[str] = set()
     todo = [text]
     while todo:
@@ -643,12 +643,19 @@ oracle(
     "WHERE a.student_id = u.student_id AND a.course_id = u.course_id) THEN 'enrollment_missing' ELSE 'updated' END AS outcome "
     "FROM grade_updates u",
 )
-oracle(
-    "f_6_grade_updates",
+CTES["last_updates"] = (
+    f"SELECT * FROM grade_updates WHERE grade IS NULL OR grade IN ({LETTERS}) "
+    "QUALIFY row_number() OVER (PARTITION BY student_id, course_id ORDER BY seq DESC) = 1"
+)
+CTES["regraded"] = (
     "SELECT enrollment_id, enrollment_date, a.student_id, a.course_id, CASE WHEN u.seq IS NOT NULL THEN u.grade "
-    "ELSE a.grade END AS grade FROM activity_enrollment a LEFT JOIN (SELECT * FROM grade_updates "
-    f"WHERE grade IS NULL OR grade IN ({LETTERS}) QUALIFY row_number() OVER (PARTITION BY student_id, course_id "
-    "ORDER BY seq DESC) = 1) u ON a.student_id = u.student_id AND a.course_id = u.course_id",
+    "ELSE a.grade END AS grade FROM activity_enrollment a LEFT JOIN last_updates u "
+    "ON a.student_id = u.student_id AND a.course_id = u.course_id"
+)
+oracle("f_6_grade_updates", "SELECT * FROM regraded")
+oracle(
+    "f_6_stored_grades",
+    "SELECT * FROM regraded QUALIFY row_number() OVER (PARTITION BY student_id, course_id ORDER BY enrollment_id) = 1",
 )
 oracle(
     "f_7_pending_grades",

@@ -8,9 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.operators.academic_functions import PAIR, check_enrollments
+from rosterline.operators.academic_functions import PAIR, check_enrollments, check_grade_updates
 from rosterline.schemas import ENROLLMENT, STUDENT
-from rosterline.sources.store import Change, VersionedTable
+from rosterline.sources.store import Change, VersionedTable, latest_per_key
 
 
 def empty_table(spark: SparkSession, path: str, keys: list[str], schema: str, **options) -> VersionedTable:
@@ -50,6 +50,13 @@ def enroll_students(
     return table.insert_ignore(accepted.withColumn("grade", F.lit(None).cast("string")), seq)
 
 
+def store_grades(table: VersionedTable, updates: DataFrame, seq: str = "seq", tag: str | None = None) -> Change:
+    """Apply the last valid grade update of each stored (student, course); others change nothing."""
+    applied = check_grade_updates(updates, table.current()).filter(F.col("outcome") == "updated")
+    last = latest_per_key(applied.select(seq, *PAIR, "grade"), PAIR, seq)
+    return table.upsert(table.current().drop("grade").join(last, PAIR), seq, tag)
+
+
 def insert_new(table: VersionedTable, rows: DataFrame, order_by: str, tag: str | None = None) -> int:
     """Insert rows with new keys and return how many there were."""
     return table.insert_ignore(rows, order_by, tag).inserted

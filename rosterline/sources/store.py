@@ -121,6 +121,20 @@ class VersionedTable:
     def current(self) -> DataFrame:
         return self._read(self._live()).drop(BUCKET)
 
+    def current_near(self, df: DataFrame) -> DataFrame:
+        """The rows in the buckets that the keys of ``df`` fall into: all a lookup of those keys needs."""
+        buckets = self._bucketed(df.select(*self.keys)).select(BUCKET).distinct().collect()  # at most all buckets
+        return self._read(self._live(), {row[BUCKET] for row in buckets}).drop(BUCKET)
+
+    def written(self, tag: str) -> DataFrame:
+        """The rows in the files that the change with this tag wrote."""
+        live = self._live()
+        change = self.log().filter(F.col("tag") == tag)
+        version = change.agg(F.max("version")).first()[0]
+        earlier = self.log().filter(F.col("version") == version - 1).select("folder")
+        added = change.join(earlier, "folder", "left_anti").filter(F.col("folder").isNotNull()).collect()
+        return self._read(_Live(version, added, live.schema, live.next_id)).drop(BUCKET)
+
     def _read(self, live: _Live, buckets: set[int] | None = None) -> DataFrame:
         full = T.StructType(live.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
         paths = [

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rosterline.functions.cleaning import normalize_email
 from rosterline.operators.validation import STUDENT_COLUMNS, not_yet_registered, split_complete, submit
 from rosterline.sources.store import VersionedTable, latest_per_key
 
@@ -33,15 +34,18 @@ class RegistrationStream:
     def process(self, events: DataFrame, batch_id: int) -> None:
         tag = f"batch-{batch_id}"
         if not self.outcomes.has_tag(tag):
-            latest = latest_per_key(events, ["row_id"], "event_seq")
+            latest = latest_per_key(events, ["row_id"], "event_seq").persist()
             complete, _ = split_complete(latest)
-            open_rows = not_yet_registered(complete, self.outcomes.current(), "row_id")
+            open_rows = not_yet_registered(complete, self.outcomes.current_near(latest), "row_id")
+            emails = latest.select(normalize_email(F.col("email")).alias("student_email"))
             judged = submit(
-                open_rows, self.department, self.students.current(), self.as_of, seq="row_id"
+                open_rows, self.department, self.students.current_near(emails), self.as_of, seq="row_id"
             ).withColumn("batch_id", F.lit(batch_id).cast("long"))
             self.outcomes.upsert(judged, "row_id", tag)
+            latest.unpersist()
         if not self.students.has_tag(tag):
-            created = self.outcomes.current().filter((F.col("batch_id") == batch_id) & (F.col("status_code") == 201))
+            mine = (F.col("batch_id") == batch_id) & (F.col("status_code") == 201)
+            created = self.outcomes.written(tag).filter(mine)
             self.students.insert_ignore(created.select("row_id", *STUDENT_COLUMNS), "row_id", tag)
 
     def start(self, events: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
