@@ -9,16 +9,9 @@ from pyspark.sql import functions as F
 
 MIN_AGE_YEARS = 16
 
-# Free-form spellings accepted besides ISO and day-first dates.
-FREE_FORM_DATES = (
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "MMM d yyyy",
-    "MMMM d yyyy",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-    "yyyy/M/d",
-)
+# Free-form dates: month first or day first, the month known by its first three letters.
+_MONTH_FIRST = r"^([A-Z][a-z]{2})[a-z]*\.? (\d{1,2}),? (\d{4})$"
+_DAY_FIRST = r"^(\d{1,2}) ([A-Z][a-z]{2})[a-z]*\.?,? (\d{4})$"
 
 
 def day(as_of: Column | dt.date | str | None) -> Column:
@@ -64,12 +57,16 @@ def parse_date(text: Column) -> Column:
     """
     from rosterline.functions.cleaning import trim_text
 
+    def shaped(value: Column, pattern: str, group: int = 1) -> Column:
+        """The value where it has the shape, else NULL: a failed parse costs far more than a match."""
+        return F.nullif(F.regexp_extract(value, pattern, group), F.lit(""))
+
     clean = trim_text(text)
-    iso = F.regexp_extract(clean, r"^(\d{4}-\d{2}-\d{2})(T.*|\s+\d.*)?$", 1)
-    day_first = F.regexp_extract(clean, r"^(\d{1,2}/\d{1,2}/\d{4})$", 1)
-    free = F.initcap(clean)
+    worded = F.regexp_replace(F.initcap(clean), _DAY_FIRST, "$2 $1 $3")
+    worded = F.regexp_replace(worded, _MONTH_FIRST, "$1 $2 $3")
     return F.coalesce(
-        F.try_to_date(F.nullif(iso, F.lit("")), "yyyy-MM-dd"),
-        F.try_to_date(F.nullif(day_first, F.lit("")), "d/M/yyyy"),
-        *[F.try_to_date(free, pattern) for pattern in FREE_FORM_DATES],
+        F.try_to_date(shaped(clean, r"^(\d{4}-\d{2}-\d{2})(T.*|\s+\d.*)?$"), "yyyy-MM-dd"),
+        F.try_to_date(shaped(clean, r"^(\d{1,2}/\d{1,2}/\d{4})$"), "d/M/yyyy"),
+        F.try_to_date(shaped(clean, r"^(\d{4}/\d{1,2}/\d{1,2})$"), "yyyy/M/d"),
+        F.try_to_date(shaped(worded, r"^([A-Z][a-z]{2} \d{1,2} \d{4})$"), "MMM d yyyy"),
     )

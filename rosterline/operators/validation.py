@@ -15,10 +15,24 @@ from rosterline.functions import cleaning as clean
 from rosterline.functions.dates import MIN_AGE_YEARS, age_by_days, old_enough, parse_date
 
 
-def mark_first(df: DataFrame, keys: list[str], seq: str, eligible: Column, name: str = "is_first") -> DataFrame:
-    """Add ``name``: true on the first eligible record of each key, in sequence order."""
-    firsts = df.filter(eligible).groupBy(*keys).agg(F.min(seq).alias(seq)).select(seq, F.lit(True).alias(name))
-    return df.join(firsts, seq, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+def first_values(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    """The lowest sequence value of each key."""
+    return df.groupBy(*keys).agg(F.min(seq).alias(seq))
+
+
+def mark(df: DataFrame, values: DataFrame, seq: str, name: str) -> DataFrame:
+    """Add ``name``: true on the records whose sequence value is listed."""
+    marked = df.join(values.select(seq, F.lit(True).alias(name)), seq, "left")
+    return marked.withColumn(name, F.coalesce(name, F.lit(False)))
+
+
+def spread(raw: DataFrame, seq: str) -> DataFrame:
+    """Raw records hashed by their sequence value before they are cleaned.
+
+    This is the shuffle that ``mark`` needs anyway, moved ahead of the costly expressions: the cores
+    then share them even when the input is one large file that cannot be split.
+    """
+    return raw.repartition(seq)
 
 
 def _tag(df: DataFrame, name: str, rules: list[tuple[str, Column]]) -> DataFrame:
@@ -77,7 +91,9 @@ def tag_students(raw: DataFrame, department: DataFrame, as_of=None, seq: str = "
     The duplicate check comes right after the e-mail check, so a first record that fails later still
     blocks its copies.
     """
-    rows = mark_first(normalize_students(raw, seq), ["student_email"], seq, F.col("email_ok"))
+    mailed = normalize_students(raw, seq).filter("email_ok")
+    rows = normalize_students(spread(raw, seq), seq)
+    rows = mark(rows, first_values(mailed, ["student_email"], seq), seq, "is_first")
     rows = rows.join(department.select("department_name", "department_id"), "department_name", "left")
     return _tag(
         rows,
@@ -109,18 +125,23 @@ def transform_students(raw: DataFrame, department: DataFrame, as_of=None, seq: s
     return split(tag_students(raw, department, as_of, seq), STUDENT_COLUMNS, seq)
 
 
-def tag_enrollments(raw: DataFrame, student: DataFrame, course: DataFrame, seq: str = "seq") -> DataFrame:
-    """Resolved enrollments plus ``reject_reason``; duplicates are judged before grade and date."""
-    rows = raw.select(
+def normalize_enrollments(raw: DataFrame, seq: str) -> DataFrame:
+    """The cleaned fields of raw enrollment records."""
+    return raw.select(
         seq,
         clean.normalize_email(F.col("student_email")).alias("student_email"),
         clean.clean_text(F.col("course_code")).alias("course_id"),
         clean.clean_text(F.col("grade")).alias("grade_text"),
         parse_date(F.col("enrollment_date")).alias("enrollment_date"),
     )
+
+
+def tag_enrollments(raw: DataFrame, student: DataFrame, course: DataFrame, seq: str = "seq") -> DataFrame:
+    """Resolved enrollments plus ``reject_reason``; duplicates are judged before grade and date."""
     # All records of one (e-mail, course) resolve alike, so firsts need no lookup beforehand.
-    named = F.col("student_email").isNotNull() & F.col("course_id").isNotNull()
-    rows = mark_first(rows, ["student_email", "course_id"], seq, named)
+    pair = ["student_email", "course_id"]
+    firsts = first_values(normalize_enrollments(raw, seq).dropna(subset=pair), pair, seq)
+    rows = mark(normalize_enrollments(spread(raw, seq), seq), firsts, seq, "is_first")
     rows = rows.join(student.select("student_email", "student_id"), "student_email", "left").join(
         course.select("course_id", F.lit(True).alias("course_known")), "course_id", "left"
     )
@@ -254,14 +275,8 @@ def shape_requests(requests: DataFrame) -> DataFrame:
     )
 
 
-def register(
-    requests: DataFrame, department: DataFrame, existing: DataFrame, as_of=None, seq: str = "seq"
-) -> DataFrame:
-    """Judge registration requests: 400 with all errors, 409 for a known e-mail, 201 with the clean row.
-
-    The first valid request for a new e-mail is created and its copies get 409. Known e-mails are looked
-    up once per distinct e-mail, and only the winning sequence values travel back to the requests.
-    """
+def _judge(requests: DataFrame, department: DataFrame, as_of, seq: str) -> DataFrame:
+    """The cleaned fields of requests with their errors and the department they name."""
     judged = _collect_errors(requests, service_rules(as_of)).select(
         seq,
         "errors",
@@ -273,15 +288,21 @@ def register(
         clean.normalize_phone(F.col("phoneNumber")).alias("student_phone_number"),
         clean.standard_department(F.col("department")).alias("department_name"),
     )
-    judged = judged.join(department.select("department_name", "department_id"), "department_name", "left")
+    return judged.join(department.select("department_name", "department_id"), "department_name", "left")
+
+
+def register(
+    requests: DataFrame, department: DataFrame, existing: DataFrame, as_of=None, seq: str = "seq"
+) -> DataFrame:
+    """Judge registration requests: 400 with all errors, 409 for a known e-mail, 201 with the clean row.
+
+    The first valid request for a new e-mail is created and its copies get 409. Only the winning sequence
+    values travel back to the requests.
+    """
+    judged = _judge(spread(requests, seq), department, as_of, seq)
     acceptable = (F.size("errors") == 0) & F.col("department_id").isNotNull()
-    winners = (
-        judged.filter(acceptable)
-        .groupBy("student_email")
-        .agg(F.min(seq).alias(seq))
-        .join(existing.select("student_email").distinct(), "student_email", "left_anti")
-        .select(seq, F.lit(True).alias("created"))
-    )
+    firsts = first_values(_judge(requests, department, as_of, seq).filter(acceptable), ["student_email"], seq)
+    winners = firsts.join(existing.select("student_email").distinct(), "student_email", "left_anti")
     missing = F.format_string('Department "%s" not found in database', "department_name")
     status = (
         F.when(F.size("errors") > 0, F.lit(400))
@@ -297,7 +318,7 @@ def register(
         .otherwise(F.array().cast("array<string>"))
     )
     return (
-        judged.join(winners, seq, "left")
+        mark(judged, winners, seq, "created")
         .withColumn("status_code", status)
         .withColumn("errors", errors)
         .select(seq, "status_code", "errors", *STUDENT_COLUMNS)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 AS_OF = "2024-06-30"
 
@@ -311,6 +312,10 @@ def derive(source: DataFrame, name: str) -> DataFrame:
     return source.selectExpr(*[f"{expr} AS {column}" for column, expr in EXPRESSIONS[name][1].items()])
 
 
+# Schemas of given tables by path: asking a file for its schema again takes a job each time.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """Canonical tables over one folder of given tables."""
 
@@ -319,7 +324,10 @@ class Tables:
         self.folder = folder
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in EXPRESSIONS:

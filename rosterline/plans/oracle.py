@@ -935,7 +935,7 @@ _ZERO_BASE = {"generosity": 10**9}
 def _mean(column: str) -> str:
     """Mean in hundredths; a column that may be negative is shifted to stay non-negative."""
     shift = _ZERO_BASE.get(column, 0)
-    mean = half_up(f"sum({cents(column)} + {shift * 100})", "100 * count(*)", 2)
+    mean = half_up(f"sum({cents(column)} + {shift * 100})", f"100 * count({column})", 2)
     return f"round({mean} - {shift}, 2)" if shift else mean
 
 
