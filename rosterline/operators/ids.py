@@ -9,14 +9,20 @@ from rosterline.session import work_dir
 
 
 def assign_ids(df: DataFrame, name: str, order_by: list[str], start: Column | int = 1) -> DataFrame:
-    """Number the rows ``start, start + 1, …`` in the order of the (unique) columns ``order_by``.
+    """Number the rows ``start, start + 1, …`` in the order of the unique, non-null columns ``order_by``.
 
-    Rows are range-partitioned and checkpointed, so a lost executor cannot move a row to another
-    partition afterwards; each partition numbers its own rows and adds the rows before it. The only
-    global step sums one count per partition.
+    Only those columns are range-partitioned and checkpointed, so a lost executor cannot move a value to
+    another partition afterwards; each partition numbers its own values and adds those before it. The
+    only global step sums one count per partition. The ids then join their rows. ``df`` is read twice
+    and has to give the same rows both times.
     """
     work_dir(df.sparkSession)
-    ranged = df.repartitionByRange(*order_by).withColumn("id_part", F.spark_partition_id()).checkpoint()
+    ranged = (
+        df.select(*order_by)
+        .repartitionByRange(*order_by)
+        .withColumn("id_part", F.spark_partition_id())
+        .checkpoint()
+    )
     earlier = Window.orderBy("id_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("id_part")
@@ -25,9 +31,9 @@ def assign_ids(df: DataFrame, name: str, order_by: list[str], start: Column | in
     )
     within = Window.partitionBy("id_part").orderBy(*order_by)
     first = F.lit(start) if isinstance(start, int) else start
-    return (
+    ids = (
         ranged.withColumn("id_rank", F.row_number().over(within))
         .join(F.broadcast(offsets), "id_part")  # one row per partition
-        .withColumn(name, (first + F.col("id_offset") + F.col("id_rank") - 1).cast("long"))
-        .drop("id_part", "id_offset", "id_rank")
+        .select(*order_by, (first + F.col("id_offset") + F.col("id_rank") - 1).cast("long").alias(name))
     )
+    return df.join(ids, order_by)

@@ -83,11 +83,21 @@ def read_pending(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
 def read_copy_text(
     spark: SparkSession, path: str, schema: str | T.StructType, unescape: bool = False
 ) -> DataFrame:
-    r"""Tab-separated rows with ``\N`` for NULL. ``unescape`` also turns ``\\`` into one backslash."""
-    df = spark.read.csv(path, schema=schema, sep="\t", nullValue="\\N", emptyValue="", quote="", escape="")
-    if not unescape:
-        return df
-    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(
-        *[F.replace(c, F.lit("\\\\"), F.lit("\\")).alias(c) if c in text else F.col(c) for c in df.columns]
-    )
+    r"""Tab-separated rows with ``\N`` for NULL. ``unescape`` also turns ``\\`` into one backslash.
+
+    The CSV reader would take an empty field for NULL and could not tell it from ``\N``. A value that
+    does not fit its column reads as NULL.
+    """
+    columns = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    parts = F.split("value", "\t")
+
+    def column(index: int, field: T.StructField):
+        value = F.nullif(F.get(parts, F.lit(index)), F.lit("\\N"))
+        if isinstance(field.dataType, T.StringType):
+            value = F.replace(value, F.lit("\\\\"), F.lit("\\")) if unescape else value
+        else:
+            value = value.try_cast(field.dataType)
+        return value.alias(field.name)
+
+    rows = spark.read.text(path).filter(F.col("value") != "\\.")  # the end mark of a block
+    return rows.select(*[column(i, field) for i, field in enumerate(columns.fields)])

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -242,3 +243,16 @@ class VersionedTable:
         new = _Live(live.version + 1, untouched + files, live.schema, live.next_id)
         self._commit(new, "delete", tag)
         return Change(new.version, deleted=sum(row["rows"] for row in hits))
+
+    def compact(self, max_groups: int = 1) -> Change:
+        """Rewrite the buckets that inserts have spread over more than ``max_groups`` file groups."""
+        live = self._live()
+        groups = Counter(f["bucket"] for f in live.files)
+        touched = {bucket for bucket, count in groups.items() if count > max_groups}
+        if not touched:
+            return Change(live.version)
+        files, _ = self._write(self._read(live, touched))
+        untouched = [f for f in live.files if f["bucket"] not in touched]
+        new = _Live(live.version + 1, untouched + files, live.schema, live.next_id)
+        self._commit(new, "compact", None)
+        return Change(new.version)

@@ -132,3 +132,13 @@ def test_grade_updates_reach_stored_rows(spark, path):
     change = sinks.store_grades(t, updates)
     assert (change.inserted, change.updated) == (0, 2)
     assert sorted((r["student_id"], r["grade"]) for r in t.current().collect()) == [(1, "A"), (2, None)]
+
+
+def test_compaction_keeps_the_rows(spark, table):
+    for i in range(3):
+        table.insert_ignore(spark.createDataFrame([(10 + i, "n", 1)], SCHEMA), "seq")
+    before = rows(table.current())
+    groups = len(table._live().files)
+    table.compact()
+    assert rows(table.current()) == before and len(table._live().files) < groups
+    assert table.compact().version == table.version()
