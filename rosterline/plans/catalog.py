@@ -890,14 +890,10 @@ def _(t: Tables) -> DataFrame:
     table, incoming = _customer_orders(t, first=False)
     log = sync.SyncLog(t.spark, fresh_path(t.spark, "sync_log"))
 
-    def load() -> int:
-        change = table.upsert(incoming, "o_orderkey")
-        return change.inserted + change.updated
-
     def fail() -> int:
         raise RuntimeError("source not reachable")
 
-    log.run("orders", "incremental", load)
+    jobs.run_incremental(log, "orders", table, incoming, "o_orderkey", {})
     try:
         log.run("customer", "batch", fail)
     except RuntimeError:

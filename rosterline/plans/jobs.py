@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from rosterline.operators.sync import SummaryTable, SyncLog, refresh_all
 from rosterline.operators.validation import (
     ENROLLMENT_COLUMNS,
     STUDENT_COLUMNS,
@@ -65,8 +68,33 @@ def run_pending(
     return load_students(student_table, split(tagged, STUDENT_COLUMNS, seq)[0], seq)
 
 
-def run_benchmark(spark: SparkSession, suite: Mapping[str, object]) -> DataFrame:
-    """Run each query to the ``noop`` sink: name, rows, seconds; one that fails is marked as skipped.
+def run_incremental(
+    log: SyncLog,
+    table_name: str,
+    table: VersionedTable,
+    changes: DataFrame,
+    order_by: str,
+    summaries: Mapping[str, SummaryTable],
+) -> tuple[int, dict[str, int | None]]:
+    """Upsert a change under the sync log, then refresh the summaries: (records processed, rows per summary)."""
+
+    def upsert() -> int:
+        change = table.upsert(changes, order_by)
+        return change.inserted + change.updated
+
+    return log.run(table_name, "incremental", upsert), refresh_all(summaries)
+
+
+def plan_text(df: DataFrame) -> str:
+    """The formatted physical plan."""
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        df.explain("formatted")
+    return shown.getvalue()
+
+
+def run_benchmark(spark: SparkSession, suite: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
+    """Run each query to the ``noop`` sink: name, status, rows, seconds and plan; a failing one is skipped.
 
     ``suite`` maps a name to a function that builds its frame.
     """
@@ -75,9 +103,12 @@ def run_benchmark(spark: SparkSession, suite: Mapping[str, object]) -> DataFrame
         started = time.perf_counter()
         try:
             seen = Observation()
-            build().observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
-            rows, status = seen.get["rows"], "ok"
+            df = build()
+            df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+            seconds = time.perf_counter() - started
+            results.append((name, "ok", seen.get["rows"], seconds, plan_text(df)))
         except Exception:  # a failing query must not stop the suite
-            rows, status = None, "SKIPPED"
-        results.append((name, status, rows, time.perf_counter() - started))
-    return spark.createDataFrame(results, "name string, status string, result_rows long, seconds double")
+            results.append((name, "SKIPPED", None, time.perf_counter() - started, None))
+    return spark.createDataFrame(
+        results, "name string, status string, result_rows long, seconds double, plan string"
+    )

@@ -21,8 +21,8 @@ from rosterline.schemas import (
 WRAPPERS = ("data", "records", "students")
 
 INPUTS = {
-    "students": ("messy_students.csv", RAW_STUDENT),
-    "enrollments": ("messy_enrollments.csv", RAW_ENROLLMENT),
+    "students": ("students.csv", RAW_STUDENT),
+    "enrollments": ("enrollments.csv", RAW_ENROLLMENT),
     "departments": ("departments.csv", RAW_DEPARTMENT),
     "courses": ("courses.csv", RAW_COURSE),
 }
@@ -65,9 +65,10 @@ def read_file(spark: SparkSession, path: str, schema: T.StructType, multi_line:
     raise ValueError(f"unsupported file type: {extension or path}")
 
 
-def read_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The four named inputs of a cleaning run."""
-    return {name: read_csv(spark, f"{folder}/{file}", schema) for name, (file, schema) in INPUTS.items()}
+def read_inputs(spark: SparkSession, folder: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The four named inputs of a cleaning run; ``files`` gives other file names."""
+    names = {name: file for name, (file, _) in INPUTS.items()} | (files or {})
+    return {name: read_csv(spark, f"{folder}/{names[name]}", schema) for name, (_, schema) in INPUTS.items()}
 
 
 def read_pending(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -31,18 +31,22 @@ class RegistrationStream:
         self.department = department
         self.as_of = as_of
 
+    def _judge(self, latest: DataFrame, batch_id: int) -> DataFrame:
+        """Statuses of the complete, still open records, against the stored rows their keys fall near."""
+        complete, _ = split_complete(latest)
+        open_rows = not_yet_registered(complete, self.outcomes.current_near(latest), "row_id")
+        emails = latest.select(normalize_email(F.col("email")).alias("student_email"))
+        judged = submit(open_rows, self.department, self.students.current_near(emails), self.as_of, seq="row_id")
+        return judged.withColumn("batch_id", F.lit(batch_id).cast("long"))
+
     def process(self, events: DataFrame, batch_id: int) -> None:
         tag = f"batch-{batch_id}"
         if not self.outcomes.has_tag(tag):
             latest = latest_per_key(events, ["row_id"], "event_seq").persist()
-            complete, _ = split_complete(latest)
-            open_rows = not_yet_registered(complete, self.outcomes.current_near(latest), "row_id")
-            emails = latest.select(normalize_email(F.col("email")).alias("student_email"))
-            judged = submit(
-                open_rows, self.department, self.students.current_near(emails), self.as_of, seq="row_id"
-            ).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            self.outcomes.upsert(judged, "row_id", tag)
-            latest.unpersist()
+            try:
+                self.outcomes.upsert(self._judge(latest, batch_id), "row_id", tag)
+            finally:
+                latest.unpersist()
         if not self.students.has_tag(tag):
             mine = (F.col("batch_id") == batch_id) & (F.col("status_code") == 201)
             created = self.outcomes.written(tag).filter(mine)

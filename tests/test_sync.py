@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterline.operators import sync
-from rosterline.plans.jobs import run_benchmark
+from rosterline.plans.jobs import run_benchmark, run_incremental
 from rosterline.schemas import SYNC_LOG
+from rosterline.sources.store import VersionedTable
 
 
 def test_log_keeps_successes_and_failures(spark, path):
@@ -62,7 +63,20 @@ def test_refresh_shows_new_data_and_survives_one_failure(spark, path):
     assert before.count() == 3 and summaries["good"].read().count() == 5
 
 
+def test_incremental_run_logs_then_refreshes(spark, path):
+    table = VersionedTable(spark, path("t"), ["k"], buckets=2)
+    table.publish(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"))
+    log = sync.SyncLog(spark, path("log"))
+    total = sync.SummaryTable(spark, path("sum"), lambda: table.current().groupBy("v").count(), ["v"])
+    changes = spark.createDataFrame([(2, "a"), (3, "a")], "k long, v string")
+    assert run_incremental(log, "t", table, changes, "k", {"sum": total}) == (2, {"sum": 1})
+    assert [tuple(r) for r in total.read().collect()] == [("a", 3)]
+    assert log.read().first()["records_processed"] == 2
+
+
 def test_benchmark_marks_failures(spark):
     suite = {"ok": lambda: spark.range(4), "bad": lambda: spark.read.parquet("/nowhere/at/all")}
-    rows = {r["name"]: (r["status"], r["result_rows"]) for r in run_benchmark(spark, suite).collect()}
+    results = run_benchmark(spark, suite).collect()
+    rows = {r["name"]: (r["status"], r["result_rows"]) for r in results}
+    assert "Range" in results[0]["plan"] and results[0]["seconds"] > 0
     assert rows == {"ok": ("ok", 4), "bad": ("SKIPPED", None)}
