@@ -236,47 +236,47 @@ def _(t: Tables) -> DataFrame:
 # -- cleaning expressions ----------------------------------------------------------------------
 
 
-@query("cln_01_normalize_email")
+@query("cln_1_normalize_email")
 def _(t: Tables) -> DataFrame:
     return t.raw_students.select("seq", clean.normalize_email(F.col("email")).alias("email"))
 
 
-@query("cln_02_is_email")
+@query("cln_2_is_email")
 def _(t: Tables) -> DataFrame:
     return t.raw_students.select("seq", clean.is_email(F.col("email")).alias("valid"))
 
 
-@query("cln_03_parse_year")
+@query("cln_3_parse_year")
 def _(t: Tables) -> DataFrame:
     return t.raw_students.select("seq", clean.parse_year(F.col("year")).alias("year"))
 
 
-@query("cln_04_is_year")
+@query("cln_4_is_year")
 def _(t: Tables) -> DataFrame:
     return t.raw_students.select("seq", clean.is_year(clean.parse_year(F.col("year"))).alias("valid"))
 
 
-@query("cln_05_department")
+@query("cln_5_department")
 def _(t: Tables) -> DataFrame:
     return t.raw_students.select("seq", clean.standard_department(F.col("department")).alias("department"))
 
 
-@query("cln_06_is_grade")
+@query("cln_6_is_grade")
 def _(t: Tables) -> DataFrame:
     return t.raw_enrollments.select("seq", clean.is_grade(F.col("grade")).alias("valid"))
 
 
-@query("cln_07_parse_date")
+@query("cln_7_parse_date")
 def _(t: Tables) -> DataFrame:
     return t.raw_enrollments.select("seq", parse_date(F.col("enrollment_date")).alias("day"))
 
 
-@query("cln_08_old_enough")
+@query("cln_8_old_enough")
 def _(t: Tables) -> DataFrame:
     return t.raw_students.select("seq", old_enough(parse_date(F.col("date_of_birth")), AS_OF).alias("valid"))
 
 
-@query("cln_09_normalize_phone")
+@query("cln_9_normalize_phone")
 def _(t: Tables) -> DataFrame:
     return t.raw_students.select("seq", clean.normalize_phone(F.col("phone_number")).alias("phone"))
 

@@ -295,17 +295,17 @@ oracle(
 )
 
 # -- cleaning expressions
-oracle("cln_01_normalize_email", f"SELECT seq, {email('email')} AS email FROM raw_students")
-oracle("cln_02_is_email", f"SELECT seq, {email_ok('email')} AS valid FROM raw_students")
-oracle("cln_03_parse_year", f"SELECT seq, {parsed_year('year')} AS year FROM raw_students")
+oracle("cln_1_normalize_email", f"SELECT seq, {email('email')} AS email FROM raw_students")
+oracle("cln_2_is_email", f"SELECT seq, {email_ok('email')} AS valid FROM raw_students")
+oracle("cln_3_parse_year", f"SELECT seq, {parsed_year('year')} AS year FROM raw_students")
 oracle(
-    "cln_04_is_year", f"SELECT seq, coalesce({parsed_year('year')} BETWEEN 1 AND 4, false) AS valid FROM raw_students"
+    "cln_4_is_year", f"SELECT seq, coalesce({parsed_year('year')} BETWEEN 1 AND 4, false) AS valid FROM raw_students"
 )
-oracle("cln_05_department", f"SELECT seq, {dept('department')} AS department FROM raw_students")
-oracle("cln_06_is_grade", f"SELECT seq, {grade_ok('grade')} AS valid FROM raw_enrollments")
-oracle("cln_07_parse_date", f"SELECT seq, {parsed_date('enrollment_date')} AS day FROM raw_enrollments")
-oracle("cln_08_old_enough", f"SELECT seq, {old(parsed_date('date_of_birth'))} AS valid FROM raw_students")
-oracle("cln_09_normalize_phone", f"SELECT seq, {phone('phone_number')} AS phone FROM raw_students")
+oracle("cln_5_department", f"SELECT seq, {dept('department')} AS department FROM raw_students")
+oracle("cln_6_is_grade", f"SELECT seq, {grade_ok('grade')} AS valid FROM raw_enrollments")
+oracle("cln_7_parse_date", f"SELECT seq, {parsed_date('enrollment_date')} AS day FROM raw_enrollments")
+oracle("cln_8_old_enough", f"SELECT seq, {old(parsed_date('date_of_birth'))} AS valid FROM raw_students")
+oracle("cln_9_normalize_phone", f"SELECT seq, {phone('phone_number')} AS phone FROM raw_students")
 oracle("cln_10_is_phone", f"SELECT seq, {phone_ok(phone('phone_number'))} AS valid FROM raw_students")
 oracle("cln_11_clean_text", f"SELECT seq, {nulled('first_name')} FROM raw_students")
 oracle(

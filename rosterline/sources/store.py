@@ -8,11 +8,13 @@ job leaves nothing behind but unused files. One writer per table is assumed.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from collections import Counter
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,20 @@ LOG_SCHEMA = (
     "tag string, committed_at timestamp"
 )
 
+LOG_ARROW = pa.schema(
+    {
+        "version": pa.int64(),
+        "bucket": pa.int32(),
+        "folder": pa.string(),
+        "rows": pa.int64(),
+        "next_id": pa.int64(),
+        "row_schema": pa.string(),
+        "action": pa.string(),
+        "tag": pa.string(),
+        "committed_at": pa.timestamp("us", "UTC"),
+    }
+)
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
     """Last row per key. The aggregate folds copies map-side, so a hot key never gathers in one task."""
@@ -97,25 +113,27 @@ class VersionedTable:
         return not self.log().filter(F.col("tag") == tag).isEmpty()
 
     def _live(self) -> _Live:
-        version = self.version()
-        if version == 0:
+        log = self.log()
+        rows = log.filter(F.col("version") == log.agg(F.max("version")).scalar()).collect()  # one per file group
+        if not rows:
             raise ValueError(f"no version published at {self.path}")
-        rows = self.log().filter(F.col("version") == version).collect()  # one row per live file group
         schema = T.StructType.fromJson(json.loads(rows[0]["row_schema"]))
-        return _Live(version, [r for r in rows if r["folder"] is not None], schema, rows[0]["next_id"])
+        files = [r for r in rows if r["folder"] is not None]
+        return _Live(rows[0]["version"], files, schema, rows[0]["next_id"])
 
     def _commit(self, live: _Live, action: str, tag: str | None) -> None:
-        schema = live.schema.json()
-        entries = [
-            (live.version, f["bucket"], f["folder"], f["rows"], live.next_id, schema, action, tag) for f in live.files
-        ] or [(live.version, None, None, 0, live.next_id, schema, action, tag)]
-        (
-            self.spark.createDataFrame(entries, LOG_SCHEMA.rsplit(", committed_at", 1)[0])
-            .withColumn("committed_at", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.path}/log")
-        )
+        common = {
+            "version": live.version,
+            "next_id": live.next_id,
+            "row_schema": live.schema.json(),
+            "action": action,
+            "tag": tag,
+            "committed_at": dt.datetime.now(dt.timezone.utc),
+        }
+        files = live.files or [{"bucket": None, "folder": None, "rows": 0}]
+        entries = [{**common, "bucket": f["bucket"], "folder": f["folder"], "rows": f["rows"]} for f in files]
+        table = pa.Table.from_pylist(entries, LOG_ARROW)
+        self.spark.createDataFrame(table).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
 
     # -- reading -------------------------------------------------------------------------------
 
