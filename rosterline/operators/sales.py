@@ -6,8 +6,6 @@ track → genre). Every join meets one row per key on both sides and no multi-di
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -245,9 +243,8 @@ def purchase_history(
 
 def monthly_revenue(invoice: DataFrame, year: int, padded: bool = False) -> DataFrame:
     """Revenue per month of a year. The year is a half-open date range, which the scan can use."""
-    in_year = (F.col("InvoiceDate") >= F.lit(dt.datetime(year, 1, 1)).cast("timestamp_ntz")) & (
-        F.col("InvoiceDate") < F.lit(dt.datetime(year + 1, 1, 1)).cast("timestamp_ntz")
-    )
+    first, next_first = (F.lit(f"{y:04d}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+    in_year = (F.col("InvoiceDate") >= first) & (F.col("InvoiceDate") < next_first)
     name = F.date_format(F.make_date(F.lit(year), F.col("month_num"), F.lit(1)), "MMMM")
     if padded:
         name = F.rpad(name, 9, " ")
@@ -301,7 +298,7 @@ def monthly_sales(invoice: DataFrame, first: str, last: str) -> DataFrame:
     inside = stamp.between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz"))
     return (
         invoice.filter(inside)
-        .groupBy(F.date_trunc("month", stamp).cast("timestamp_ntz").alias("month"))
+        .groupBy(F.trunc(stamp.cast("date"), "month").cast("timestamp_ntz").alias("month"))  # no time zone involved
         .agg(F.count("*").alias("order_count"), F.sum("Total").cast(MONEY).alias("total_revenue"))
         .orderBy("month")
     )

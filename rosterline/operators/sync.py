@@ -60,7 +60,7 @@ def changed_since(df: DataFrame, ts: str, since) -> DataFrame:
     """Rows newer than a sync point; all rows when there is none. The bound is pushed to the scan."""
     if since is None:
         return df
-    bound: Column = since if isinstance(since, Column) else F.lit(since).cast("timestamp_ntz")
+    bound: Column = since if isinstance(since, Column) else F.lit(str(since)).cast("timestamp_ntz")
     return df.filter(F.col(ts) > bound)
 
 

@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         **{
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.driver.memory": "4g",
-            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )

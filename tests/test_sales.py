@@ -111,6 +111,18 @@ def test_monthly_reports(spark):
     assert [(r["month"].month, r["order_count"]) for r in between.collect()] == [(1, 1), (12, 1)]
 
 
+def test_months_do_not_depend_on_the_time_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+        report = sales.monthly_revenue(invoices(spark), 2009).collect()
+        months = sales.monthly_sales(invoices(spark), "2009-01-01", "2009-12-31").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [(r["month_num"], r["order_count"]) for r in report] == [(1, 1), (12, 2)]
+    assert [r["month"] for r in months] == [dt.datetime(2009, 1, 1), dt.datetime(2009, 12, 1)]
+
+
 def test_sales_by_country(spark):
     rows = [tuple(r)[:3] for r in sales.sales_by_country(customers(spark), invoices(spark)).collect()]
     assert rows == [("India", 2, Decimal("61.02")), ("Finland", 1, Decimal("20.00"))]
