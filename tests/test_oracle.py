@@ -7,10 +7,11 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry_points
+from rosterline.plans import catalog
 from rosterline.plans.catalog import GIVEN
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = {name: query for name, query in entry_points.queries().items() if name in catalog.QUERIES}
+ORACLE = {name: sql for name, sql in entry_points.oracle_sql().items() if name in catalog.QUERIES}
 SPARK_TO_SQL = {
     "bigint": "BIGINT",
     "int": "INTEGER",
