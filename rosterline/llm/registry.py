@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm import decontamination, token_output
+from rosterline.llm import decontamination, language_id, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": language_id.op2,
     "op3_decontamination": decontamination.op3,
     "op9_token_records": token_output.op9,
 }
