@@ -17,7 +17,9 @@ are ordered by text; other columns are ignored, whatever their names; an empty t
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -27,7 +29,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rosterline.llm.common import buffers, file_system, prepare, ragged, slices
 from rosterline.session import fresh_path
@@ -35,11 +36,19 @@ from rosterline.session import fresh_path
 MAGIC = b"RLTOKENS"
 HEADER = struct.Struct("<8sHHI")
 FRAME = struct.Struct("<QI")
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 READ_BYTES = 1 << 22
 
+# The pattern by which the tokenizer cuts text, and the bytes that its alphabet shows as themselves.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+VISIBLE = {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in SHOWN)}
+# Letters that are their own composed form, then signs with no apostrophe, digit or blank among them.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+
 MANIFEST = "shard long, path string, records long, tokens long"
-RECORDS = "shard long, ordinal long, doc_id long, before long, n_tokens long, ids_crc32 long"
+RECORDS = "shard long, ordinal long, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def masked_crc(data: bytes) -> int:
@@ -51,7 +60,8 @@ class WordEncoder(dict):
     """Ids of texts, remembering those of words parted by ASCII blanks.
 
     The tokenizer turns runs of blanks into one space and drops it, and no piece of its pattern spans one, so
-    a text's ids are those of its blank-parted words in turn. At most ``CACHED_WORDS`` words are remembered;
+    a text's ids are those of its blank-parted words in turn; plain words go to the BPE model without the steps before it.
+    At most ``CACHED_WORDS`` words are remembered;
     then the memory starts anew.
     """
 
@@ -61,9 +71,20 @@ class WordEncoder(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.model = self.tokenizer.model
+        self.plain = self._cuts_plain_words()
+        self.letters: dict[str, list[int]] = {}
+        self.signs: dict[str, list[int]] = {}
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.forget()
 
+    def _cuts_plain_words(self) -> bool:
+        """Whether the tokenizer lower-cases and cuts words of letters and signs as ``_ids`` does."""
+        made = json.loads(self.tokenizer.to_str())
+        splits = (made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        kinds = [x.get("type") for x in (made.get("normalizer") or {}).get("normalizers") or []]
+        return kinds == ["NFC", "Replace", "Lowercase"] and splits[0].get("pattern") == {"Regex": WORD_PATTERN}
+
     def forget(self) -> None:
         self.clear()
         self.waiting: list[bytes] = []
@@ -77,24 +98,44 @@ class WordEncoder(dict):
         self.waiting.append(word)
         return index
 
+    def _ids(self, word: bytes) -> list[int]:
+        """A word of letters, then ASCII signs other than the apostrophe, is cut there; the pattern does so as well."""
+        text = word.decode("utf-8", "replace")
+        parts = PLAIN.fullmatch(text) if self.plain else None
+        if parts is None:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        letters, signs = parts[1].lower(), parts[2]
+        ids = self.letters.get(letters)
+        if ids is None:
+            if len(self.letters) > CACHED_WORDS:
+                self.letters.clear()
+            mapped = letters if letters.isascii() else letters.encode().decode("latin-1").translate(VISIBLE)
+            ids = self.letters[letters] = [t.id for t in self.model.tokenize(mapped)] if letters else []
+        if signs:
+            ending = self.signs.get(signs)
+            if ending is None:
+                if len(self.signs) > CACHED_WORDS:
+                    self.signs.clear()
+                ending = self.signs[signs] = self.tokenizer.encode(signs, add_special_tokens=False).ids
+            return ids + ending
+        return ids
+
     def _learn(self) -> None:
         waiting, self.waiting = self.waiting, []
         known = len(self) - len(waiting)
         if len(self) > len(self.starts):
             grown = 2 * len(self)
             self.starts, self.lengths = (np.concatenate([x[:known], np.empty(grown - known, np.int64)]) for x in (self.starts, self.lengths))
-        for first in range(0, len(waiting), 4096):
-            part = [w.decode("utf-8", "replace") for w in waiting[first : first + 4096]]
-            ids = [e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), self.dtype, int(lengths.sum()))
-            while self.used + len(flat) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-            self.pool[self.used : self.used + len(flat)] = flat
-            at = slice(known + first, known + first + len(ids))
-            self.lengths[at] = lengths
-            self.starts[at] = self.used + np.cumsum(lengths) - lengths
-            self.used += len(flat)
+        flat: list[int] = []
+        for index, word in enumerate(waiting, known):
+            ids = self._ids(word)
+            self.starts[index] = self.used + len(flat)
+            self.lengths[index] = len(ids)
+            flat += ids
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
 
     def encode(self, text: bytes, piece: int = 1 << 20) -> np.ndarray:
         """The ids of one whole text; a long text is looked up in pieces that end at blanks."""
@@ -206,15 +247,15 @@ def open_shard(path: str):
 
 def _read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for shard, path, records in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for shard, path, records, start in zip(*(batch.column(i).to_pylist() for i in range(4))):
             stream, width, offsets = open_shard(path)
             if len(offsets) != records + 1:
                 raise ValueError(f"index of {path} has {len(offsets) - 1} records, not {records}")
-            before, rows = 0, []
+            rows = []
             for ordinal in range(records):
                 doc_id, ids = read_record(stream, int(offsets[ordinal]), width)
-                rows.append((shard, ordinal, doc_id, before, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                before += len(ids)
+                rows.append((shard, ordinal, doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                start += len(ids)
                 if len(rows) == 4096 or ordinal == records - 1:
                     yield _rows(rows)
                     rows = []
@@ -228,12 +269,13 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_records(shards: DataFrame) -> DataFrame:
     """Read every shard back, checking all checksums: one row per document, ``start`` counted over all shards."""
-    found = shards.select("shard", "path", "records").repartition(F.col("shard")).mapInArrow(_read_shards, RECORDS)
     # One row per shard: a window over it stays small however many documents there are.
-    base = shards.selectExpr(
-        "shard", "coalesce(sum(tokens) OVER (ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base"
+    listed = shards.selectExpr(
+        "shard", "path", "records",
+        "coalesce(sum(tokens) OVER (ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base",
     )
-    return found.join(base, "shard").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "shard", "ordinal")
+    tasks = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return listed.repartition(tasks, "shard").mapInArrow(_read_shards, RECORDS)
 
 
 def write_and_read(docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFrame:
