@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm import decontamination, jaccard_join, language_id, token_output
+from rosterline.llm import decontamination, jaccard_join, language_id, mixing, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": language_id.op2,
     "op3_decontamination": decontamination.op3,
     "op8_jaccard_join": jaccard_join.op8,
     "op9_token_records": token_output.op9,
+    "op10_mixing": mixing.op10,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_mixing": mixing.ORACLE_SQL,
+}
