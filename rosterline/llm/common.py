@@ -184,3 +184,33 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.empty(0, np.int64)
     shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
     return shift + np.arange(total, dtype=np.int64)
+
+
+class SortedHashes:
+    """Sorted 64-bit keys with a slot table over their leading bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        bits = max(1, int(len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.searchsorted(keys >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Position of each hash, -1 where it is not stored."""
+        found = np.full(len(wanted), -1, np.int32)
+        if len(self.keys) == 0:
+            return found
+        slot = (wanted >> self.shift).astype(np.int64)
+        at, end = self.slots[slot], self.slots[slot + 1]
+        key = self.keys[np.minimum(at, len(self.keys) - 1)]
+        hit = (key == wanted) & (at < end)
+        found[hit] = at[hit]
+        live = np.flatnonzero(~hit & (at + 1 < end))
+        place = at[live] + 1
+        while len(live):
+            key, want = self.keys[place], wanted[live]
+            hit = key == want
+            found[live[hit]] = place[hit]
+            on = ~hit & (key < want) & (place + 1 < end[live])
+            live, place = live[on], place[on] + 1
+        return found

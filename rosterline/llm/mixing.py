@@ -156,7 +156,7 @@ def _fill_sql(i: int) -> str:
     for k, level in enumerate(LEVELS):
         weight = weight.replace(level.name, f"n{k}") if k <= i else weight
     over = f"PARTITION BY {parents} " if parents else ""
-    join = f"JOIN b{i - 1} USING ({parents})" if parents else "CROSS JOIN (SELECT sum(tokens) * {share} AS budget FROM leaves)"
+    join = f"JOIN b{i - 1} USING ({parents})" if parents else "CROSS JOIN (SELECT CAST(sum(tokens) AS DOUBLE) * CAST({share} AS DOUBLE) AS budget FROM leaves)"
     return f"""h{i} AS (SELECT {nodes}, CAST(sum(tokens) * {{epochs}} AS DOUBLE) AS held, CAST({weight} AS DOUBLE) AS weight FROM leaves GROUP BY {nodes}),
 r{i} AS (SELECT {nodes}, held, weight, (budget - coalesce(sum(held) OVER ({over}ORDER BY held / weight, n{i} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
   / sum(weight) OVER ({over}ORDER BY held / weight, n{i} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS reach FROM h{i} {join}),

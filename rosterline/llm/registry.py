@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm import decontamination, jaccard_join, language_id, mixing, token_output
+from rosterline.llm import decontamination, jaccard_join, language_id, mixing, suffix_tree_lm, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": language_id.op2,
     "op3_decontamination": decontamination.op3,
+    "op7_suffix_tree_lm": suffix_tree_lm.op7,
     "op8_jaccard_join": jaccard_join.op8,
     "op9_token_records": token_output.op9,
     "op10_mixing": mixing.op10,
