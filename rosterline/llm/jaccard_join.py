@@ -19,7 +19,10 @@ Links are found without emitting all pairs of a group:
    finds all its links there, as in 3. For the others, pairs that lack it on both sides, the document that meets
    most others in a bucket is compared first, then the best of the rest, then all that are in different components.
 
-Comparison is exact, on whole sets. ``BUCKET`` never drops a pair; it only chooses between the ways.
+Comparison is exact, on whole sets. Before sets are fetched, pairs meet on parity bitmaps of two to four bits a
+shingle: a differing shingle flips one bit, so bitmaps that differ in more than k bits rule a pair out and no similar
+pair is lost. Texts are not shuffled: a bitmap of ``FILTER_BITS`` document slots, of fixed size, tells the scan
+which documents are wanted, and an exact join follows. ``BUCKET`` never drops a pair; it only chooses between the ways.
 
 Rows: NULL and blank texts have an empty set and are linked with nothing; rows that repeat a doc_id and set count
 once; a doc_id with several texts is one document whose links are those of each text, with a row for each; rows
@@ -39,11 +42,12 @@ from rosterline.llm.common import buffers, mix, not_blank, prepare, slices, stag
 from rosterline.llm.components import components
 
 SHINGLE = 5
-BUCKET = 48
+BUCKET = 32
+FILTER_BITS = 23
 # Bands below this size cut the domain so finely that a partition is one shingle.
 COARSE_FROM = 64
 
-SETS = "doc_id long, n_shingles long, key_a long, key_b long"
+SETS = "doc_id long, n_shingles long, key_a long, key_b long, parity binary"
 SIGNATURES = "sig long, doc_id long, spare int"
 
 
@@ -86,18 +90,37 @@ def signatures(shingles: np.ndarray, band: int, fine: bool) -> np.ndarray:
     return mix(np.add.reduceat(mix(shingles[order] + salt), begin) ^ mix(part[begin] + salt))
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """One bit for every slot of a domain of two to four slots a shingle: whether an odd number fell there."""
+    bits = 64 << max(0, len(shingles).bit_length() - 5)
+    return np.packbits(np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def parity_distance(a: bytes, b: bytes) -> int:
+    """Differing bits after the longer bitmap is folded to the length of the shorter one."""
+    x, y, size, target = int.from_bytes(a, "little"), int.from_bytes(b, "little"), max(len(a), len(b)), min(len(a), len(b))
+    if len(a) < len(b):
+        x, y = y, x
+    while size > target:
+        size //= 2
+        x = (x >> (8 * size)) ^ (x & ((1 << (8 * size)) - 1))
+    return (x ^ y).bit_count()
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     values = not_blank()
     for batch in batches:
         data, offsets = buffers(batch.column(1))
         size, key_a, key_b = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
+        bits: list[bytes] = []
         for first, last in slices(offsets):
             part = shingle_sets(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], values)
             for row, found in enumerate(part, first):
                 size[row] = len(found)
+                bits.append(parity(found))
                 key_a[row] = mix(found).sum(dtype=np.uint64).astype(np.int64)
                 key_b[row] = np.bitwise_xor.reduce(mix(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)), initial=np.uint64(0)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(key_a), pa.array(key_b)], [c.split()[0] for c in SETS.split(", ")])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(key_a), pa.array(key_b), pa.array(bits, pa.binary())], [c.split()[0] for c in SETS.split(", ")])
 
 
 def _sign(batches: Iterator[pa.RecordBatch], fine: bool) -> Iterator[pa.RecordBatch]:
@@ -143,12 +166,24 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), lists], ["doc_id", "shingles"])
 
 
+def _near_by_parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        size_a, size_b, bits_a, bits_b = (batch.column(i).to_pylist() for i in range(2, 6))
+        near = [parity_distance(x, y) <= (m + n) // 9 for m, n, x, y in zip(size_a, size_b, bits_a, bits_b)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+
+def _slot(column: str) -> F.Column:
+    return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS)).cast("long")
+
+
 class _Join:
     """The steps of one join over (doc_id, text) rows with ids."""
 
     def __init__(self, docs: DataFrame):
         self.docs = docs
-        self.sets = staged(docs.mapInArrow(_sets, SETS).distinct(), "shingle-sets")
+        self.all_sets = staged(docs.mapInArrow(_sets, SETS), "shingle-sets")
+        self.sets = self.all_sets.select("doc_id", "n_shingles", "key_a", "key_b").distinct()
         some = self.sets.where("n_shingles > 0")
         first = some.groupBy("n_shingles", "key_a", "key_b").agg(F.min("doc_id").alias("member"))
         # A doc_id with several texts has one member for each; its own links join them.
@@ -156,10 +191,27 @@ class _Join:
         self.links = None
         self.tested = None
 
-    def buckets(self, signed: DataFrame, name: str, by: str = "doc_id") -> DataFrame:
+    def wanted(self, ids: DataFrame) -> DataFrame:
+        """The rows of the documents that may have one of these ids, by a filter of fixed size."""
+        slots = ids.select(_slot("doc_id").alias("slot")).groupBy((F.col("slot") / 64).cast("long").alias("word"))
+        found = slots.agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot % 64 AS INT))")).alias("bits")).collect()  # 2 ** 17 rows at most
+        bits = np.zeros((1 << FILTER_BITS) // 64, np.int64)
+        for row in found:
+            bits[row["word"]] = row["bits"]
+        shared = self.docs.sparkSession.sparkContext.broadcast(bits)
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                slot = batch.column(2).to_numpy()
+                keep = (shared.value[slot >> 6] >> (slot & 63)) & 1
+                yield batch.select([0, 1]).filter(pa.array(keep.astype(bool)))
+
+        return self.docs.select("doc_id", "text", _slot("doc_id").alias("slot")).mapInArrow(rows, "doc_id long, text string")
+
+    def buckets(self, signed: DataFrame, name: str) -> DataFrame:
         """Signatures of several documents, with the number of these and the first one."""
         bucket = Window.partitionBy("sig")
-        counted = signed.withColumn("size", F.count(F.lit(1)).over(bucket)).withColumn("first", F.min(by).over(bucket))
+        counted = signed.withColumn("size", F.count(F.lit(1)).over(bucket)).withColumn("first", F.min("doc_id").over(bucket))
         return staged(counted.where("size > 1"), name)
 
     def verify(self, pairs: DataFrame) -> None:
@@ -168,38 +220,40 @@ class _Join:
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        sets = self.docs.join(needed, "doc_id", "left_semi").mapInArrow(_shingles, "doc_id long, shingles array<long>")
+        self.tested = pairs if self.tested is None else self.tested.union(pairs)
+        bits = self.all_sets.select("doc_id", F.col("n_shingles").alias("n"), "parity").dropDuplicates(["doc_id", "n", "parity"])
+        left, right = bits.toDF("a", "n_a", "bits_a"), bits.toDF("b", "n_b", "bits_b")
+        size = F.col("n_a") * 5 >= F.col("n_b") * 4
+        near = pairs.join(left, "a").join(right, "b").where(size & (F.col("n_b") * 5 >= F.col("n_a") * 4))
+        near = near.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_near_by_parity, "a long, b long").distinct()
+        near = staged(near, "near-pairs")
+        needed = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+        sets = self.wanted(needed).mapInArrow(_shingles, "doc_id long, shingles array<long>").join(needed, "doc_id", "left_semi")
         sets = staged(sets, "shingles")
-        left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
-        right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
+        left, right = sets.toDF("a", "of_a"), sets.toDF("b", "of_b")
         size_a, size_b = F.size("of_a").cast("long"), F.size("of_b").cast("long")
-        common = F.size(F.array_intersect("of_a", "of_b")).cast("long")
-        near = pairs.join(left, "a").join(right, "b").where((size_a * 5 >= size_b * 4) & (size_b * 5 >= size_a * 4))
-        found = near.withColumn("common", common).where(F.col("common") * 100 >= (size_a + size_b - F.col("common")) * 80)
-        links = staged(found.select("a", "b").distinct(), "verified")
+        found = near.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("of_a", "of_b")).cast("long"))
+        links = staged(found.where(F.col("common") * 100 >= (size_a + size_b - F.col("common")) * 80).select("a", "b").distinct(), "verified")
         self.links = links if self.links is None else self.links.union(links)
-        self.tested = pairs if self.tested is None else self.tested.union(pairs)
 
     def labels(self) -> DataFrame:
-        """Every document with a set, and its component so far (that of the member that stands for its set)."""
+        """Every document with a set, its size and its component so far."""
         same = self.members.where("doc_id <> member").select(F.col("doc_id").alias("a"), F.col("member").alias("b"))
-        found = components(same.union(self.links))
-        return staged(found, "components")
+        found = components(same.union(self.links)).withColumnRenamed("node", "doc_id")
+        sizes = self.members.select("doc_id", "n_shingles").join(found, "doc_id", "left")
+        return staged(sizes.withColumn("component", F.coalesce("component", "doc_id")), "components")
 
     def label(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
-        """Rows with their document's component; those of buckets with a single one are gone."""
-        known = rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
-        )
+        """Rows with their document's component and size; those of buckets with a single component are gone."""
+        known = rows.join(labels, "doc_id")
         several = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         return known.join(several.select("sig"), "sig", "left_semi")
 
     def open_pairs(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs within a bucket whose components differ."""
-        known = staged(self.label(rows, labels).select("sig", "doc_id", "component"), "open-buckets")
-        other = known.select("sig", F.col("doc_id").alias("b"), F.col("component").alias("component_b"))
-        return known.withColumnRenamed("doc_id", "a").join(other, "sig").where("a < b AND component <> component_b").select("a", "b").distinct()
+        """Pairs within a bucket whose components differ and whose sizes allow a link."""
+        known = staged(self.label(rows, labels).select("sig", "doc_id", "component", "n_shingles"), "open-buckets")
+        left, right = known.toDF("sig", "a", "component_a", "n_a"), known.toDF("sig", "b", "component_b", "n_b")
+        return left.join(right, "sig").where("a < b AND component_a <> component_b AND n_a * 5 >= n_b * 4 AND n_b * 5 >= n_a * 4").select("a", "b").distinct()
 
 
 def _first_pairs(rows: DataFrame) -> DataFrame:
@@ -226,7 +280,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     crowded = staged(coarse.where(F.col("size") > BUCKET).select("doc_id").distinct(), "crowded")
     if not crowded.isEmpty():
-        again = known.join(crowded, "doc_id", "left_semi").mapInArrow(lambda b: _sign(b, True), SIGNATURES)
+        again = join.wanted(crowded).mapInArrow(lambda b: _sign(b, True), SIGNATURES)
         fine = join.buckets(again, "fine-buckets")
         hot = fine.where(F.col("size") > BUCKET)
         short = hot.groupBy("doc_id").agg(F.count(F.lit(1)).alias("hot"), F.min("spare").alias("spare")).where("hot > spare")
@@ -244,10 +298,10 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = small.select("sig", "doc_id")
     join.verify(join.open_pairs(rows, join.labels()))
 
-    labels = join.labels()
+    labels = join.labels().select("doc_id", F.col("component").alias("component_id")).distinct()
     unknown = docs.where("doc_id IS NULL").select("doc_id", "text").mapInArrow(_sets, SETS).withColumn("component_id", F.lit(None).cast("long"))
-    found = join.sets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id")).drop("component")
-    return found.unionByName(unknown).drop("key_a", "key_b"), join.links
+    found = join.sets.join(labels, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return found.unionByName(unknown.drop("parity")).drop("key_a", "key_b"), join.links
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
