@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm import decontamination, jaccard_join, language_id, mixing, suffix_tree_lm, token_output
+from rosterline.llm import decontamination, jaccard_join, language_id, mixing, nearest_neighbours, suffix_tree_lm, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest_neighbours": nearest_neighbours.op1,
     "op2_language_id": language_id.op2,
     "op3_decontamination": decontamination.op3,
     "op7_suffix_tree_lm": suffix_tree_lm.op7,
