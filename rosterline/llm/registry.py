@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm import chat_preferences, decontamination, jaccard_join, language_id, line_dedup, mixing, nearest_neighbours, suffix_tree_lm, token_output
+from rosterline.llm import chat_preferences, decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, nearest_neighbours, suffix_tree_lm, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": nearest_neighbours.op1,
     "op2_language_id": language_id.op2,
     "op3_decontamination": decontamination.op3,
+    "op4_license_scan": license_scan.op4,
     "op5_chat_preferences": chat_preferences.op5,
     "op6_line_dedup": line_dedup.op6,
     "op7_suffix_tree_lm": suffix_tree_lm.op7,
