@@ -3,26 +3,25 @@
 A document's set holds the hashes of its distinct 5-word shingles. Two sets with a similarity of 0.8 or more differ
 in at most k = (|a| + |b|) / 9 shingles, and the larger has at most 1.25 times the size of the smaller. Sizes fall
 into bands [x, 2.5 x], x a power of two, that overlap so that such a pair shares the band of the smaller set. Each
-band cuts the shingle domain into partitions by hash. Of k + 1 partitions one must agree, so the subsets to enumerate
-are single partitions: a set signs its first k + 1 partitions that hold any of its shingles. (Each differing shingle
-spoils one partition, and the set that reaches k + 1 first signs nothing that the other one leaves out, so a similar
-pair shares a signature whatever other partitions are empty.)
+band cuts the shingle domain into partitions by hash. Of k + 1 partitions that hold a shingle one must agree, since each
+differing shingle spoils one partition, so the subsets to enumerate are single partitions. A set signs those of its
+partitions that are among the first X of its band; X is such that nearly every set of the band signs k + 1 and some
+to spare.
 
 Links are found without emitting all pairs of a group:
 
 1. Sets that are equal are one class; one member stands for it.
-2. Signatures meet in one shuffle. Those that only one document has are gone at once.
-3. In a bucket of at most ``BUCKET`` members each is compared with the first one. After the components of these
-   links, only buckets that still hold several components give their remaining pairs.
-4. Members of larger buckets (passages that many documents share, large groups of near copies) sign again, among
-   themselves, all partitions of a finer cut. A document with k + 1 signatures in buckets of at most ``BUCKET``
-   finds all its links there, as in 3. For the others, pairs that lack it on both sides, the document that meets
-   most others in a bucket is compared first, then the best of the rest, then all that are in different components.
+2. Signatures meet in one shuffle, which counts them. Those that only one document has are gone at once.
+3. Of its signatures each document keeps the k + 1 rarest, by one global order: the rarest one that a similar pair has in
+   common is among those of both. So passages that many documents share, and the common part of a large group of
+   copies, do not bring documents together that differ in enough rare places.
+4. In each bucket every document is compared with the first one. Only buckets that after that still hold several
+   components give pairs, those of different components whose sizes and 512-bit parities allow a link.
 
 Comparison is exact, on whole sets. Before sets are fetched, pairs meet on parity bitmaps of two to four bits a
 shingle: a differing shingle flips one bit, so bitmaps that differ in more than k bits rule a pair out and no similar
 pair is lost. Texts are not shuffled: a bitmap of ``FILTER_BITS`` document slots, of fixed size, tells the scan
-which documents are wanted, and an exact join follows. ``BUCKET`` never drops a pair; it only chooses between the ways.
+which documents are wanted, and an exact join follows.
 
 Rows: NULL and blank texts have an empty set and are linked with nothing; rows that repeat a doc_id and set count
 once; a doc_id with several texts is one document whose links are those of each text, with a row for each; rows
@@ -31,6 +30,8 @@ without doc_id are reported with a NULL component and linked with nothing; furth
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,12 +43,12 @@ from rosterline.llm.common import buffers, mix, not_blank, prepare, slices, stag
 from rosterline.llm.components import components
 
 SHINGLE = 5
-BUCKET = 32
+SKETCH = 8  # 64-bit words
 FILTER_BITS = 23
 # Bands below this size cut the domain so finely that a partition is one shingle.
 COARSE_FROM = 64
 
-SETS = "doc_id long, n_shingles long, key_a long, key_b long, parity binary"
+SETS = "doc_id long, n_shingles long, key_a long, key_b long, parity binary, sketch array<long>"
 SIGNATURES = "sig long, doc_id long, spare int"
 
 
@@ -75,19 +76,49 @@ def largest_difference(size: int) -> int:
     return (size + size * 5 // 4) // 9
 
 
-def signatures(shingles: np.ndarray, band: int, fine: bool) -> np.ndarray:
-    """Hashes of all partitions that hold a shingle, in the band's order of partitions."""
-    salt = np.uint64((2 * band + fine + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+@functools.cache
+def cut(band: int) -> tuple[int, int]:
+    """Partitions of a band, and how many of them are signed.
+
+    These are enough for any set of the band to sign k + 1 and a twentieth to spare, with seven deviations of the number
+    of partitions that its shingles reach.
+    """
+    low = 1 << band
+    if low < COARSE_FROM:
+        return 1, 1
+    count, signed = 2 * low, 0
+    for size in range(low, low * 5 // 2 + 1, max(1, low // 16)):
+        need = 1.05 * (largest_difference(size) + 1)
+        empty, both = (1 - 1 / count) ** size, (1 - 2 / count) ** size
+        few, enough = 1, count
+        while few < enough:
+            n = (few + enough) // 2
+            spread = math.sqrt(max(0.0, n * empty * (1 - empty) + n * (n - 1) * (both - empty * empty)))
+            if n * (1 - empty) - 7 * spread >= need:
+                enough = n
+            else:
+                few = n + 1
+        signed = max(signed, few)
+    return count, signed
+
+
+def signatures(shingles: np.ndarray, band: int) -> np.ndarray:
+    """Hashes of the signed partitions that hold a shingle. Small bands give every shingle a partition of its own."""
+    salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
     place = mix(shingles ^ salt)
     if 1 << band < COARSE_FROM:
-        return mix(np.sort(place) + salt)
-    low = 1 << band
-    count = 2 * low if fine else low if low <= 256 else low * 4 // 5
+        return mix(place + salt)
+    count, signed = cut(band)
     part = place % np.uint64(count)
+    chosen = part < signed
+    shingles, part = shingles[chosen], part[chosen]
     order = np.argsort(part)
     part = part[order]
     begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-    return mix(np.add.reduceat(mix(shingles[order] + salt), begin) ^ mix(part[begin] + salt))
+    found = mix(np.add.reduceat(mix(shingles[order] + salt), begin) ^ mix(part[begin] + salt))
+    if len(found) <= largest_difference(len(shingles)):
+        raise ValueError("a set reaches too few partitions of its band")
+    return found
 
 
 def parity(shingles: np.ndarray) -> bytes:
@@ -113,17 +144,19 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = buffers(batch.column(1))
         size, key_a, key_b = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
         bits: list[bytes] = []
+        sketch = np.zeros((batch.num_rows, SKETCH), np.int64)
         for first, last in slices(offsets):
             part = shingle_sets(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], values)
             for row, found in enumerate(part, first):
                 size[row] = len(found)
                 bits.append(parity(found))
+                sketch[row] = np.packbits(np.bincount((found & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1, bitorder="little").view(np.int64)
                 key_a[row] = mix(found).sum(dtype=np.uint64).astype(np.int64)
                 key_b[row] = np.bitwise_xor.reduce(mix(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)), initial=np.uint64(0)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(key_a), pa.array(key_b), pa.array(bits, pa.binary())], [c.split()[0] for c in SETS.split(", ")])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(key_a), pa.array(key_b), pa.array(bits, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(0, sketch.size + 1, SKETCH, dtype=np.int32)), pa.array(sketch.ravel()))], [c.split()[0] for c in SETS.split(", ")])
 
 
-def _sign(batches: Iterator[pa.RecordBatch], fine: bool) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     values = not_blank()
     seen: set[tuple[int, int, int]] = set()  # sets that this task has signed: copies need not sign again
     for batch in batches:
@@ -140,15 +173,10 @@ def _sign(batches: Iterator[pa.RecordBatch], fine: bool) -> Iterator[pa.RecordBa
                     continue
                 seen.add(key)
                 need = largest_difference(len(found)) + 1
-                for band in bands(len(found)):
-                    signed = signatures(found, band, fine)
-                    if len(signed) < need:
-                        raise ValueError("a set has fewer partitions than its band needs")
-                    more = len(signed) - need
-                    signed = signed if fine else signed[:need]
-                    out.append(signed)
-                    owner.append(np.full(len(signed), doc_ids[row], np.int64))
-                    spare.append(np.full(len(signed), more, np.int32))
+                signed = [signatures(found, band) for band in bands(len(found))]
+                out += signed
+                owner.append(np.full(sum(map(len, signed)), doc_ids[row], np.int64))
+                spare.append(np.full(len(owner[-1]), min(map(len, signed)) - need, np.int32))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(owner)), pa.array(np.concatenate(spare))], ["sig", "doc_id", "spare"]
@@ -184,10 +212,10 @@ class _Join:
         self.docs = docs
         self.all_sets = staged(docs.mapInArrow(_sets, SETS), "shingle-sets")
         self.sets = self.all_sets.select("doc_id", "n_shingles", "key_a", "key_b").distinct()
-        some = self.sets.where("n_shingles > 0")
+        some = self.all_sets.where("n_shingles > 0").select("doc_id", "n_shingles", "key_a", "key_b", "sketch").distinct()
         first = some.groupBy("n_shingles", "key_a", "key_b").agg(F.min("doc_id").alias("member"))
         # A doc_id with several texts has one member for each; its own links join them.
-        self.members = staged(some.join(first, ["n_shingles", "key_a", "key_b"]).select("doc_id", "member", "n_shingles"), "set-members")
+        self.members = staged(some.join(first, ["n_shingles", "key_a", "key_b"]).select("doc_id", "member", "n_shingles", "sketch"), "set-members")
         self.links = None
         self.tested = None
 
@@ -208,11 +236,15 @@ class _Join:
 
         return self.docs.select("doc_id", "text", _slot("doc_id").alias("slot")).mapInArrow(rows, "doc_id long, text string")
 
-    def buckets(self, signed: DataFrame, name: str) -> DataFrame:
-        """Signatures of several documents, with the number of these and the first one."""
-        bucket = Window.partitionBy("sig")
-        counted = signed.withColumn("size", F.count(F.lit(1)).over(bucket)).withColumn("first", F.min("doc_id").over(bucket))
-        return staged(counted.where("size > 1"), name)
+    def buckets(self) -> DataFrame:
+        """(sig, doc_id, first): signatures that several documents keep, with the first of these."""
+        bucket, of_doc = Window.partitionBy("sig"), Window.partitionBy("doc_id")
+        signed = self.docs.mapInArrow(_sign, SIGNATURES).withColumn("size", F.count(F.lit(1)).over(bucket)).where("size > 1")
+        # Signatures of one document alone are its rarest; so it may drop as many of the others as it has to spare.
+        ranked = staged(signed, "signatures").withColumn("place", F.row_number().over(of_doc.orderBy(F.desc("size"), F.desc("sig"))))
+        kept = ranked.where("place > spare").select("sig", "doc_id")
+        met = kept.withColumn("size", F.count(F.lit(1)).over(bucket)).withColumn("first", F.min("doc_id").over(bucket))
+        return staged(met.where("size > 1").select("sig", "doc_id", "first"), "buckets")
 
     def verify(self, pairs: DataFrame) -> None:
         """Compare pairs (a, b) that were not compared before, on whole sets, and add the links."""
@@ -240,33 +272,18 @@ class _Join:
         """Every document with a set, its size and its component so far."""
         same = self.members.where("doc_id <> member").select(F.col("doc_id").alias("a"), F.col("member").alias("b"))
         found = components(same.union(self.links)).withColumnRenamed("node", "doc_id")
-        sizes = self.members.select("doc_id", "n_shingles").join(found, "doc_id", "left")
+        sizes = self.members.select("doc_id", "n_shingles", "sketch").join(found, "doc_id", "left")
         return staged(sizes.withColumn("component", F.coalesce("component", "doc_id")), "components")
 
-    def label(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
-        """Rows with their document's component and size; those of buckets with a single component are gone."""
-        known = rows.join(labels, "doc_id")
-        several = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        return known.join(several.select("sig"), "sig", "left_semi")
-
     def open_pairs(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs within a bucket whose components differ and whose sizes allow a link."""
-        known = staged(self.label(rows, labels).select("sig", "doc_id", "component", "n_shingles"), "open-buckets")
-        left, right = known.toDF("sig", "a", "component_a", "n_a"), known.toDF("sig", "b", "component_b", "n_b")
-        return left.join(right, "sig").where("a < b AND component_a <> component_b AND n_a * 5 >= n_b * 4 AND n_b * 5 >= n_a * 4").select("a", "b").distinct()
-
-
-def _first_pairs(rows: DataFrame) -> DataFrame:
-    return rows.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-
-
-def _best_pairs(rows: DataFrame) -> DataFrame:
-    """Every document of a bucket against that which meets most others over all its buckets."""
-    bucket = Window.partitionBy("sig")
-    met = rows.groupBy("doc_id").agg(F.sum("size").alias("met"))
-    best = F.max(F.struct(F.col("met"), (-F.col("doc_id")).alias("minus"))).over(bucket)
-    ranked = rows.join(met, "doc_id").withColumn("a", -best["minus"])
-    return ranked.where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
+        """Pairs within a bucket whose components differ and whose sizes and parities allow a link."""
+        known = rows.select("sig", "doc_id").join(labels, "doc_id")
+        several = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        known = staged(known.join(several.select("sig"), "sig", "left_semi").select("sig", "doc_id", "component", "n_shingles", "sketch"), "open-buckets")
+        left, right = known.toDF("sig", "a", "component_a", "n_a", "sketch_a"), known.toDF("sig", "b", "component_b", "n_b", "sketch_b")
+        differing = " + ".join(f"bit_count(sketch_a[{i}] ^ sketch_b[{i}])" for i in range(SKETCH))
+        near = f"a < b AND component_a <> component_b AND n_a * 5 >= n_b * 4 AND n_b * 5 >= n_a * 4 AND ({differing}) * 9 <= n_a + n_b"
+        return left.join(right, ["sig"]).where(near).select("a", "b").distinct()
 
 
 def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -274,34 +291,14 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     prepare(docs.sparkSession)
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     join = _Join(known)
-    coarse = join.buckets(known.mapInArrow(lambda b: _sign(b, False), SIGNATURES).drop("spare"), "buckets")
-    small = coarse.where(F.col("size") <= BUCKET)
-    join.verify(_first_pairs(small))
-
-    crowded = staged(coarse.where(F.col("size") > BUCKET).select("doc_id").distinct(), "crowded")
-    if not crowded.isEmpty():
-        again = join.wanted(crowded).mapInArrow(lambda b: _sign(b, True), SIGNATURES)
-        fine = join.buckets(again, "fine-buckets")
-        hot = fine.where(F.col("size") > BUCKET)
-        short = hot.groupBy("doc_id").agg(F.count(F.lit(1)).alias("hot"), F.min("spare").alias("spare")).where("hot > spare")
-        among = join.buckets(hot.join(short.select("doc_id"), "doc_id", "left_semi").select("sig", "doc_id"), "hot-buckets")
-        join.verify(_first_pairs(fine.where(F.col("size") <= BUCKET)).union(_best_pairs(among)))
-        if not among.isEmpty():
-            rest = join.label(among, join.labels()).select("sig", "doc_id", "size", "component")
-            # The next best: a document outside the component of the first one.
-            bucket = Window.partitionBy("sig", "component")
-            others = rest.withColumn("inside", F.count(F.lit(1)).over(bucket)).withColumn("most", F.max("inside").over(Window.partitionBy("sig")))
-            hub = others.where("inside < most").groupBy("sig").agg(F.min("doc_id").alias("a"))
-            join.verify(rest.select("sig", "doc_id").join(hub, "sig").select("a", F.col("doc_id").alias("b")))
-        rows = small.select("sig", "doc_id").union(fine.where(F.col("size") <= BUCKET).select("sig", "doc_id")).union(among.select("sig", "doc_id"))
-    else:
-        rows = small.select("sig", "doc_id")
-    join.verify(join.open_pairs(rows, join.labels()))
+    buckets = join.buckets()
+    join.verify(buckets.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
+    join.verify(join.open_pairs(buckets, join.labels()))
 
     labels = join.labels().select("doc_id", F.col("component").alias("component_id")).distinct()
     unknown = docs.where("doc_id IS NULL").select("doc_id", "text").mapInArrow(_sets, SETS).withColumn("component_id", F.lit(None).cast("long"))
     found = join.sets.join(labels, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return found.unionByName(unknown.drop("parity")).drop("key_a", "key_b"), join.links
+    return found.unionByName(unknown.drop("parity", "sketch")).drop("key_a", "key_b"), join.links
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
