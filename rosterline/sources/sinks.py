@@ -45,16 +45,17 @@ def enroll_students(
     table: VersionedTable, requests: DataFrame, student: DataFrame, course: DataFrame, seq: str = "seq"
 ) -> Change:
     """Add the accepted enrollment requests, ungraded, with new ids."""
-    judged = check_enrollments(requests, student, course, table.current(), seq)
+    judged = check_enrollments(requests, student, course, table.current_near(requests), seq)
     accepted = judged.filter(F.col("outcome") == "enrolled")
     return table.insert_ignore(accepted.withColumn("grade", F.lit(None).cast("string")), seq)
 
 
 def store_grades(table: VersionedTable, updates: DataFrame, seq: str = "seq", tag: str | None = None) -> Change:
     """Apply the last valid grade update of each stored (student, course); others change nothing."""
-    applied = check_grade_updates(updates, table.current()).filter(F.col("outcome") == "updated")
+    near = table.current_near(updates)
+    applied = check_grade_updates(updates, near).filter(F.col("outcome") == "updated")
     last = latest_per_key(applied.select(seq, *PAIR, "grade"), PAIR, seq)
-    return table.upsert(table.current().drop("grade").join(last, PAIR), seq, tag)
+    return table.upsert(near.drop("grade").join(last, PAIR), seq, tag)
 
 
 def insert_new(table: VersionedTable, rows: DataFrame, order_by: str, tag: str | None = None) -> int:

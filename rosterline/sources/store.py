@@ -1,60 +1,81 @@
 """Versioned Parquet tables: publish, upsert, insert-ignore and delete without overwriting a live file.
 
 A keyed table is cut into hash buckets of its key. A change rewrites only the buckets it touches (an
-insert only adds files), and becomes visible through one small list of the live files, written after
+insert only adds files), and becomes visible through one small record of the live files, written after
 the data. Readers therefore see the old version until the new one is whole, and a failed or repeated
-job leaves nothing behind but unused files. One writer per table is assumed.
+job leaves nothing behind but unused files, which ``vacuum`` removes. One writer per table is assumed.
+
+Every version is one row in a folder of its own, so opening a table reads one row however many versions
+there were; inserts merge their files when a table has more than ``MAX_FOLDERS`` written folders. Keys, number of
+buckets and id column are stored with the table; other ones on reopening are an error. Keys may be NULL and
+equal themselves.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import uuid
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 
-import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterline.operators.ids import assign_ids
-
 BUCKET = "store_bucket"
+BUCKETS = 16
+MAX_FOLDERS = 32
 LOG_SCHEMA = (
-    "version long, bucket int, folder string, rows long, next_id long, row_schema string, action string, "
-    "tag string, committed_at timestamp"
-)
-
-LOG_ARROW = pa.schema(
-    {
-        "version": pa.int64(),
-        "bucket": pa.int32(),
-        "folder": pa.string(),
-        "rows": pa.int64(),
-        "next_id": pa.int64(),
-        "row_schema": pa.string(),
-        "action": pa.string(),
-        "tag": pa.string(),
-        "committed_at": pa.timestamp("us", "UTC"),
-    }
+    "next_id long, row_schema string, keys array<string>, buckets int, id_column string, action string, tag string, "
+    "added string, committed_at timestamp, files array<struct<folder:string,bucket:int,rows:long>>"
 )
+TAG_SCHEMA = "tag string, version long"
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
-    """Last row per key. The aggregate folds copies map-side, so a hot key never gathers in one task."""
-    return _one_per_key(df, keys, F.max_by, order_by)
+    """Last row per key: the greatest ``order_by``, of equal ones the row with the greatest hash; NULL is lowest.
+
+    The rank is one decimal, so keys fold in a hash aggregate before the shuffle and a hot key never gathers in
+    one task; the winners' rows are joined by it. ``order_by`` is a whole number, a date or a timestamp.
+    """
+    return _one_per_key(df, keys, F.max, order_by)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
-    return _one_per_key(df, keys, F.min_by, order_by)
+    """First row per key, by the same order."""
+    return _one_per_key(df, keys, F.min, order_by)
+
+
+def _rank(df: DataFrame, order_by: str) -> Column:
+    """Order value and row hash in one decimal(38,0); a NULL order value is below all others."""
+    kind = df.schema[order_by].dataType
+    value = F.col(order_by)
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        value = F.unix_micros(value.cast("timestamp"))
+    elif isinstance(kind, T.DateType):
+        value = F.unix_date(value)
+    elif not isinstance(kind, T.IntegralType):
+        raise TypeError(f"cannot order rows by {order_by}: {kind.simpleString()}")
+    whole = F.coalesce(value.cast("decimal(20,0)"), F.expr("CAST(-9223372036854775809 AS DECIMAL(20,0))"))
+    tie = F.shiftrightunsigned(F.xxhash64(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})), 4)
+    return (whole.cast("decimal(38,0)") * F.lit(1 << 60).cast("decimal(19,0)") + tie).cast("decimal(38,0)")
 
 
 def _one_per_key(df: DataFrame, keys: list[str], pick, order_by: str) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(pick(F.struct(*rest), order_by).alias("chosen")).select(*keys, "chosen.*")
+    ranked = df.withColumn("row_rank", _rank(df, order_by))
+    best = ranked.groupBy(*keys).agg(pick("row_rank").alias("row_rank"))
+    return _joined(ranked, best, [*keys, "row_rank"], "left_semi").dropDuplicates([*keys, "row_rank"]).drop("row_rank")
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join in which NULL keys equal each other; the keys are those of the left side."""
+    other = right.withColumnsRenamed({k: f"{k}__right" for k in keys})
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}__right")) for k in keys])
+    joined = left.join(other, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"{k}__right" for k in keys])
 
 
 @dataclass
@@ -67,12 +88,14 @@ class Change:
 
 @dataclass
 class _Live:
-    """What the current version consists of."""
+    """What a version consists of."""
 
     version: int
     files: list
     schema: T.StructType
     next_id: int
+    added: str | None = None
+    tag: str | None = None
 
 
 class VersionedTable:
@@ -83,57 +106,91 @@ class VersionedTable:
         spark: SparkSession,
         path: str,
         keys: list[str] | None = None,
-        buckets: int = 16,
+        buckets: int | None = None,
         id_column: str | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys or [])
-        self.buckets = buckets if self.keys else 1
+        self.buckets = buckets
         self.id_column = id_column
+        if self.exists():
+            self._live()
+        else:
+            self.buckets = (buckets or BUCKETS) if self.keys else 1
+
+    # -- the record of live files --------------------------------------------------------------
 
-    # -- the list of live files ----------------------------------------------------------------
+    def _files(self, path: str):
+        """A file system and path of the store that holds the table."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
 
-    def log(self) -> DataFrame:
-        """Every version with its files, tag and time."""
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+    def _names(self, folder: str) -> list[str]:
+        fs, place = self._files(f"{self.path}/{folder}")
+        return [x.getPath().getName() for x in fs.listStatus(place)] if fs.exists(place) else []
+
+    def _written(self, folder: str) -> bool:
+        fs, place = self._files(f"{folder}/_SUCCESS")
+        return fs.exists(place)
 
     def version(self) -> int:
-        return self.log().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        found = sorted((int(n.removeprefix("version=")) for n in self._names("log") if n.startswith("version=")), reverse=True)
+        return next((v for v in found if self._written(f"{self.path}/log/version={v}")), 0)
 
     def exists(self) -> bool:
         return self.version() > 0
 
     def has_tag(self, tag: str) -> bool:
-        return not self.log().filter(F.col("tag") == tag).isEmpty()
-
-    def _live(self) -> _Live:
-        log = self.log()
-        rows = log.filter(F.col("version") == log.agg(F.max("version")).scalar()).collect()  # one per file group
-        if not rows:
+        return self._tagged(tag) is not None
+
+    def _tagged(self, tag: str) -> _Live | None:
+        folder = self._tag_folder(tag)
+        if not self._written(folder):
+            return None
+        row = self.spark.read.schema(TAG_SCHEMA).parquet(folder).first()
+        if not self._written(f"{self.path}/log/version={row['version']}"):
+            return None
+        live = self._live(row["version"])
+        return live if live.tag == tag else None  # else that version was never reached under this tag
+
+    def _tag_folder(self, tag: str) -> str:
+        return f"{self.path}/tags/{hashlib.sha256(tag.encode()).hexdigest()}"
+
+    def _live(self, version: int | None = None) -> _Live:
+        version = version or self.version()
+        if not version:
             raise ValueError(f"no version published at {self.path}")
-        schema = T.StructType.fromJson(json.loads(rows[0]["row_schema"]))
-        files = [r for r in rows if r["folder"] is not None]
-        return _Live(rows[0]["version"], files, schema, rows[0]["next_id"])
-
-    def _commit(self, live: _Live, action: str, tag: str | None) -> None:
-        common = {
-            "version": live.version,
-            "next_id": live.next_id,
-            "row_schema": live.schema.json(),
-            "action": action,
-            "tag": tag,
-            "committed_at": dt.datetime.now(dt.timezone.utc),
-        }
-        files = live.files or [{"bucket": None, "folder": None, "rows": 0}]
-        entries = [{**common, "bucket": f["bucket"], "folder": f["folder"], "rows": f["rows"]} for f in files]
-        table = pa.Table.from_pylist(entries, LOG_ARROW)
-        self.spark.createDataFrame(table).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        row = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log/version={version}").first()
+        stored = (list(row["keys"]), row["buckets"], row["id_column"])
+        given = (self.keys or stored[0], self.buckets or stored[1], self.id_column or stored[2])
+        if stored != given:
+            raise ValueError(f"{self.path} has keys, buckets and id column {stored}, not {given}")
+        self.keys, self.buckets, self.id_column = stored
+        schema = T.StructType.fromJson(json.loads(row["row_schema"]))
+        return _Live(version, [f.asDict() for f in row["files"]], schema, row["next_id"], row["added"], row["tag"])
+
+    def _commit(self, live: _Live, action: str, tag: str | None, added: str | None = None) -> None:
+        if tag is not None:
+            mark = self.spark.createDataFrame([(tag, live.version)], TAG_SCHEMA)
+            mark.coalesce(1).write.mode("overwrite").parquet(self._tag_folder(tag))
+        files = [(f["folder"], f["bucket"], f["rows"]) for f in live.files]
+        now = dt.datetime.now(dt.timezone.utc)
+        row = (live.next_id, live.schema.json(), self.keys, self.buckets, self.id_column, action, tag, added, now, files)
+        one = self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
+        one.write.mode("overwrite").parquet(f"{self.path}/log/version={live.version}")
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Remove what the last ``keep`` versions do not use. No reader of an older version may be active."""
+        last = self.version()
+        kept = [v for v in range(max(1, last - keep + 1), last + 1) if self._written(f"{self.path}/log/version={v}")]
+        used = {f["folder"] for v in kept for f in self._live(v).files}
+        gone = [f"data/{n}" for n in self._names("data") if n not in used]
+        gone += [f"staged/{n}" for n in self._names("staged")]
+        gone += [f"log/{n}" for n in self._names("log") if n.startswith("version=") and int(n.removeprefix("version=")) not in kept]
+        for name in gone:
+            fs, place = self._files(f"{self.path}/{name}")
+            fs.delete(place, True)
 
     # -- reading -------------------------------------------------------------------------------
 
@@ -142,24 +199,23 @@ class VersionedTable:
 
     def current_near(self, df: DataFrame) -> DataFrame:
         """The rows in the buckets that the keys of ``df`` fall into: all a lookup of those keys needs."""
+        live = self._live()
         buckets = self._bucketed(df.select(*self.keys)).select(BUCKET).distinct().collect()  # at most all buckets
-        return self._read(self._live(), {row[BUCKET] for row in buckets}).drop(BUCKET)
+        return self._read(live, {row[BUCKET] for row in buckets}).drop(BUCKET)
 
     def written(self, tag: str) -> DataFrame:
         """The rows in the files that the change with this tag wrote."""
-        live = self._live()
-        change = self.log().filter(F.col("tag") == tag)
-        version = change.agg(F.max("version")).first()[0]
-        earlier = self.log().filter(F.col("version") == version - 1).select("folder")
-        added = change.join(earlier, "folder", "left_anti").filter(F.col("folder").isNotNull()).collect()
-        return self._read(_Live(version, added, live.schema, live.next_id)).drop(BUCKET)
+        live = self._tagged(tag)
+        if live is None:
+            raise ValueError(f"no change {tag} at {self.path}")
+        return self._read(live, folder=live.added).drop(BUCKET)
 
-    def _read(self, live: _Live, buckets: set[int] | None = None) -> DataFrame:
+    def _read(self, live: _Live, buckets: set[int] | None = None, folder: str | None = None) -> DataFrame:
         full = T.StructType(live.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
         paths = [
             f"{self.path}/data/{f['folder']}/{BUCKET}={f['bucket']}"
             for f in live.files
-            if buckets is None or f["bucket"] in buckets
+            if (buckets is None or f["bucket"] in buckets) and (folder is None or f["folder"] == folder)
         ]
         if not paths:
             return self.spark.createDataFrame([], full)
@@ -181,7 +237,7 @@ class VersionedTable:
         """
         folder = f"part={uuid.uuid4().hex}"
         target = f"{self.path}/data/{folder}"
-        laid_out = df.hint("rebalance", BUCKET)
+        laid_out = df.hint("rebalance", BUCKET) if self.keys else df.hint("rebalance")
         order = sort or self.keys
         if order:
             laid_out = laid_out.sortWithinPartitions(BUCKET, *order)
@@ -191,27 +247,43 @@ class VersionedTable:
         written = self.spark.read.schema(columns).parquet(target).groupBy(BUCKET)
         counts = written.agg(F.count("*").alias("rows"), top.cast("long").alias("top")).collect()  # per bucket
         files = [{"bucket": row[BUCKET], "folder": folder, "rows": row["rows"]} for row in counts]
-        return files, max((row["top"] for row in counts), default=0) + 1
+        return files, max((row["top"] for row in counts if row["top"] is not None), default=0) + 1
+
+    def _staged(self, df: DataFrame) -> DataFrame:
+        path = f"{self.path}/staged/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(self, df: DataFrame, tag: str | None = None, sort: list[str] | None = None) -> Change:
         """Replace the whole table."""
         version = self.version() + 1
         files, next_id = self._write(self._bucketed(df), sort)
-        self._commit(_Live(version, files, df.schema, next_id), "publish", tag)
+        self._commit(_Live(version, files, df.schema, next_id), "publish", tag, _folder(files))
         return Change(version, inserted=sum(f["rows"] for f in files))
 
     def _stage(self, df: DataFrame, live: _Live, order_by: str) -> tuple[DataFrame, dict[int, int]]:
         """Write a change once, so that every later step reads the same rows; also its rows per bucket."""
         columns = [c for c in live.schema.fieldNames() if c != self.id_column]
-        rows = self._bucketed(df.select(*columns, *([] if order_by in columns else [order_by])))
-        path = f"{self.path}/staged/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        staged = self.spark.read.schema(rows.schema).parquet(path)
+        staged = self._staged(self._bucketed(df.select(*columns, *([] if order_by in columns else [order_by]))))
         counts = staged.groupBy(BUCKET).agg(F.count("*").alias("rows")).collect()  # one row per bucket
         return staged, {row[BUCKET]: row["rows"] for row in counts}
 
     def _numbered(self, fresh: DataFrame, live: _Live, order_by: str) -> DataFrame:
-        return assign_ids(fresh, self.id_column, [order_by], live.next_id) if self.id_column else fresh
+        """New rows with unused ids that follow ``order_by``. Equal or NULL order values do not matter for them."""
+        if not self.id_column:
+            return fresh
+        marked = fresh.orderBy(F.col(order_by).asc_nulls_first(), *self.keys).withColumn("row_mark", F.monotonically_increasing_id())
+        marked = self._staged(marked)
+        part, place = F.shiftright("row_mark", 33), F.col("row_mark").bitwiseAND((1 << 33) - 1)
+        sizes = marked.groupBy(part.alias("part")).agg(F.count("*").alias("rows")).orderBy("part").collect()  # one per partition
+        bases, before = [], live.next_id
+        for row in sizes:
+            bases.append((row["part"], before))
+            before += row["rows"]
+        base = F.broadcast(self.spark.createDataFrame(bases, "row_part long, row_base long"))
+        kind = live.schema[self.id_column].dataType
+        numbered = marked.withColumn("row_part", part).join(base, "row_part").withColumn(self.id_column, (F.col("row_base") + place).cast(kind))
+        return numbered.drop("row_part", "row_base", "row_mark")
 
     def upsert(self, df: DataFrame, order_by: str, tag: str | None = None) -> Change:
         """Insert new keys and replace all columns of known ones, except the id; the last row per key wins.
@@ -224,17 +296,17 @@ class VersionedTable:
         known = self.keys + [BUCKET]
         incoming = staged
         if self.id_column:
-            matched = staged.join(before.select(*known, self.id_column), known, "left")
+            matched = _joined(staged, before.select(*known, self.id_column), known, "left")
             missing = F.col(self.id_column).isNull()
             fresh = self._numbered(matched.filter(missing).drop(self.id_column), live, order_by)
             incoming = matched.filter(~missing).unionByName(fresh)
-        kept = before.join(staged.select(*known), known, "left_anti")
+        kept = _joined(before, staged.select(*known), known, "left_anti")
         files, next_id = self._write(kept.unionByName(incoming.select(*kept.columns)))
         untouched = [f for f in live.files if f["bucket"] not in staged_rows]
         old_rows = sum(f["rows"] for f in live.files if f["bucket"] in staged_rows)
         inserted = sum(f["rows"] for f in files) - old_rows
         new = _Live(live.version + 1, untouched + files, live.schema, max(live.next_id, next_id))
-        self._commit(new, "upsert", tag)
+        self._commit(new, "upsert", tag, _folder(files))
         return Change(new.version, inserted=inserted, updated=sum(staged_rows.values()) - inserted)
 
     def insert_ignore(self, df: DataFrame, order_by: str, tag: str | None = None) -> Change:
@@ -243,10 +315,12 @@ class VersionedTable:
         staged, staged_rows = self._stage(first_per_key(df, self.keys, order_by), live, order_by)
         known = self.keys + [BUCKET]
         before = self._read(live, set(staged_rows))
-        fresh = self._numbered(staged.join(before.select(*known), known, "left_anti"), live, order_by)
+        fresh = self._numbered(_joined(staged, before.select(*known), known, "left_anti"), live, order_by)
         files, next_id = self._write(fresh.select(*before.columns))
         new = _Live(live.version + 1, live.files + files, live.schema, max(live.next_id, next_id))
-        self._commit(new, "insert", tag)
+        self._commit(new, "insert", tag, _folder(files))
+        if len({f["folder"] for f in new.files}) > MAX_FOLDERS:
+            self.compact()
         return Change(new.version, inserted=sum(f["rows"] for f in files))
 
     def delete_where(self, condition: Column, tag: str | None = None) -> Change:
@@ -274,3 +348,7 @@ class VersionedTable:
         new = _Live(live.version + 1, untouched + files, live.schema, live.next_id)
         self._commit(new, "compact", None)
         return Change(new.version)
+
+
+def _folder(files: list[dict]) -> str | None:
+    return files[0]["folder"] if files else None

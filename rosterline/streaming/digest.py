@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,6 +12,11 @@ from rosterline.sources.store import VersionedTable
 FAILED_STATUSES = ("Error", "Invalid")
 
 
+def _message() -> Column:
+    """A missing message counts as an empty one."""
+    return F.coalesce("message", F.lit("")).alias("message")
+
+
 def failed(records: DataFrame) -> DataFrame:
     return records.filter(F.col("status").isin(*FAILED_STATUSES))
 
@@ -24,7 +29,7 @@ def digest_lines(records: DataFrame) -> DataFrame:
 
 def digest_counts(records: DataFrame) -> DataFrame:
     """Failures per day, status and message; empty when there is nothing to report."""
-    return failed(records).groupBy(F.to_date("ts").alias("day"), "status", "message").agg(F.count("*").alias("records"))
+    return failed(records).groupBy(F.to_date("ts").alias("day"), "status", _message()).agg(F.count("*").alias("records"))
 
 
 def start_digest(records: DataFrame, table: VersionedTable, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
@@ -35,7 +40,7 @@ def start_digest(records: DataFrame, table: VersionedTable, checkpoint: str, del
     counts = (
         failed(records)
         .withWatermark("ts", delay)
-        .groupBy(F.window("ts", "1 day").alias("span"), "status", "message")
+        .groupBy(F.window("ts", "1 day").alias("span"), "status", _message())
         .agg(F.count("*").alias("records"))
         .select(F.to_date("span.start").alias("day"), "status", "message", "records")
     )

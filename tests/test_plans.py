@@ -97,7 +97,8 @@ def test_hot_key_is_split_in_row_level_joins(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_latest_per_key_folds_before_the_shuffle(spark):
+def test_latest_per_key_folds_in_a_hash_aggregate(spark, no_broadcast):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("seq"), F.lit("x").alias("v"))
     text = plan(latest_per_key(df, ["k"], "seq"))
-    assert text.index("Exchange hashpartitioning(k") < text.index("partial_max_by")
+    assert "SortAggregate" not in text and "partial_max(row_rank" in text
+    assert re.search(r"Exchange hashpartitioning\(k#[^\n]*\n[^\n]*HashAggregate\(keys=\[k#[^\n]*partial_max\(row_rank", text)

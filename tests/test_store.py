@@ -3,8 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.operators.ids import assign_ids
-from rosterline.sources import sinks
+from rosterline.sources import sinks, store
 from rosterline.sources.store import VersionedTable, first_per_key, latest_per_key
 
 SCHEMA = "k long, v string, seq long"
@@ -111,10 +110,55 @@ def test_one_per_key_with_a_hot_key(spark):
     assert latest_per_key(df, ["k"], "seq").count() == 2001
 
 
-def test_assigned_ids_are_dense_and_ordered(spark):
-    df = spark.range(5000).selectExpr("(id * 7919) % 5000 AS o").repartition(9)
-    ids = [tuple(r) for r in assign_ids(df, "n", ["o"], 100).orderBy("o").collect()]
-    assert ids == [(i, 100 + i) for i in range(5000)]
+def test_tied_and_missing_order_values_keep_every_key_once(spark, path):
+    t = sinks.empty_table(spark, path("o"), ["k"], "id long, k string, v string", id_column="id")
+    change = t.upsert(spark.createDataFrame([("a", "1", 7), ("b", "2", 7), ("c", "3", None), ("d", "4", 8)], "k string, v string, seq long"), "seq")
+    assert (change.inserted, change.updated) == (4, 0)
+    found = {r["k"]: (r["id"], r["v"]) for r in t.current().collect()}
+    assert {k: v for k, (_, v) in found.items()} == {"a": "1", "b": "2", "c": "3", "d": "4"}
+    assert sorted(i for i, _ in found.values()) == [1, 2, 3, 4] and found["c"][0] == 1 and found["d"][0] == 4
+    again = t.upsert(spark.createDataFrame([("a", "x", None), ("a", "x", None), ("e", "5", None)], "k string, v string, seq long"), "seq")
+    assert (again.inserted, again.updated) == (1, 1)
+    assert {r["k"]: r["id"] for r in t.current().collect()} == {k: i for k, (i, _) in found.items()} | {"e": 5}
+
+
+def test_missing_keys_equal_themselves(spark, path):
+    t = VersionedTable(spark, path("n"), ["k", "m"], buckets=4)
+    t.publish(spark.createDataFrame([], "k string, m string, v string"))
+    for value in ("1", "2", "3"):
+        t.upsert(spark.createDataFrame([("d", None, value, 1)], "k string, m string, v string, seq long"), "seq")
+    assert [tuple(r) for r in t.current().collect()] == [("d", None, "3")]
+    assert t.insert_ignore(spark.createDataFrame([("d", None, "9", 1), (None, None, "0", 1)], "k string, m string, v string, seq long"), "seq").inserted == 1
+
+
+def test_reopened_table_keeps_its_buckets(spark, path):
+    rows_ = spark.createDataFrame([(i, "a", 0) for i in range(6)], SCHEMA)
+    VersionedTable(spark, path("r"), ["k"], buckets=16).publish(rows_)
+    for wrong in ({"buckets": 8}, {"id_column": "k"}):
+        with pytest.raises(ValueError):
+            VersionedTable(spark, path("r"), ["k"], **wrong)
+    with pytest.raises(ValueError):
+        VersionedTable(spark, path("r"), ["v"])
+    again = VersionedTable(spark, path("r"))
+    assert again.upsert(rows_, "seq").updated == 6 and again.current().count() == 6
+
+
+def test_a_commit_stays_one_row_and_inserts_merge_their_files(spark, table, monkeypatch):
+    monkeypatch.setattr(store, "MAX_FOLDERS", 5)
+    for i in range(20):
+        table.insert_ignore(spark.createDataFrame([(100 + i, "n", 1)], SCHEMA), "seq")
+    log = spark.read.parquet(f"{table.path}/log/version={table.version()}")
+    assert log.count() == 1 and len({f["folder"] for f in table._live().files}) <= 6
+    assert table.current().count() == 23
+    table.vacuum(keep=1)
+    assert table.current().count() == 23 and table._names("log") == [f"version={table.version()}"] and table._names("staged") == []
+
+
+def test_latest_of_equal_order_values_is_one_row(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "b", 5), (1, "b", 5), (2, "c", None), (2, "d", 1)], SCHEMA)
+    chosen = rows(latest_per_key(df, ["k"], "seq"))
+    assert len(chosen) == 2 and chosen[1] == (2, "d") and chosen == rows(latest_per_key(df.orderBy(F.desc("v")), ["k"], "seq"))
+    assert rows(first_per_key(df, ["k"], "seq"))[1] == (2, "c")
 
 
 def test_row_counts_show_missing_tables(spark):
