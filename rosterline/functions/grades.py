@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -30,6 +31,11 @@ def grade_to_points(grade: Column) -> Column:
     return reduce(lambda acc, arm: acc.when(grade == arm[0], arm[1]), arms[1:], F.when(grade == arms[0][0], arms[0][1]))
 
 
+def grade_hundredths(grade: Column) -> Column:
+    """Points of a letter times a hundred as ``bigint``: sums of it do not overflow on a hot key."""
+    return (grade_to_points(grade) * 100).cast("bigint")
+
+
 def average(total: Column, count: Column, scale: int = 2) -> Column:
     """``total / count`` rounded half up; NULL where nothing was counted.
 
@@ -39,18 +45,19 @@ def average(total: Column, count: Column, scale: int = 2) -> Column:
     return F.round(total / F.nullif(count, F.lit(0)), scale)
 
 
-def gpa(points: Column, graded: Column) -> Column:
-    return average(points, graded).cast("decimal(3,2)")
+def gpa(hundredths: Column, graded: Column) -> Column:
+    """Average of summed hundredths of grade points, divided and rounded once."""
+    return average(hundredths.cast("decimal(19,0)"), graded * 100).cast("decimal(3,2)")
 
 
-def performance_level(points: Column, graded: Column) -> Column:
+def performance_level(hundredths: Column, graded: Column) -> Column:
     """Level of the unrounded average, decided without a division."""
     level = F.when(F.coalesce(graded, F.lit(0)) == 0, F.lit("No Grades"))
     for bound, name in PERFORMANCE_LEVELS:
-        level = level.when(reaches(points, graded, bound), F.lit(name))
+        level = level.when(reaches(hundredths, graded, bound), F.lit(name))
     return level.otherwise(F.lit("Below Average"))
 
 
-def reaches(points: Column, graded: Column, bound: str) -> Column:
+def reaches(hundredths: Column, graded: Column, bound: str) -> Column:
     """Whether the unrounded average is at least ``bound``."""
-    return points >= F.lit(bound).cast("decimal(3,2)") * graded
+    return hundredths >= F.lit(int(Decimal(bound) * 100)) * graded

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.functions.dates import age_in_years, latest_birth_date
-from rosterline.functions.grades import GRADES, gpa, grade_to_points, reaches
+from rosterline.functions.grades import GRADES, gpa, grade_hundredths, reaches
 
 
 def full_name() -> Column:
@@ -18,11 +18,11 @@ def or_zero(name: str) -> Column:
 
 
 def enrollment_totals(enrollment: DataFrame, *keys: str) -> DataFrame:
-    """Per key: enrollments, graded ones, and the sum and count of grade points.
+    """Per key: enrollments, graded ones, and the sum (in hundredths) and count of grade points.
 
     Everything here merges map-side, so this is the only form in which facts are joined below.
     """
-    points = grade_to_points(F.col("grade"))
+    points = grade_hundredths(F.col("grade"))
     return enrollment.groupBy(*keys).agg(
         F.count("enrollment_id").alias("total"),
         F.count("grade").alias("graded"),

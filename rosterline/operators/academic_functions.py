@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.functions.dates import day
-from rosterline.functions.grades import GRADES, gpa, grade_to_points
+from rosterline.functions.grades import GRADES, gpa, grade_hundredths
 from rosterline.operators.academic import department_totals, pending_enrollments
 
 PAIR = ["student_id", "course_id"]
@@ -19,7 +19,7 @@ def _average_points(enrollment: DataFrame, keys: DataFrame, key: str, ids: Seque
     graded = enrollment.filter(F.col("grade").isNotNull())
     if ids is not None:
         graded = graded.filter(F.col(key).isin(*ids))
-    points = grade_to_points(F.col("grade"))
+    points = grade_hundredths(F.col("grade"))
     averages = graded.groupBy(key).agg(gpa(F.sum(points), F.count(points)).alias(name))
     return wanted.join(averages, key, "left")
 

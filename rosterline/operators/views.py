@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.functions.dates import age_in_years
-from rosterline.functions.grades import average, gpa, grade_to_points, performance_level
+from rosterline.functions.grades import average, gpa, grade_hundredths, grade_to_points, performance_level
 from rosterline.operators.academic import (
     department_totals,
     enrollment_details,
@@ -83,7 +83,7 @@ def course_statistics(course: DataFrame, department: DataFrame, enrollment: Data
     buckets = enrollment.groupBy("course_id").agg(
         F.count("enrollment_id").alias("total"),
         F.count("grade").alias("graded"),
-        F.sum(grade_to_points(F.col("grade"))).alias("points"),
+        F.sum(grade_hundredths(F.col("grade"))).alias("points"),
         F.count(grade_to_points(F.col("grade"))).alias("pointed"),
         *[F.count_if(F.col("grade").isin(*letters)).alias(name) for name, letters in GRADE_BUCKETS.items()],
     )

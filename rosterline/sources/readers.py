@@ -28,14 +28,26 @@ INPUTS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header row, trimmed values, empty lines skipped, every column text; an empty value reads as NULL."""
-    return spark.read.csv(
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False, rejects: str | None = None
+) -> DataFrame:
+    """Header row, trimmed values, empty lines skipped, every column text; an empty value reads as NULL.
+
+    A record with too few or too many values is an error, or, with ``rejects``, a row whose column of that name
+    holds the whole record; in other rows that column is NULL. ``multi_line`` allows line breaks in quoted values; such
+    files are read by one task each.
+    """
+    full = T.StructType([*schema.fields, T.StructField(rejects, T.StringType())]) if rejects else schema
+    # A record's values are only counted when all of them are parsed, so columns are not pruned here.
+    return spark.read.option("columnPruning", False).csv(
         path,
-        schema=schema,
+        schema=full,
         header=True,
-        enforceSchema=False,
+        enforceSchema=rejects is not None,  # the header has no reject column
         escape='"',
+        multiLine=multi_line,
+        mode="PERMISSIVE" if rejects else "FAILFAST",
+        columnNameOfCorruptRecord=rejects,
         ignoreLeadingWhiteSpace=True,
         ignoreTrailingWhiteSpace=True,
     )
@@ -46,11 +58,12 @@ def read_json(
 ) -> DataFrame:
     """Records of JSON documents: a bare array, an object wrapping an array, or one object.
 
-    A multi-line document is read by one task; at scale write one document per line and pass
-    ``multi_line=False``, which makes the files splittable.
+    A document that is not JSON, or whose fields have other types, is an error. A multi-line document is read by
+    one task; at scale write one document per line and pass ``multi_line=False``, which makes the files splittable.
     """
     wrappers = [T.StructField(name, T.ArrayType(record)) for name in WRAPPERS]
-    documents = spark.read.json(path, schema=T.StructType(list(record.fields) + wrappers), multiLine=multi_line)
+    full = T.StructType(list(record.fields) + wrappers)
+    documents = spark.read.json(path, schema=full, multiLine=multi_line, mode="FAILFAST")
     single = F.array(F.struct(*record.fieldNames()))
     return documents.select(F.inline(F.coalesce(*WRAPPERS, single)))
 
@@ -82,23 +95,31 @@ def read_pending(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
 
 
 def read_copy_text(
-    spark: SparkSession, path: str, schema: str | T.StructType, unescape: bool = False
+    spark: SparkSession, path: str, schema: str | T.StructType, unescape: bool = False, rejects: str | None = None
 ) -> DataFrame:
     r"""Tab-separated rows with ``\N`` for NULL. ``unescape`` also turns ``\\`` into one backslash.
 
-    The CSV reader would take an empty field for NULL and could not tell it from ``\N``. A value that
-    does not fit its column reads as NULL.
+    The CSV reader would take an empty field for NULL and could not tell it from ``\N``. A row with another number
+    of fields, or with a value that does not fit its column, is an error, or, with ``rejects``, has the whole row in
+    the column of that name, which is NULL in other rows.
     """
     columns = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    parts = F.split("value", "\t")
-
-    def column(index: int, field: T.StructField):
-        value = F.nullif(F.get(parts, F.lit(index)), F.lit("\\N"))
+    parts = F.split("value", "\t", -1)
+    raw = [F.nullif(F.get(parts, F.lit(i)), F.lit("\\N")) for i in range(len(columns.fields))]
+    bad = F.size(parts) != len(columns.fields)
+    values = []
+    for text, field in zip(raw, columns.fields):
         if isinstance(field.dataType, T.StringType):
-            value = F.replace(value, F.lit("\\\\"), F.lit("\\")) if unescape else value
+            value = F.replace(text, F.lit("\\\\"), F.lit("\\")) if unescape else text
         else:
-            value = value.try_cast(field.dataType)
-        return value.alias(field.name)
-
+            value = text.try_cast(field.dataType)
+            bad = bad | (text.isNotNull() & value.isNull())
+        values.append((value, field.name))
     rows = spark.read.text(path).filter(F.col("value") != "\\.")  # the end mark of a block
-    return rows.select(*[column(i, field) for i, field in enumerate(columns.fields)])
+    if rejects:
+        kept = [F.when(~bad, value).alias(name) for value, name in values]
+        return rows.select(*kept, F.when(bad, F.col("value")).alias(rejects))
+    stop = F.raise_error(F.concat(F.lit("row does not fit its columns: "), F.col("value")))
+    first, *others = values
+    checked = F.when(bad, stop.cast(columns.fields[0].dataType)).otherwise(first[0]).alias(first[1])
+    return rows.select(checked, *[value.alias(name) for value, name in others])

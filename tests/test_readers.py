@@ -85,3 +85,34 @@ def test_copy_text(spark, tmp_path):
     assert plain[1][1] == "a\\\\b, c" and plain[1][3] is None
     assert plain[2][1] == ""
     assert readers.read_copy_text(spark, source, schema, unescape=True).collect()[1]["name"] == "a\\b, c"
+
+
+RAGGED = "enrollment_id,student_email,course_code,grade,enrollment_date\n1,a,C1,A,2024-01-01\n2,b,C1\n3,c,C1,A,2024-01-01,more\n"
+
+
+def test_ragged_csv_is_an_error_or_a_reject(spark, tmp_path):
+    source = write(tmp_path, "r.csv", RAGGED)
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_csv(spark, source, RAW_ENROLLMENT).select("enrollment_id").collect()
+    df = readers.read_csv(spark, source, RAW_ENROLLMENT, rejects="reject")
+    assert [(r["enrollment_id"], r["reject"]) for r in df.collect()] == [("1", None), ("2", "2,b,C1"), ("3", "3,c,C1,A,2024-01-01,more")]
+
+
+def test_quoted_line_break(spark, tmp_path):
+    source = write(tmp_path, "q.csv", 'enrollment_id,student_email,course_code,grade,enrollment_date\n1,a,"C\n1",A,2024-01-01\n')
+    assert readers.read_csv(spark, source, RAW_ENROLLMENT, multi_line=True).first()["course_code"] == "C\n1"
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_csv(spark, source, RAW_ENROLLMENT).collect()
+
+
+def test_broken_json_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_json(spark, write(tmp_path, "b.json", '{"data": [{"name": "x"')).collect()
+
+
+def test_copy_rows_that_do_not_fit(spark, tmp_path):
+    source = write(tmp_path, "c.txt", "1\ta\nx\tb\n3\tc\td\n4\n\\N\te\n")
+    with pytest.raises(Exception, match="does not fit"):
+        readers.read_copy_text(spark, source, "id int, name string").collect()
+    found = readers.read_copy_text(spark, source, "id int, name string", rejects="reject").collect()
+    assert [tuple(r) for r in found] == [(1, "a", None), (None, None, "x\tb"), (None, None, "3\tc\td"), (None, None, "4"), (None, "e", None)]
