@@ -127,11 +127,11 @@ def mixed(
     prepare(docs.sparkSession)
     nodes = [_node(i) for i in range(len(levels))]
     tokens = staged(docs.select(*_leaf_columns(levels), "doc_id", token_count().alias("n_tokens")).where("n_tokens > 0"), "mix-tokens")
-    leaf = cuts(tokens, levels, share, epochs, seed)
+    leaf = cuts(tokens, levels, share, epochs, seed).select(*nodes, F.col("whole").alias("__whole"), F.col("last_key").alias("__last_key"))
     # One row per leaf, read from a written table: the optimizer knows its size before it plans the join.
-    placed = docs.select("*", *_leaf_columns(levels)).where(F.col("text").rlike(BLANK_PARTED)).join(leaf.drop("tokens", "quota"), nodes)
-    more = F.coalesce((_key(F.col("whole"), seed) <= F.col("last_key")).cast("int"), F.lit(0))
-    times = F.col("whole") + more
+    placed = docs.select("*", *_leaf_columns(levels)).where(F.col("text").rlike(BLANK_PARTED)).join(leaf, nodes)
+    more = F.coalesce((_key(F.col("__whole"), seed) <= F.col("__last_key")).cast("int"), F.lit(0))
+    times = F.col("__whole") + more
     chosen = placed.withColumn("__times", times).where("__times > 0")
     kept = [F.col(f"`{c}`") for c in docs.columns if c != "epoch"]
     return chosen.select(*kept, *nodes, F.explode(F.sequence(F.lit(0), F.col("__times") - 1)).alias("epoch"))
