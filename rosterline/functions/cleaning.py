@@ -114,7 +114,7 @@ def normalize_phone(text: Column) -> Column:
 
 
 def is_phone(text: Column) -> Column:
-    return F.coalesce(F.trim(text).rlike(PHONE_PATTERN), F.lit(False))
+    return F.coalesce(trim_text(text).rlike(PHONE_PATTERN), F.lit(False))
 
 
 def number(text: Column) -> Column:

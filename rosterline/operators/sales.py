@@ -220,14 +220,12 @@ def purchase_history(
 ) -> DataFrame:
     """All purchased lines of one customer, newest invoice first."""
     mine = invoice.filter(F.col("CustomerId") == customer_id).select("InvoiceId", "InvoiceDate")
-    names = (
-        track.select("TrackId", "AlbumId", F.col("Name").alias("track_name"))
-        .join(album.select("AlbumId", "ArtistId"), "AlbumId")
-        .join(artist.select("ArtistId", F.col("Name").alias("artist_name")), "ArtistId")
-    )
+    # One customer's lines come first: each later join meets only their tracks, albums and artists.
     return (
         line.join(mine, "InvoiceId")
-        .join(names, "TrackId")
+        .join(track.select("TrackId", "AlbumId", F.col("Name").alias("track_name")), "TrackId")
+        .join(album.select("AlbumId", "ArtistId"), "AlbumId")
+        .join(artist.select("ArtistId", F.col("Name").alias("artist_name")), "ArtistId")
         .orderBy(F.desc_nulls_first("InvoiceDate"), "InvoiceId", "InvoiceLineId", "TrackId")
         .select(
             F.col("InvoiceId").alias("invoice_id"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,13 +32,17 @@ class SyncLog:
     def _append(self, row: tuple) -> None:
         self.spark.createDataFrame([row], SYNC_LOG).coalesce(1).write.mode("append").parquet(self.path)
 
-    def run(self, table_name: str, sync_type: str, action: Callable[[], int]) -> int:
-        """Run ``action``, log its record count, or log its failure and raise it again."""
+    def run(self, table_name: str, sync_type: str, action: Callable[[], int | tuple[int, dt.datetime | None]]) -> int:
+        """Run ``action``, log its record count, or log its failure and raise it again.
+
+        An action that reads a source returns the newest source time it read as well.
+        """
         sync_id = self.read().agg(F.coalesce(F.max("sync_id"), F.lit(0)) + 1).first()[0]
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        records, status, message = 0, "failed", None
+        records, status, message, until = 0, "failed", None, None
         try:
-            records = action()
+            done = action()
+            records, until = done if isinstance(done, tuple) else (done, None)
             status = "success"
             return records
         except Exception as error:
@@ -45,7 +50,7 @@ class SyncLog:
             raise
         finally:
             ended = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-            self._append((sync_id, table_name, sync_type, records, started, ended, status, message))
+            self._append((sync_id, table_name, sync_type, records, started, ended, status, message, until))
 
 
 def last_sync(log: DataFrame, table_name: str | None = None) -> DataFrame:
@@ -56,6 +61,12 @@ def last_sync(log: DataFrame, table_name: str | None = None) -> DataFrame:
     return done.groupBy("table_name").agg(F.max("completed_at").alias("last_sync"))
 
 
+def last_read(log: DataFrame, table_name: str) -> dt.datetime | None:
+    """The newest source time that a successful run of the table has read."""
+    done = log.filter((F.col("status") == "success") & (F.col("table_name") == table_name))
+    return done.agg(F.max("source_until")).first()[0]
+
+
 def changed_since(df: DataFrame, ts: str, since) -> DataFrame:
     """Rows newer than a sync point; all rows when there is none. The bound is pushed to the scan."""
     if since is None:
@@ -65,11 +76,9 @@ def changed_since(df: DataFrame, ts: str, since) -> DataFrame:
 
 
 def delta(df: DataFrame, ts: str, log: DataFrame, table_name: str) -> DataFrame:
-    """Rows newer than the table's last successful sync (a scalar subquery, nothing is collected)."""
-    since = log.filter((F.col("status") == "success") & (F.col("table_name") == table_name)).agg(
-        F.max("completed_at")
-    )
-    return df.filter(F.coalesce(F.col(ts) > since.scalar(), since.scalar().isNull()))
+    """Rows newer than the table's last successful sync, whose one value is fetched so that the scan can use it."""
+    done = log.filter((F.col("status") == "success") & (F.col("table_name") == table_name))
+    return changed_since(df, ts, done.agg(F.max("completed_at")).first()[0])
 
 
 def sync_history(log: DataFrame, limit: int = 10) -> DataFrame:
@@ -106,12 +115,20 @@ class SummaryTable:
         return self.table.current()
 
 
-def refresh_all(summaries: Mapping[str, SummaryTable]) -> dict[str, int | None]:
-    """Refresh each summary on its own: rows written, or None where the refresh failed."""
-    outcome: dict[str, int | None] = {}
+@dataclass
+class Refresh:
+    """Rows written, or why the refresh failed."""
+
+    rows: int | None = None
+    error: str | None = None
+
+
+def refresh_all(summaries: Mapping[str, SummaryTable]) -> dict[str, Refresh]:
+    """Refresh each summary on its own."""
+    outcome: dict[str, Refresh] = {}
     for name, summary in summaries.items():
         try:
-            outcome[name] = summary.refresh()
-        except Exception:  # one broken summary must not stop the others
-            outcome[name] = None
+            outcome[name] = Refresh(rows=summary.refresh())
+        except Exception as error:  # one broken summary must not stop the others
+            outcome[name] = Refresh(error=str(error))
     return outcome

@@ -83,6 +83,32 @@ def _(t: Tables) -> DataFrame:
     return readers.read_csv(t.spark, path, readers.RAW_STUDENT)
 
 
+@query("src_1_rejects")
+def _(t: Tables) -> DataFrame:
+    """Records of which one in ten lacks its last value."""
+    path = fresh_path(t.spark, "ragged")
+    customer = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey").cast("string"))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus", customer)
+    t.given("orders").select(line.alias("id,status,customer")).write.csv(path, header=True, sep="\u0001", quote="")
+    schema = T.StructType.fromDDL("id string, status string, customer string")
+    return readers.read_csv(t.spark, path, schema, rejects="reject")
+
+
+@query("src_2_array")
+def _(t: Tables) -> DataFrame:
+    path = fresh_path(t.spark, "arrays")
+    wrapped = F.coalesce(*[F.get_json_object("value", f"$.{name}") for name in readers.WRAPPERS])
+    _wrapped_students(t).select(wrapped.alias("value")).write.text(path)
+    return readers.read_json(t.spark, path, multi_line=False).select("student_id", "name", "email", "year")
+
+
+@query("src_2_single")
+def _(t: Tables) -> DataFrame:
+    path = fresh_path(t.spark, "objects")
+    t.raw_students.select(F.to_json(F.struct("student_id", "name", "email", "year")).alias("value")).write.text(path)
+    return readers.read_json(t.spark, path, multi_line=False).select("student_id", "name", "email", "year")
+
+
 @query("src_2_json")
 def _(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "documents")
@@ -145,6 +171,16 @@ def _(t: Tables) -> DataFrame:
     return readers.read_pending(t.spark, _envelopes(t), multi_line=False)
 
 
+@query("src_6_rejects")
+def _(t: Tables) -> DataFrame:
+    """Rows of which one in ten has text in a column of numbers."""
+    path = fresh_path(t.spark, "unfit")
+    customer = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey").cast("string")).otherwise("none")
+    line = F.concat_ws("\t", F.col("o_orderkey").cast("string"), "o_orderstatus", customer)
+    t.given("orders").select(line.alias("value")).write.text(path)
+    return readers.read_copy_text(t.spark, path, "id long, status string, customer long", rejects="reject")
+
+
 @query("src_6_copy_text")
 def _(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "copy")
@@ -750,9 +786,9 @@ def _(t: Tables) -> DataFrame:
     refreshed = sync.refresh_all(summaries)
     parts = [
         summaries[name].read().agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("summary"), "row_count", F.lit(rows).cast("long").alias("rows_written")
+            F.lit(name).alias("summary"), "row_count", F.lit(done.rows).cast("long").alias("rows_written")
         )
-        for name, rows in refreshed.items()
+        for name, done in refreshed.items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -898,7 +934,7 @@ def _(t: Tables) -> DataFrame:
         log.run("customer", "batch", fail)
     except RuntimeError:
         pass
-    return log.read().drop("started_at", "completed_at")
+    return log.read().drop("started_at", "completed_at", "source_until")
 
 
 @query("inc_4_last_sync")
@@ -912,6 +948,18 @@ def _(t: Tables) -> DataFrame:
     return sync.delta(t.given("events"), "ts", t.sync_log, "table_3").select("event_id", "ts", "event_type")
 
 
+@query("inc_4_run")
+def _(t: Tables) -> DataFrame:
+    """Two runs that read their own delta: the source's older part first, then all of it."""
+    place = F.unix_micros(F.col("o_orderdate").cast("timestamp")) * 100 + F.col("o_orderkey") % 100
+    orders = t.given("orders").select("o_custkey", "o_orderkey", "o_orderdate", place.alias("place"))
+    table = sinks.empty_table(t.spark, fresh_path(t.spark, "orders"), ["o_custkey"], orders.drop("place").schema.simpleString().removeprefix("struct<").removesuffix(">"))
+    log = sync.SyncLog(t.spark, fresh_path(t.spark, "sync_log"))
+    jobs.run_delta(log, "orders", table, orders.filter(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz")), "o_orderdate", "place", {})
+    jobs.run_delta(log, "orders", table, orders, "o_orderdate", "place", {})
+    return table.current().drop("o_orderkey")
+
+
 @query("inc_5_sync_history")
 def _(t: Tables) -> DataFrame:
     return sync.sync_history(t.sync_log, 10)

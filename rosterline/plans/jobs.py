@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import io
 import time
 from collections.abc import Callable, Mapping
@@ -11,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.operators.sync import SummaryTable, SyncLog, refresh_all
+from rosterline.operators.sync import Refresh, SummaryTable, SyncLog, last_read, refresh_all
 from rosterline.operators.validation import (
     ENROLLMENT_COLUMNS,
     STUDENT_COLUMNS,
@@ -75,7 +76,7 @@ def run_incremental(
     changes: DataFrame,
     order_by: str,
     summaries: Mapping[str, SummaryTable],
-) -> tuple[int, dict[str, int | None]]:
+) -> tuple[int, dict[str, Refresh]]:
     """Upsert a change under the sync log, then refresh the summaries: (records processed, rows per summary)."""
 
     def upsert() -> int:
@@ -85,6 +86,33 @@ def run_incremental(
     return log.run(table_name, "incremental", upsert), refresh_all(summaries)
 
 
+def run_delta(
+    log: SyncLog,
+    table_name: str,
+    table: VersionedTable,
+    source: DataFrame,
+    ts: str,
+    order_by: str,
+    summaries: Mapping[str, SummaryTable],
+) -> tuple[int, dict[str, Refresh]]:
+    """Upsert what the source has from the newest time of the last run on, then refresh the summaries.
+
+    The bound is the source's own time and is read again: a row stamped while a run is under way, or with the time of
+    the last row of a run, is met by the next one. ``order_by`` has to grow with ``ts``.
+    """
+
+    def upsert() -> tuple[int, dt.datetime | None]:
+        since = last_read(log.read(), table_name)
+        changes = source if since is None else source.filter(F.col(ts) >= F.lit(str(since)).cast("timestamp_ntz"))
+        until = changes.agg(F.max(ts)).first()[0]
+        if until is None:
+            return 0, since
+        change = table.upsert(changes.filter(F.col(ts) <= F.lit(str(until)).cast("timestamp_ntz")), order_by)
+        return change.inserted + change.updated, until
+
+    return log.run(table_name, "incremental", upsert), refresh_all(summaries)
+
+
 def plan_text(df: DataFrame) -> str:
     """The formatted physical plan."""
     shown = io.StringIO()

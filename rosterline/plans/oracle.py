@@ -241,6 +241,13 @@ REQUEST_COLUMNS = "firstName lastName email dateOfBirth year phoneNumber departm
 
 # -- sources and sinks
 oracle("src_1_csv", "SELECT " + ", ".join(nulled(c) for c in RAW_COLUMNS) + " FROM raw_students")
+oracle(
+    "src_1_rejects",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, CASE WHEN o_orderkey % 10 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS customer, "
+    "CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey || ',' || o_orderstatus END AS reject FROM orders",
+)
+for _key in ("src_2_array", "src_2_single"):
+    oracle(_key, "SELECT student_id, name, email, year FROM raw_students")
 oracle("src_2_json", "SELECT student_id, name, email, year FROM raw_students")
 oracle(
     "src_3_by_extension",
@@ -258,6 +265,12 @@ oracle(
     "SELECT strftime(to_timestamp(seq // 100) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS \"exportedAt\", "
     "CAST(seq % 100 + 1 AS INT) AS position, " + ", ".join(f'"{c}"' for c in REQUEST_COLUMNS) + " FROM requests",
 )
+oracle(
+    "src_6_rejects",
+    "SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey END AS id, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderstatus END AS status, "
+    "CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS customer, "
+    "CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey || chr(9) || o_orderstatus || chr(9) || 'none' END AS reject FROM orders",
+)
 oracle(
     "src_6_copy_text",
     "SELECT o_orderkey AS id, o_orderstatus || '\"\\' || o_orderpriority AS label, "
@@ -876,6 +889,7 @@ oracle(
     "SELECT event_id, ts, event_type FROM events WHERE ts > (SELECT max(completed_at) FROM sync_log "
     "WHERE status = 'success' AND table_name = 'table_3')",
 )
+oracle("inc_4_run", "SELECT o_custkey, max(o_orderdate) AS o_orderdate FROM orders GROUP BY 1")
 oracle(
     "inc_5_sync_history",
     "SELECT table_name, sync_type, records_processed, started_at, completed_at, status, "

@@ -56,7 +56,7 @@ COURSE = "course_id string, course_name string, department_id int, course_credit
 ENROLLMENT = "enrollment_id long, enrollment_date date, student_id long, course_id string, grade string"
 SYNC_LOG = (
     "sync_id long, table_name string, sync_type string, records_processed long, started_at timestamp_ntz, "
-    "completed_at timestamp_ntz, status string, error_message string"
+    "completed_at timestamp_ntz, status string, error_message string, source_until timestamp_ntz"
 )
 ARTIST = "ArtistId int, Name string"
 ALBUM = "AlbumId int, Title string, ArtistId int"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterline.operators import sync
-from rosterline.plans.jobs import run_benchmark, run_incremental
+from rosterline.plans.jobs import run_benchmark, run_delta, run_incremental
 from rosterline.schemas import SYNC_LOG
 from rosterline.sources.store import VersionedTable
 
@@ -36,7 +36,7 @@ def test_log_keeps_successes_and_failures(spark, path):
 def test_delta(spark):
     at = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
     log = spark.createDataFrame(
-        [(1, "t", "batch", 1, at[0], at[1], "success", None), (2, "t", "batch", 1, at[1], at[2], "failed", "x")], SYNC_LOG
+        [(1, "t", "batch", 1, at[0], at[1], "success", None, None), (2, "t", "batch", 1, at[1], at[2], "failed", "x", None)], SYNC_LOG
     )
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(at)], "i int, ts timestamp_ntz")
     assert [r["i"] for r in sync.delta(rows, "ts", log, "t").collect()] == [2]
@@ -56,7 +56,9 @@ def test_refresh_shows_new_data_and_survives_one_failure(spark, path):
         "bad": sync.SummaryTable(spark, path("bad"), broken, ["id"]),
         "late": sync.SummaryTable(spark, path("late"), lambda: spark.range(2), ["id"]),
     }
-    assert sync.refresh_all(summaries) == {"good": 3, "bad": None, "late": 2}
+    done = sync.refresh_all(summaries)
+    assert {name: r.rows for name, r in done.items()} == {"good": 3, "bad": None, "late": 2}
+    assert "no" in done["bad"].error and done["good"].error is None
     before = summaries["good"].read()
     source["n"] = 5
     summaries["good"].refresh()
@@ -69,11 +71,35 @@ def test_incremental_run_logs_then_refreshes(spark, path):
     log = sync.SyncLog(spark, path("log"))
     total = sync.SummaryTable(spark, path("sum"), lambda: table.current().groupBy("v").count(), ["v"])
     changes = spark.createDataFrame([(2, "a"), (3, "a")], "k long, v string")
-    assert run_incremental(log, "t", table, changes, "k", {"sum": total}) == (2, {"sum": 1})
+    assert run_incremental(log, "t", table, changes, "k", {"sum": total}) == (2, {"sum": sync.Refresh(1)})
     assert [tuple(r) for r in total.read().collect()] == [("a", 3)]
     assert log.read().first()["records_processed"] == 2
 
 
+def test_a_run_meets_what_was_stamped_during_the_last_one(spark, path):
+    table = VersionedTable(spark, path("t"), ["k"], buckets=2)
+    table.publish(spark.createDataFrame([], "k long, ts timestamp_ntz, n long"))
+    log = sync.SyncLog(spark, path("log"))
+    at = [dt.datetime(2024, 1, 1, 0, 0, s) for s in range(4)]
+
+    def run(rows):
+        source = spark.createDataFrame([(k, at[s], 10 * s + k) for k, s in rows], "k long, ts timestamp_ntz, n long")
+        return run_delta(log, "t", table, source, "ts", "n", {})[0]
+
+    assert run([]) == 0
+    assert run([(1, 0), (2, 1)]) == 2
+    assert run([(1, 0), (2, 1), (3, 1), (4, 2)]) == 3  # 3 has the time of the last row that was read
+    assert sorted(r["k"] for r in table.current().collect()) == [1, 2, 3, 4]
+    assert sync.last_read(log.read(), "t") == at[2]
+
+
+def test_the_bound_of_a_delta_reaches_the_scan(spark, path):
+    log = spark.createDataFrame([(1, "t", "batch", 1, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), "success", None, None)], SYNC_LOG)
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 3))], "i int, ts timestamp_ntz").write.parquet(path("events"))
+    text = sync.delta(spark.read.parquet(path("events")), "ts", log, "t")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(ts," in text
+
+
 def test_benchmark_marks_failures(spark):
     suite = {"ok": lambda: spark.range(4), "bad": lambda: spark.read.parquet("/nowhere/at/all")}
     results = run_benchmark(spark, suite).collect()
