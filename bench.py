@@ -54,6 +54,11 @@ HEADLINE = [
     "b_7_countries_above",
     "inc_1_upsert",
     "inc_2_insert_ignore",
+    "snk_2_load_enrollments",
+    "f_3_enroll_students",
+    "f_6_stored_grades",
+    "mv_4_refresh_all",
+    "str_1_registration",
 ]
 
 
