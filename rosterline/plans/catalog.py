@@ -414,12 +414,10 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query("val_9_cleaning_run")
-def _(t: Tables) -> DataFrame:
-    """The whole cleaning run, then the enrollments it stored."""
+def _cleaning_run(t: Tables) -> tuple[jobs.CleaningRun, VersionedTable, VersionedTable]:
     address = F.regexp_replace("student_email", "CUSTOMER0*([0-9]+)", "user$1")
     students, enrollments = _student_table(t), _enrollment_table(t)
-    jobs.run_cleaning(
+    done = jobs.run_cleaning(
         t.raw_students,
         t.raw_enrollments.withColumn("student_email", address),
         t.registry,
@@ -428,6 +426,13 @@ def _(t: Tables) -> DataFrame:
         enrollments,
         AS_OF,
     )
+    return done, students, enrollments
+
+
+@query("val_9_cleaning_run")
+def _(t: Tables) -> DataFrame:
+    """The whole cleaning run, then the enrollments it stored."""
+    _, students, enrollments = _cleaning_run(t)
     return (
         enrollments.current()
         .join(students.current().select("student_id", "student_email"), "student_id")
@@ -435,6 +440,12 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query("val_9_rejects")
+def _(t: Tables) -> DataFrame:
+    """The stored rejects of the whole cleaning run."""
+    return _cleaning_run(t)[0].rejects.select("job", "seq", "reject_reason")
+
+
 # -- academic queries --------------------------------------------------------------------------
 
 

@@ -22,6 +22,7 @@ from rosterline.operators.validation import (
     tag_students,
     validate_pending,
 )
+from rosterline.session import fresh_path
 from rosterline.sources.sinks import load_enrollments, load_students
 from rosterline.sources.store import Change, VersionedTable
 
@@ -36,6 +37,12 @@ class CleaningRun:
     statistics: DataFrame
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_cleaning(
     raw_students: DataFrame,
     raw_enrollments: DataFrame,
@@ -46,15 +53,18 @@ def run_cleaning(
     as_of=None,
     seq: str = "seq",
 ) -> CleaningRun:
-    """Clean and load students, then enrollments against the students just loaded."""
-    students = tag_students(raw_students, department, as_of, seq)
+    """Clean and load students, then enrollments against the students just loaded.
+
+    Judged records are written once; loads, rejects and statistics read them. The rejects are a stored table.
+    """
+    students = _stored(tag_students(raw_students, department, as_of, seq), "judged-students")
     accepted, rejected = split(students, STUDENT_COLUMNS, seq)
     student_change = load_students(student_table, accepted, seq)
-    enrollments = tag_enrollments(raw_enrollments, student_table.current(), course, seq)
+    enrollments = _stored(tag_enrollments(raw_enrollments, student_table.current(), course, seq), "judged-enrollments")
     enrolled, refused = split(enrollments, ENROLLMENT_COLUMNS, seq)
     enrollment_change = load_enrollments(enrollment_table, enrolled, seq)
-    rejects = rejected.withColumn("job", F.lit("students")).unionByName(
-        refused.withColumn("job", F.lit("enrollments"))
+    rejects = _stored(
+        rejected.withColumn("job", F.lit("students")).unionByName(refused.withColumn("job", F.lit("enrollments"))), "rejects"
     )
     statistics = run_statistics(students, "students").unionByName(run_statistics(enrollments, "enrollments"))
     return CleaningRun(student_change, enrollment_change, rejects, statistics)

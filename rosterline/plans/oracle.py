@@ -449,6 +449,12 @@ oracle(
     "JOIN loaded l ON l.student_id = e.student_id WHERE reject_reason IS NULL",
 )
 
+oracle(
+    "val_9_rejects",
+    "SELECT 'students' AS job, seq, reject_reason FROM tagged_students WHERE reject_reason IS NOT NULL UNION ALL "
+    "SELECT 'enrollments', seq, reject_reason FROM loaded_enrollments WHERE reject_reason IS NOT NULL",
+)
+
 # -- academic queries
 oracle(
     "q_01_students_per_department",
