@@ -23,6 +23,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ from rosterline.session import fresh_path
 MAGIC = b"RLTOKENS"
 HEADER = struct.Struct("<8sHHI")
 FRAME = struct.Struct("<QI")
-CACHED_WORDS = 500_000
+CACHED_WORDS = 900_000
 READ_BYTES = 1 << 22
 
 # The pattern by which the tokenizer cuts text, and the bytes that its alphabet shows as themselves.
@@ -44,8 +45,9 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 VISIBLE = {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in SHOWN)}
-# Letters that are their own composed form, then signs with no apostrophe, digit or blank among them.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+# ASCII signs but the apostrophe, and words of letters that are their own composed form.
+SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c != 39)
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]*")
 
 MANIFEST = "shard long, path string, records long, tokens long"
 RECORDS = "shard long, ordinal long, doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -73,9 +75,10 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.model = self.tokenizer.model
         self.plain = self._cuts_plain_words()
-        self.letters: dict[str, list[int]] = {}
-        self.signs: dict[str, list[int]] = {}
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.letters: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         self.forget()
 
     def _cuts_plain_words(self) -> bool:
@@ -98,25 +101,31 @@ class WordEncoder(dict):
         self.waiting.append(word)
         return index
 
-    def _ids(self, word: bytes) -> list[int]:
-        """A word of letters, then ASCII signs other than the apostrophe, is cut there; the pattern does so as well."""
+    def _packed(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _ids(self, word: bytes) -> bytes:
+        """The packed ids of a word. One of letters, then ASCII signs other than the apostrophe, is cut there; the pattern does so as well."""
         text = word.decode("utf-8", "replace")
-        parts = PLAIN.fullmatch(text) if self.plain else None
-        if parts is None:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        letters, signs = parts[1].lower(), parts[2]
+        if not self.plain:
+            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        letters = text.rstrip(SIGNS)
+        if not (letters.isascii() and letters.isalpha() or LETTERS.fullmatch(letters)):
+            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        signs = text[len(letters) :]
+        letters = letters.lower()
         ids = self.letters.get(letters)
         if ids is None:
             if len(self.letters) > CACHED_WORDS:
                 self.letters.clear()
             mapped = letters if letters.isascii() else letters.encode().decode("latin-1").translate(VISIBLE)
-            ids = self.letters[letters] = [t.id for t in self.model.tokenize(mapped)] if letters else []
+            ids = self.letters[letters] = self._packed([t.id for t in self.model.tokenize(mapped)] if letters else [])
         if signs:
             ending = self.signs.get(signs)
             if ending is None:
                 if len(self.signs) > CACHED_WORDS:
                     self.signs.clear()
-                ending = self.signs[signs] = self.tokenizer.encode(signs, add_special_tokens=False).ids
+                ending = self.signs[signs] = self._packed(self.tokenizer.encode(signs, add_special_tokens=False).ids)
             return ids + ending
         return ids
 
@@ -126,12 +135,11 @@ class WordEncoder(dict):
         if len(self) > len(self.starts):
             grown = 2 * len(self)
             self.starts, self.lengths = (np.concatenate([x[:known], np.empty(grown - known, np.int64)]) for x in (self.starts, self.lengths))
-        flat: list[int] = []
-        for index, word in enumerate(waiting, known):
-            ids = self._ids(word)
-            self.starts[index] = self.used + len(flat)
-            self.lengths[index] = len(ids)
-            flat += ids
+        packed = [self._ids(word) for word in waiting]
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(packed), self.dtype)
+        self.lengths[known : len(self)] = sizes
+        self.starts[known : len(self)] = self.used + np.cumsum(sizes) - sizes
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
         self.pool[self.used : self.used + len(flat)] = flat
