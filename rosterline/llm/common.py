@@ -74,11 +74,11 @@ def letters_and_digits() -> np.ndarray:
     return np.where(keep[low], _byte_values()[low], np.uint64(0))
 
 
-def not_blank() -> np.ndarray:
-    """Byte values of words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; 0 elsewhere."""
+def not_blank(fold: bool = True) -> np.ndarray:
+    """Byte values of words ``[^\\x20\\x09-\\x0D]+``, by default after lower-casing A-Z; 0 elsewhere."""
     keep = np.ones(256, bool)
     keep[[32, 9, 10, 11, 12, 13]] = False
-    low = _lowered()
+    low = _lowered() if fold else np.arange(256)
     return np.where(keep[low], _byte_values()[low], np.uint64(0))
 
 
@@ -121,8 +121,8 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def _words_of_piece(data: np.ndarray, breaks: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of every word; ``breaks`` are positions at which a word ends in any case."""
+def _words_of_piece(data: np.ndarray, breaks: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end of every word; ``breaks`` are positions at which a word ends in any case."""
     n = len(data)
     value = values[data]
     inside = value != 0
@@ -139,17 +139,23 @@ def _words_of_piece(data: np.ndarray, breaks: np.ndarray, values: np.ndarray) ->
     up, down = _powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(value * up[:n], out=total[1:])
-    return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64)), begin
+    return mix((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64)), begin, end
 
 
 def words(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and per row the index of its first word (one more entry than rows).
+    """Hash of every word, and per row the index of its first word (one more entry than rows)."""
+    hashes, _, _, at = located_words(data, offsets, values)
+    return hashes, at
+
+
+def located_words(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hash, first byte and end of every word, and per row the index of its first word.
 
     ``values`` gives a byte's value, 0 for bytes that part words. Rows part words as well. A long text is
     read in pieces that end between words, so memory does not follow the longest text.
     """
     n, at = len(data), 0
-    hashes, begins = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    hashes, begins, ends = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     while at < n:
         end = min(at + SLICE_BYTES, n)
         while end < n and values[data[end]] and values[data[end - 1]]:
@@ -159,11 +165,13 @@ def words(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> tuple[np
                 break
             end = min(end + 4096, n)
         inner = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, end)] - at
-        found, begin = _words_of_piece(data[at:end], inner, values)
+        found, begin, stop = _words_of_piece(data[at:end], inner, values)
         hashes.append(found)
         begins.append(begin + at)
+        ends.append(stop + at)
         at = end
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), offsets).astype(np.int64)
+    begin = np.concatenate(begins)
+    return np.concatenate(hashes), begin, np.concatenate(ends), np.searchsorted(begin, offsets).astype(np.int64)
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:

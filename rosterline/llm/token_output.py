@@ -31,13 +31,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm.common import buffers, file_system, prepare, ragged, slices
+from rosterline.llm.common import buffers, file_system, located_words, not_blank, prepare, ragged, slices
 from rosterline.session import fresh_path
 
 MAGIC = b"RLTOKENS"
 HEADER = struct.Struct("<8sHHI")
 FRAME = struct.Struct("<QI")
-CACHED_WORDS = 900_000
+CACHED_WORDS = 1_500_000
+CACHED_SIGNS = 10_000
 READ_BYTES = 1 << 22
 
 # The pattern by which the tokenizer cuts text, and the bytes that its alphabet shows as themselves.
@@ -58,27 +59,25 @@ def masked_crc(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
-class WordEncoder(dict):
+class WordEncoder:
     """Ids of texts, remembering those of words parted by ASCII blanks.
 
     The tokenizer turns runs of blanks into one space and drops it, and no piece of its pattern spans one, so
     a text's ids are those of its blank-parted words in turn; plain words go to the BPE model without the steps before it.
-    At most ``CACHED_WORDS`` words are remembered;
-    then the memory starts anew.
+    Words are known by 64-bit hashes in a sorted array, looked up once per slice. When more than ``CACHED_WORDS`` are
+    remembered, the memory starts anew.
     """
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.model = self.tokenizer.model
         self.plain = self._cuts_plain_words()
-        self.letters: dict[str, bytes] = {}
-        self.signs: dict[str, bytes] = {}
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
+        self.values = not_blank(fold=False)
         self.forget()
 
     def _cuts_plain_words(self) -> bool:
@@ -89,17 +88,12 @@ class WordEncoder(dict):
         return kinds == ["NFC", "Replace", "Lowercase"] and splits[0].get("pattern") == {"Regex": WORD_PATTERN}
 
     def forget(self) -> None:
-        self.clear()
-        self.waiting: list[bytes] = []
+        self.signs: dict[str, bytes] = {}
+        self.known = np.empty(0, np.uint64)
+        self.starts = np.empty(0, np.int64)
+        self.lengths = np.empty(0, np.int32)
         self.pool = np.empty(1 << 16, self.dtype)
         self.used = 0
-        self.starts = np.empty(1 << 14, np.int64)
-        self.lengths = np.empty(1 << 14, np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = index = len(self)
-        self.waiting.append(word)
-        return index
 
     def _packed(self, ids: list[int]) -> bytes:
         return array(self.code, ids).tobytes()
@@ -107,61 +101,57 @@ class WordEncoder(dict):
     def _ids(self, word: bytes) -> bytes:
         """The packed ids of a word. One of letters, then ASCII signs other than the apostrophe, is cut there; the pattern does so as well."""
         text = word.decode("utf-8", "replace")
-        if not self.plain:
-            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        letters = text.rstrip(SIGNS)
+        letters = text.rstrip(SIGNS) if self.plain else "\0"
         if not (letters.isascii() and letters.isalpha() or LETTERS.fullmatch(letters)):
             return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         signs = text[len(letters) :]
         letters = letters.lower()
-        ids = self.letters.get(letters)
-        if ids is None:
-            if len(self.letters) > CACHED_WORDS:
-                self.letters.clear()
-            mapped = letters if letters.isascii() else letters.encode().decode("latin-1").translate(VISIBLE)
-            ids = self.letters[letters] = self._packed([t.id for t in self.model.tokenize(mapped)] if letters else [])
-        if signs:
-            ending = self.signs.get(signs)
-            if ending is None:
-                if len(self.signs) > CACHED_WORDS:
-                    self.signs.clear()
-                ending = self.signs[signs] = self._packed(self.tokenizer.encode(signs, add_special_tokens=False).ids)
-            return ids + ending
-        return ids
-
-    def _learn(self) -> None:
-        waiting, self.waiting = self.waiting, []
-        known = len(self) - len(waiting)
-        if len(self) > len(self.starts):
-            grown = 2 * len(self)
-            self.starts, self.lengths = (np.concatenate([x[:known], np.empty(grown - known, np.int64)]) for x in (self.starts, self.lengths))
-        packed = [self._ids(word) for word in waiting]
+        mapped = letters if letters.isascii() else letters.encode().decode("latin-1").translate(VISIBLE)
+        ids = self._packed([t.id for t in self.model.tokenize(mapped)]) if letters else b""
+        if not signs:
+            return ids
+        ending = self.signs.get(signs)
+        if ending is None:
+            ending = self._packed(self.tokenizer.encode(signs, add_special_tokens=False).ids)
+            if len(self.signs) < CACHED_SIGNS:
+                self.signs[signs] = ending
+        return ids + ending
+
+    def _learn(self, hashes: np.ndarray, found: list[bytes]) -> None:
+        """Add words by their sorted hashes."""
+        packed = [self._ids(word) for word in found]
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
         flat = np.frombuffer(b"".join(packed), self.dtype)
-        self.lengths[known : len(self)] = sizes
-        self.starts[known : len(self)] = self.used + np.cumsum(sizes) - sizes
+        place = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, place, hashes)
+        self.lengths = np.insert(self.lengths, place, sizes)
+        self.starts = np.insert(self.starts, place, self.used + np.cumsum(sizes) - sizes)
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
         self.pool[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
 
-    def encode(self, text: bytes, piece: int = 1 << 20) -> np.ndarray:
-        """The ids of one whole text; a long text is looked up in pieces that end at blanks."""
-        out, at = [], 0
-        while at < len(text):
-            end = min(at + piece, len(text))
-            if end < len(text):
-                cut = max(text.rfind(b, at, end) for b in (b" ", b"\n", b"\t"))
-                end = cut if cut > at else len(text)
-            if len(self) > CACHED_WORDS:
-                self.forget()
-            found = text[at:end].split()
-            index = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-            if self.waiting:
-                self._learn()
-            out.append(self.pool[ragged(self.starts[index], self.lengths[index])])
-            at = end
-        return np.concatenate(out) if out else np.empty(0, self.dtype)
+    def encode_rows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows of a slice, one after the other, and where each row's begin and the last one's end."""
+        hashes, begin, end, at = located_words(data, offsets, self.values)
+        if len(hashes) == 0:
+            return np.empty(0, self.dtype), np.zeros(len(at), np.int64)
+        if len(self.known) > CACHED_WORDS:
+            self.forget()
+        different, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, different)
+        new = np.append(self.known, np.uint64(0))[place] != different
+        new |= place == len(self.known)
+        if new.any():
+            self._learn(different[new], [data[b:e].tobytes() for b, e in zip(begin[first[new]].tolist(), end[first[new]].tolist())])
+            place = np.searchsorted(self.known, different)
+        lengths = self.lengths[place][which].astype(np.int64)
+        ids = self.pool[ragged(self.starts[place][which], lengths)]
+        return ids, np.append(0, np.cumsum(lengths))[at]
+
+    def encode(self, text: bytes) -> np.ndarray:
+        """The ids of one whole text."""
+        return self.encode_rows(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -186,10 +176,10 @@ def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path:
         ids_of_docs, texts = batch.column(0), batch.column(1)
         data, bounds = buffers(texts)
         for first, last in slices(bounds):
-            raw = data[bounds[first] : bounds[last]].tobytes()
+            flat, places = encode.encode_rows(data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first])
             out = bytearray()
             for row in range(first, last):
-                ids = encode.encode(raw[bounds[row] - bounds[first] : bounds[row + 1] - bounds[first]])
+                ids = flat[places[row - first] : places[row - first + 1]]
                 doc_id = ids_of_docs[row].as_py()
                 payload = struct.pack("<Bq", doc_id is not None, doc_id or 0) + ids.tobytes() + end_mark.tobytes()
                 size = struct.pack("<Q", len(payload))
