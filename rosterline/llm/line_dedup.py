@@ -1,14 +1,15 @@
 """Removal of repeated runs of lines.
 
 Every three consecutive lines of a text form a window. Of the windows with equal lines, in all documents, the first
-by (doc_id, position) stays; the lines that any later one covers are removed. Windows meet by a 128-bit hash: their
-first places are folded before the shuffle, so a passage that a third of the documents share costs no more than another,
-and only windows that repeat come back to the documents.
+by (doc_id, row key, position) stays; the lines that any later one covers are removed. Windows meet by a 128-bit hash:
+their first places are folded before the shuffle, so a passage that a third of the documents share costs no more than
+another, and only windows that repeat come back to the documents.
 
 Rows: a NULL text stays NULL; texts of fewer than three lines have no window and stay as they are, empty ones too;
 lines are compared as they are, blanks included; a text without any line left is empty; rows without doc_id come
-first in the order and count as one document, as do rows that share a doc_id (a place that both hold in
-equal texts is one place, so repeated rows keep the same lines); other columns are kept, whatever their names.
+first in the order, each a document of its own by a row key that is written before any hashing; rows that share a doc_id
+are told apart by the hash of their text, and only repeated rows, equal in both, are one document and keep the same
+lines; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,41 +20,45 @@ from pyspark.sql import functions as F
 from rosterline.llm.common import prepare, staged
 
 WINDOW = 3
-# Positions of a text are below this.
-PLACES = 1 << 32
 
 
 def _lines() -> Column:
     return F.split(F.col("text"), "\n", -1)
 
 
-def windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos, a, b): the 128-bit hash of the window at each line position."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with ``__key``, which tells rows of one doc_id apart; rows without doc_id are written with theirs."""
+    without = staged(docs.where("doc_id IS NULL").withColumn("__key", F.monotonically_increasing_id()), "line-rows")
+    return docs.where("doc_id IS NOT NULL").withColumn("__key", F.xxhash64("text")).union(without)
+
+
+def windows(keyed: DataFrame) -> DataFrame:
+    """(doc_id, __key, pos, a, b): the 128-bit hash of the window at each line position."""
     def hashes(i: Column) -> Column:
         run = F.slice(F.col("l"), i + 1, WINDOW)
         return F.struct(i.alias("pos"), F.xxhash64(run).alias("a"), F.xxhash64(F.lit(1), run).alias("b"))
 
-    lines = docs.where("text IS NOT NULL").select("doc_id", _lines().alias("l")).where(F.size("l") >= WINDOW)
-    every = lines.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("l") - WINDOW), hashes)).alias("w"))
-    return every.select("doc_id", "w.pos", "w.a", "w.b")
+    lines = keyed.where("text IS NOT NULL").select("doc_id", "__key", _lines().alias("l")).where(F.size("l") >= WINDOW)
+    every = lines.select("doc_id", "__key", F.explode(F.transform(F.sequence(F.lit(0), F.size("l") - WINDOW), hashes)).alias("w"))
+    return every.select("doc_id", "__key", "w.pos", "w.a", "w.b")
 
 
-def later_windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, pos) of every window that repeats an earlier one."""
-    every = staged(windows(docs), "line-windows")
-    lowest = F.lit(-(1 << 63)).cast("decimal(38,0)") - 1
-    place = F.coalesce(F.col("doc_id").cast("decimal(38,0)"), lowest) * F.lit(PLACES).cast("decimal(12,0)") + F.col("pos")
-    placed = every.withColumn("place", place.cast("decimal(38,0)"))
+def later_windows(keyed: DataFrame) -> DataFrame:
+    """(doc_id, __key, pos) of every window that repeats an earlier one."""
+    placed = staged(windows(keyed), "line-windows").select("a", "b", F.struct("doc_id", "__key", "pos").alias("place"))
     first = placed.groupBy("a", "b").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
-    return placed.join(first.drop("last"), ["a", "b"]).where("place > first").select("doc_id", "pos").distinct()
+    return placed.join(first.drop("last"), ["a", "b"]).where("place > first").select("place.*").distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents with their texts less repeated runs, and ``n_lines`` (before) and ``n_removed``."""
     prepare(docs.sparkSession)
-    covered = later_windows(docs).groupBy("doc_id").agg(F.collect_set("pos").alias("__starts"))
-    covered = staged(covered.withColumnRenamed("doc_id", "__of"), "line-repeats")
-    joined = docs.drop("n_lines", "n_removed").join(covered, F.col("doc_id").eqNullSafe(F.col("__of")), "left").drop("__of")
+    keyed = _keyed(docs.drop("n_lines", "n_removed"))
+    covered = later_windows(keyed).groupBy("doc_id", "__key").agg(F.collect_set("pos").alias("__starts"))
+    covered = staged(covered.withColumnsRenamed({"doc_id": "__of", "__key": "__of_key"}), "line-repeats")
+    same = F.col("doc_id").eqNullSafe(F.col("__of")) & (F.col("__key") == F.col("__of_key"))
+    # One plan for every size: the removed lines grow with the texts, so they are too many to broadcast in the end.
+    joined = keyed.join(covered.hint("merge"), same, "left").drop("__of", "__of_key", "__key")
     gone = F.flatten(F.transform("__starts", lambda p: F.array(*[p + k for k in range(WINDOW)])))
     count = F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines()))
     kept = F.array_except(F.sequence(F.lit(0), F.size(_lines()) - 1), gone)

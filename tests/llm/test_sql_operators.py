@@ -49,6 +49,12 @@ def test_line_windows(docs):
     assert line_dedup.dedup_lines(clash).count() == len(DOCS) + 2
 
 
+def test_rows_without_or_with_shared_ids_are_documents_of_their_own(docs):
+    rows = [(None, "p\nq\nr\nmine"), (None, "p\nq\nr\nyours"), (None, "k\nl\nm\nn"), (None, "x\ny\nz"), (None, "x\ny\nz"), (3, "u\nv\nw"), (3, "p\nq\nr\ns")]
+    found = sorted((r["doc_id"] or 0, r["text"], r["n_removed"]) for r in line_dedup.dedup_lines(docs(rows).coalesce(1)).collect())
+    assert found == [(0, "", 3), (0, "k\nl\nm\nn", 0), (0, "p\nq\nr\nmine", 0), (0, "x\ny\nz", 0), (0, "yours", 3), (3, "s", 3), (3, "u\nv\nw", 0)]
+
+
 TURNS = [
     (1, True, 0, "user", "hi"), (1, True, 1, "assistant", "good"), (1, True, 2, "user", "ok"),
     (1, False, 0, "user", "hi"), (1, False, 1, "assistant", "bad"), (1, False, 2, "user", "ok"), (1, False, 2, "user", "ok"),
