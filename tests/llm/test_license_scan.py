@@ -60,3 +60,25 @@ def test_bands_reach_the_stated_probability():
         for found in length.sets:
             held = math.ceil(license_scan.CONTAINMENT * len(found))
             assert (1 - held / (length.size + len(found) - held)) ** length.bands <= license_scan.MISS
+
+
+def test_whole_licenses_and_nearest_versions(docs):
+    known = license_scan.covered()
+    rng = np.random.default_rng(3)
+    wanted = ["mit", "isc", "bsd-2-clause-text", "bsd-3-clause", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "apache-2.0", "mpl-2.0", "cc0-1.0"]
+    wanted += ["gpl-2.0-notice-whole", "gpl-3.0-notice-whole", "agpl-3.0-notice-whole", "cc-by-4.0-notice", "cc-by-sa-3.0-notice", "mpl-2.0-notice"]
+    rows = []
+    for k, name in enumerate(wanted):
+        text = words(known[name])
+        for _ in range(len(text) // 100):
+            text[int(rng.integers(len(text)))] = f"changed{k}"
+        rows.append((k, " ".join([*number_words(0, 40), *text, *number_words(400, 40)])))
+    rows += [(100, "Licensed under the MIT License."), (101, "Licensed under the GNU General Public License."), (102, f"{known['gpl-2.0']} {known['mit']}")]
+    found = {r["doc_id"]: {m["template"] for m in r["matches"]} for r in license_scan.scan(docs(rows), known, nearest=True).collect()}
+    assert [found[k] for k in range(len(wanted))] == [{name} for name in wanted]
+    assert (found[100], found[101], found[102]) == ({"mit-line-1"}, {"gpl-line-1"}, {"gpl-2.0", "mit"})
+
+
+def test_registered_scan_covers_whole_licenses(spark, docs, tmp_path):
+    docs([(1, license_scan.covered()["isc"]), (2, "no license")]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: r["licenses"] for r in license_scan.op4(spark, str(tmp_path)).collect()} == {1: "isc", 2: ""}
