@@ -6,10 +6,13 @@ different symbols that precede them, and every order is interpolated with the ne
 distribution. All languages share sorted arrays of 64-bit run hashes with one column of log probabilities (or
 log back-off weights) each; a lookup starts at the slot that the leading bits of the hash point to.
 
-The language with the lowest cross-entropy per symbol wins (ties: the smaller name). A text is ``rejected`` if
-even that is far above what held-back training texts of the language show: above their mean by six deviations of a
-symbol over the square root of the length, plus the larger of ``LEAST_SLACK`` nats (so that a text with passages in a
-second language stays) and twice the worst excess among them; texts without letters are ``und`` and rejected.
+The language with the lowest cross-entropy per symbol wins (ties: the smaller name). For the rejection a text is read in
+parts of ``PART`` to twice as many symbols, each in the language that is best for it, so that passages in a second known
+language cost nothing. A text is ``rejected`` if its parts are on the whole above what held-back training texts of these
+languages show: above their mean by six deviations of a symbol over the square root of the length, plus a slack. The
+slack follows from the held-back texts alone: the median of what they have above that, plus ``SPREADS`` times the distance
+from there to their ``UPPER`` quantile, so single odd or mislabelled texts do not move it. Texts without letters are
+``und`` and rejected.
 
 The models are fitted on at most ``train_rows`` labelled documents per language, those with the smallest hash of
 their id; a quarter of these calibrates the rejection. Prediction reads whole texts.
@@ -39,10 +42,11 @@ BOUNDARY = 32
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SCORE_SYMBOLS = 20
 DEVIATIONS = 6.0
-LEAST_SLACK = 1.6
+PART = 120
+UPPER, SPREADS = 0.9, 5.0
 
 GRAMS = "lang string, gram string, count long"
-PREDICTED = "doc_id long, lang_pred string, score double, symbols long, cross_entropy double, squares double, rejected boolean"
+PREDICTED = "doc_id long, lang_pred string, score double, symbols long, cross_entropy double, squares double, rejected boolean, excess double"
 
 _LETTERS: list[np.ndarray] = []
 
@@ -204,11 +208,12 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
 
 
 def predict(model: Model | None, texts: list[str]) -> list[tuple]:
-    """Language, score, symbols, cross-entropy, mean squared surprise and rejection of every text."""
-    und = ("und", 0.0, 0, None, None, True)
+    """Language, score, symbols, cross-entropy, mean squared surprise, rejection and excess of every text."""
+    und = ("und", 0.0, 0, None, None, True, None)
     if model is None:
         return [und] * len(texts)
     width = len(model.languages)
+    limits = np.array([model.limits.get(g, (0.0, 0.0, np.inf)) for g in model.languages])
     out: list[tuple] = []
     group, held = [], 0
 
@@ -217,30 +222,35 @@ def predict(model: Model | None, texts: list[str]) -> list[tuple]:
         if not group:
             return
         stream, at = symbols(group)
-        sums, squares = np.zeros((len(group), width)), np.zeros((len(group), width))
+        sizes = at[1:] - at[:-1] - ORDER + 1
+        full = np.flatnonzero(sizes > 0)
+        parts = np.maximum(sizes[full] // PART, 1)
+        head = np.cumsum(parts) - parts  # the first part of each text
+        start = at[full].repeat(parts) + PART * (np.arange(int(parts.sum())) - head.repeat(parts))
+        stop = np.append(start[1:], 0)
+        stop[head + parts - 1] = at[full] + sizes[full]
+        sums, squares = np.zeros((len(start), width)), np.zeros((len(start), width))
         for first in range(0, max(len(stream) - ORDER + 1, 0), PIECE):
             last = min(first + PIECE, len(stream) - ORDER + 1)
             log_p = model.log_probabilities(stream[first : last + ORDER - 1])
             # The symbol that a run predicts is its last; those of padding belong to no text.
-            begin = np.clip(at[:-1], first, last) - first
-            end = np.clip(at[1:] - ORDER + 1, first, last) - first
+            begin = np.clip(start, first, last) - first
+            end = np.clip(stop, first, last) - first
             some = np.flatnonzero(end > begin)
             if len(some):
                 edges = np.stack([begin[some], end[some]], axis=1).ravel()
                 tail = np.zeros((1, width), np.float32)
                 sums[some] += np.add.reduceat(np.concatenate([log_p, tail]), edges, axis=0, dtype=np.float64)[::2]
                 squares[some] += np.add.reduceat(np.concatenate([log_p * log_p, tail]), edges, axis=0, dtype=np.float64)[::2]
-        sizes = at[1:] - at[:-1] - ORDER + 1
-        for row, size in enumerate(sizes.tolist()):
+        found = iter(_judged(sums, squares, stop - start, head, limits) if len(full) else ())
+        for size in sizes.tolist():
             if size <= 0:
                 out.append(und)
                 continue
-            entropy = -sums[row] / size
+            entropy, square, excess, slack = next(found)
             best = int(entropy.argmin())
             weight = np.exp(-(entropy - entropy[best]) * min(size, SCORE_SYMBOLS))
-            mean, deviation, slack = model.limits.get(model.languages[best], (0.0, 0.0, np.inf))
-            far = entropy[best] > mean + DEVIATIONS * deviation / np.sqrt(size) + slack
-            out.append((model.languages[best], float(1 / weight.sum()), size, float(entropy[best]), float(squares[row, best] / size), bool(far)))
+            out.append((model.languages[best], float(1 / weight.sum()), size, float(entropy[best]), float(square[best]), bool(excess > slack), float(excess)))
         group, held = [], 0
 
     for text in texts:
@@ -252,7 +262,17 @@ def predict(model: Model | None, texts: list[str]) -> list[tuple]:
     return out
 
 
-PREDICTED_ARROW = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("symbols", pa.int64()), ("cross_entropy", pa.float64()), ("squares", pa.float64()), ("rejected", pa.bool_())])
+def _judged(sums: np.ndarray, squares: np.ndarray, sizes: np.ndarray, head: np.ndarray, limits: np.ndarray) -> Iterator[tuple]:
+    """By text: cross-entropy and mean squared surprise by language, and the excess of its parts with their slack."""
+    best = sums.argmax(axis=1)
+    mean, deviation, slack = limits[best].T
+    size = np.add.reduceat(sizes, head)
+    usual = np.add.reduceat(sizes * mean, head) + DEVIATIONS * np.sqrt(np.add.reduceat(sizes * deviation**2, head))
+    excess = (-np.add.reduceat(sums.max(axis=1), head) - usual) / size
+    return zip(-np.add.reduceat(sums, head) / size[:, None], np.add.reduceat(squares, head) / size[:, None], excess, np.add.reduceat(sizes * slack, head) / size)
+
+
+PREDICTED_ARROW = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("symbols", pa.int64()), ("cross_entropy", pa.float64()), ("squares", pa.float64()), ("rejected", pa.bool_()), ("excess", pa.float64())])
 
 
 def _predict_rows(docs: DataFrame, model) -> DataFrame:
@@ -289,17 +309,19 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS):
         runs = np.frombuffer("".join(part["gram"]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER)
         counts[lang] = (runs, part["count"].to_numpy(np.int64))
     model = build(counts)
-    tried = _predict_rows(sample.where(held), spark.sparkContext.broadcast(model)).where("symbols > 0")
+    langs = sample.select("doc_id", "lang").distinct()
+
+    def tried() -> DataFrame:
+        found = _predict_rows(sample.where(held), spark.sparkContext.broadcast(model)).where("symbols > 0")
+        return found.join(langs, "doc_id").where("lang = lang_pred").groupBy("lang")
+
     size = F.sum("symbols")
-    stats = tried.join(sample.select("doc_id", "lang").distinct(), "doc_id").where("lang = lang_pred").groupBy("lang").agg(
-        (F.sum(F.col("cross_entropy") * F.col("symbols")) / size).alias("mean"),
-        (F.sum(F.col("squares") * F.col("symbols")) / size).alias("squares"),
-        F.max(F.struct("cross_entropy", "symbols")).alias("worst"),
-    )
-    for row in stats.collect():
-        deviation = float(np.sqrt(max(row["squares"] - row["mean"] ** 2, 0.0)))
-        excess = row["worst"]["cross_entropy"] - row["mean"] - DEVIATIONS * deviation / np.sqrt(row["worst"]["symbols"])
-        model.limits[row["lang"]] = (row["mean"], deviation, max(LEAST_SLACK, 2 * excess))
+    mean, squares = (F.sum(F.col(c) * F.col("symbols")) / size for c in ("cross_entropy", "squares"))
+    for row in tried().agg(mean.alias("mean"), squares.alias("squares")).collect():
+        model.limits[row["lang"]] = (row["mean"], float(np.sqrt(max(row["squares"] - row["mean"] ** 2, 0.0))), np.inf)
+    for row in tried().agg(F.percentile("excess", F.array(F.lit(0.5), F.lit(UPPER))).alias("at")).collect():
+        middle, upper = row["at"]
+        model.limits[row["lang"]] = (*model.limits[row["lang"]][:2], max(0.0, middle + SPREADS * (upper - middle)))
     return spark.sparkContext.broadcast(model)
 
 
@@ -309,7 +331,7 @@ def held_out() -> F.Column:
 
 def identify(docs: DataFrame, model) -> DataFrame:
     prepare(docs.sparkSession)
-    return _predict_rows(docs, model).drop("squares")
+    return _predict_rows(docs, model).drop("squares", "excess")
 
 
 def keep_identified(docs: DataFrame, model) -> DataFrame:

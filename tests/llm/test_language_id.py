@@ -1,8 +1,11 @@
+import os
+
 import numpy as np
 import pytest
 from rosterline.llm import language_id
 from rosterline.llm.language_id import ORDER
 
+MIDDLE = "/root/testdata/sf0.01"
 EN = "the quick brown fox jumps over the lazy dog and then they went home with the others "
 DE = "der schnelle braune fuchs springt über den faulen hund und dann gingen sie nach hause "
 
@@ -62,3 +65,18 @@ def test_held_out_accuracy(small_tables):
     found = language_id.identify(docs, language_id.fit(docs.where(~language_id.held_out()))).withColumn("held_out", language_id.held_out())
     rows = found.where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert len(rows) > 20 and np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.95 and not any(r["rejected"] for r in rows)
+
+
+def test_a_language_left_out_is_rejected_and_mixed_texts_stay(spark):
+    if not os.path.isdir(MIDDLE):
+        pytest.skip("given tables are not here")
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").where("length(text) > 400")
+    texts = {}
+    for r in docs.where(language_id.held_out()).select("lang", "text").collect():
+        texts.setdefault(r["lang"], []).append(r["text"])
+    known = language_id.fit(docs.where(~language_id.held_out())).value
+    mixed = [a[:400] + " " + b[:400] for a in texts["en"] for lang in texts if lang != "en" for b in texts[lang][:2]]
+    assert mixed and not any(r[5] for r in language_id.predict(known, mixed))
+    for lang in ("en", "de"):
+        without = language_id.fit(docs.where(~language_id.held_out()).where(docs["lang"] != lang)).value
+        assert np.mean([r[5] for r in language_id.predict(without, texts[lang])]) > 0.9
