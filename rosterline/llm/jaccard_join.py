@@ -6,7 +6,8 @@ into bands [x, 2.5 x], x a power of two, that overlap so that such a pair shares
 band cuts the shingle domain into partitions by hash. Of k + 1 partitions that hold a shingle one must agree, since each
 differing shingle spoils one partition, so the subsets to enumerate are single partitions. A set signs those of its
 partitions that are among the first X of its band; X is such that nearly every set of the band signs k + 1 and some
-to spare.
+to spare. A set that falls short signs all partitions and keeps them all: with a set that signs enough it agrees among
+the first X, with another that falls short among all.
 
 Links are found without emitting all pairs of a group:
 
@@ -102,23 +103,41 @@ def cut(band: int) -> tuple[int, int]:
     return count, signed
 
 
-def signatures(shingles: np.ndarray, band: int) -> np.ndarray:
-    """Hashes of the signed partitions that hold a shingle. Small bands give every shingle a partition of its own."""
-    salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    place = mix(shingles ^ salt)
-    if 1 << band < COARSE_FROM:
-        return mix(place + salt)
-    count, signed = cut(band)
+def _partitions(shingles: np.ndarray, place: np.ndarray, salt: np.uint64, count: int, signed: int) -> np.ndarray:
+    """Hashes of those of the first ``signed`` of ``count`` partitions that hold a shingle."""
     part = place % np.uint64(count)
     chosen = part < signed
     shingles, part = shingles[chosen], part[chosen]
+    if len(part) == 0:
+        return np.empty(0, np.uint64)
     order = np.argsort(part)
     part = part[order]
     begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-    found = mix(np.add.reduceat(mix(shingles[order] + salt), begin) ^ mix(part[begin] + salt))
-    if len(found) <= largest_difference(len(shingles)):
-        raise ValueError("a set reaches too few partitions of its band")
-    return found
+    return mix(np.add.reduceat(mix(shingles[order] + salt), begin) ^ mix(part[begin] + salt))
+
+
+def signed_and_spare(shingles: np.ndarray, band: int) -> tuple[np.ndarray, int]:
+    """Signatures of a set in a band, and how many of them are more than it needs.
+
+    A set that signs too few partitions signs all of the band, and every shingle too if these are too few as well; it has
+    none to spare, as those beyond the signed ones may be missing from a similar set that signs enough.
+    """
+    salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    place = mix(shingles ^ salt)
+    need = largest_difference(len(shingles)) + 1
+    if 1 << band < COARSE_FROM:
+        return mix(place + salt), len(shingles) - need
+    count, signed = cut(band)
+    found = _partitions(shingles, place, salt, count, signed)
+    if len(found) >= need:
+        return found, len(found) - need
+    found = _partitions(shingles, place, salt, count, count)
+    return (found if len(found) >= need else np.append(found, mix(place + salt))), 0
+
+
+def signatures(shingles: np.ndarray, band: int) -> np.ndarray:
+    """Hashes of the signed partitions that hold a shingle. Small bands give every shingle a partition of its own."""
+    return signed_and_spare(shingles, band)[0]
 
 
 def parity(shingles: np.ndarray) -> bytes:
@@ -172,11 +191,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if key in seen:
                     continue
                 seen.add(key)
-                need = largest_difference(len(found)) + 1
-                signed = [signatures(found, band) for band in bands(len(found))]
+                signed, spares = zip(*(signed_and_spare(found, band) for band in bands(len(found))))
                 out += signed
                 owner.append(np.full(sum(map(len, signed)), doc_ids[row], np.int64))
-                spare.append(np.full(len(owner[-1]), min(map(len, signed)) - need, np.int32))
+                spare.append(np.full(len(owner[-1]), min(spares), np.int32))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(owner)), pa.array(np.concatenate(spare))], ["sig", "doc_id", "spare"]

@@ -113,6 +113,25 @@ def test_every_band_has_partitions_enough():
         assert jaccard_join.bands(a)[0] in jaccard_join.bands(a * 5 // 4)
 
 
+def test_sets_that_reach_too_few_partitions_sign_all():
+    rng, band = np.random.default_rng(8), 9
+    count, signed = jaccard_join.cut(band)
+    assert signed < count
+    salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    every = rng.integers(0, 1 << 63, 60000).astype(np.uint64)
+    part = jaccard_join.mix(every ^ salt) % np.uint64(count)
+    common, own = every[part >= signed][:600], every[part < signed][:20]
+    crowded = every[part == count - 1]
+    for same, left, right in ((common, own[:10], own[10:]), (common, own[:0], own[:10]), (common, own, every[:0])):
+        a, b = np.unique(np.append(same, left)), np.unique(np.append(same, right))
+        (of_a, spare_a), (of_b, spare_b) = jaccard_join.signed_and_spare(a, band), jaccard_join.signed_and_spare(b, band)
+        assert len(np.intersect1d(of_a, of_b)) and spare_a == spare_b == 0
+        assert len(of_a) > jaccard_join.largest_difference(len(a)) and len(of_b) > jaccard_join.largest_difference(len(b))
+    # All in one partition: every shingle is signed.
+    few = jaccard_join.signatures(np.unique(crowded[:30]), band)
+    assert len(few) > jaccard_join.largest_difference(30) and len(np.intersect1d(few, jaccard_join.signatures(np.unique(crowded[1:30]), band)))
+
+
 def test_components_of_chains_stars_and_loops(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3), (300, 200), (200, 300)]
     found = {tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
