@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm import chat_preferences, decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, nearest_neighbours, suffix_tree_lm, token_output
+from rosterline.llm import alignment, chat_preferences, decontamination, jaccard_join, language_id, license_scan, line_dedup, mixing, nearest_neighbours, suffix_tree_lm, token_output, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": nearest_neighbours.op1,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": jaccard_join.op8,
     "op9_token_records": token_output.op9,
     "op10_mixing": mixing.op10,
+    "op11_token_alignment": alignment.op11,
+    "op12_toxicity": toxicity.op12,
+    "op13_whitening": whitening.op13,
 }
 
 ORACLE: dict[str, str] = {
