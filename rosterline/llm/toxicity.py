@@ -10,8 +10,8 @@ Learning, from at most about ``train_rows`` labelled rows (chosen by a hash of t
 1. Texts that are equal word by word and have the same label count once.
 2. Terms of at least ``MIN_DOCS`` texts are tested for association with the label. Those whose likelihood ratio exceeds
    the logarithm of the number of terms tested stay; at most ``max_terms``, the best first.
-3. Texts are folded to their kept terms, equal ones to one row with a count. On these, gradient steps over all rows with
-   a step size for each parameter (AdaGrad) fit weights and factors. Both have a normal prior around zero, of spread
+3. Texts are folded to their kept terms, equal ones to one row with a count. On these, gradient steps over batches drawn by
+   these counts, with a step size for each parameter (AdaGrad), fit weights and factors. Both have a normal prior around zero, of spread
    ``SPREAD`` and ``FACTOR_SPREAD``, so its pull fades as rows grow in number.
 
 A pair whose terms say nothing apart (an exact exclusive-or) passes step 2 by chance only and is not learned.
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import SortedHashes, buffers, letters_and_digits, located_words, mix, prepare, slices, staged
+from rosterline.llm.common import SortedHashes, buffers, letters_and_digits, located_words, mix, prepare, ragged, slices, staged
 
 BITS = 30
 TRAIN_ROWS = 100_000
@@ -39,7 +39,7 @@ MAX_TERMS = 4096
 MIN_DOCS = 3
 PREFIXES = (4, 6, 8)
 FACTORS = 8
-STEPS = 300
+STEPS, BATCH = 1500, 512
 RATE, FACTOR_RATE = 0.2, 0.04
 SPREAD, FACTOR_SPREAD = 3.0, 0.5
 THRESHOLD = 0.3
@@ -190,26 +190,37 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, max_te
 
 
 def _train(terms: SortedHashes, bias: float, row: np.ndarray, term: np.ndarray, label: np.ndarray, weight: np.ndarray) -> Model:
-    count, rows = len(terms.keys), len(label)
-    texts = weight.sum()
-    weight = weight / texts
+    """``row`` ascends; ``weight`` is how many texts a row stands for. The work is set by ``STEPS`` and ``BATCH``, not by the rows."""
+    count, rows, texts = len(terms.keys), len(label), weight.sum()
     shrink, factor_shrink = 1 / (texts * SPREAD**2), 1 / (texts * FACTOR_SPREAD**2)
-    weights = np.zeros(count)
-    factors = np.random.default_rng(12).normal(0, 0.01, (count, FACTORS))
+    draw = np.random.default_rng(12)
+    weights, factors = np.zeros(count), draw.normal(0, 0.01, (count, FACTORS))
     seen_w, seen_f, seen_b = np.full(count, 1e-12), np.full((count, FACTORS), 1e-12), 1e-12
-    for _ in range(STEPS):
-        logits, sums = _logits(bias, weights, factors, row, term, rows)
-        slope = (sigmoid(logits) - label) * weight
-        of_term = np.bincount(term, slope[row], count)
-        by_w = of_term + shrink * weights
-        by_f = np.stack([np.bincount(term, slope[row] * sums[row, k], count) for k in range(FACTORS)], axis=1)
-        by_f += (factor_shrink - of_term[:, None]) * factors
+    mean_w, mean_f, mean_b = np.zeros(count), np.zeros((count, FACTORS)), 0.0
+    begin, upto = np.searchsorted(row, np.arange(rows + 1)), np.cumsum(weight)
+    for step in range(STEPS):
+        if texts <= BATCH:
+            chosen, share = np.arange(rows), weight / texts
+        else:
+            chosen, times = np.unique(np.searchsorted(upto, draw.random(BATCH) * texts, side="right"), return_counts=True)
+            share = times / BATCH
+        sizes = begin[chosen + 1] - begin[chosen]
+        of_row, of_term = np.repeat(np.arange(len(chosen)), sizes), term[ragged(begin[chosen], sizes)]
+        logits, sums = _logits(bias, weights, factors, of_row, of_term, len(chosen))
+        slope = (sigmoid(logits) - label[chosen]) * share
+        by_term = np.bincount(of_term, slope[of_row], count)
+        by_w = by_term + shrink * weights
+        by_f = np.stack([np.bincount(of_term, (slope * sums[:, k])[of_row], count) for k in range(FACTORS)], axis=1)
+        by_f += (factor_shrink - by_term[:, None]) * factors
         by_b = slope.sum()
         seen_w, seen_f, seen_b = seen_w + by_w**2, seen_f + by_f**2, seen_b + by_b**2
         weights = weights - RATE * by_w / np.sqrt(seen_w)
         factors = factors - FACTOR_RATE * by_f / np.sqrt(seen_f)
         bias -= RATE * by_b / np.sqrt(seen_b)
-    return Model(terms, float(bias), weights, factors)
+        if 2 * step >= STEPS:  # the mean of the later half evens out what single batches do
+            mean_w, mean_f, mean_b = mean_w + weights, mean_f + factors, mean_b + bias
+    later = STEPS - (STEPS + 1) // 2
+    return Model(terms, float(mean_b / later), mean_w / later, mean_f / later)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
