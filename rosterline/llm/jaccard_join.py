@@ -1,23 +1,31 @@
 """Exact Jaccard join on word shingles by PartEnum signatures.
 
 A document's set holds the hashes of its distinct 5-word shingles. Two sets with a similarity of 0.8 or more differ
-in at most k = (|a| + |b|) / 9 shingles, and the larger has at most 1.25 times the size of the smaller. Sizes fall
-into bands [x, 2.5 x], x a power of two, that overlap so that such a pair shares the band of the smaller set. Each
-band cuts the shingle domain into partitions by hash. Of k + 1 partitions that hold a shingle one must agree, since each
-differing shingle spoils one partition, so the subsets to enumerate are single partitions. A set signs those of its
-partitions that are among the first X of its band; X is such that nearly every set of the band signs k + 1 and some
-to spare. A set that falls short signs all partitions and keeps them all: with a set that signs enough it agrees among
-the first X, with another that falls short among all.
+in at most k = (|a| + |b|) / 9 shingles, and the larger has at most 1.25 times the size of the smaller. Sizes fall into bands
+whose lower ends grow by the root of two and which reach to 1.25 times their last size, so such a pair shares the band of the
+smaller set. Each band cuts the shingle domain by hash into n1 partitions of n2 cells (``cut``). A signature is the content
+of all cells of a partition but k2:
+
+* bands from ``SUBSETS_FROM`` to ``WHOLE_FROM`` shingles: subsets of two of three cells (n2 = 3, k2 = 1). A differing shingle spoils
+  two of a partition's three signatures, a second one in another cell the third, so k of them spoil at most ``spoiled`` ones;
+* larger bands: whole partitions (n2 = 1, k2 = 0), each spoiled by one differing shingle. Only those of at least two shingles
+  count, so a single shingle that many documents have in common makes no signature;
+* smaller bands: every shingle is a signature.
+
+A set that has more signatures than can be spoiled shares one with every similar set. One that has not (chance put its
+shingles into too few cells) signs every partition that holds a shingle, and every shingle too if these are too few as well.
 
 Links are found without emitting all pairs of a group:
 
 1. Sets that are equal are one class; one member stands for it.
-2. Signatures meet in one shuffle, which counts them. Those that only one document has are gone at once.
-3. Of its signatures each document keeps the k + 1 rarest, by one global order: the rarest one that a similar pair has in
-   common is among those of both. So passages that many documents share, and the common part of a large group of
-   copies, do not bring documents together that differ in enough rare places.
-4. In each bucket every document is compared with the first one. Only buckets that after that still hold several
-   components give pairs, those of different components whose sizes and 512-bit parities allow a link.
+2. Signatures are counted by folding (no group is gathered). A second pass over the texts signs again and lets through
+   what a bitmap of fixed size says may be shared; a join with the counts, which adaptive execution may cut, makes that exact.
+3. Of its signatures each document keeps as many as can be spoiled and one more, the rarest by one global order: the rarest one that
+   a similar pair has in common is among those of both. So passages that many documents share, and the common part
+   of a large group of copies, do not bring documents together that differ in enough rare places.
+4. In each bucket every document is compared with the first one, then, in buckets that still hold several components, with
+   the last one. Only buckets that after that still hold several components give pairs, those of different components
+   whose sizes and 512-bit parities allow a link.
 
 Comparison is exact, on whole sets. Before sets are fetched, pairs meet on parity bitmaps of two to four bits a
 shingle: a differing shingle flips one bit, so bitmaps that differ in more than k bits rule a pair out and no similar
@@ -46,8 +54,11 @@ from rosterline.llm.components import components
 SHINGLE = 5
 SKETCH = 8  # 64-bit words
 FILTER_BITS = 23
-# Bands below this size cut the domain so finely that a partition is one shingle.
-COARSE_FROM = 64
+SIGNED_BITS = 26
+# Lower ends of the bands from which on signatures are subsets of cells, and whole partitions.
+SUBSETS_FROM, WHOLE_FROM = 8, 256
+# Partitions for one shingle that the largest set of a band may differ in; they leave sets of all its sizes about a sixth to spare.
+SUBSETS_FILL, WHOLE_FILL = 1.5, 1.65
 
 SETS = "doc_id long, n_shingles long, key_a long, key_b long, parity binary, sketch array<long>"
 SIGNATURES = "sig long, doc_id long, spare int"
@@ -66,10 +77,19 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, values: np.ndarray) -> I
             yield np.empty(0, np.uint64)
 
 
+@functools.cache
+def lower_end(band: int) -> int:
+    """The smallest size of a band: powers of the root of two, rounded."""
+    return math.isqrt(1 << band) if band % 2 == 0 else round(math.sqrt(2) * (1 << band // 2))
+
+
 def bands(size: int) -> list[int]:
-    """Logarithms of the lower ends of the bands that a set of this size belongs to."""
-    own = size.bit_length() - 1
-    return [own, own - 1] if own > 0 and 4 * size <= 5 << own else [own]
+    """The bands that a set of this size belongs to, its own first."""
+    own = 2 * (size.bit_length() - 1)
+    own += lower_end(own + 1) <= size
+    while own and lower_end(own) == lower_end(own - 1):
+        own -= 1
+    return [own, *(b for b in range(max(own - 2, 0), own) if lower_end(b) < lower_end(b + 1) and 4 * size <= 5 * (lower_end(b + 1) - 1))]
 
 
 def largest_difference(size: int) -> int:
@@ -79,64 +99,59 @@ def largest_difference(size: int) -> int:
 
 @functools.cache
 def cut(band: int) -> tuple[int, int]:
-    """Partitions of a band, and how many of them are signed.
-
-    These are enough for any set of the band to sign k + 1 and a twentieth to spare, with seven deviations of the number
-    of partitions that its shingles reach.
-    """
-    low = 1 << band
-    if low < COARSE_FROM:
-        return 1, 1
-    count, signed = 2 * low, 0
-    for size in range(low, low * 5 // 2 + 1, max(1, low // 16)):
-        need = 1.05 * (largest_difference(size) + 1)
-        empty, both = (1 - 1 / count) ** size, (1 - 2 / count) ** size
-        few, enough = 1, count
-        while few < enough:
-            n = (few + enough) // 2
-            spread = math.sqrt(max(0.0, n * empty * (1 - empty) + n * (n - 1) * (both - empty * empty)))
-            if n * (1 - empty) - 7 * spread >= need:
-                enough = n
-            else:
-                few = n + 1
-        signed = max(signed, few)
-    return count, signed
-
-
-def _partitions(shingles: np.ndarray, place: np.ndarray, salt: np.uint64, count: int, signed: int) -> np.ndarray:
-    """Hashes of those of the first ``signed`` of ``count`` partitions that hold a shingle."""
-    part = place % np.uint64(count)
-    chosen = part < signed
-    shingles, part = shingles[chosen], part[chosen]
-    if len(part) == 0:
-        return np.empty(0, np.uint64)
-    order = np.argsort(part)
-    part = part[order]
-    begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-    return mix(np.add.reduceat(mix(shingles[order] + salt), begin) ^ mix(part[begin] + salt))
+    """Partitions of a band and cells of each; (0, 0) where every shingle is a signature."""
+    low = lower_end(band)
+    most = largest_difference(5 * (lower_end(band + 1) - 1) // 4)
+    if low < SUBSETS_FROM:
+        return 0, 0
+    if low < WHOLE_FROM:
+        return math.ceil(SUBSETS_FILL * (most // 2 + 1)), 3
+    return math.ceil(WHOLE_FILL * most), 1
+
+
+def spoiled(size: int, partitions: int, cells: int) -> int:
+    """The most signatures that the differing shingles of a similar pair can spoil for a set of this size."""
+    k = largest_difference(size)
+    if cells == 1:
+        return min(k, partitions)
+    return 2 * min(k, partitions) + min(max(k - partitions, 0), partitions)
+
+
+def _subsets(shingles: np.ndarray, place: np.ndarray, salt: np.uint64, partitions: int, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of all subsets that hold a shingle, and how many shingles each holds."""
+    cell = (place % np.uint64(partitions * cells)).astype(np.int64)
+    order = np.argsort(cell, kind="stable")
+    held = np.bincount(cell, minlength=partitions * cells)
+    total = np.append(np.uint64(0), np.cumsum(mix(shingles[order] + salt)))
+    upto = np.append(0, np.cumsum(held))
+    content = (total[upto[1:]] - total[upto[:-1]]).reshape(partitions, cells)
+    held = held.reshape(partitions, cells)
+    if cells > 1:  # all cells but one
+        content = content.sum(axis=1, dtype=np.uint64)[:, None] - content
+        held = held.sum(axis=1)[:, None] - held
+    number = np.arange(partitions * cells, dtype=np.uint64)
+    return mix(mix(content.ravel()) ^ mix(number + salt))[held.ravel() > 0], held.ravel()[held.ravel() > 0]
 
 
 def signed_and_spare(shingles: np.ndarray, band: int) -> tuple[np.ndarray, int]:
     """Signatures of a set in a band, and how many of them are more than it needs.
 
-    A set that signs too few partitions signs all of the band, and every shingle too if these are too few as well; it has
-    none to spare, as those beyond the signed ones may be missing from a similar set that signs enough.
+    A set that has too few signs more than sets that have enough, and so keeps all of them.
     """
     salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
     place = mix(shingles ^ salt)
-    need = largest_difference(len(shingles)) + 1
-    if 1 << band < COARSE_FROM:
-        return mix(place + salt), len(shingles) - need
-    count, signed = cut(band)
-    found = _partitions(shingles, place, salt, count, signed)
-    if len(found) >= need:
-        return found, len(found) - need
-    found = _partitions(shingles, place, salt, count, count)
+    partitions, cells = cut(band)
+    if partitions == 0:
+        return mix(place + salt), len(shingles) - largest_difference(len(shingles)) - 1
+    found, held = _subsets(shingles, place, salt, partitions, cells)
+    need = spoiled(len(shingles), partitions, cells) + 1
+    usual = found[held >= 2] if cells == 1 else found
+    if len(usual) >= need:
+        return usual, len(usual) - need
     return (found if len(found) >= need else np.append(found, mix(place + salt))), 0
 
 
 def signatures(shingles: np.ndarray, band: int) -> np.ndarray:
-    """Hashes of the signed partitions that hold a shingle. Small bands give every shingle a partition of its own."""
     return signed_and_spare(shingles, band)[0]
 
 
@@ -175,7 +190,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(key_a), pa.array(key_b), pa.array(bits, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(0, sketch.size + 1, SKETCH, dtype=np.int32)), pa.array(sketch.ravel()))], [c.split()[0] for c in SETS.split(", ")])
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], shared: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Signatures of all sets; with a bitmap only those that it says may be shared."""
     values = not_blank()
     seen: set[tuple[int, int, int]] = set()  # sets that this task has signed: copies need not sign again
     for batch in batches:
@@ -196,9 +212,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 owner.append(np.full(sum(map(len, signed)), doc_ids[row], np.int64))
                 spare.append(np.full(len(owner[-1]), min(spares), np.int32))
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(owner)), pa.array(np.concatenate(spare))], ["sig", "doc_id", "spare"]
-                )
+                sig, owner, spare = np.concatenate(out), np.concatenate(owner), np.concatenate(spare)
+                if shared is not None:
+                    slot = sig & np.uint64((1 << SIGNED_BITS) - 1)
+                    some = (shared[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+                    sig, owner, spare = sig[some], owner[some], spare[some]
+                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(owner), pa.array(spare)], ["sig", "doc_id", "spare"])
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,6 +238,15 @@ def _near_by_parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
 
 
+def _bitmap(slots: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of the slots (long, below 2 ** bits); of fixed size whatever the rows."""
+    word = F.shiftright("slot", 6).alias("word")
+    found = slots.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")).toArrow()
+    out = np.zeros((1 << bits) // 64, np.uint64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
 def _slot(column: str) -> F.Column:
     return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS)).cast("long")
 
@@ -239,30 +267,30 @@ class _Join:
 
     def wanted(self, ids: DataFrame) -> DataFrame:
         """The rows of the documents that may have one of these ids, by a filter of fixed size."""
-        slots = ids.select(_slot("doc_id").alias("slot")).groupBy((F.col("slot") / 64).cast("long").alias("word"))
-        found = slots.agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot % 64 AS INT))")).alias("bits")).collect()  # 2 ** 17 rows at most
-        bits = np.zeros((1 << FILTER_BITS) // 64, np.int64)
-        for row in found:
-            bits[row["word"]] = row["bits"]
+        bits = _bitmap(ids.select(_slot("doc_id").alias("slot")), FILTER_BITS)
         shared = self.docs.sparkSession.sparkContext.broadcast(bits)
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 slot = batch.column(2).to_numpy()
-                keep = (shared.value[slot >> 6] >> (slot & 63)) & 1
+                keep = (shared.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
                 yield batch.select([0, 1]).filter(pa.array(keep.astype(bool)))
 
         return self.docs.select("doc_id", "text", _slot("doc_id").alias("slot")).mapInArrow(rows, "doc_id long, text string")
 
     def buckets(self) -> DataFrame:
-        """(sig, doc_id, first): signatures that several documents keep, with the first of these."""
-        bucket, of_doc = Window.partitionBy("sig"), Window.partitionBy("doc_id")
-        signed = self.docs.mapInArrow(_sign, SIGNATURES).withColumn("size", F.count(F.lit(1)).over(bucket)).where("size > 1")
+        """(sig, doc_id, first, last): signatures that several documents keep, with the first and the last of these."""
+        spark = self.docs.sparkSession
+        counts = self.docs.mapInArrow(_sign, SIGNATURES).groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        counts = staged(counts, "signature-counts")
+        may = spark.sparkContext.broadcast(_bitmap(counts.select(F.col("sig").bitwiseAND(F.lit((1 << SIGNED_BITS) - 1)).alias("slot")), SIGNED_BITS))
+        again = self.docs.mapInArrow(lambda batches: _sign(batches, may.value), SIGNATURES)
         # Signatures of one document alone are its rarest; so it may drop as many of the others as it has to spare.
-        ranked = staged(signed, "signatures").withColumn("place", F.row_number().over(of_doc.orderBy(F.desc("size"), F.desc("sig"))))
-        kept = ranked.where("place > spare").select("sig", "doc_id")
-        met = kept.withColumn("size", F.count(F.lit(1)).over(bucket)).withColumn("first", F.min("doc_id").over(bucket))
-        return staged(met.where("size > 1").select("sig", "doc_id", "first"), "buckets")
+        rarest_last = Window.partitionBy("doc_id").orderBy(F.desc("size"), F.desc("sig"))
+        ranked = again.join(counts, "sig").withColumn("place", F.row_number().over(rarest_last))
+        kept = staged(ranked.where("place > spare").select("sig", "doc_id"), "signatures")
+        ends = kept.groupBy("sig").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+        return staged(kept.join(ends, "sig"), "buckets")
 
     def verify(self, pairs: DataFrame) -> None:
         """Compare pairs (a, b) that were not compared before, on whole sets, and add the links."""
@@ -293,11 +321,15 @@ class _Join:
         sizes = self.members.select("doc_id", "n_shingles", "sketch").join(found, "doc_id", "left")
         return staged(sizes.withColumn("component", F.coalesce("component", "doc_id")), "components")
 
-    def open_pairs(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs within a bucket whose components differ and whose sizes and parities allow a link."""
-        known = rows.select("sig", "doc_id").join(labels, "doc_id")
+    def still_open(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
+        """The rows of buckets that hold several components."""
+        known = buckets.join(labels.select("doc_id", "component").distinct(), "doc_id")
         several = known.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        known = staged(known.join(several.select("sig"), "sig", "left_semi").select("sig", "doc_id", "component", "n_shingles", "sketch"), "open-buckets")
+        return staged(known.join(several.select("sig"), "sig", "left_semi").select("sig", "doc_id", "first", "last"), "open-buckets")
+
+    def open_pairs(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs within a bucket whose components differ and whose sizes and parities allow a link."""
+        known = staged(buckets.select("sig", "doc_id").join(labels, "doc_id").select("sig", "doc_id", "component", "n_shingles", "sketch"), "open-members")
         left, right = known.toDF("sig", "a", "component_a", "n_a", "sketch_a"), known.toDF("sig", "b", "component_b", "n_b", "sketch_b")
         differing = " + ".join(f"bit_count(sketch_a[{i}] ^ sketch_b[{i}])" for i in range(SKETCH))
         near = f"a < b AND component_a <> component_b AND n_a * 5 >= n_b * 4 AND n_b * 5 >= n_a * 4 AND ({differing}) * 9 <= n_a + n_b"
@@ -310,8 +342,11 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     join = _Join(known)
     buckets = join.buckets()
-    join.verify(buckets.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
-    join.verify(join.open_pairs(buckets, join.labels()))
+    for centre in ("first", "last"):
+        join.verify(buckets.select(F.col(centre).alias("a"), F.col("doc_id").alias("b")))
+        labels = join.labels()
+        buckets = join.still_open(buckets, labels)
+    join.verify(join.open_pairs(buckets, labels))
 
     labels = join.labels().select("doc_id", F.col("component").alias("component_id")).distinct()
     unknown = docs.where("doc_id IS NULL").select("doc_id", "text").mapInArrow(_sets, SETS).withColumn("component_id", F.lit(None).cast("long"))

@@ -103,33 +103,87 @@ def test_parity_never_rules_out_a_similar_pair():
         assert jaccard_join.parity_distance(jaccard_join.parity(a), jaccard_join.parity(b)) <= len(np.setxor1d(a, b))
 
 
-def test_every_band_has_partitions_enough():
+def test_similar_sizes_share_the_band_of_the_smaller_one():
+    for a in range(1, 5000):
+        own = jaccard_join.bands(a)[0]
+        assert jaccard_join.lower_end(own) <= a < jaccard_join.lower_end(own + 1) or jaccard_join.lower_end(own + 1) == jaccard_join.lower_end(own)
+        for b in {a, a * 9 // 8, a * 5 // 4}:
+            assert own in jaccard_join.bands(b)
+        assert len(jaccard_join.bands(a)) <= 2
+
+
+def similar_pair(rng, size, spread=1.0):
+    """Two sets of a similarity just above 0.8; ``spread`` below 1 takes their hashes from a part of the domain."""
+    every = np.unique(rng.integers(0, int(spread * (1 << 62)), 3 * size).astype(np.uint64))
+    rng.shuffle(every)
+    k = jaccard_join.largest_difference(size)
+    more = int(rng.integers(0, size // 4 + 1))
+    less = max(0, (k - more) // 2)
+    a = every[:size]
+    b = np.concatenate([every[less:size], every[size : size + less + more]])
+    while 100 * len(np.intersect1d(a, b)) < 80 * len(np.union1d(a, b)):
+        b = b[:-1] if len(b) > len(a) else np.union1d(a[:1], b) if a[0] not in b else np.union1d(b, a)
+    return np.unique(a), np.unique(b)
+
+
+def rarest(found, spare, order):
+    return set(sorted(found.tolist(), key=lambda s: (order.get(s, 0), s), reverse=True)[spare:])
+
+
+def test_similar_sets_share_a_kept_signature_whatever_is_rare():
     rng = np.random.default_rng(7)
-    for size in [*range(1, 90), 128, 150, 160, 161, 255, 256, 320, 512, 640, 1000, 1280, 5000, 20000]:
-        found = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
-        for band in jaccard_join.bands(len(found)):
-            assert len(jaccard_join.signatures(found, band)) > jaccard_join.largest_difference(len(found))
-    for a in range(1, 3000):  # similar sizes share the band of the smaller one
-        assert jaccard_join.bands(a)[0] in jaccard_join.bands(a * 5 // 4)
-
-
-def test_sets_that_reach_too_few_partitions_sign_all():
-    rng, band = np.random.default_rng(8), 9
-    count, signed = jaccard_join.cut(band)
-    assert signed < count
+    for size in [*range(1, 70), 90, 128, 150, 181, 255, 256, 300, 362, 500, 724, 1000, 3000]:
+        for _ in range(6):
+            a, b = similar_pair(rng, size)
+            small = min(a, b, key=len)
+            band = jaccard_join.bands(len(small))[0]
+            (of_a, spare_a), (of_b, spare_b) = (jaccard_join.signed_and_spare(x, band) for x in (a, b))
+            assert spare_a >= 0 and spare_b >= 0
+            both = np.intersect1d(of_a, of_b)
+            crowded = {s: 1 for s in both.tolist()}  # the worst order: all that they share is crowded
+            assert rarest(of_a, spare_a, crowded) & rarest(of_b, spare_b, crowded), (size, len(a), len(b))
+
+
+def test_no_more_is_spoiled_than_stated():
+    rng = np.random.default_rng(9)
+    for size in (12, 30, 60, 120, 250, 400, 900):
+        band = jaccard_join.bands(size)[0]
+        salt, (partitions, cells) = np.uint64(5), jaccard_join.cut(band)
+        for _ in range(40):
+            a = np.unique(rng.integers(0, 1 << 62, size).astype(np.uint64))
+            k = jaccard_join.largest_difference(len(a))
+            b = np.append(a, rng.integers(1 << 62, 1 << 63, k).astype(np.uint64))
+            of_a, of_b = (jaccard_join._subsets(x, jaccard_join.mix(x), salt, partitions, cells)[0] for x in (a, b))
+            assert len(np.setdiff1d(of_a, of_b)) <= jaccard_join.spoiled(len(a), partitions, cells)
+
+
+def test_sets_in_few_cells_sign_every_shingle():
+    rng, band = np.random.default_rng(8), jaccard_join.bands(600)[0]
+    partitions, cells = jaccard_join.cut(band)
+    assert cells == 1
     salt = np.uint64((band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    every = rng.integers(0, 1 << 63, 60000).astype(np.uint64)
-    part = jaccard_join.mix(every ^ salt) % np.uint64(count)
-    common, own = every[part >= signed][:600], every[part < signed][:20]
-    crowded = every[part == count - 1]
-    for same, left, right in ((common, own[:10], own[10:]), (common, own[:0], own[:10]), (common, own, every[:0])):
-        a, b = np.unique(np.append(same, left)), np.unique(np.append(same, right))
-        (of_a, spare_a), (of_b, spare_b) = jaccard_join.signed_and_spare(a, band), jaccard_join.signed_and_spare(b, band)
-        assert len(np.intersect1d(of_a, of_b)) and spare_a == spare_b == 0
-        assert len(of_a) > jaccard_join.largest_difference(len(a)) and len(of_b) > jaccard_join.largest_difference(len(b))
-    # All in one partition: every shingle is signed.
-    few = jaccard_join.signatures(np.unique(crowded[:30]), band)
-    assert len(few) > jaccard_join.largest_difference(30) and len(np.intersect1d(few, jaccard_join.signatures(np.unique(crowded[1:30]), band)))
+    every = rng.integers(0, 1 << 63, 200_000).astype(np.uint64)
+    part = jaccard_join.mix(every ^ salt) % np.uint64(partitions)
+    crowded = every[part < 3][:600]
+    a, b = np.unique(crowded[:590]), np.unique(crowded[20:])
+    (of_a, spare_a), (of_b, spare_b) = (jaccard_join.signed_and_spare(x, band) for x in (a, b))
+    assert spare_a == spare_b == 0 and len(np.intersect1d(of_a, of_b))
+
+
+def test_three_hundred_just_below_the_limit(docs):
+    """Documents that share 0.75 of their shingles by pairs, beside a few that are above 0.8."""
+    rng = np.random.default_rng(12)
+    base = number_words(0, 400)
+    rows = []
+    for k in range(300):
+        words = list(base)
+        for place in rng.choice(390, 10, replace=False):
+            words[place] = f"own{k}at{place}"
+        rows.append((k, " ".join(words)))
+    rows += [(1000 + k, rows[7 * k][1].replace(f"own{7 * k}", "other", 2)) for k in range(20)]
+    found = set(result(docs(rows)))
+    assert found == brute_force(rows)
+    assert len({c for *_, c in found}) > 100
 
 
 def test_components_of_chains_stars_and_loops(spark):
