@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rosterline.session import ensure_adaptive, fresh_path
 
 RECORDS_PER_BATCH = 1000
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _MASK = (1 << 64) - 1
 _PRIME = 0x9E3779B97F4A7C15
@@ -101,7 +101,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = pc.fill_null(column, "")
+        column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "")
     if len(column) == 0:
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
     width = np.int64 if pa.types.is_large_string(column.type) else np.int32

@@ -18,8 +18,8 @@ shingles into too few cells) signs every partition that holds a shingle, and eve
 Links are found without emitting all pairs of a group:
 
 1. Sets that are equal are one class; one member stands for it.
-2. Signatures are counted by folding (no group is gathered). A second pass over the texts signs again and lets through
-   what a bitmap of fixed size says may be shared; a join with the counts, which adaptive execution may cut, makes that exact.
+2. Signatures are counted by folding (no group is gathered). Of the stored signatures a bitmap of fixed size then lets
+   through those that may be shared; a join with the counts, which adaptive execution may cut, makes that exact.
 3. Of its signatures each document keeps as many as can be spoiled and one more, the rarest by one global order: the rarest one that
    a similar pair has in common is among those of both. So passages that many documents share, and the common part
    of a large group of copies, do not bring documents together that differ in enough rare places.
@@ -60,7 +60,7 @@ SUBSETS_FROM, WHOLE_FROM = 8, 256
 # Partitions for one shingle that the largest set of a band may differ in; they leave sets of all its sizes about a sixth to spare.
 SUBSETS_FILL, WHOLE_FILL = 1.5, 1.65
 
-SETS = "doc_id long, n_shingles long, key_a long, key_b long, parity binary, sketch array<long>"
+SETS = "doc_id long, n_shingles long, key_a long, key_b long, parity binary, sketch array<long>, signatures binary, spare int"
 SIGNATURES = "sig long, doc_id long, spare int"
 
 
@@ -120,7 +120,7 @@ def spoiled(size: int, partitions: int, cells: int) -> int:
 def _subsets(shingles: np.ndarray, place: np.ndarray, salt: np.uint64, partitions: int, cells: int) -> tuple[np.ndarray, np.ndarray]:
     """The signatures of all subsets that hold a shingle, and how many shingles each holds."""
     cell = (place % np.uint64(partitions * cells)).astype(np.int64)
-    order = np.argsort(cell, kind="stable")
+    order = np.argsort(cell.astype(np.uint16) if partitions * cells <= 1 << 16 else cell, kind="stable")  # short keys sort by radix
     held = np.bincount(cell, minlength=partitions * cells)
     total = np.append(np.uint64(0), np.cumsum(mix(shingles[order] + salt)))
     upto = np.append(0, np.cumsum(held))
@@ -173,51 +173,46 @@ def parity_distance(a: bytes, b: bytes) -> int:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per text; the first of equal sets in a task carries the signatures of all its bands."""
     values = not_blank()
+    seen: set[bytes] = set()
     for batch in batches:
         data, offsets = buffers(batch.column(1))
-        size, key_a, key_b = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
-        bits: list[bytes] = []
-        sketch = np.zeros((batch.num_rows, SKETCH), np.int64)
         for first, last in slices(offsets):
+            size, key_a, key_b, spare = (np.zeros(last - first, np.int64) for _ in range(4))
+            bits, signed = [], []
+            sketch = np.zeros((last - first, SKETCH), np.int64)
             part = shingle_sets(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], values)
-            for row, found in enumerate(part, first):
+            for row, found in enumerate(part):
                 size[row] = len(found)
                 bits.append(parity(found))
                 sketch[row] = np.packbits(np.bincount((found & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1, bitorder="little").view(np.int64)
                 key_a[row] = mix(found).sum(dtype=np.uint64).astype(np.int64)
                 key_b[row] = np.bitwise_xor.reduce(mix(found ^ np.uint64(0xA5A5A5A5A5A5A5A5)), initial=np.uint64(0)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(key_a), pa.array(key_b), pa.array(bits, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(0, sketch.size + 1, SKETCH, dtype=np.int32)), pa.array(sketch.ravel()))], [c.split()[0] for c in SETS.split(", ")])
+                key = size[row].tobytes() + key_a[row].tobytes() + key_b[row].tobytes()
+                if len(found) == 0 or key in seen:
+                    signed.append(None)
+                    continue
+                seen.add(key)
+                in_bands, spares = zip(*(signed_and_spare(found, band) for band in bands(len(found))))
+                signed.append(np.concatenate(in_bands).tobytes())
+                spare[row] = min(spares)
+            sketches = pa.ListArray.from_arrays(pa.array(np.arange(0, sketch.size + 1, SKETCH, dtype=np.int32)), pa.array(sketch.ravel()))
+            columns = [batch.column(0).slice(first, last - first), pa.array(size), pa.array(key_a), pa.array(key_b), pa.array(bits, pa.binary()), sketches, pa.array(signed, pa.binary()), pa.array(spare.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SETS.split(", ")])
 
 
-def _sign(batches: Iterator[pa.RecordBatch], shared: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """Signatures of all sets; with a bitmap only those that it says may be shared."""
-    values = not_blank()
-    seen: set[tuple[int, int, int]] = set()  # sets that this task has signed: copies need not sign again
+def _unpacked(batches: Iterator[pa.RecordBatch], shared: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Stored signatures as rows; with a bitmap only those that it says may be shared."""
     for batch in batches:
         data, offsets = buffers(batch.column(1))
-        doc_ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for first, last in slices(offsets):
-            out, owner, spare = [], [], []
-            part = shingle_sets(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], values)
-            for row, found in enumerate(part, first):
-                if len(found) == 0:
-                    continue
-                key = (len(found), int(mix(found).sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(found)))
-                if key in seen:
-                    continue
-                seen.add(key)
-                signed, spares = zip(*(signed_and_spare(found, band) for band in bands(len(found))))
-                out += signed
-                owner.append(np.full(sum(map(len, signed)), doc_ids[row], np.int64))
-                spare.append(np.full(len(owner[-1]), min(spares), np.int32))
-            if out:
-                sig, owner, spare = np.concatenate(out), np.concatenate(owner), np.concatenate(spare)
-                if shared is not None:
-                    slot = sig & np.uint64((1 << SIGNED_BITS) - 1)
-                    some = (shared[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-                    sig, owner, spare = sig[some], owner[some], spare[some]
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(owner), pa.array(spare)], ["sig", "doc_id", "spare"])
+        sig, counts = data.view(np.uint64), np.diff(offsets) // 8
+        doc_id, spare = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), counts) for i in (0, 2))
+        if shared is not None:
+            slot = sig & np.uint64((1 << SIGNED_BITS) - 1)
+            some = (shared[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+            sig, doc_id, spare = sig[some], doc_id[some], spare[some]
+        yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(doc_id), pa.array(spare)], ["sig", "doc_id", "spare"])
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,10 +276,11 @@ class _Join:
     def buckets(self) -> DataFrame:
         """(sig, doc_id, first, last): signatures that several documents keep, with the first and the last of these."""
         spark = self.docs.sparkSession
-        counts = self.docs.mapInArrow(_sign, SIGNATURES).groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        signed = self.all_sets.select("doc_id", "signatures", "spare").where("signatures IS NOT NULL")
+        counts = signed.mapInArrow(_unpacked, SIGNATURES).groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         counts = staged(counts, "signature-counts")
         may = spark.sparkContext.broadcast(_bitmap(counts.select(F.col("sig").bitwiseAND(F.lit((1 << SIGNED_BITS) - 1)).alias("slot")), SIGNED_BITS))
-        again = self.docs.mapInArrow(lambda batches: _sign(batches, may.value), SIGNATURES)
+        again = signed.mapInArrow(lambda batches: _unpacked(batches, may.value), SIGNATURES)
         # Signatures of one document alone are its rarest; so it may drop as many of the others as it has to spare.
         rarest_last = Window.partitionBy("doc_id").orderBy(F.desc("size"), F.desc("sig"))
         ranked = again.join(counts, "sig").withColumn("place", F.row_number().over(rarest_last))
@@ -351,7 +347,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     labels = join.labels().select("doc_id", F.col("component").alias("component_id")).distinct()
     unknown = docs.where("doc_id IS NULL").select("doc_id", "text").mapInArrow(_sets, SETS).withColumn("component_id", F.lit(None).cast("long"))
     found = join.sets.join(labels, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return found.unionByName(unknown.drop("parity", "sketch")).drop("key_a", "key_b"), join.links
+    return found.unionByName(unknown.drop("parity", "sketch", "signatures", "spare")).drop("key_a", "key_b"), join.links
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

@@ -158,7 +158,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder(tokenizer_path: str) -> WordEncoder:
-    """One encoder per worker process; its memory of words outlives a task."""
+    """One encoder per worker process; its memory of words ends with a task."""
     if tokenizer_path not in _ENCODERS:
         _ENCODERS[tokenizer_path] = WordEncoder(tokenizer_path)
     return _ENCODERS[tokenizer_path]
@@ -192,6 +192,7 @@ def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path:
                 stream = fs.open_output_stream(f"{name}.rec.{attempt}")
                 stream.write(HEADER.pack(MAGIC, 1, width, 0))
             stream.write(bytes(out))
+    encode.forget()
     if stream is not None:
         stream.close()
         with fs.open_output_stream(f"{name}.idx.{attempt}") as index:
