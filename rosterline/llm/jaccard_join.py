@@ -18,7 +18,8 @@ shingles into too few cells) signs every partition that holds a shingle, and eve
 Links are found without emitting all pairs of a group:
 
 1. Sets that are equal are one class; one member stands for it.
-2. Signatures are counted by folding (no group is gathered). Of the stored signatures a bitmap of fixed size then lets
+2. Signatures are folded to counts in each task, packed by ranges of hashes and added up range by range, so a hot one
+   is one entry of each fold. Of the stored signatures a bitmap of fixed size then lets
    through those that may be shared; a join with the counts, which adaptive execution may cut, makes that exact.
 3. Of its signatures each document keeps as many as can be spoiled and one more, the rarest by one global order: the rarest one that
    a similar pair has in common is among those of both. So passages that many documents share, and the common part
@@ -55,6 +56,8 @@ SHINGLE = 5
 SKETCH = 8  # 64-bit words
 FILTER_BITS = 23
 SIGNED_BITS = 26
+# Signatures that a task folds at once, and about how many a range of hashes holds; the number of ranges follows the table.
+FOLDED_AT_ONCE, RANGE_ENTRIES = 1 << 20, 1 << 16
 # Lower ends of the bands from which on signatures are subsets of cells, and whole partitions.
 SUBSETS_FROM, WHOLE_FROM = 8, 256
 # Partitions for one shingle that the largest set of a band may differ in; they leave sets of all its sizes about a sixth to spare.
@@ -215,6 +218,62 @@ def _unpacked(batches: Iterator[pa.RecordBatch], shared: np.ndarray | None = Non
         yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(doc_id), pa.array(spare)], ["sig", "doc_id", "spare"])
 
 
+def _counted(sigs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct signatures, ascending, with the sums of their counts."""
+    every = np.concatenate(sigs)
+    order = np.argsort(every)
+    every = every[order]
+    begin = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.empty(0, np.int64)
+    return every[begin], np.add.reduceat(np.concatenate(counts)[order], begin) if len(every) else np.empty(0, np.int64)
+
+
+def _packed_counts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Stored signatures, folded and packed by the range of hashes they fall into."""
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        sigs, counts = _counted(held, [np.ones(len(x), np.int64) for x in held])
+        edges = np.searchsorted(sigs >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+        some = np.flatnonzero(np.diff(edges))
+        parts = [(sigs[i:j].tobytes(), counts[i:j].astype(np.uint32).tobytes()) for i, j in zip(edges[some].tolist(), edges[some + 1].tolist())]
+        return pa.RecordBatch.from_arrays([pa.array(some), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())], ["range", "sigs", "counts"])
+
+    held, size = [], 0
+    for batch in batches:
+        data, _ = buffers(batch.column(0))
+        held.append(data.view(np.uint64).copy())
+        size += len(held[-1])
+        if size >= FOLDED_AT_ONCE:
+            yield packed(held)
+            held, size = [], 0
+    if size:
+        yield packed(held)
+
+
+def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Signatures of several documents, with their number; rows of a range follow one another."""
+
+    def shared(sigs: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        found, size = _counted(sigs, counts)
+        return pa.RecordBatch.from_arrays([pa.array(found[size > 1].view(np.int64)), pa.array(size[size > 1])], ["sig", "size"])
+
+    now, sigs, counts, held = None, [], [], 0
+    for batch in batches:
+        for part, sig, count in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            if part != now and sigs or held >= FOLDED_AT_ONCE:
+                if part != now:
+                    yield shared(sigs, counts)
+                    sigs, counts, held = [], [], 0
+                else:
+                    folded = _counted(sigs, counts)
+                    sigs, counts, held = [folded[0]], [folded[1]], 0
+            now = part
+            sigs.append(np.frombuffer(sig.as_buffer(), np.uint64))
+            counts.append(np.frombuffer(count.as_buffer(), np.uint32).astype(np.int64))
+            held += len(sigs[-1])
+    if sigs:
+        yield shared(sigs, counts)
+
+
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     values = not_blank()
     for batch in batches:
@@ -277,8 +336,11 @@ class _Join:
         """(sig, doc_id, first, last): signatures that several documents keep, with the first and the last of these."""
         spark = self.docs.sparkSession
         signed = self.all_sets.select("doc_id", "signatures", "spare").where("signatures IS NOT NULL")
-        counts = signed.mapInArrow(_unpacked, SIGNATURES).groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        counts = staged(counts, "signature-counts")
+        shingles = self.all_sets.agg(F.sum("n_shingles")).first()[0] or 0
+        bits = max(6, (int(shingles) // RANGE_ENTRIES).bit_length())
+        packed = signed.select("signatures").mapInArrow(lambda batches: _packed_counts(batches, bits), "range long, sigs binary, counts binary")
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(shingles) // FOLDED_AT_ONCE)
+        counts = staged(packed.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(_shared_counts, "sig long, size long"), "signature-counts")
         may = spark.sparkContext.broadcast(_bitmap(counts.select(F.col("sig").bitwiseAND(F.lit((1 << SIGNED_BITS) - 1)).alias("slot")), SIGNED_BITS))
         again = signed.mapInArrow(lambda batches: _unpacked(batches, may.value), SIGNATURES)
         # Signatures of one document alone are its rarest; so it may drop as many of the others as it has to spare.
