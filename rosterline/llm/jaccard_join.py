@@ -57,7 +57,7 @@ SKETCH = 8  # 64-bit words
 FILTER_BITS = 23
 SIGNED_BITS = 26
 # Signatures that a task folds at once, and about how many a range of hashes holds; the number of ranges follows the table.
-FOLDED_AT_ONCE, RANGE_ENTRIES = 1 << 20, 1 << 16
+FOLDED_AT_ONCE, RANGE_ENTRIES = 1 << 19, 1 << 16
 # Lower ends of the bands from which on signatures are subsets of cells, and whole partitions.
 SUBSETS_FROM, WHOLE_FROM = 8, 256
 # Partitions for one shingle that the largest set of a band may differ in; they leave sets of all its sizes about a sixth to spare.
@@ -318,9 +318,11 @@ class _Join:
         self.members = staged(some.join(first, ["n_shingles", "key_a", "key_b"]).select("doc_id", "member", "n_shingles", "sketch"), "set-members")
         self.links = None
         self.tested = None
+        # Links to the first document of each component so far; new links are added to these.
+        self.stars = self.members.where("doc_id <> member").select(F.col("doc_id").alias("a"), F.col("member").alias("b"))
 
     def wanted(self, ids: DataFrame) -> DataFrame:
-        """The rows of the documents that may have one of these ids, by a filter of fixed size."""
+        """The shingles of the documents that may have one of these ids, by a filter of fixed size."""
         bits = _bitmap(ids.select(_slot("doc_id").alias("slot")), FILTER_BITS)
         shared = self.docs.sparkSession.sparkContext.broadcast(bits)
 
@@ -330,7 +332,8 @@ class _Join:
                 keep = (shared.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
                 yield batch.select([0, 1]).filter(pa.array(keep.astype(bool)))
 
-        return self.docs.select("doc_id", "text", _slot("doc_id").alias("slot")).mapInArrow(rows, "doc_id long, text string")
+        # One Python worker does both steps.
+        return self.docs.select("doc_id", "text", _slot("doc_id").alias("slot")).mapInArrow(lambda batches: _shingles(rows(batches)), "doc_id long, shingles array<long>")
 
     def buckets(self) -> DataFrame:
         """(sig, doc_id, first, last): signatures that several documents keep, with the first and the last of these."""
@@ -364,19 +367,18 @@ class _Join:
         near = near.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_near_by_parity, "a long, b long").distinct()
         near = staged(near, "near-pairs")
         needed = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-        sets = self.wanted(needed).mapInArrow(_shingles, "doc_id long, shingles array<long>").join(needed, "doc_id", "left_semi")
+        sets = self.wanted(needed).join(needed, "doc_id", "left_semi")
         sets = staged(sets, "shingles")
         left, right = sets.toDF("a", "of_a"), sets.toDF("b", "of_b")
         size_a, size_b = F.size("of_a").cast("long"), F.size("of_b").cast("long")
         found = near.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("of_a", "of_b")).cast("long"))
         links = staged(found.where(F.col("common") * 100 >= (size_a + size_b - F.col("common")) * 80).select("a", "b").distinct(), "verified")
         self.links = links if self.links is None else self.links.union(links)
+        self.stars = components(self.stars.union(links)).toDF("a", "b")
 
     def labels(self) -> DataFrame:
         """Every document with a set, its size and its component so far."""
-        same = self.members.where("doc_id <> member").select(F.col("doc_id").alias("a"), F.col("member").alias("b"))
-        found = components(same.union(self.links)).withColumnRenamed("node", "doc_id")
-        sizes = self.members.select("doc_id", "n_shingles", "sketch").join(found, "doc_id", "left")
+        sizes = self.members.select("doc_id", "n_shingles", "sketch").join(self.stars.toDF("doc_id", "component"), "doc_id", "left")
         return staged(sizes.withColumn("component", F.coalesce("component", "doc_id")), "components")
 
     def still_open(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
