@@ -35,7 +35,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read again, which cuts its lineage."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        fs, place = file_system(table.staged_at)
+        fs.delete_dir(place)
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:

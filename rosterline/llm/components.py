@@ -6,10 +6,10 @@ number of rounds follows the logarithm of the largest component, not its size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import staged
+from rosterline.llm.common import discard, staged
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -30,14 +30,18 @@ def components(links: DataFrame) -> DataFrame:
 
     Rows with NULL, repeated links, both directions and loops are allowed; nodes without another are not returned.
     """
-    current = staged(
-        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
-    )
+    def written(df: DataFrame) -> tuple[DataFrame, tuple]:
+        """The links, and their number and hash, which the write itself observes."""
+        seen = Observation()
+        mark = F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hash")
+        table = staged(df.observe(seen, *mark), "links")
+        return table, (seen.get["rows"], seen.get["hash"])
+
+    current, mark = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
-    while True:
-        mark = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark[0] == 0 or mark == before:
-            break
+    while mark[0] and mark != before:
         before = mark
-        current = staged(_small_star(_large_star(current)), "links")
+        following, mark = written(_small_star(_large_star(current)))
+        discard(current)
+        current = following
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(current.select("b", "b").distinct())

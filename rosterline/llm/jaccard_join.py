@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import buffers, mix, not_blank, prepare, slices, staged, windows, words
+from rosterline.llm.common import buffers, discard, mix, not_blank, prepare, slices, staged, windows, words
 from rosterline.llm.components import components
 
 SHINGLE = 5
@@ -310,7 +310,8 @@ class _Join:
 
     def __init__(self, docs: DataFrame):
         self.docs = docs
-        self.all_sets = staged(docs.mapInArrow(_sets, SETS), "shingle-sets")
+        self.signed = staged(docs.mapInArrow(_sets, SETS), "signed-sets")
+        self.all_sets = staged(self.signed.drop("signatures", "spare"), "shingle-sets")
         self.sets = self.all_sets.select("doc_id", "n_shingles", "key_a", "key_b").distinct()
         some = self.all_sets.where("n_shingles > 0").select("doc_id", "n_shingles", "key_a", "key_b", "sketch").distinct()
         first = some.groupBy("n_shingles", "key_a", "key_b").agg(F.min("doc_id").alias("member"))
@@ -338,7 +339,7 @@ class _Join:
     def buckets(self) -> DataFrame:
         """(sig, doc_id, first, last): signatures that several documents keep, with the first and the last of these."""
         spark = self.docs.sparkSession
-        signed = self.all_sets.select("doc_id", "signatures", "spare").where("signatures IS NOT NULL")
+        signed = self.signed.select("doc_id", "signatures", "spare").where("signatures IS NOT NULL")
         shingles = self.all_sets.agg(F.sum("n_shingles")).first()[0] or 0
         bits = max(6, (int(shingles) // RANGE_ENTRIES).bit_length())
         packed = signed.select("signatures").mapInArrow(lambda batches: _packed_counts(batches, bits), "range long, sigs binary, counts binary")
@@ -350,8 +351,12 @@ class _Join:
         rarest_last = Window.partitionBy("doc_id").orderBy(F.desc("size"), F.desc("sig"))
         ranked = again.join(counts, "sig").withColumn("place", F.row_number().over(rarest_last))
         kept = staged(ranked.where("place > spare").select("sig", "doc_id"), "signatures")
+        discard(self.signed, counts)
+        may.destroy()
         ends = kept.groupBy("sig").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-        return staged(kept.join(ends, "sig"), "buckets")
+        buckets = staged(kept.join(ends, "sig"), "buckets")
+        discard(kept)
+        return buckets
 
     def verify(self, pairs: DataFrame) -> None:
         """Compare pairs (a, b) that were not compared before, on whole sets, and add the links."""
@@ -373,6 +378,7 @@ class _Join:
         size_a, size_b = F.size("of_a").cast("long"), F.size("of_b").cast("long")
         found = near.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("of_a", "of_b")).cast("long"))
         links = staged(found.where(F.col("common") * 100 >= (size_a + size_b - F.col("common")) * 80).select("a", "b").distinct(), "verified")
+        discard(near, sets)
         self.links = links if self.links is None else self.links.union(links)
         self.stars = components(self.stars.union(links)).toDF("a", "b")
 
@@ -405,8 +411,11 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for centre in ("first", "last"):
         join.verify(buckets.select(F.col(centre).alias("a"), F.col("doc_id").alias("b")))
         labels = join.labels()
-        buckets = join.still_open(buckets, labels)
+        narrowed = join.still_open(buckets, labels)
+        discard(buckets)
+        buckets = narrowed
     join.verify(join.open_pairs(buckets, labels))
+    discard(buckets)
 
     labels = join.labels().select("doc_id", F.col("component").alias("component_id")).distinct()
     unknown = docs.where("doc_id IS NULL").select("doc_id", "text").mapInArrow(_sets, SETS).withColumn("component_id", F.lit(None).cast("long"))

@@ -29,11 +29,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import SortedHashes, mix, prepare, staged
+from rosterline.llm.common import SortedHashes, buffers, mix, prepare, staged
 
 ORDER = 4
 TRAIN_ROWS = 600
@@ -301,13 +302,16 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS):
     sample = staged(usable.join(chosen, ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"]), "language-sample")
     held = F.col("place") % 4 == 0
     grams = sample.where(~held).select("lang", "text").mapInArrow(_gram_counts, GRAMS).groupBy("lang", "gram").agg(F.sum("count").alias("count"))
-    found = grams.toPandas()
+    found = grams.toArrow()
     if not len(found):
         return spark.sparkContext.broadcast(None)
     counts = {}
-    for lang, part in found.groupby("lang"):
-        runs = np.frombuffer("".join(part["gram"]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER)
-        counts[lang] = (runs, part["count"].to_numpy(np.int64))
+    for lang in pc.unique(found.column("lang")).to_pylist():
+        part = found.filter(pc.equal(found.column("lang"), lang))
+        data, _ = buffers(part.column("gram"))
+        runs = np.frombuffer(data.tobytes().decode().encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER)
+        counts[lang] = (runs, part.column("count").to_numpy())
+    del found
     model = build(counts)
     langs = sample.select("doc_id", "lang").distinct()
 
