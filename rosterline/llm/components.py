@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rosterline.llm.common import discard, staged
+from rosterline.session import observed
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def components(links: DataFrame) -> DataFrame:
         seen = Observation()
         mark = F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hash")
         table = staged(df.observe(seen, *mark), "links")
-        return table, (seen.get["rows"], seen.get["hash"])
+        return table, observed(seen, "rows", "hash")
 
     current, mark = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
