@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.schemas import SYNC_LOG
-from rosterline.sources.store import VersionedTable
+from rosterline.sources.store import KeyedTable
 
 
 class SyncLog:
@@ -104,12 +104,12 @@ class SummaryTable:
     """A stored summary: its query, recomputed into a new version on refresh."""
 
     def __init__(self, spark: SparkSession, path: str, query: Callable[[], DataFrame], sort: list[str]):
-        self.table = VersionedTable(spark, path)
+        self.table = KeyedTable(spark, path, [])
         self.query = query
         self.sort = sort
 
     def refresh(self) -> int:
-        return self.table.publish(self.query(), sort=self.sort).inserted
+        return self.table.replace(self.query(), self.sort).inserted
 
     def read(self) -> DataFrame:
         return self.table.current()

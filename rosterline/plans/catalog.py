@@ -20,7 +20,7 @@ from rosterline.plans import jobs
 from rosterline.plans.binding import AS_OF, FLAWED_GRADE, Tables, derive
 from rosterline.session import ensure_adaptive, fresh_path
 from rosterline.sources import readers, sinks
-from rosterline.sources.store import VersionedTable, first_per_key, latest_per_key
+from rosterline.sources.store import KeyedTable, first_per_key, latest_per_key
 from rosterline.streaming import digest, registration
 
 Query = Callable[[Tables], DataFrame]
@@ -211,11 +211,11 @@ def _terms(t: Tables) -> tuple[DataFrame, DataFrame]:
 PAIR = academic_functions.PAIR
 
 
-def _student_table(t: Tables) -> VersionedTable:
+def _student_table(t: Tables) -> KeyedTable:
     return sinks.student_table(t.spark, fresh_path(t.spark, "student"))
 
 
-def _enrollment_table(t: Tables) -> VersionedTable:
+def _enrollment_table(t: Tables) -> KeyedTable:
     return sinks.enrollment_table(t.spark, fresh_path(t.spark, "enrollment"))
 
 
@@ -240,8 +240,8 @@ def _(t: Tables) -> DataFrame:
 @query("snk_3_batch_insert")
 def _(t: Tables) -> DataFrame:
     old, new = _terms(t)
-    table = VersionedTable(t.spark, fresh_path(t.spark, "batch"), PAIR)
-    table.publish(first_per_key(old, PAIR, "seq").select("seq", *PAIR, "grade"))
+    table = KeyedTable(t.spark, fresh_path(t.spark, "batch"), PAIR)
+    table.replace(first_per_key(old, PAIR, "seq").select("seq", *PAIR, "grade"))
     sinks.insert_new(table, new, "seq")
     return table.current()
 
@@ -414,7 +414,7 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-def _cleaning_run(t: Tables) -> tuple[jobs.CleaningRun, VersionedTable, VersionedTable]:
+def _cleaning_run(t: Tables) -> tuple[jobs.CleaningRun, KeyedTable, KeyedTable]:
     address = F.regexp_replace("student_email", "CUSTOMER0*([0-9]+)", "user$1")
     students, enrollments = _student_table(t), _enrollment_table(t)
     done = jobs.run_cleaning(
@@ -609,7 +609,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     """Accepted requests added to the stored enrollments."""
     table = _enrollment_table(t)
-    table.publish(first_per_key(t.activity_enrollment, PAIR, "enrollment_id"))
+    table.replace(first_per_key(t.activity_enrollment, PAIR, "enrollment_id"))
     sinks.enroll_students(table, _enroll_requests(t), t.student, t.course)
     return table.current().drop("enrollment_id")
 
@@ -647,7 +647,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     """The same updates applied to stored enrollments, one per (student, course)."""
     table = _enrollment_table(t)
-    table.publish(first_per_key(t.activity_enrollment, PAIR, "enrollment_id"))
+    table.replace(first_per_key(t.activity_enrollment, PAIR, "enrollment_id"))
     sinks.store_grades(table, _grade_updates(t))
     return table.current()
 
@@ -908,13 +908,13 @@ def _(t: Tables) -> DataFrame:
 # -- incremental sync --------------------------------------------------------------------------
 
 
-def _customer_orders(t: Tables, first: bool) -> tuple[VersionedTable, DataFrame]:
+def _customer_orders(t: Tables, first: bool) -> tuple[KeyedTable, DataFrame]:
     """A table of one stored order per customer, and the orders that come in."""
     old, new = _history(t)
     pick = first_per_key if first else latest_per_key
     columns = ["o_custkey", "o_orderkey", "o_orderstatus", "day"]
-    table = VersionedTable(t.spark, fresh_path(t.spark, "orders"), ["o_custkey"])
-    table.publish(pick(old.select(*columns), ["o_custkey"], "o_orderkey"))
+    table = KeyedTable(t.spark, fresh_path(t.spark, "orders"), ["o_custkey"])
+    table.replace(pick(old.select(*columns), ["o_custkey"], "o_orderkey"))
     return table, new.select(*columns)
 
 
@@ -978,8 +978,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("inc_6_delete")
 def _(t: Tables) -> DataFrame:
-    table = VersionedTable(t.spark, fresh_path(t.spark, "customer"), ["c_custkey"])
-    table.publish(t.given("customer"))
+    table = KeyedTable(t.spark, fresh_path(t.spark, "customer"), ["c_custkey"])
+    table.replace(t.given("customer"))
     table.delete_where(F.col("c_acctbal") < 0)
     return table.current()
 
@@ -987,21 +987,28 @@ def _(t: Tables) -> DataFrame:
 # -- streams -----------------------------------------------------------------------------------
 
 
-def _stream(t: Tables, name: str) -> DataFrame:
-    """A given table as a file stream."""
-    schema = t.given(name).schema
-    return t.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.folder)
+TURNS, FILES_A_TURN = 4, 4
+
+
+def _in_turns(t: Tables, rows: DataFrame, order: str) -> DataFrame:
+    """The rows as a stream of several micro-batches in ascending order, each of several files; NULLs come first."""
+    folder = fresh_path(t.spark, "stream")
+    bounds = rows.approxQuantile(order, [k / TURNS for k in range(1, TURNS)], 0.001)
+    for k, (low, high) in enumerate(zip([None, *bounds], [*bounds, None])):
+        part = rows if low is None else rows.where(F.col(order) > low)
+        part = part if high is None else part.where((F.col(order) <= high) | (F.col(order).isNull() if low is None else F.lit(False)))
+        part.repartition(FILES_A_TURN).write.parquet(f"{folder}/{k:03d}")
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES_A_TURN).parquet(f"{folder}/*")
 
 
 @query("str_1_registration")
 def _(t: Tables) -> DataFrame:
     root = fresh_path(t.spark, "registration")
-    outcomes = sinks.empty_table(t.spark, f"{root}/outcomes", ["row_id"], registration.OUTCOME_SCHEMA)
+    outcomes = registration.OutcomeLog(t.spark, f"{root}/outcomes")
     stream = registration.RegistrationStream(outcomes, _student_table(t), t.registry, AS_OF)
-    requests = derive(_stream(t, "customer"), "requests")
-    events = requests.withColumn("event_seq", F.col("seq")).withColumnRenamed("seq", "row_id")
-    stream.start(events, f"{root}/checkpoint").awaitTermination()
-    return outcomes.current().select("row_id", "status", "message", "student_email")
+    events = t.requests.withColumn("event_seq", F.col("seq")).withColumnRenamed("seq", "row_id")
+    stream.start(_in_turns(t, events, "event_seq"), f"{root}/checkpoint").awaitTermination()
+    return outcomes.latest().select("row_id", "status", "message", "student_email")
 
 
 @query("str_2_first_events")
@@ -1009,19 +1016,41 @@ def _(t: Tables) -> DataFrame:
     root = fresh_path(t.spark, "first_events")
     schema = "user_id long, event_id long, event_type string"
     table = sinks.empty_table(t.spark, f"{root}/table", ["user_id"], schema)
-    events = _stream(t, "events").select("user_id", "event_id", "event_type")
-    registration.keep_first(events, table, "event_id", f"{root}/checkpoint").awaitTermination()
+    events = t.given("events").select("user_id", "event_id", "event_type")
+    registration.keep_first(_in_turns(t, events, "event_id"), table, "event_id", f"{root}/checkpoint").awaitTermination()
     return table.current()
 
 
+def _timed(rows: DataFrame) -> DataFrame:
+    """Rows with their time in microseconds as well, by which they come in turns."""
+    return rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("at", F.unix_micros("ts"))
+
+
+@query("str_2_repeats")
+def _(t: Tables) -> DataFrame:
+    """One event per user and day, the others suppressed by event time."""
+    root = fresh_path(t.spark, "repeats")
+    events = _timed(t.given("events").select("user_id", "ts").where("ts IS NOT NULL")).withColumn("day", F.to_date("ts"))
+    found = registration.start_repeats(_in_turns(t, events, "at"), ["user_id", "day"], "ts", f"{root}/events", f"{root}/checkpoint")
+    found.awaitTermination()
+    return t.spark.read.schema("user_id long, day date").parquet(f"{root}/events")
+
+
 @query("str_3_error_digest")
 def _(t: Tables) -> DataFrame:
+    """Days that the stream has closed, and the open ones counted from their records."""
     root = fresh_path(t.spark, "digest")
-    schema = "day date, status string, message string, records long"
-    table = sinks.empty_table(t.spark, f"{root}/table", ["day", "status", "message"], schema)
-    records = derive(_stream(t, "events"), "status_records").withColumn("ts", F.col("ts").cast("timestamp"))
-    digest.start_digest(records, table, f"{root}/checkpoint").awaitTermination()
-    return table.current()
+    records = _timed(t.status_records)
+    digest.start_closed_days(_in_turns(t, records, "at"), f"{root}/days", f"{root}/checkpoint").awaitTermination()
+    return digest.digest_so_far(digest.closed_days(t.spark, f"{root}/days"), records)
+
+
+@query("str_3_closed_days")
+def _(t: Tables) -> DataFrame:
+    """What the stream itself has written: every day that ended a day before the newest record."""
+    root = fresh_path(t.spark, "closed_days")
+    digest.start_closed_days(_in_turns(t, _timed(t.status_records), "at"), f"{root}/days", f"{root}/checkpoint").awaitTermination()
+    return digest.closed_days(t.spark, f"{root}/days")
 
 
 @query("str_3_digest_counts")

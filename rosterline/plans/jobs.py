@@ -24,7 +24,7 @@ from rosterline.operators.validation import (
 )
 from rosterline.session import fresh_path
 from rosterline.sources.sinks import load_enrollments, load_students
-from rosterline.sources.store import Change, VersionedTable
+from rosterline.sources.store import Change, KeyedTable
 
 
 @dataclass
@@ -48,8 +48,8 @@ def run_cleaning(
     raw_enrollments: DataFrame,
     department: DataFrame,
     course: DataFrame,
-    student_table: VersionedTable,
-    enrollment_table: VersionedTable,
+    student_table: KeyedTable,
+    enrollment_table: KeyedTable,
     as_of=None,
     seq: str = "seq",
 ) -> CleaningRun:
@@ -71,7 +71,7 @@ def run_cleaning(
 
 
 def run_pending(
-    pending: DataFrame, department: DataFrame, student_table: VersionedTable, as_of=None, seq: str = "seq"
+    pending: DataFrame, department: DataFrame, student_table: KeyedTable, as_of=None, seq: str = "seq"
 ) -> Change:
     """Exported registrations: collect-all check, then the fail-fast cleaning, then the upsert."""
     valid, _ = validate_pending(pending)
@@ -82,7 +82,7 @@ def run_pending(
 def run_incremental(
     log: SyncLog,
     table_name: str,
-    table: VersionedTable,
+    table: KeyedTable,
     changes: DataFrame,
     order_by: str,
     summaries: Mapping[str, SummaryTable],
@@ -99,7 +99,7 @@ def run_incremental(
 def run_delta(
     log: SyncLog,
     table_name: str,
-    table: VersionedTable,
+    table: KeyedTable,
     source: DataFrame,
     ts: str,
     order_by: str,
@@ -108,17 +108,18 @@ def run_delta(
     """Upsert what the source has from the newest time of the last run on, then refresh the summaries.
 
     The bound is the source's own time and is read again: a row stamped while a run is under way, or with the time of
-    the last row of a run, is met by the next one. ``order_by`` has to grow with ``ts``.
+    the last row of a run, is met by the next one. Rows without a time cannot be bounded and are read by every run;
+    ``order_by`` has to grow with ``ts`` and decides between them and dated ones.
     """
 
     def upsert() -> tuple[int, dt.datetime | None]:
         since = last_read(log.read(), table_name)
-        changes = source if since is None else source.filter(F.col(ts) >= F.lit(str(since)).cast("timestamp_ntz"))
+        undated = F.col(ts).isNull()
+        changes = source if since is None else source.filter((F.col(ts) >= F.lit(str(since)).cast("timestamp_ntz")) | undated)
         until = changes.agg(F.max(ts)).first()[0]
-        if until is None:
-            return 0, since
-        change = table.upsert(changes.filter(F.col(ts) <= F.lit(str(until)).cast("timestamp_ntz")), order_by)
-        return change.inserted + change.updated, until
+        read = undated if until is None else (F.col(ts) <= F.lit(str(until)).cast("timestamp_ntz")) | undated
+        change = table.upsert(changes.filter(read), order_by)
+        return change.inserted + change.updated, since if until is None else until
 
     return log.run(table_name, "incremental", upsert), refresh_all(summaries)
 

@@ -925,6 +925,13 @@ oracle(
     "str_2_first_events",
     "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1",
 )
+oracle("str_2_repeats", "SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events WHERE ts IS NOT NULL")
+oracle(
+    "str_3_closed_days",
+    "SELECT CAST(ts AS DATE) AS day, status, message, count(*) AS records FROM status_records "
+    "WHERE status IN ('Error', 'Invalid') GROUP BY 1, 2, 3 HAVING CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 2 DAY "
+    "<= (SELECT max(ts) FROM status_records WHERE status IN ('Error', 'Invalid'))",
+)
 for _key in ("str_3_error_digest", "str_3_digest_counts"):
     oracle(
         _key,

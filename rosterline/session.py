@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow.fs as pafs
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 # Runtime settings every job relies on. Adaptive execution picks a broadcast join only after
 # measuring the side it would ship, splits partitions made large by a hot key, and merges small ones.
@@ -63,3 +65,21 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{work_dir(spark)}/rosterline/{name}-{uuid.uuid4().hex}"
+
+
+def newest_version(path: str) -> int:
+    """The highest number of a folder ``version=n`` below ``path`` that Spark has finished writing, 0 without one."""
+    fs, root = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    listed = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+    numbers = sorted((int(x.base_name.removeprefix("version=")) for x in listed if x.base_name.startswith("version=")), reverse=True)
+    done = (n for n in numbers if fs.get_file_info(f"{root}/version={n:06d}/_SUCCESS").type == pafs.FileType.File)
+    return next(done, 0)
+
+
+def observed(seen: Observation, *names: str) -> tuple:
+    """What a finished job has observed; zeros where the optimizer found the frame empty and dropped the observation with it."""
+    try:
+        found = seen.get
+    except Py4JJavaError:
+        found = {}
+    return tuple(found.get(name) or 0 for name in names)

@@ -1,45 +1,35 @@
-"""Versioned Parquet tables: publish, upsert, insert-ignore and delete without overwriting a live file.
+"""Keyed Parquet tables by Spark's own writer: replace, upsert, insert-ignore and delete.
 
-A keyed table is cut into hash buckets of its key. A change rewrites only the buckets it touches (an
-insert only adds files), and becomes visible through one small record of the live files, written after
-the data. Readers therefore see the old version until the new one is whole, and a failed or repeated
-job leaves nothing behind but unused files, which ``vacuum`` removes. One writer per table is assumed.
+A table is a folder of version folders, each partitioned by a hash of the key. Replacing and deleting write a new version
+folder; readers of the old one are not disturbed, and the newest folder with Spark's success mark counts. An upsert overwrites
+the partitions that its keys fall into (dynamic partition overwrite), from rows that were read from them in the same job and
+put into place when the job commits; an insert appends files. Both can be repeated: known keys keep their id, so the same load gives
+the same rows. A frame opened before a change of the same version has to be opened again. One writer per table is assumed.
 
-Every version is one row in a folder of its own, so opening a table reads one row however many versions
-there were; inserts merge their files when a table has more than ``MAX_FOLDERS`` written folders. Keys, number of
-buckets and id column are stored with the table; other ones on reopening are an error. Keys may be NULL and
-equal themselves.
+Keys may be NULL and equal themselves. The number of partitions belongs to the table: rows found in a partition other than
+that of their key are an error. Choose it so that a partition is a few gigabytes; a large one is written as several files.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import hashlib
-import json
-import uuid
-from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET = "store_bucket"
-BUCKETS = 16
-MAX_FOLDERS = 32
-LOG_SCHEMA = (
-    "next_id long, row_schema string, keys array<string>, buckets int, id_column string, action string, tag string, "
-    "added string, committed_at timestamp, files array<struct<folder:string,bucket:int,rows:long>>"
-)
-TAG_SCHEMA = "tag string, version long"
+from rosterline.session import fresh_path, newest_version, observed
+
+PARTITION = "key_partition"
+PARTITIONS = 16
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
     """Last row per key: the greatest ``order_by``, of equal ones the row with the greatest hash; NULL is lowest.
 
     The rank is one decimal, so keys fold in a hash aggregate before the shuffle and a hot key never gathers in
-    one task; the winners' rows are joined by it. ``order_by`` is a whole number, a date or a timestamp.
+    one task; the winners' rows are joined by it, equal rows are one. ``order_by`` is a whole number, a date or a timestamp.
     """
     return _one_per_key(df, keys, F.max, order_by)
 
@@ -60,295 +50,191 @@ def _rank(df: DataFrame, order_by: str) -> Column:
     elif not isinstance(kind, T.IntegralType):
         raise TypeError(f"cannot order rows by {order_by}: {kind.simpleString()}")
     whole = F.coalesce(value.cast("decimal(20,0)"), F.expr("CAST(-9223372036854775809 AS DECIMAL(20,0))"))
-    tie = F.shiftrightunsigned(F.xxhash64(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})), 4)
+    # Hashing passes over NULLs, so where they are is hashed as well.
+    tie = F.shiftrightunsigned(F.xxhash64(*df.columns, *[F.col(c).isNull() for c in df.columns]), 4)
     return (whole.cast("decimal(38,0)") * F.lit(1 << 60).cast("decimal(19,0)") + tie).cast("decimal(38,0)")
 
 
 def _one_per_key(df: DataFrame, keys: list[str], pick, order_by: str) -> DataFrame:
     ranked = df.withColumn("row_rank", _rank(df, order_by))
     best = ranked.groupBy(*keys).agg(pick("row_rank").alias("row_rank"))
-    return _joined(ranked, best, [*keys, "row_rank"], "left_semi").dropDuplicates([*keys, "row_rank"]).drop("row_rank")
+    return joined_by(ranked, best, [*keys, "row_rank"], "left_semi").drop("row_rank").distinct()
 
 
-def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join in which NULL keys equal each other; the keys are those of the left side."""
+def joined_by(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join in which NULL keys equal each other."""
     other = right.withColumnsRenamed({k: f"{k}__right" for k in keys})
     same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{k}__right")) for k in keys])
-    joined = left.join(other, same, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"{k}__right" for k in keys])
+    return left.join(other, same, how)
 
 
 @dataclass
 class Change:
-    version: int
     inserted: int = 0
     updated: int = 0
     deleted: int = 0
 
 
-@dataclass
-class _Live:
-    """What a version consists of."""
-
-    version: int
-    files: list
-    schema: T.StructType
-    next_id: int
-    added: str | None = None
-    tag: str | None = None
-
-
-class VersionedTable:
-    """``keys`` make rows unique; ``id_column`` is numbered by the table, and known keys keep their id."""
+class KeyedTable:
+    """``keys`` make rows unique; ``id_column`` is numbered by the table. ``schema`` is needed to open a table without rows."""
 
     def __init__(
         self,
         spark: SparkSession,
         path: str,
-        keys: list[str] | None = None,
-        buckets: int | None = None,
+        keys: list[str],
+        partitions: int = PARTITIONS,
         id_column: str | None = None,
+        schema: str | T.StructType | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.keys = list(keys or [])
-        self.buckets = buckets
+        self.keys = list(keys)
+        self.partitions = partitions
         self.id_column = id_column
-        if self.exists():
-            self._live()
-        else:
-            self.buckets = (buckets or BUCKETS) if self.keys else 1
-
-    # -- the record of live files --------------------------------------------------------------
+        self._schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-    def _files(self, path: str):
-        """A file system and path of the store that holds the table."""
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
-
-    def _names(self, folder: str) -> list[str]:
-        fs, place = self._files(f"{self.path}/{folder}")
-        return [x.getPath().getName() for x in fs.listStatus(place)] if fs.exists(place) else []
-
-    def _written(self, folder: str) -> bool:
-        fs, place = self._files(f"{folder}/_SUCCESS")
-        return fs.exists(place)
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/version={version:06d}"
 
     def version(self) -> int:
-        found = sorted((int(n.removeprefix("version=")) for n in self._names("log") if n.startswith("version=")), reverse=True)
-        return next((v for v in found if self._written(f"{self.path}/log/version={v}")), 0)
+        """The number of the newest whole version, 0 if there is none."""
+        return newest_version(self.path)
 
     def exists(self) -> bool:
         return self.version() > 0
 
-    def has_tag(self, tag: str) -> bool:
-        return self._tagged(tag) is not None
-
-    def _tagged(self, tag: str) -> _Live | None:
-        folder = self._tag_folder(tag)
-        if not self._written(folder):
-            return None
-        row = self.spark.read.schema(TAG_SCHEMA).parquet(folder).first()
-        if not self._written(f"{self.path}/log/version={row['version']}"):
-            return None
-        live = self._live(row["version"])
-        return live if live.tag == tag else None  # else that version was never reached under this tag
-
-    def _tag_folder(self, tag: str) -> str:
-        return f"{self.path}/tags/{hashlib.sha256(tag.encode()).hexdigest()}"
+    # -- reading -------------------------------------------------------------------------------
 
-    def _live(self, version: int | None = None) -> _Live:
-        version = version or self.version()
+    def _open(self) -> str:
+        version = self.version()
         if not version:
-            raise ValueError(f"no version published at {self.path}")
-        row = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log/version={version}").first()
-        stored = (list(row["keys"]), row["buckets"], row["id_column"])
-        given = (self.keys or stored[0], self.buckets or stored[1], self.id_column or stored[2])
-        if stored != given:
-            raise ValueError(f"{self.path} has keys, buckets and id column {stored}, not {given}")
-        self.keys, self.buckets, self.id_column = stored
-        schema = T.StructType.fromJson(json.loads(row["row_schema"]))
-        return _Live(version, [f.asDict() for f in row["files"]], schema, row["next_id"], row["added"], row["tag"])
-
-    def _commit(self, live: _Live, action: str, tag: str | None, added: str | None = None) -> None:
-        if tag is not None:
-            mark = self.spark.createDataFrame([(tag, live.version)], TAG_SCHEMA)
-            mark.coalesce(1).write.mode("overwrite").parquet(self._tag_folder(tag))
-        files = [(f["folder"], f["bucket"], f["rows"]) for f in live.files]
-        now = dt.datetime.now(dt.timezone.utc)
-        row = (live.next_id, live.schema.json(), self.keys, self.buckets, self.id_column, action, tag, added, now, files)
-        one = self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
-        one.write.mode("overwrite").parquet(f"{self.path}/log/version={live.version}")
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Remove what the last ``keep`` versions do not use. No reader of an older version may be active."""
-        last = self.version()
-        kept = [v for v in range(max(1, last - keep + 1), last + 1) if self._written(f"{self.path}/log/version={v}")]
-        used = {f["folder"] for v in kept for f in self._live(v).files}
-        gone = [f"data/{n}" for n in self._names("data") if n not in used]
-        gone += [f"staged/{n}" for n in self._names("staged")]
-        gone += [f"log/{n}" for n in self._names("log") if n.startswith("version=") and int(n.removeprefix("version=")) not in kept]
-        for name in gone:
-            fs, place = self._files(f"{self.path}/{name}")
-            fs.delete(place, True)
+            raise ValueError(f"no table at {self.path}")
+        if self._schema is None:
+            found = self.spark.read.parquet(self._folder(version)).schema
+            self._schema = T.StructType([f for f in found.fields if f.name != PARTITION])
+        return self._folder(version)
 
-    # -- reading -------------------------------------------------------------------------------
+    def _rows(self) -> DataFrame:
+        folder = self._open()
+        full = T.StructType([*self._schema.fields, T.StructField(PARTITION, T.IntegerType())])
+        return self.spark.read.schema(full).parquet(folder)
 
     def current(self) -> DataFrame:
-        return self._read(self._live()).drop(BUCKET)
+        return self._rows().select(*[F.col(f.name) for f in self._schema.fields])
 
-    def current_near(self, df: DataFrame) -> DataFrame:
-        """The rows in the buckets that the keys of ``df`` fall into: all a lookup of those keys needs."""
-        live = self._live()
-        buckets = self._bucketed(df.select(*self.keys)).select(BUCKET).distinct().collect()  # at most all buckets
-        return self._read(live, {row[BUCKET] for row in buckets}).drop(BUCKET)
-
-    def written(self, tag: str) -> DataFrame:
-        """The rows in the files that the change with this tag wrote."""
-        live = self._tagged(tag)
-        if live is None:
-            raise ValueError(f"no change {tag} at {self.path}")
-        return self._read(live, folder=live.added).drop(BUCKET)
-
-    def _read(self, live: _Live, buckets: set[int] | None = None, folder: str | None = None) -> DataFrame:
-        full = T.StructType(live.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-        paths = [
-            f"{self.path}/data/{f['folder']}/{BUCKET}={f['bucket']}"
-            for f in live.files
-            if (buckets is None or f["bucket"] in buckets) and (folder is None or f["folder"] == folder)
-        ]
-        if not paths:
-            return self.spark.createDataFrame([], full)
-        reader = self.spark.read.schema(full).option("basePath", f"{self.path}/data")
-        return reader.parquet(*paths).select(*full.fieldNames())
+    def _partition(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.partitions)).cast("int")
 
-    # -- writing -------------------------------------------------------------------------------
+    def _near(self, touched: list[int]) -> DataFrame:
+        """The rows of some partitions, each checked to be in its own one."""
+        rows = self._rows().where(F.col(PARTITION).isin(touched))
+        own = F.col(PARTITION) == self._partition()
+        wrong = F.lit(f"{self.path} was made with another number of partitions than {self.partitions} or other keys")
+        return rows.where(F.when(own, True).otherwise(F.raise_error(wrong).cast("boolean")))
+
+    def _touched(self, df: DataFrame) -> list[int]:
+        found = df.select(self._partition().alias("p")).distinct().collect()  # no more than all partitions
+        return sorted(r["p"] for r in found)
 
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        if not self.keys:
-            return df.withColumn(BUCKET, F.lit(0))
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+    def current_near(self, df: DataFrame) -> DataFrame:
+        """The rows in the partitions that the keys of ``df`` fall into: all a lookup of those keys needs."""
+        return self._near(self._touched(df.select(*self.keys))).drop(PARTITION)
 
-    def _write(self, df: DataFrame, sort: list[str] | None = None) -> tuple[list[dict], int]:
-        """Write a bucketed frame; returns its files per bucket and the first unused id.
+    # -- writing -------------------------------------------------------------------------------
 
-        Rebalancing lets adaptive execution split a large bucket over several files and merge small
-        ones. The counts afterwards read no column but the id.
-        """
-        folder = f"part={uuid.uuid4().hex}"
-        target = f"{self.path}/data/{folder}"
-        laid_out = df.hint("rebalance", BUCKET) if self.keys else df.hint("rebalance")
-        order = sort or self.keys
-        if order:
-            laid_out = laid_out.sortWithinPartitions(BUCKET, *order)
-        laid_out.write.partitionBy(BUCKET).parquet(target)
-        top = F.max(self.id_column) if self.id_column else F.lit(0)
-        columns = f"{self.id_column} long, {BUCKET} int" if self.id_column else f"{BUCKET} int"
-        written = self.spark.read.schema(columns).parquet(target).groupBy(BUCKET)
-        counts = written.agg(F.count("*").alias("rows"), top.cast("long").alias("top")).collect()  # per bucket
-        files = [{"bucket": row[BUCKET], "folder": folder, "rows": row["rows"]} for row in counts]
-        return files, max((row["top"] for row in counts if row["top"] is not None), default=0) + 1
+    def _write(self, df: DataFrame, folder: str, mode: str, sort: list[str], partitions: str = "dynamic") -> None:
+        """Adaptive execution splits a large partition over several files and merges small ones."""
+        laid_out = df.withColumn(PARTITION, self._partition()).hint("rebalance", PARTITION) if self.keys else df.withColumn(PARTITION, F.lit(0)).hint("rebalance")
+        laid_out = laid_out.sortWithinPartitions(PARTITION, *sort) if sort else laid_out
+        laid_out.write.mode(mode).option("partitionOverwriteMode", partitions).partitionBy(PARTITION).parquet(folder)
+
+    def replace(self, df: DataFrame, sort: list[str] | None = None) -> Change:
+        """A new version that holds these rows and no others; ``sort`` orders the rows of a file."""
+        seen = Observation()
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        # Whatever a failed write has left in the new folder goes.
+        self._write(counted, self._folder(self.version() + 1), "overwrite", sort or self.keys, "static")
+        self._schema = df.schema
+        return Change(inserted=observed(seen, "rows")[0])
 
     def _staged(self, df: DataFrame) -> DataFrame:
-        path = f"{self.path}/staged/{uuid.uuid4().hex}"
+        path = fresh_path(self.spark, "change")
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def publish(self, df: DataFrame, tag: str | None = None, sort: list[str] | None = None) -> Change:
-        """Replace the whole table."""
-        version = self.version() + 1
-        files, next_id = self._write(self._bucketed(df), sort)
-        self._commit(_Live(version, files, df.schema, next_id), "publish", tag, _folder(files))
-        return Change(version, inserted=sum(f["rows"] for f in files))
-
-    def _stage(self, df: DataFrame, live: _Live, order_by: str) -> tuple[DataFrame, dict[int, int]]:
-        """Write a change once, so that every later step reads the same rows; also its rows per bucket."""
-        columns = [c for c in live.schema.fieldNames() if c != self.id_column]
-        staged = self._staged(self._bucketed(df.select(*columns, *([] if order_by in columns else [order_by]))))
-        counts = staged.groupBy(BUCKET).agg(F.count("*").alias("rows")).collect()  # one row per bucket
-        return staged, {row[BUCKET]: row["rows"] for row in counts}
-
-    def _numbered(self, fresh: DataFrame, live: _Live, order_by: str) -> DataFrame:
+    def _change(self, df: DataFrame, order_by: str) -> DataFrame:
+        """The incoming rows with the columns of the table, written once, so that every later step reads the same."""
+        self._open()
+        columns = [f.name for f in self._schema.fields if f.name != self.id_column]
+        return self._staged(df.select(*columns, *([] if order_by in columns else [order_by])))
+
+    def _numbered(self, fresh: DataFrame, order_by: str) -> DataFrame:
         """New rows with unused ids that follow ``order_by``. Equal or NULL order values do not matter for them."""
         if not self.id_column:
             return fresh
+        first = self._rows().agg(F.coalesce(F.max(self.id_column), F.lit(0)).cast("long")).first()[0] + 1
         marked = fresh.orderBy(F.col(order_by).asc_nulls_first(), *self.keys).withColumn("row_mark", F.monotonically_increasing_id())
         marked = self._staged(marked)
         part, place = F.shiftright("row_mark", 33), F.col("row_mark").bitwiseAND((1 << 33) - 1)
         sizes = marked.groupBy(part.alias("part")).agg(F.count("*").alias("rows")).orderBy("part").collect()  # one per partition
-        bases, before = [], live.next_id
+        bases = []
         for row in sizes:
-            bases.append((row["part"], before))
-            before += row["rows"]
+            bases.append((row["part"], first))
+            first += row["rows"]
         base = F.broadcast(self.spark.createDataFrame(bases, "row_part long, row_base long"))
-        kind = live.schema[self.id_column].dataType
+        kind = self._schema[self.id_column].dataType
         numbered = marked.withColumn("row_part", part).join(base, "row_part").withColumn(self.id_column, (F.col("row_base") + place).cast(kind))
         return numbered.drop("row_part", "row_base", "row_mark")
 
-    def upsert(self, df: DataFrame, order_by: str, tag: str | None = None) -> Change:
+    def upsert(self, df: DataFrame, order_by: str) -> Change:
         """Insert new keys and replace all columns of known ones, except the id; the last row per key wins.
 
-        ``order_by`` gives the order of the input rows; it is dropped when the table has no such column.
+        ``order_by`` gives the order of the input rows; it is dropped when the table has no such column. One outer join
+        of the touched partitions with the change says what is kept, replaced and new.
         """
-        live = self._live()
-        staged, staged_rows = self._stage(latest_per_key(df, self.keys, order_by), live, order_by)
-        before = self._read(live, set(staged_rows))
-        known = self.keys + [BUCKET]
-        incoming = staged
+        change = self._change(latest_per_key(df, self.keys, order_by), order_by)
+        touched = self._touched(change)
+        if not touched:
+            return Change()
+        before = self._near(touched)
+        names = [f.name for f in self._schema.fields]
         if self.id_column:
-            matched = _joined(staged, before.select(*known, self.id_column), known, "left")
-            missing = F.col(self.id_column).isNull()
-            fresh = self._numbered(matched.filter(missing).drop(self.id_column), live, order_by)
-            incoming = matched.filter(~missing).unionByName(fresh)
-        kept = _joined(before, staged.select(*known), known, "left_anti")
-        files, next_id = self._write(kept.unionByName(incoming.select(*kept.columns)))
-        untouched = [f for f in live.files if f["bucket"] not in staged_rows]
-        old_rows = sum(f["rows"] for f in live.files if f["bucket"] in staged_rows)
-        inserted = sum(f["rows"] for f in files) - old_rows
-        new = _Live(live.version + 1, untouched + files, live.schema, max(live.next_id, next_id))
-        self._commit(new, "upsert", tag, _folder(files))
-        return Change(new.version, inserted=inserted, updated=sum(staged_rows.values()) - inserted)
-
-    def insert_ignore(self, df: DataFrame, order_by: str, tag: str | None = None) -> Change:
+            fresh = self._numbered(joined_by(change, before.select(*self.keys), self.keys, "left_anti"), order_by)
+            known = joined_by(change, fresh.select(*self.keys), self.keys, "left_anti")
+            change = known.withColumn(self.id_column, F.lit(None).cast(self._schema[self.id_column].dataType)).unionByName(fresh.select(*known.columns, self.id_column))
+        old = before.select(*[F.col(k).alias(f"{k}__old") for k in self.keys], F.struct(*names).alias("old"))
+        new = change.select(*[F.col(k).alias(f"{k}__new") for k in self.keys], F.struct(*names).alias("new"))
+        same = reduce(lambda x, y: x & y, [F.col(f"{k}__old").eqNullSafe(F.col(f"{k}__new")) for k in self.keys])
+        joined = old.join(new, same, "full_outer")
+
+        def value(name: str) -> Column:
+            if name == self.id_column:
+                return F.coalesce(F.col(f"old.{name}"), F.col(f"new.{name}")).alias(name)
+            return F.when(F.col("new").isNotNull(), F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
+
+        seen = Observation()
+        inserted, updated = F.col("old").isNull(), F.col("old").isNotNull() & F.col("new").isNotNull()
+        counted = joined.observe(seen, F.count_if(inserted).alias("inserted"), F.count_if(updated).alias("updated"))
+        self._write(counted.select(*[value(n) for n in names]), self._open(), "overwrite", self.keys)
+        return Change(*observed(seen, "inserted", "updated"))
+
+    def insert_ignore(self, df: DataFrame, order_by: str) -> Change:
         """Add rows with new keys, the first row per key; files already there are left alone."""
-        live = self._live()
-        staged, staged_rows = self._stage(first_per_key(df, self.keys, order_by), live, order_by)
-        known = self.keys + [BUCKET]
-        before = self._read(live, set(staged_rows))
-        fresh = self._numbered(_joined(staged, before.select(*known), known, "left_anti"), live, order_by)
-        files, next_id = self._write(fresh.select(*before.columns))
-        new = _Live(live.version + 1, live.files + files, live.schema, max(live.next_id, next_id))
-        self._commit(new, "insert", tag, _folder(files))
-        if len({f["folder"] for f in new.files}) > MAX_FOLDERS:
-            self.compact()
-        return Change(new.version, inserted=sum(f["rows"] for f in files))
-
-    def delete_where(self, condition: Column, tag: str | None = None) -> Change:
-        """Remove rows for which the condition holds; rows where it is NULL stay."""
-        live = self._live()
-        hits = self._read(live).filter(condition).groupBy(BUCKET).agg(F.count("*").alias("rows")).collect()
-        touched = {row[BUCKET] for row in hits}
-        if not touched:
-            return Change(live.version)
-        files, _ = self._write(self._read(live, touched).filter(~F.coalesce(condition, F.lit(False))))
-        untouched = [f for f in live.files if f["bucket"] not in touched]
-        new = _Live(live.version + 1, untouched + files, live.schema, live.next_id)
-        self._commit(new, "delete", tag)
-        return Change(new.version, deleted=sum(row["rows"] for row in hits))
-
-    def compact(self, max_groups: int = 1) -> Change:
-        """Rewrite the buckets that inserts have spread over more than ``max_groups`` file groups."""
-        live = self._live()
-        groups = Counter(f["bucket"] for f in live.files)
-        touched = {bucket for bucket, count in groups.items() if count > max_groups}
+        change = self._change(first_per_key(df, self.keys, order_by), order_by)
+        touched = self._touched(change)
         if not touched:
-            return Change(live.version)
-        files, _ = self._write(self._read(live, touched))
-        untouched = [f for f in live.files if f["bucket"] not in touched]
-        new = _Live(live.version + 1, untouched + files, live.schema, live.next_id)
-        self._commit(new, "compact", None)
-        return Change(new.version)
-
-
-def _folder(files: list[dict]) -> str | None:
-    return files[0]["folder"] if files else None
+            return Change()
+        fresh = self._numbered(joined_by(change, self._near(touched).select(*self.keys), self.keys, "left_anti"), order_by)
+        seen = Observation()
+        counted = fresh.select(*[f.name for f in self._schema.fields]).observe(seen, F.count(F.lit(1)).alias("rows"))
+        self._write(counted, self._open(), "append", self.keys)
+        return Change(inserted=observed(seen, "rows")[0])
+
+    def delete_where(self, condition: Column) -> Change:
+        """A new version without the rows for which the condition holds; rows where it is NULL stay."""
+        gone = F.coalesce(condition, F.lit(False))
+        deleted = self.current().where(condition).count()
+        if deleted:
+            self.replace(self.current().where(~gone))
+        return Change(deleted=deleted)

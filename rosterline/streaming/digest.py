@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rosterline.sources.store import VersionedTable
-
 # The statuses that are reported.
 FAILED_STATUSES = ("Error", "Invalid")
 
@@ -32,10 +32,13 @@ def digest_counts(records: DataFrame) -> DataFrame:
     return failed(records).groupBy(F.to_date("ts").alias("day"), "status", _message()).agg(F.count("*").alias("records"))
 
 
-def start_digest(records: DataFrame, table: VersionedTable, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
-    """Keep the daily counts up to date: each micro-batch upserts the windows it changed.
+COUNTS_SCHEMA = "day date, status string, message string, records long"
+
 
-    Update mode shows a day as soon as it has a failure, and the watermark lets state of closed days go.
+def start_closed_days(records: DataFrame, path: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
+    """Append the counts of each day once, when the watermark has passed its end, through Spark's file sink.
+
+    A record that comes after its day was closed is late: it is not counted, and no file is written again.
     """
     counts = (
         failed(records)
@@ -44,16 +47,20 @@ def start_digest(records: DataFrame, table: VersionedTable, checkpoint: str, del
         .agg(F.count("*").alias("records"))
         .select(F.to_date("span.start").alias("day"), "status", "message", "records")
     )
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        tag = f"batch-{batch_id}"
-        if not table.has_tag(tag):
-            table.upsert(batch, "records", tag)
-
     return (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(process)
-        .option("checkpointLocation", checkpoint)
+        counts.writeStream.format("parquet").outputMode("append")
+        .option("path", path).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def closed_days(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(COUNTS_SCHEMA).parquet(path)
+
+
+def digest_so_far(closed: DataFrame, records: DataFrame) -> DataFrame:
+    """Closed days as stored, and the days after the last closed one counted from their records, which the scan is bounded to."""
+    last = closed.agg(F.max("day")).first()[0]
+    still_open = records if last is None else records.where(F.col("ts") >= F.lit(last + dt.timedelta(days=1)))
+    return closed.unionByName(digest_counts(still_open))

@@ -1,10 +1,12 @@
-"""Versioned tables: order, uniqueness, ids, visibility and repetition."""
+"""Keyed tables: order, uniqueness, ids, visibility and repetition."""
+
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from rosterline.sources import sinks, store
-from rosterline.sources.store import VersionedTable, first_per_key, latest_per_key
+from rosterline.sources.store import KeyedTable, first_per_key, latest_per_key
 
 SCHEMA = "k long, v string, seq long"
 
@@ -15,8 +17,8 @@ def rows(df):
 
 @pytest.fixture
 def table(spark, path):
-    t = VersionedTable(spark, path("t"), ["k"], buckets=4)
-    t.publish(spark.createDataFrame([(1, "a", 0), (2, "b", 0), (3, "c", 0)], SCHEMA))
+    t = KeyedTable(spark, path("t"), ["k"], partitions=4)
+    t.replace(spark.createDataFrame([(1, "a", 0), (2, "b", 0), (3, "c", 0)], SCHEMA))
     return t
 
 
@@ -43,8 +45,8 @@ def test_insert_ignore_first_row_wins(spark, table):
 
 
 def test_delete_keeps_rows_where_the_condition_is_unknown(spark, path):
-    t = VersionedTable(spark, path("d"), ["k"], buckets=4)
-    t.publish(spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "k long, v string"))
+    t = KeyedTable(spark, path("d"), ["k"], partitions=4)
+    t.replace(spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "k long, v string"))
     assert t.delete_where(F.col("v") == "a").deleted == 1
     assert sorted(r["k"] for r in t.current().collect()) == [2, 3]
     assert t.delete_where(F.col("v") == "nothing").deleted == 0
@@ -54,28 +56,54 @@ def test_delete_keeps_rows_where_the_condition_is_unknown(spark, path):
     assert rows(t.current()) == [(9, "z")]
 
 
+def files(table):
+    """Path and time of the table's data files."""
+    found = {}
+    for folder, _, names in os.walk(table.path):
+        found |= {os.path.join(folder, n): os.stat(os.path.join(folder, n)).st_mtime_ns for n in names if n.endswith(".parquet")}
+    return found
+
+
 def test_reader_keeps_its_version(spark, table):
     old = table.current()
-    table.upsert(spark.createDataFrame([(1, "new", 1)], SCHEMA), "seq")
-    assert rows(old) == [(1, "a"), (2, "b"), (3, "c")]
+    table.replace(spark.createDataFrame([(1, "new", 1)], SCHEMA))
+    assert rows(old) == [(1, "a"), (2, "b"), (3, "c")] and rows(table.current()) == [(1, "new")]
+    assert table.delete_where(F.col("v") == "new").deleted == 1 and table.current().isEmpty()
 
 
 def test_failed_change_leaves_the_table_alone(spark, table):
-    before, version = rows(table.current()), table.version()
+    before, version = files(table), table.version()
     broken = spark.createDataFrame([(1, "q", 1)], SCHEMA).withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
-    with pytest.raises(Exception, match="boom"):
-        table.upsert(broken, "seq")
-    assert rows(table.current()) == before and table.version() == version
+    for change in (lambda: table.upsert(broken, "seq"), lambda: table.insert_ignore(broken, "seq"), lambda: table.replace(broken)):
+        with pytest.raises(Exception, match="boom"):
+            change()
+        assert rows(table.current()) == [(1, "a"), (2, "b"), (3, "c")] and table.version() == version
+    assert before.items() <= files(table).items()
+    table.replace(spark.createDataFrame([(9, "z", 1)], SCHEMA))
+    assert rows(table.current()) == [(9, "z")]
+
+
+def test_only_touched_partitions_are_rewritten(spark, path):
+    t = KeyedTable(spark, path("b"), ["k"])
+    t.replace(spark.range(1000).select(F.col("id").alias("k"), F.lit("v").alias("v"), F.lit(0).alias("seq")))
+    before = files(t)
+    t.upsert(spark.createDataFrame([(7, "new", 1)], "k long, v string, seq int"), "seq")
+    after = files(t)
+    gone, added = before.keys() - after.keys(), after.keys() - before.keys()
+    assert {os.path.dirname(f) for f in gone} == {os.path.dirname(f) for f in added} and len({os.path.dirname(f) for f in gone}) == 1
+    assert t.current().count() == 1000 and t.current_near(spark.createDataFrame([(7,)], "k long")).count() < 200
+    t.insert_ignore(spark.createDataFrame([(5000, "new", 1)], "k long, v string, seq int"), "seq")
+    assert after.items() <= files(t).items() and t.current().count() == 1001
 
 
-def test_only_touched_buckets_are_rewritten(spark, path):
-    t = VersionedTable(spark, path("b"), ["k"], buckets=16)
-    t.publish(spark.range(1000).select(F.col("id").alias("k"), F.lit("v").alias("v"), F.lit(0).alias("seq")))
-    before = {(f["bucket"], f["folder"]) for f in t._live().files}
-    t.upsert(spark.createDataFrame([(7, "new", 1)], "k long, v string, seq int"), "seq")
-    after = {(f["bucket"], f["folder"]) for f in t._live().files}
-    assert len(before - after) == 1 and t.current().count() == 1000
-    assert t.current_near(spark.createDataFrame([(7,)], "k long")).count() < 200
+def test_replayed_load_gives_the_same_rows(spark, path):
+    t = sinks.empty_table(spark, path("p"), ["k"], "id long, k string, v string", id_column="id")
+    batch = spark.createDataFrame([("b", "1", 1), ("a", "1", 2), ("c", "2", 3)], "k string, v string, seq long")
+    t.upsert(batch, "seq")
+    once = sorted(tuple(r) for r in t.current().collect())
+    for again in (t.upsert, t.insert_ignore):
+        assert again(batch, "seq").inserted == 0
+        assert sorted(tuple(r) for r in t.current().collect()) == once
 
 
 def test_ids_follow_input_order_and_stay(spark, path):
@@ -86,21 +114,15 @@ def test_ids_follow_input_order_and_stay(spark, path):
     assert sorted(tuple(r) for r in t.current().collect()) == [(1, "b", "1"), (2, "a", "9"), (3, "c", "9")]
 
 
-def test_written_returns_the_rows_of_one_change(spark, table):
-    table.insert_ignore(spark.createDataFrame([(8, "h", 1)], SCHEMA), "seq", tag="one")
-    table.insert_ignore(spark.createDataFrame([(9, "i", 1)], SCHEMA), "seq", tag="two")
-    assert table.has_tag("one") and not table.has_tag("three")
-    assert rows(table.written("one")) == [(8, "h")]
-
-
-def test_empty_change_remembers_its_tag(spark, table):
-    table.insert_ignore(spark.createDataFrame([], SCHEMA), "seq", tag="none")
-    assert table.has_tag("none") and rows(table.current()) == [(1, "a"), (2, "b"), (3, "c")]
+def test_empty_change_changes_nothing(spark, table):
+    before = files(table)
+    assert table.insert_ignore(spark.createDataFrame([], SCHEMA), "seq") == table.upsert(spark.createDataFrame([], SCHEMA), "seq") == store.Change()
+    assert files(table) == before
 
 
 def test_missing_table_is_an_error(spark, path):
     with pytest.raises(ValueError):
-        VersionedTable(spark, path("nowhere"), ["k"]).current()
+        KeyedTable(spark, path("nowhere"), ["k"]).current()
 
 
 def test_one_per_key_with_a_hot_key(spark):
@@ -123,37 +145,24 @@ def test_tied_and_missing_order_values_keep_every_key_once(spark, path):
 
 
 def test_missing_keys_equal_themselves(spark, path):
-    t = VersionedTable(spark, path("n"), ["k", "m"], buckets=4)
-    t.publish(spark.createDataFrame([], "k string, m string, v string"))
+    t = KeyedTable(spark, path("n"), ["k", "m"], partitions=4)
+    t.replace(spark.createDataFrame([], "k string, m string, v string"))
     for value in ("1", "2", "3"):
         t.upsert(spark.createDataFrame([("d", None, value, 1)], "k string, m string, v string, seq long"), "seq")
     assert [tuple(r) for r in t.current().collect()] == [("d", None, "3")]
     assert t.insert_ignore(spark.createDataFrame([("d", None, "9", 1), (None, None, "0", 1)], "k string, m string, v string, seq long"), "seq").inserted == 1
 
 
-def test_reopened_table_keeps_its_buckets(spark, path):
+def test_a_table_opened_with_other_partitions_or_keys_is_an_error(spark, path):
     rows_ = spark.createDataFrame([(i, "a", 0) for i in range(6)], SCHEMA)
-    VersionedTable(spark, path("r"), ["k"], buckets=16).publish(rows_)
-    for wrong in ({"buckets": 8}, {"id_column": "k"}):
-        with pytest.raises(ValueError):
-            VersionedTable(spark, path("r"), ["k"], **wrong)
-    with pytest.raises(ValueError):
-        VersionedTable(spark, path("r"), ["v"])
-    again = VersionedTable(spark, path("r"))
+    KeyedTable(spark, path("r"), ["k"]).replace(rows_)
+    for wrong in (KeyedTable(spark, path("r"), ["k"], partitions=7), KeyedTable(spark, path("r"), ["v"])):
+        with pytest.raises(Exception, match="another number of partitions"):
+            wrong.upsert(spark.range(50).selectExpr("id AS k", "CAST(id AS STRING) AS v", "id AS seq"), "seq")
+    again = KeyedTable(spark, path("r"), ["k"])
     assert again.upsert(rows_, "seq").updated == 6 and again.current().count() == 6
 
 
-def test_a_commit_stays_one_row_and_inserts_merge_their_files(spark, table, monkeypatch):
-    monkeypatch.setattr(store, "MAX_FOLDERS", 5)
-    for i in range(20):
-        table.insert_ignore(spark.createDataFrame([(100 + i, "n", 1)], SCHEMA), "seq")
-    log = spark.read.parquet(f"{table.path}/log/version={table.version()}")
-    assert log.count() == 1 and len({f["folder"] for f in table._live().files}) <= 6
-    assert table.current().count() == 23
-    table.vacuum(keep=1)
-    assert table.current().count() == 23 and table._names("log") == [f"version={table.version()}"] and table._names("staged") == []
-
-
 def test_latest_of_equal_order_values_is_one_row(spark):
     df = spark.createDataFrame([(1, "a", 5), (1, "b", 5), (1, "b", 5), (2, "c", None), (2, "d", 1)], SCHEMA)
     chosen = rows(latest_per_key(df, ["k"], "seq"))
@@ -176,13 +185,3 @@ def test_grade_updates_reach_stored_rows(spark, path):
     change = sinks.store_grades(t, updates)
     assert (change.inserted, change.updated) == (0, 2)
     assert sorted((r["student_id"], r["grade"]) for r in t.current().collect()) == [(1, "A"), (2, None)]
-
-
-def test_compaction_keeps_the_rows(spark, table):
-    for i in range(3):
-        table.insert_ignore(spark.createDataFrame([(10 + i, "n", 1)], SCHEMA), "seq")
-    before = rows(table.current())
-    groups = len(table._live().files)
-    table.compact()
-    assert rows(table.current()) == before and len(table._live().files) < groups
-    assert table.compact().version == table.version()

@@ -1,6 +1,7 @@
 """Streams over small drops of files: several micro-batches, repeats, replays and late rows."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,13 +27,13 @@ def drop(spark, folder, number, rows, schema):
 
 @pytest.fixture
 def job(spark, department, path):
-    outcomes = sinks.empty_table(spark, path("outcomes"), ["row_id"], registration.OUTCOME_SCHEMA, buckets=4)
-    students = sinks.student_table(spark, path("students"), buckets=4)
+    outcomes = registration.OutcomeLog(spark, path("outcomes"))
+    students = sinks.student_table(spark, path("students"), partitions=4)
     return registration.RegistrationStream(outcomes, students, department, AS_OF)
 
 
 def statuses(job):
-    return {r["row_id"]: (r["status"], r["message"]) for r in job.outcomes.current().collect()}
+    return {r["row_id"]: (r["status"], r["message"]) for r in job.outcomes.latest().collect()}
 
 
 def test_registration_over_several_batches(spark, job, path):
@@ -56,9 +57,21 @@ def test_registration_over_several_batches(spark, job, path):
 def test_replayed_batch_changes_nothing(spark, job):
     batch = spark.createDataFrame([edit(1, 1), edit(2, 2, year="9")], EVENT)
     job.process(batch, 0)
-    before, version = statuses(job), job.students.version()
+    before, students = statuses(job), sorted(job.students.current().collect())
     job.process(batch, 0)
-    assert statuses(job) == before and job.students.version() == version
+    assert statuses(job) == before and sorted(job.students.current().collect()) == students
+
+
+def test_no_batch_writes_an_earlier_file_again(spark, job):
+    seen = {}
+    for number in range(20):
+        job.process(spark.createDataFrame([edit(number, 1, year="9"), edit(number, 100 + number)], EVENT), number)
+        now = {}
+        for folder, _, names in os.walk(job.outcomes.path):
+            now |= {os.path.join(folder, n): os.stat(os.path.join(folder, n)).st_mtime_ns for n in names if n.endswith(".parquet")}
+        assert seen.items() <= now.items() and len(now) > len(seen)
+        seen = now
+    assert len(statuses(job)) == 21 and job.outcomes.read().count() == 40 and job.students.current().count() == 20
 
 
 def test_batch_that_stopped_halfway_is_completed(spark, job, monkeypatch):
@@ -90,7 +103,7 @@ def test_stream_result_is_the_batch_result(spark, department, job, path):
 
 def test_keep_first_across_batches(spark, path):
     schema = "k string, n long"
-    table = sinks.empty_table(spark, path("t"), ["k"], schema, buckets=4)
+    table = sinks.empty_table(spark, path("t"), ["k"], schema, partitions=4)
     folder = path("in")
     drop(spark, folder, 1, [("a", 5), ("a", 3), ("b", 4)], schema)
     events = spark.readStream.schema(schema).parquet(f"{folder}/*")
@@ -100,19 +113,26 @@ def test_keep_first_across_batches(spark, path):
     assert sorted(tuple(r) for r in table.current().collect()) == [("a", 3), ("b", 4), ("c", 9)]
 
 
-def test_drop_repeats_within_the_watermark(spark, path):
-    schema = "k string, ts timestamp"
+def test_repeats_over_several_files_and_a_restart(spark, path):
+    schema = "k string, ts timestamp, n long"
     at = dt.datetime(2024, 1, 1)
+    hour = dt.timedelta(hours=1)
     folder = path("in")
-    drop(spark, folder, 1, [("a", at), ("a", at + dt.timedelta(hours=1)), ("b", at)], schema)
-    events = spark.readStream.schema(schema).parquet(f"{folder}/*")
-    query = (
-        registration.drop_repeats(events, "k", "ts")
-        .writeStream.format("memory").queryName("repeats").option("checkpointLocation", path("check"))
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    assert sorted(r["k"] for r in spark.table("repeats").collect()) == ["a", "b"]
+
+    def run():
+        events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+        registration.start_repeats(events, ["k"], "ts", path("out"), path("check")).awaitTermination()
+        return sorted((r["k"], r["ts"]) for r in spark.read.schema(schema).parquet(path("out")).collect())
+
+    drop(spark, folder, 1, [("a", at, n) for n in range(200)] + [("b", at, 1)], schema)
+    assert run() == [("a", at), ("b", at)]
+    drop(spark, folder, 2, [("a", at + hour, 1), ("c", at + 2 * hour, 2)], schema)
+    drop(spark, folder, 3, [("c", at + 3 * hour, 3), ("b", at, 9)], schema)
+    assert run() == [("a", at), ("b", at), ("c", at + 2 * hour)]
+    drop(spark, folder, 4, [("d", at + 80 * hour, 1)], schema)
+    run()  # the watermark passes what is stored
+    drop(spark, folder, 5, [("e", at, 1), ("a", at + 81 * hour, 5)], schema)  # e is late, a is no repeat any more
+    assert run() == [("a", at), ("a", at + 81 * hour), ("b", at), ("c", at + 2 * hour), ("d", at + 80 * hour)]
 
 
 RECORD = "ts timestamp, row_id long, status string, message string"
@@ -123,23 +143,31 @@ def records(day, first, count, status="Error"):
     return [(at, first + i, status, "m") for i in range(count)]
 
 
-def test_digest_grows_and_matches_the_batch(spark, path):
-    table = sinks.empty_table(
-        spark, path("d"), ["day", "status", "message"], "day date, status string, message string, records long", buckets=4
-    )
+def test_closed_days_are_written_once_and_match_the_batch(spark, path):
     folder = path("in")
+
+    def run():
+        stream = spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*")
+        digest.start_closed_days(stream, path("days"), path("check")).awaitTermination()
+        return sorted(tuple(r) for r in digest.closed_days(spark, path("days")).collect())
+
     first = records(1, 1, 3) + records(1, 10, 2, "Invalid") + records(1, 20, 5, "Registered")
-    second = records(1, 30, 2) + records(2, 40, 1)  # two more for a day already shown
+    second = records(1, 30, 2) + records(2, 40, 1)
     drop(spark, folder, 1, first, RECORD)
-    stream = spark.readStream.schema(RECORD).parquet(f"{folder}/*")
-    digest.start_digest(stream, table, path("check")).awaitTermination()
-    assert sum(r["records"] for r in table.current().collect()) == 5
+    assert run() == []
     drop(spark, folder, 2, second, RECORD)
-    digest.start_digest(stream, table, path("check")).awaitTermination()
-    batch = digest.digest_counts(spark.createDataFrame(first + second, RECORD))
+    assert run() == []  # a day may still come in until one day after its end
+    third = records(3, 50, 4) + records(5, 60, 1, "Invalid")
+    drop(spark, folder, 3, third, RECORD)
+    day = dt.date(2024, 1, 1)
+    closed = [(day, "Error", "m", 5), (day, "Invalid", "m", 2), (dt.date(2024, 1, 2), "Error", "m", 1), (dt.date(2024, 1, 3), "Error", "m", 4)]
+    assert run() == closed
+    drop(spark, folder, 4, records(1, 70, 9), RECORD)  # late: its day is closed
+    assert run() == closed
+    every = spark.createDataFrame(first + second + third, RECORD)
+    so_far = digest.digest_so_far(digest.closed_days(spark, path("days")), every)
     columns = ["day", "status", "message", "records"]
-    assert sorted(map(tuple, table.current().select(*columns).collect())) == sorted(map(tuple, batch.select(*columns).collect()))
-
+    assert sorted(tuple(r) for r in so_far.select(*columns).collect()) == sorted(tuple(r) for r in digest.digest_counts(every).select(*columns).collect())
 
 def test_digest_is_empty_without_failures(spark):
     df = spark.createDataFrame(records(1, 1, 4, "Registered"), RECORD)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rosterline.operators import sync
 from rosterline.plans.jobs import run_benchmark, run_delta, run_incremental
 from rosterline.schemas import SYNC_LOG
-from rosterline.sources.store import VersionedTable
+from rosterline.sources.store import KeyedTable
 
 
 def test_log_keeps_successes_and_failures(spark, path):
@@ -66,8 +66,8 @@ def test_refresh_shows_new_data_and_survives_one_failure(spark, path):
 
 
 def test_incremental_run_logs_then_refreshes(spark, path):
-    table = VersionedTable(spark, path("t"), ["k"], buckets=2)
-    table.publish(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"))
+    table = KeyedTable(spark, path("t"), ["k"], partitions=2)
+    table.replace(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"))
     log = sync.SyncLog(spark, path("log"))
     total = sync.SummaryTable(spark, path("sum"), lambda: table.current().groupBy("v").count(), ["v"])
     changes = spark.createDataFrame([(2, "a"), (3, "a")], "k long, v string")
@@ -77,8 +77,8 @@ def test_incremental_run_logs_then_refreshes(spark, path):
 
 
 def test_a_run_meets_what_was_stamped_during_the_last_one(spark, path):
-    table = VersionedTable(spark, path("t"), ["k"], buckets=2)
-    table.publish(spark.createDataFrame([], "k long, ts timestamp_ntz, n long"))
+    table = KeyedTable(spark, path("t"), ["k"], partitions=2)
+    table.replace(spark.createDataFrame([], "k long, ts timestamp_ntz, n long"))
     log = sync.SyncLog(spark, path("log"))
     at = [dt.datetime(2024, 1, 1, 0, 0, s) for s in range(4)]
 
@@ -93,6 +93,22 @@ def test_a_run_meets_what_was_stamped_during_the_last_one(spark, path):
     assert sync.last_read(log.read(), "t") == at[2]
 
 
+def test_rows_without_a_time_are_read_by_every_run(spark, path):
+    table = KeyedTable(spark, path("t"), ["k"], partitions=2)
+    table.replace(spark.createDataFrame([], "k long, ts timestamp_ntz, n long"))
+    log = sync.SyncLog(spark, path("log"))
+    at = [dt.datetime(2024, 1, 1, 0, 0, s) for s in range(3)]
+
+    def run(rows):
+        source = spark.createDataFrame([(k, None if s is None else at[s], n) for k, s, n in rows], "k long, ts timestamp_ntz, n long")
+        return run_delta(log, "t", table, source, "ts", "n", {})[0]
+
+    assert run([(1, None, 1)]) == 1 and sync.last_read(log.read(), "t") is None
+    assert run([(1, None, 1), (2, 1, 2), (3, 0, 3)]) == 3 and sync.last_read(log.read(), "t") == at[1]
+    assert run([(1, None, 4), (2, 1, 2), (3, 0, 5), (4, None, 6)]) == 3
+    assert sorted((r["k"], r["n"]) for r in table.current().collect()) == [(1, 4), (2, 2), (3, 3), (4, 6)]
+
+
 def test_the_bound_of_a_delta_reaches_the_scan(spark, path):
     log = spark.createDataFrame([(1, "t", "batch", 1, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), "success", None, None)], SYNC_LOG)
     spark.createDataFrame([(1, dt.datetime(2024, 1, 3))], "i int, ts timestamp_ntz").write.parquet(path("events"))
