@@ -37,6 +37,12 @@ DOCS = [
 ]
 
 
+def test_the_first_window_stays_whole(docs):
+    rows = [(1, "a\na\na\na"), (2, "x\ny\nx\ny\nx\nz"), (3, "0\nx\ny\nx\n1"), (4, "p\nq\nr\ns"), (5, "o\np\nq\nr\ns")]
+    found = {r["doc_id"]: (r["text"].split("\n"), r["n_removed"]) for r in line_dedup.dedup_lines(docs(rows)).collect()}
+    assert found == {1: (["a"] * 3, 1), 2: (list("xyxz"), 2), 3: (list("01"), 3), 4: (list("pqrs"), 0), 5: (["o"], 4)}
+
+
 def test_line_windows(docs):
     table = docs(DOCS)
     same(line_dedup.dedup_lines(table).select("doc_id", "n_lines", "n_removed", "text"), line_dedup.ORACLE_SQL, {"documents": table.toArrow()})
@@ -45,7 +51,7 @@ def test_line_windows(docs):
     found = {}
     for r in line_dedup.dedup_lines(clash).collect():
         found.setdefault(r["doc_id"], set()).add(r["text"])
-    assert found[None] == {"a\nb\nc"} and found[1] == {"d"} and found[2] == {"x\ny"} and found[5] == {None}
+    assert found[None] == {"a\nb\nc"} and found[1] == {"b\nc\nd"} and found[2] == {"x\ny"} and found[5] == {None}
     assert line_dedup.dedup_lines(clash).count() == len(DOCS) + 2
 
 
