@@ -9,7 +9,7 @@ from rosterline.operators.academic import full_name, with_departments
 
 
 def find_student(student: DataFrame, email: str) -> DataFrame:
-    """Equality on a stored column: reaches the Parquet scan as a pushed filter."""
+    """Equality on one column. It reaches a Parquet scan where the column is stored; see ``layouts.store_sorted``."""
     return student.filter(F.col("student_email") == email)
 
 
@@ -42,7 +42,7 @@ def students_by_phone_prefix(student: DataFrame, prefix: str = "+91") -> DataFra
 
 
 def page(df: DataFrame, key: str, size: int = 20, offset: int = 0) -> DataFrame:
-    """One page by position. Deep pages cost more: prefer ``page_after``."""
+    """One page by position. Deep pages cost more: prefer ``page_after``, or ``layouts.store_pages`` where pages are numbered."""
     ordered = df.orderBy(key)
     return (ordered.offset(offset) if offset else ordered).limit(size)
 

@@ -159,13 +159,21 @@ def genre_report(
 def customer_lifetime_value(
     customer: DataFrame, invoice: DataFrame, high: str = "40", medium: str = "20"
 ) -> DataFrame:
-    orders = invoice.groupBy("CustomerId").agg(
+    return lifetime_value(customer, orders_per_customer(invoice), high, medium)
+
+
+def orders_per_customer(invoice: DataFrame) -> DataFrame:
+    return invoice.groupBy("CustomerId").agg(
         F.count("InvoiceId").alias("orders"),
         F.sum("Total").cast(MONEY).alias("spent"),
         F.count("Total").alias("priced"),
         F.min("InvoiceDate").alias("first_purchase"),
         F.max("InvoiceDate").alias("last_purchase"),
     )
+
+
+def lifetime_value(customer: DataFrame, orders: DataFrame, high: str = "40", medium: str = "20") -> DataFrame:
+    """From the orders per customer, as ``orders_per_customer`` or a maintained state gives them."""
     spent = F.col("spent")
     segment = (
         F.when(spent > F.lit(high).cast(MONEY), F.lit("High Value"))

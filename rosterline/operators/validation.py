@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rosterline.functions import cleaning as clean
 from rosterline.functions.dates import MIN_AGE_YEARS, age_by_days, old_enough, parse_date
+from rosterline.session import fresh_path
 
 
 def first_values(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
@@ -291,17 +292,23 @@ def _judge(requests: DataFrame, department: DataFrame, as_of, seq: str) -> DataF
     return judged.join(department.select("department_name", "department_id"), "department_name", "left")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def register(
     requests: DataFrame, department: DataFrame, existing: DataFrame, as_of=None, seq: str = "seq"
 ) -> DataFrame:
     """Judge registration requests: 400 with all errors, 409 for a known e-mail, 201 with the clean row.
 
     The first valid request for a new e-mail is created and its copies get 409. Only the winning sequence
-    values travel back to the requests.
+    values travel back to the requests. Requests are judged once and written; what follows reads that.
     """
-    judged = _judge(spread(requests, seq), department, as_of, seq)
+    judged = _written(_judge(spread(requests, seq), department, as_of, seq), "judged-requests")
     acceptable = (F.size("errors") == 0) & F.col("department_id").isNotNull()
-    firsts = first_values(_judge(requests, department, as_of, seq).filter(acceptable), ["student_email"], seq)
+    firsts = first_values(judged.filter(acceptable), ["student_email"], seq)
     winners = firsts.join(existing.select("student_email").distinct(), "student_email", "left_anti")
     missing = F.format_string('Department "%s" not found in database', "department_name")
     status = (

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from rosterline.functions import cleaning as clean
 from rosterline.functions.dates import old_enough, parse_date
 from rosterline.functions.grades import grade_to_points
-from rosterline.operators import academic, academic_functions, countries, lookups, sales, sync, validation, views
+from rosterline.operators import academic, academic_functions, countries, layouts, lookups, maintained, sales, sync, validation, views
 from rosterline.plans import jobs
 from rosterline.plans.binding import AS_OF, FLAWED_GRADE, Tables, derive
 from rosterline.session import ensure_adaptive, fresh_path
@@ -29,6 +29,8 @@ QUERIES: dict[str, Query] = {}
 # Orders before this day count as stored history, later ones as the incoming change.
 CUTOFF = "1998-01-01"
 HIGH_VALUE, MEDIUM_VALUE = "3000000", "2000000"
+# The changes of the incremental summary: smaller invoices are raised by one, larger ones deleted.
+SMALL_TOTAL, LARGE_TOTAL = 50_000, 400_000
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -687,6 +689,26 @@ def _(t: Tables) -> DataFrame:
     return lookups.students_by_phone_prefix(t.student, "+91")
 
 
+@query("o_1_stored")
+def _(t: Tables) -> DataFrame:
+    """The same lookup on a copy sorted by the e-mail."""
+    stored = layouts.store_sorted(t.student, fresh_path(t.spark, "student_by_email"), "student_email")
+    return lookups.find_student(stored, ONE_EMAIL)
+
+
+@query("o_4_stored")
+def _(t: Tables) -> DataFrame:
+    """The same prefix on a copy sorted by the phone number."""
+    stored = layouts.store_sorted(t.student, fresh_path(t.spark, "student_by_phone"), "student_phone_number")
+    return lookups.students_by_phone_prefix(stored, "+91")
+
+
+@query("o_5_position")
+def _(t: Tables) -> DataFrame:
+    """The same page from stored, numbered pages."""
+    return layouts.store_pages(t.student, fresh_path(t.spark, "student_pages"), "student_id").page(20, 40)
+
+
 @query("o_5_page")
 def _(t: Tables) -> DataFrame:
     return lookups.page(t.student, "student_id", 20, 40)
@@ -804,6 +826,25 @@ def _(t: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("mv_4_incremental")
+def _(t: Tables) -> DataFrame:
+    """Lifetime value from a state that was given the older invoices, then inserts, updates and deletes, the last twice."""
+    invoice = t.invoice.select("CustomerId", "InvoiceDate", "Total")
+    keys = {"CustomerId": invoice.schema["CustomerId"].dataType.simpleString(), "InvoiceDate": invoice.schema["InvoiceDate"].dataType.simpleString()}
+    totals = maintained.MaintainedTotals(t.spark, fresh_path(t.spark, "order_totals"), keys, {"Total": "decimal(28,2)"})
+    older = F.col("InvoiceDate") < F.lit(CUTOFF).cast("timestamp_ntz")
+    none = invoice.limit(0)
+    small, large = F.col("Total") < SMALL_TOTAL, F.coalesce(F.col("Total") > LARGE_TOTAL, F.lit(False))
+    totals.apply(maintained.change_images(none, invoice.where(older)), 1)
+    totals.apply(maintained.change_images(none, invoice.where(~older)), 2)
+    raised = F.col("Total") + F.lit(1).cast("decimal(10,2)")
+    totals.apply(maintained.change_images(invoice.where(small), invoice.where(small).withColumn("Total", raised.cast("decimal(10,2)"))), 3)
+    for _ in range(2):
+        totals.apply(maintained.change_images(invoice.where(large), none), 4)
+    orders = maintained.orders_per_customer(totals.read())
+    return _rounded_mean(sales.lifetime_value(t.customer_card, orders, HIGH_VALUE, MEDIUM_VALUE))
+
+
 @query("mv_5_top_artists")
 def _(t: Tables) -> DataFrame:
     return sales.top_by(_stored(t, "artist_sales_summary"), "total_revenue", "ArtistId", 10)
@@ -1085,6 +1126,12 @@ def _(t: Tables) -> DataFrame:
     return sales.album_details(42, t.album, t.track, t.artist)
 
 
+@query("doc_3_indexed")
+def _(t: Tables) -> DataFrame:
+    """The same search over a stored index."""
+    return layouts.index_tracks(t.part_track, fresh_path(t.spark, "track_index")).search("RING blue")
+
+
 @query("doc_3_search_tracks")
 def _(t: Tables) -> DataFrame:
     return sales.search_tracks(t.part_track, "RING blue")

@@ -13,7 +13,7 @@ from rosterline.functions.cleaning import DEPARTMENT_SPELLINGS, YEAR_WORDS
 from rosterline.functions.grades import GRADE_POINTS, GRADES
 from rosterline.operators.countries import METRICS
 from rosterline.plans.binding import AS_OF, EXPRESSIONS, FLAWED_GRADE, LINE_GRADE
-from rosterline.plans.catalog import CUTOFF, GIVEN, HIGH_VALUE, MEDIUM_VALUE, ONE_EMAIL
+from rosterline.plans.catalog import CUTOFF, GIVEN, HIGH_VALUE, LARGE_TOTAL, MEDIUM_VALUE, ONE_EMAIL, SMALL_TOTAL
 
 BL = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160))"
 LETTERS = ", ".join(f"'{g}'" for g in GRADES)
@@ -683,7 +683,8 @@ oracle(
 )
 
 # -- access patterns
-oracle("o_1_find_student", f"SELECT * FROM student WHERE student_email = '{ONE_EMAIL}'")
+for _key in ("o_1_find_student", "o_1_stored"):
+    oracle(_key, f"SELECT * FROM student WHERE student_email = '{ONE_EMAIL}'")
 oracle(
     "o_1_find_student_department",
     "SELECT student_first_name, student_last_name, department_name FROM student s JOIN department d "
@@ -699,8 +700,10 @@ oracle(
     "SELECT course_name, grade, enrollment_date FROM enrollment e JOIN course c ON e.course_id = c.course_id "
     "WHERE student_id = 42",
 )
-oracle("o_4_phone_prefix", "SELECT * FROM student WHERE student_phone_number LIKE '+91%'")
-oracle("o_5_page", "SELECT * FROM student ORDER BY student_id LIMIT 20 OFFSET 40")
+for _key in ("o_4_phone_prefix", "o_4_stored"):
+    oracle(_key, "SELECT * FROM student WHERE student_phone_number LIKE '+91%'")
+for _key in ("o_5_page", "o_5_position"):
+    oracle(_key, "SELECT * FROM student ORDER BY student_id LIMIT 20 OFFSET 40")
 oracle("o_5_page_after", "SELECT * FROM student WHERE student_id > 39 ORDER BY student_id LIMIT 20")
 oracle("o_6_exists", "SELECT EXISTS (SELECT 1 FROM enrollment WHERE student_id = 1) AS has_enrollment")
 oracle(
@@ -765,6 +768,12 @@ CTES["lifetime"] = (
     "GROUP BY c.CustomerId, customer_name, c.Email, c.Country"
 )
 oracle("mv_3_customer_lifetime_value", "SELECT * FROM lifetime")
+CTES["changed_invoice"] = (
+    f"SELECT InvoiceId, CustomerId, InvoiceDate, CASE WHEN Total < {SMALL_TOTAL} THEN Total + 1 ELSE Total END AS Total "
+    f"FROM invoice WHERE coalesce(Total, 0) <= {LARGE_TOTAL}"
+)
+CTES["changed_lifetime"] = CTES["lifetime"].replace("LEFT JOIN invoice i", "LEFT JOIN changed_invoice i")
+oracle("mv_4_incremental", "SELECT * FROM changed_lifetime")
 oracle(
     "mv_4_refresh_all",
     "SELECT summary, row_count, row_count AS rows_written FROM (SELECT 'artist_sales_summary' AS summary, count(*) AS row_count "
@@ -978,7 +987,8 @@ oracle(
     "t.Name AS track_name FROM album al JOIN track t ON al.AlbumId = t.AlbumId JOIN artist a ON al.ArtistId = a.ArtistId "
     "WHERE al.AlbumId = 42",
 )
-oracle(
-    "doc_3_search_tracks",
-    "SELECT TrackId AS \"TrackId\", Name AS track_name FROM part_track WHERE Name ILIKE '%ring%' AND Name ILIKE '%blue%'",
-)
+for _key in ("doc_3_search_tracks", "doc_3_indexed"):
+    oracle(
+        _key,
+        "SELECT TrackId AS \"TrackId\", Name AS track_name FROM part_track WHERE Name ILIKE '%ring%' AND Name ILIKE '%blue%'",
+    )

@@ -14,7 +14,7 @@ from rosterline.sources.store import latest_per_key
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(SMALL), reason="given tables are not here")
 WRITES = ("src_", "snk_", "inc_1", "inc_2", "inc_3", "inc_6", "str_1", "str_2", "str_3_error", "str_4", "mv_4", "mv_5",
-          "b_5_stored", "b_8", "f_3_enroll_students", "f_6_stored", "val_9_cleaning")
+          "b_5_stored", "b_8", "o_1_stored", "o_4_stored", "o_5_position", "doc_3_indexed", "val_4", "val_6", "f_3_enroll_students", "f_6_stored", "val_9_cleaning")
 
 
 def plan(df):
