@@ -12,6 +12,10 @@ MIN_AGE_YEARS = 16
 # Free-form dates: month first or day first, the month known by its first three letters.
 _MONTH_FIRST = r"^([A-Z][a-z]{2})[a-z]*\.? (\d{1,2}),? (\d{4})$"
 _DAY_FIRST = r"^(\d{1,2}) ([A-Z][a-z]{2})[a-z]*\.?,? (\d{4})$"
+_MONTH_ONLY = r"^([A-Z][a-z]{2})[a-z]*\.?,? (\d{4})$"
+# What may stand before and after a free-form date: a weekday, and a time of day with its zone.
+_WEEKDAY = r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,? +"
+_TIME = r"(?i),? +\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[ap]m)?( ?(z|utc|gmt)?([+-]\d{2}:?\d{2})?)?( \(.*\))?$"
 
 
 def day(as_of: Column | dt.date | str | None) -> Column:
@@ -53,7 +57,9 @@ def old_enough(born: Column, as_of=None, years: int = MIN_AGE_YEARS) -> Column:
 def parse_date(text: Column) -> Column:
     """ISO (a time part may follow), day-first ``D/M/YYYY``, or a free-form date; else NULL.
 
-    Impossible dates are NULL, and the written calendar day is kept whatever the session time zone.
+    Free-form dates may have a weekday before and a time after them: ``Y-M-D`` and ``Y/M/D`` without leading zeros,
+    month-first ``M-D-Y`` (with a time also ``M/D/Y``), a written month before or after the day, or a written month and year
+    alone, which is its first day. Impossible dates are NULL, and the written calendar day is kept whatever the time zone.
     """
     from rosterline.functions.cleaning import trim_text
 
@@ -62,11 +68,17 @@ def parse_date(text: Column) -> Column:
         return F.nullif(F.regexp_extract(value, pattern, group), F.lit(""))
 
     clean = trim_text(text)
-    worded = F.regexp_replace(F.initcap(clean), _DAY_FIRST, "$2 $1 $3")
+    bare = F.regexp_replace(F.regexp_replace(clean, _WEEKDAY, ""), _TIME, "")
+    worded = F.regexp_replace(F.initcap(bare), _DAY_FIRST, "$2 $1 $3")
     worded = F.regexp_replace(worded, _MONTH_FIRST, "$1 $2 $3")
+    worded = F.regexp_replace(worded, _MONTH_ONLY, "$1 1 $2")
+    timed = F.when(bare != clean, bare)
     return F.coalesce(
         F.try_to_date(shaped(clean, r"^(\d{4}-\d{2}-\d{2})(T.*|\s+\d.*)?$"), "yyyy-MM-dd"),
         F.try_to_date(shaped(clean, r"^(\d{1,2}/\d{1,2}/\d{4})$"), "d/M/yyyy"),
-        F.try_to_date(shaped(clean, r"^(\d{4}/\d{1,2}/\d{1,2})$"), "yyyy/M/d"),
+        F.try_to_date(shaped(bare, r"^(\d{4}/\d{1,2}/\d{1,2})$"), "yyyy/M/d"),
+        F.try_to_date(shaped(bare, r"^(\d{4}-\d{1,2}-\d{1,2})$"), "yyyy-M-d"),
+        F.try_to_date(shaped(bare, r"^(\d{1,2}-\d{1,2}-\d{4})$"), "M-d-yyyy"),
+        F.try_to_date(shaped(timed, r"^(\d{1,2}/\d{1,2}/\d{4})$"), "M/d/yyyy"),
         F.try_to_date(shaped(worded, r"^([A-Z][a-z]{2} \d{1,2} \d{4})$"), "MMM d yyyy"),
     )

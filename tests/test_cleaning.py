@@ -77,6 +77,18 @@ def test_field_takes_first_filled_spelling(spark):
     assert [r[0] for r in df.select(clean.field(df, "email")).collect()] == ["b@x.y", "a@x.y", None, " "]
 
 
+def test_free_form_dates(spark):
+    known = {
+        "2024-1-5": (2024, 1, 5), "1-5-2024": (2024, 1, 5), "12-31-2024": (2024, 12, 31), "2024/1/5 10:00": (2024, 1, 5),
+        "Jan 15, 2024 10:30": (2024, 1, 15), "15 January 2024, 23:59:59.5 GMT+0200": (2024, 1, 15), "Monday, January 15, 2024": (2024, 1, 15),
+        "Mon Jan 15 2024 00:00:00 GMT+0530 (India Standard Time)": (2024, 1, 15), "tue., 2 feb 2021": (2021, 2, 2), "January 2024": (2024, 1, 1),
+        "feb 2023": (2023, 2, 1), "1/15/2024 10:30 PM": (2024, 1, 15), "15/01/2024": (2024, 1, 15), "2024-01-15T10:00:00Z": (2024, 1, 15),
+    }
+    refused = ["13-31-2024", "31-12-2024", "2024-13-5", "2024-2-30", "15/01/2024 10:30", "Janember 2024x", "Mon", "10:30", "Feb 30, 2024", "2024", "Monday 2024-1-"]
+    found = apply(spark, dates.parse_date, [*known, *refused], "string")
+    assert found == [dt.date(*d) for d in known.values()] + [None] * len(refused)
+
+
 def test_average_rounds_once_half_up(spark):
     # 3.004999… must not become 3.005 and then 3.01; an exact tie goes up.
     df = spark.createDataFrame([(3004999900, 10**7), (60100, 200)], "s long, n long")
