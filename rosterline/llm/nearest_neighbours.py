@@ -3,14 +3,15 @@
 Every vector is scaled to length 1 and projected, once for each of ``ORDERINGS`` random rotations, on ``AXES`` axes; the
 projections are shifted by a random amount, cut into 2 ** ``BITS`` cells an axis, and the cells' Hilbert keys put the
 vectors in an order. Spark range-partitions and sorts all orderings at once, which gives every vector its exact
-rank in each. A query meets the vectors whose ranks lie within half a window of its own; the windows of all
-orderings are merged, and candidates are ranked by their exact cosine in double precision.
+rank in each. A query's candidates are the vectors whose ranks lie within half a window of its own, exactly.
+The windows of all orderings are merged first, so a candidate that several orderings name counts once; then every distinct
+candidate is ranked by its exact cosine in double precision, once.
 
 A window is the larger of ``LEAST_WINDOW`` and ``WINDOW_SHARE`` of the vectors. Neighbours in high-dimensional data without
-structure are hardly nearer than the rest, so the share, not a fixed number, keeps the recall at every size: the
-test tables, 64 isotropic dimensions, have a recall of 0.97 or more (see README). Ranks are cut into blocks of
-``BLOCK`` vectors, and a block's queries into chunks of about ``CHUNK``; a task's group is one block with one chunk, whatever
-the number of vectors.
+structure are hardly nearer than the rest, so the share, not a fixed number, keeps the recall at every size; README gives the
+measured recall and share of the table met. Windows carry only the places of vectors, in blocks of ``BLOCK`` ranks and chunks of
+about ``CHUNK`` queries; they are merged query by query and ``SEGMENT`` places at a time. A vector's place is its rank in the
+first ordering; vectors travel once, by blocks of places. So a task's group is bounded whatever the number of vectors.
 
 Equal vectors are one entry with the ``k`` + 1 smallest ids, which is all that any answer can use, so a vector that
 a third of the rows share takes one place in each ordering. Axes are scaled by a sample of ``FIT_ROWS`` entries; it only
@@ -35,10 +36,10 @@ from pyspark.sql import types as T
 
 from rosterline.llm.common import prepare, staged
 
-ORDERINGS = 24
-AXES, BITS = 8, 8
-WINDOW_SHARE, LEAST_WINDOW = 1 / 16, 256
-BLOCK, CHUNK = 2048, 4096
+ORDERINGS = 40
+AXES, BITS = 16, 4
+WINDOW_SHARE, LEAST_WINDOW = 1 / 52, 32
+BLOCK, CHUNK, SEGMENT = 2048, 4096, 1 << 22
 FIT_ROWS = 4096
 SEED = 20040426
 
@@ -151,37 +152,85 @@ def _ranks(orderings: DataFrame, entries: int) -> DataFrame:
     return numbered.join(F.broadcast(bases), "part").select(F.floor(whole / entries).cast("int").alias("ordering"), (whole % entries).alias("rank"), "gid")
 
 
-def _rerank(k: int, kind: str):
+def _windows(half: int, dtype: str):
+    """For each query of a block of ranks: the places of the block's vectors within its window, by segment."""
+
+    def met(group: pd.DataFrame) -> pd.DataFrame:
+        asks = group["asks"].to_numpy(bool)
+        queries, found = group[asks], group[~asks].sort_values("rank")
+        ranks, places = found["rank"].to_numpy(), found["place"].to_numpy()
+        middle = queries["rank"].to_numpy()
+        low, high = np.searchsorted(ranks, middle - half), np.searchsorted(ranks, middle + half, side="right")
+        out = []
+        for query, i, j in zip(queries["place"].to_numpy(), low, high):
+            some = np.sort(places[i:j])  # with the query's own, whose further ids are neighbours
+            cuts = np.flatnonzero(np.diff(some // SEGMENT)) + 1
+            out += [(query, part[0] // SEGMENT, part.astype(dtype).tobytes()) for part in np.split(some, cuts) if len(part)]
+        return pd.DataFrame(out, columns=["query", "segment", "places"])
+
+    return met
+
+
+def _merged(dtype: str):
+    """The distinct candidates of a query in a segment, by block of places."""
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        places = np.unique(np.frombuffer(b"".join(group["places"]), dtype)).astype(np.int64)
+        parts = np.split(places, np.flatnonzero(np.diff(places // BLOCK)) + 1)
+        query = group["query"].iloc[0]
+        return pd.DataFrame([(query, p[0] // BLOCK, p.astype(dtype).tobytes()) for p in parts], columns=["query", "block", "places"])
+
+    return merge
+
+
+def _rerank(k: int, kind: str, dtype: str):
+    """The best of each query's candidates in a block of places, which holds every place of its range."""
+
     def best(group: pd.DataFrame) -> pd.DataFrame:
         asks = group["asks"].to_numpy(bool)
-        queries, found = group[asks], group[~asks]
-        if not len(queries) or not len(found):
-            return pd.DataFrame({"query": [], "gid": [], "score": [], "first_id": []})
-        a = _unit(np.frombuffer(b"".join(queries["vec"]), kind).reshape(len(queries), -1).astype(np.float64))
+        queries, found = group[asks], group[~asks].sort_values("place")
+        a = _unit(np.frombuffer(b"".join(queries["vec"]), kind).reshape(len(queries), -1).astype(np.float64)) if len(queries) else []
         b = _unit(np.frombuffer(b"".join(found["vec"]), kind).reshape(len(found), -1).astype(np.float64))
-        gids, firsts = found["gid"].to_numpy(), found["first_id"].to_numpy()
-        keep = min(k + 1, len(found))
-        rows = []
-        for start in range(0, len(a), 256):
-            close = a[start : start + 256] @ b.T
-            # All that reach the k + 1st score, less rounding, are scored again pair by pair and ordered.
-            least = np.partition(close, len(b) - keep, axis=1)[:, len(b) - keep] - 1e-12
-            i, j = np.nonzero(close >= least[:, None])
-            rows.append((i + start, j))
-        i, j = (np.concatenate(x) for x in zip(*rows))
-        score = np.empty(len(i))
-        for start in range(0, len(i), 65536):
-            part = slice(start, start + 65536)
-            score[part] = (a[i[part]] * b[j[part]]).sum(axis=1)
-        order = np.lexsort((firsts[j], -score, i))
-        i, j, score = i[order], j[order], score[order]
-        place = np.arange(len(i)) - np.searchsorted(i, i)
-        top = place < keep
-        return pd.DataFrame({"query": queries["gid"].to_numpy()[i[top]], "gid": gids[j[top]], "score": score[top], "first_id": firsts[j[top]]})
+        places, firsts = found["place"].to_numpy(), found["first_id"].to_numpy()
+        out = []
+        for query, vector, data in zip(queries["place"].to_numpy(), a, queries["places"]):
+            some = np.searchsorted(places, np.frombuffer(data, dtype).astype(np.int64))
+            near = b[some]
+            score = (near * vector).sum(axis=1)
+            keep = min(k + 1, len(some))
+            # All that reach the k + 1st score are ordered, so ties go by the smaller id.
+            top = np.flatnonzero(score >= np.partition(score, len(score) - keep)[len(score) - keep])
+            top = top[np.lexsort((firsts[some[top]], -score[top]))][:keep]
+            out.append((np.full(len(top), query), places[some[top]], score[top], firsts[some[top]]))
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)]
+        return pd.DataFrame(dict(zip(["query", "place", "score", "first_id"], columns)))
 
     return best
 
 
+def _chunks(asked: int, entries: int, reach: int) -> int:
+    """Into how many parts the queries of a block are cut."""
+    return max(1, -(-asked * min(entries, reach) // (entries * CHUNK)))
+
+
+def candidates(ranks: DataFrame, queries: DataFrame, entries: int, asked: int) -> DataFrame:
+    """(query, block, places): the distinct candidates of every query (place), by block of places.
+
+    ``ranks`` has (ordering, rank, place).
+    """
+    half = max(LEAST_WINDOW, int(np.ceil(entries * WINDOW_SHARE))) // 2
+    dtype = "<u4" if entries < 1 << 32 else "<u8"
+    chunks = _chunks(asked, entries, 2 * half + BLOCK)
+    found = ranks.select("ordering", F.floor(F.col("rank") / BLOCK).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "rank", "place")
+    first = F.floor(F.greatest(F.col("rank") - half, F.lit(0)) / BLOCK)
+    last = F.floor(F.least(F.col("rank") + half, F.lit(entries - 1)) / BLOCK)
+    chunk = F.pmod(F.xxhash64("place"), F.lit(chunks)).cast("int")
+    asks = ranks.join(queries, "place").select("ordering", F.explode(F.sequence(first, last)).alias("block"), chunk.alias("chunk"), "rank", "place")
+    both = found.withColumn("asks", F.lit(False)).union(asks.withColumn("asks", F.lit(True)))
+    met = both.groupBy("ordering", "block", "chunk").applyInPandas(_windows(half, dtype), "query long, segment long, places binary")
+    return met.groupBy("query", "segment").applyInPandas(_merged(dtype), "query long, block long, places binary")
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5, ids: str = "vec_id", column: str = "embedding") -> DataFrame:
     """The ``k`` nearest rows found for every row that ``is_query`` (a condition on ``vec_id``) selects.
 
@@ -199,21 +248,25 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, ids: str = "vec_id"
     if entries == 0:
         return usable.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
 
-    half = max(LEAST_WINDOW, int(np.ceil(entries * WINDOW_SHARE))) // 2
-    ranks = staged(_ranks(_orderings(groups, kind, length), entries), "hilbert-ranks")
-    in_query = asking.select("gid").distinct()
-    asked = in_query.count()
-    chunks = max(1, -(-asked * min(entries, 2 * half + BLOCK) // (entries * CHUNK)))
-    wide = groups.select("gid", "vec", "first_id")
-    found = ranks.select("ordering", F.floor(F.col("rank") / BLOCK).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "gid")
-    first = F.floor(F.greatest(F.col("rank") - half, F.lit(0)) / BLOCK)
-    last = F.floor(F.least(F.col("rank") + half, F.lit(entries - 1)) / BLOCK)
-    asks = ranks.join(in_query, "gid").select("ordering", F.explode(F.sequence(first, last)).alias("block"), F.pmod(F.xxhash64("gid"), F.lit(chunks)).cast("int").alias("chunk"), "gid")
-    both = found.withColumn("asks", F.lit(False)).union(asks.withColumn("asks", F.lit(True))).join(wide, "gid")
-    near = both.groupBy("ordering", "block", "chunk").applyInPandas(_rerank(k, kind), "query long, gid long, score double, first_id long")
-    near = near.distinct()
+    ordered = staged(_ranks(_orderings(groups, kind, length), entries), "hilbert-ranks")
+    places = ordered.where("ordering = 0").select("gid", F.col("rank").alias("place"))
+    ranks = ordered.join(places, "gid").select("ordering", "rank", "place")
+    wide = staged(groups.join(places, "gid").select("gid", "place", "vec", "first_id"), "placed-vectors")
+    queries = asking.select("gid").distinct().join(places, "gid").select("place")
+    asked = queries.count()
+    dtype = "<u4" if entries < 1 << 32 else "<u8"
+    merged = staged(candidates(ranks, queries, entries, asked), "candidates")
+
+    chunks = _chunks(asked, entries, entries)
+    found = wide.select(F.floor(F.col("place") / BLOCK).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "place", "vec", "first_id", F.lit(None).cast("binary").alias("places"))
+    chunk = F.pmod(F.xxhash64("place"), F.lit(chunks)).cast("int")
+    asks = merged.withColumnRenamed("query", "place").join(wide.select("place", "vec", "first_id"), "place").select("block", chunk.alias("chunk"), "place", "vec", "first_id", "places")
+    both = found.withColumn("asks", F.lit(False)).union(asks.withColumn("asks", F.lit(True)))
+    near = both.groupBy("block", "chunk").applyInPandas(_rerank(k, kind, dtype), "query long, place long, score double, first_id long")
     by_score = Window.partitionBy("query").orderBy(F.desc("score"), "first_id")
-    near = near.withColumn("place", F.row_number().over(by_score)).where(F.col("place") <= k + 1)
+    near = near.withColumn("nth", F.row_number().over(by_score)).where(F.col("nth") <= k + 1)
+    gid_of = wide.select("place", "gid")
+    near = near.join(gid_of, "place").drop("place").withColumnRenamed("query", "place").join(gid_of.withColumnRenamed("gid", "query"), "place")
     near = staged(near.select("query", "gid", "score").join(members, "gid").select(F.col("query").alias("gid"), "vec_id", "score"), "near-vectors")
     best = Window.partitionBy("gid").orderBy(F.desc("score"), "vec_id")
     lists = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= 2 * k + 2).groupBy("gid").agg(

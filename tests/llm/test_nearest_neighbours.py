@@ -54,6 +54,27 @@ def test_recall_over_small_windows(spark, monkeypatch):
     assert found.keys() == expected.keys() and hits >= 0.9 * 5 * len(expected)
 
 
+def test_windows_are_exact_and_merged_once(spark, monkeypatch):
+    monkeypatch.setattr(nn, "BLOCK", 16)
+    monkeypatch.setattr(nn, "SEGMENT", 40)
+    monkeypatch.setattr(nn, "LEAST_WINDOW", 20)
+    monkeypatch.setattr(nn, "CHUNK", 3)
+    rng = np.random.default_rng(6)
+    orders = [np.arange(100), rng.permutation(100), rng.permutation(100)]
+    rows = [(o, rank, int(place)) for o, order in enumerate(orders) for rank, place in enumerate(order)]
+    ranks = spark.createDataFrame(rows, "ordering int, rank long, place long")
+    asked = [0, 13, 50, 99]
+    found = nn.candidates(ranks, spark.createDataFrame([(p,) for p in asked], "place long"), 100, len(asked)).collect()
+    for query in asked:
+        expected = set()
+        for order in orders:
+            at = int(np.flatnonzero(order == query)[0])
+            expected |= {int(p) for p in order[max(at - 10, 0) : at + 11]}
+        got = [int(p) for r in found if r["query"] == query for p in np.frombuffer(r["places"], "<u4")]
+        assert len(got) == len(set(got)) and set(got) == expected
+    assert all({int(p) // 16 for p in np.frombuffer(r["places"], "<u4")} == {r["block"]} for r in found)
+
+
 def test_hilbert_curve_visits_every_cell_by_steps_of_one():
     for axes, bits in ((2, 4), (3, 3), (5, 2)):
         cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * axes, indexing="ij"), -1).reshape(-1, axes)
