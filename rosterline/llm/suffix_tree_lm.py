@@ -1,17 +1,20 @@
 """A language model as a probabilistic suffix tree over word tokens.
 
-Symbols are the words that make up at least ``SYMBOL_SHARE`` of all training tokens, one symbol for all rarer words,
-and the end of a text. Contexts grow level by level: one that holds at least ``CONTEXT_SHARE`` of the tokens may be
-extended to the left, up to ``DEPTH`` symbols; a context is retained if its next-symbol distribution diverges from that
+Symbols are all words, the beginning and the end of a text. Contexts grow level by level, up to ``DEPTH`` symbols: one
+that occurs at least ``LEAST_CONTEXT`` times in training may be extended to the left, and its transitions that occur
+twice or more are explicit. A context is retained if its next-symbol distribution diverges from that
 of its longest retained suffix by more than its parameters cost (its likelihood gain, which is its count times the
 divergence, exceeds half the logarithm of its count for every explicit symbol). Distributions are
 discounted and filled up from the suffix, down to the smoothed word frequencies (c + 1) / (N + V + 1). A token is scored in
-the state of the longest retained suffix of what precedes it; a rare word takes its share of the rare symbol by its count.
-Probabilities of all words and one unknown word sum to 1 in every state, and the root alone gives the base score.
+the state of the longest retained suffix of what precedes it. Probabilities of all words and one unknown word sum to 1 in
+every state, and the root alone gives the base score.
 
-All counts come from all training texts. The shares bound what is broadcast: at most 1 / ``SYMBOL_SHARE`` symbols and
-transitions and 1 / ``CONTEXT_SHARE`` contexts a level, whatever the corpus. Counts of the ``HOT_WORDS`` most frequent
-words are broadcast as well; those of all other words are joined in one shuffle.
+The limits are absolute counts, so symbols, contexts and transitions grow with the corpus. The tree is a table by the
+hash of a sequence of words. A state's probability divided by its suffix's is what the state adds: the
+share left to the suffix, which its context brings, and for an explicit symbol a correction, which the transition brings. A
+text's score is hence the sum of the values of all its sequences of up to ``DEPTH`` + 1 words: the ``HOT_KEYS`` most
+frequent ones are broadcast, all others are folded per text and joined. Bitmaps of ``BITS`` bits keep sequences that
+are in no table out of the shuffles; full ones would let more through and change no result.
 
 Rows: NULL and empty texts are an end alone; rows without doc_id are learned from; repeated rows each count and each
 get a row; without training rows the score is that of an empty table of counts; other columns are ignored.
@@ -20,7 +23,7 @@ get a row; without training rows the score is that of an empty table of counts;
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,83 +31,140 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import SortedHashes, buffers, mix, not_blank, prepare, slices, staged, words
+from rosterline.llm.common import SortedHashes, buffers, discard, mix, not_blank, prepare, slices, staged, words
 
 DEPTH = 3
-SYMBOL_SHARE = 5e-6
-CONTEXT_SHARE = 2e-5
-LEAST_SYMBOL, LEAST_CONTEXT = 3, 12
+LEAST_CONTEXT, LEAST_ARC = 12, 2
 DISCOUNT = 0.75
-HOT_WORDS = 1 << 18
+HOT_KEYS = 1 << 20
 TOP_COUNT = 100_000
 HELD_ROWS = 1 << 21
-BASE = np.uint64(1 << 20)  # more than the symbols, so that three fit a 64-bit key
+BITS = 27
 
-RARE, END = 0, 1  # symbols; words follow
+BEGIN, END = np.uint64(0x5DEECE66D1234567), np.uint64(0xB5297A4D3F84D5B5)  # symbols beside the hashes of words
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Places:
-    """Where each of some 64-bit keys stands; keys are mixed first, since the slots are told by leading bits."""
+def chain(sequence: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Key of a sequence of symbols and one more; that of one symbol is the symbol."""
+    return mix(sequence * STEP + symbol)
 
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
-        mixed = mix(keys)
-        self.order = np.argsort(mixed)
-        self.hashes = SortedHashes(mixed[self.order])
 
-    def find(self, wanted: np.ndarray) -> np.ndarray:
-        found = self.hashes.find(mix(wanted))
-        return np.where(found >= 0, self.order[np.maximum(found, 0)], -1) if len(self.order) else found
+def stream(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of a slice of texts, each with its beginning and end, and the places of the beginnings (one more than texts)."""
+    rows = len(at) - 1
+    begin = at + 2 * np.arange(rows + 1)
+    out = np.empty(len(hashes) + 2 * rows, np.uint64)
+    out[np.arange(len(hashes)) + 2 * np.repeat(np.arange(rows), np.diff(at)) + 1] = hashes
+    out[begin[:-1]], out[begin[1:] - 1] = BEGIN, END
+    return out, begin
+
+
+def sequences(symbols: np.ndarray, begin: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For lengths 1, 2, ...: key of the symbols that end at each place, and whether they lie in one text."""
+    back = np.arange(len(symbols)) - np.repeat(begin[:-1], np.diff(begin))
+    keys = symbols
+    for length in range(1, most + 1):
+        yield keys, back >= length - 1
+        keys = chain(np.append(np.uint64(0), keys[:-1]), symbols)
 
 
 class _Sums:
-    """Counts by 64-bit key, folded within a task and given out before they grow large."""
+    """Counts by the first of some 64-bit columns, folded within a task and given out before they grow large."""
 
-    def __init__(self):
-        self.keys, self.counts, self.held = [], [], 0
+    def __init__(self, *names: str):
+        self.names, self.parts, self.held = names, [], 0
 
-    def add(self, keys: np.ndarray) -> None:
-        found, counts = np.unique(keys, return_counts=True)
-        self.keys.append(found)
-        self.counts.append(counts)
-        self.held += len(found)
+    def add(self, *columns: np.ndarray) -> None:
+        key, first, counts = np.unique(columns[0], return_index=True, return_counts=True)
+        self.parts.append([key, *(c[first] for c in columns[1:]), counts])
+        self.held += len(key)
 
-    def fold(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        return keys[begin], np.add.reduceat(counts, begin)
+    def fold(self) -> list[np.ndarray]:
+        *columns, counts = [np.concatenate(c) for c in zip(*self.parts)]
+        order = np.argsort(columns[0])
+        key = columns[0][order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        return [c[order[first]] for c in columns] + [np.add.reduceat(counts[order], first)]
 
     def batches(self, last: bool) -> Iterator[pa.RecordBatch]:
         if self.held and (last or self.held > HELD_ROWS):
-            keys, counts = self.fold()
-            self.keys, self.counts, self.held = [keys], [counts], len(keys)
-            if last or len(keys) > HELD_ROWS // 2:
-                self.__init__()
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["key", "n"])
+            columns = self.fold()
+            self.parts, self.held = [columns], len(columns[0])
+            if last or self.held > HELD_ROWS // 2:
+                self.parts, self.held = [], 0
+                out = columns[-len(self.names) :]
+                order = np.argsort(out[0], kind="stable")  # equal contexts side by side
+                yield pa.RecordBatch.from_arrays([pa.array(c[order].view(np.int64)) for c in out], list(self.names))
+
+
+def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
+    """Word hashes of the texts of each batch, slice by slice."""
+    values = not_blank()
+    for batch in batches:
+        data, offsets = buffers(batch.column(column))
+        for first, last in slices(offsets):
+            yield batch, first, last, *words(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], values)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    values, sums = not_blank(), _Sums()
-    for batch in batches:
-        data, offsets = buffers(batch.column(0))
-        for first, last in slices(offsets):
-            hashes, _ = words(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], values)
-            if len(hashes):
-                sums.add(hashes)
-            yield from sums.batches(False)
+    sums = _Sums("key", "n")
+    for _, first, last, hashes, _ in _texts(batches, 0):
+        sums.add(np.append(hashes, np.full(last - first, END)))
+        yield from sums.batches(False)
     yield from sums.batches(True)
 
 
+class Bits:
+    """Which leading bits some keys have."""
+
+    def __init__(self, table: DataFrame):
+        """The keys are those of the column ``key``; at most 2^(BITS - 6) rows reach the driver."""
+        self.in_word, self.of_word = 64 - BITS, 70 - BITS
+        bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(key, {self.in_word}) & 63 AS INT))")
+        found = table.groupBy(F.shiftrightunsigned("key", self.of_word).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+        self.bits = np.zeros(1 << (BITS - 6), np.uint64)
+        self.bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+
+    def have(self, keys: np.ndarray) -> np.ndarray:
+        bit = (keys >> np.uint64(self.in_word)) & np.uint64(63)
+        return ((self.bits[(keys >> np.uint64(self.of_word)).astype(np.int64)] >> bit) & np.uint64(1)).astype(bool)
+
+
+def _count_arcs(batches: Iterator[pa.RecordBatch], contexts, depth: int) -> Iterator[pa.RecordBatch]:
+    known, sums = contexts.value, _Sums("context", "symbol", "n")
+    for _, _, _, hashes, at in _texts(batches, 0):
+        symbols, begin = stream(hashes, at)
+        *_, (keys, inside) = sequences(symbols, begin, depth)
+        before = np.flatnonzero(inside[:-1] & (symbols[:-1] != END))
+        before = before[known.have(keys[before])]
+        if len(before):
+            context, symbol = keys[before], symbols[before + 1]
+            sums.add(chain(context, symbol), context, symbol)
+        yield from sums.batches(False)
+    yield from sums.batches(True)
+
+
+ARCS = "context long, seen long, key long, below long, ends boolean, n long"
+
+
+def _name_arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of transitions and of the same ones from the suffix, which the root leaves to the symbol alone."""
+    names = [c.split()[0] for c in ARCS.split(", ")]
+    for batch in batches:
+        context, symbol, suffix = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("context", "symbol", "suffix"))
+        rooted = batch.column("rooted").to_numpy(zero_copy_only=False)
+        below = np.where(rooted, symbol, chain(suffix, symbol))
+        keys = [pa.array(k.view(np.int64)) for k in (chain(context, symbol), below)]
+        yield pa.RecordBatch.from_arrays([batch.column("context"), batch.column("seen"), *keys, pa.array(symbol == END), batch.column("n")], names)
+
+
 @dataclass
-class Vocabulary:
-    """Exact counts of the hot words, and which of these are symbols."""
+class Model:
+    """The stored tree: ``words`` (key, n), and ``values`` (key, value, uses) of sequences."""
 
-    index: SortedHashes
-    counts: np.ndarray
-    symbols: np.ndarray
-    symbol_counts: np.ndarray  # by symbol; that of RARE is unused
+    words: DataFrame
+    values: DataFrame
     tokens: int  # N
     types: int  # V
 
@@ -112,221 +172,159 @@ class Vocabulary:
     def norm(self) -> int:
         return self.tokens + self.types + 1
 
-    def root(self) -> np.ndarray:
-        """Probability of each symbol where nothing is known of the context."""
-        p = (self.symbol_counts + 1) / self.norm
-        p[RARE] = max(self.norm - float((self.symbol_counts[1:] + 1).sum()), 1.0) / self.norm
-        return p
-
-    def stream(self, hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbols of a slice with an end before it and after every text; the places of words; their hot index."""
-        rows = len(at) - 1
-        hot = self.index.find(hashes)
-        place = 1 + np.arange(len(hashes)) + np.repeat(np.arange(rows), np.diff(at))
-        out = np.full(len(hashes) + rows + 1, END, np.int64)
-        out[place] = np.where(hot >= 0, self.symbols[np.maximum(hot, 0)], RARE) if len(self.symbols) else RARE
-        return out, place, hot
-
-
-def context_keys(stream: np.ndarray, depth: int) -> np.ndarray:
-    """Key of the ``depth`` symbols before each token from the second on; 0 if a text begins among them.
-
-    The end of the text before stands for the beginning of one, so it may only be the first of a context.
-    """
-    n = len(stream) - 1
-    key, ok = np.zeros(n, np.uint64), np.ones(n, bool)
-    for back in range(depth, 0, -1):
-        symbol = np.full(n, END, np.int64)
-        symbol[back - 1 :] = stream[: n - back + 1]
-        if back > 1:
-            ok[: back - 1] = False
-        if back < depth:
-            ok &= symbol != END
-        key = key * BASE + (symbol + 1).astype(np.uint64)
-    return np.where(ok, key, np.uint64(0))
 
-
-@dataclass
-class Tree:
-    """Retained contexts. State 0 is the root."""
-
-    vocabulary: Vocabulary
-    log_root: np.ndarray
-    levels: list[tuple[Places, np.ndarray]] = field(default_factory=list)  # contexts by depth, and their states
-    suffix: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    log_backoff: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    arcs: Places = field(default_factory=lambda: Places(np.empty(0, np.uint64)))
-    log_arcs: np.ndarray = field(default_factory=lambda: np.empty(0))
-
-    def states(self, keys_by_depth: list[np.ndarray]) -> np.ndarray:
-        """The state of the longest retained context among keys given for depths 1, 2, ..."""
-        state = np.zeros(len(keys_by_depth[0]) if keys_by_depth else 0, np.int64)
-        for (contexts, states), keys in zip(self.levels, keys_by_depth):
-            if len(states):
-                found = contexts.find(keys)
-                state = np.where(found >= 0, states[np.maximum(found, 0)], state)
-        return state
-
-    def log_p(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Log probability (base 10) of a symbol in a state."""
-        out = np.zeros(len(state))
-        live, state = np.arange(len(state)), state.copy()
-        while len(live):
-            arc = self.arcs.find(state.astype(np.uint64) * BASE + symbol[live].astype(np.uint64))
-            root = state == 0
-            out[live] += np.where(root, self.log_root[symbol[live]], self.log_arcs[np.maximum(arc, 0)] if len(self.log_arcs) else 0.0) * (root | (arc >= 0))
-            more = ~root & (arc < 0)
-            out[live[more]] += self.log_backoff[state[more]]
-            live, state = live[more], self.suffix[state[more]]
-        return out
-
-
-def _count_arcs(batches: Iterator[pa.RecordBatch], model, contexts, depth: int) -> Iterator[pa.RecordBatch]:
-    values, sums = not_blank(), _Sums()
-    vocabulary, known = model.value, contexts.value
-    for batch in batches:
-        data, offsets = buffers(batch.column(0))
-        for first, last in slices(offsets):
-            hashes, at = words(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], values)
-            stream, _, _ = vocabulary.stream(hashes, at)
-            found = known.find(context_keys(stream, depth))
-            some = found >= 0
-            if some.any():
-                sums.add(found[some].astype(np.uint64) * BASE + stream[1:][some].astype(np.uint64))
-            yield from sums.batches(False)
-    yield from sums.batches(True)
+def _signed(key: np.uint64) -> int:
+    return int(key.astype(np.int64))
 
 
-def count_words(training: DataFrame) -> tuple[DataFrame, Vocabulary]:
-    """Stored counts of all words (key, n), and the vocabulary of hot words and symbols."""
-    counted = training.select("text").mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    table = staged(counted, "word-counts")
-    total, types = table.agg(F.sum("n"), F.count(F.lit(1))).first()
-    texts = training.count()
-    tokens, types = int(total or 0) + texts, int(types) + (1 if texts else 0)
-    sizes = table.groupBy(F.least("n", F.lit(TOP_COUNT)).alias("n")).agg(F.count(F.lit(1)).alias("kinds")).orderBy(F.desc("n")).collect()
-    cut, held = TOP_COUNT + 1, 0
-    for row in sizes:  # at most TOP_COUNT rows
-        if held + row["kinds"] > HOT_WORDS:
-            break
-        cut, held = row["n"], held + row["kinds"]
-    hot = table.where(F.col("n") >= cut).toPandas()
-    keys, counts = hot["key"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64)
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    chosen = counts >= max(LEAST_SYMBOL, SYMBOL_SHARE * tokens)
-    symbols = np.where(chosen, np.cumsum(chosen) + END, RARE)
-    return table, Vocabulary(SortedHashes(keys), counts, symbols, np.append([0, texts], counts[chosen]).astype(np.float64), tokens, types)
-
-
-def fit(training: DataFrame) -> tuple[DataFrame, Tree]:
-    """Word counts and the tree learned from the texts of ``training``."""
+def fit(training: DataFrame) -> Model:
+    """The tree learned from the texts of ``training``."""
     spark = prepare(training.sparkSession)
-    table, vocabulary = count_words(training)
-    tree = Tree(vocabulary, np.log10(vocabulary.root()))
-    shared = spark.sparkContext.broadcast(vocabulary)
-    least_arc = max(2, SYMBOL_SHARE * vocabulary.tokens)
-    least = max(LEAST_CONTEXT, CONTEXT_SHARE * vocabulary.tokens)
-    total = np.append([vocabulary.tokens - vocabulary.symbol_counts[1:].sum()], vocabulary.symbol_counts[1:])
-    keys = (np.flatnonzero(total >= least) + 1).astype(np.uint64)
+    counted = training.select("text").mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = staged(counted, "word-counts")
+    ends = F.col("key") == F.lit(_signed(END))
+    total, types, texts = counts.agg(F.sum("n"), F.count(F.lit(1)), F.sum(F.when(ends, F.col("n")))).first()
+    tokens, texts = int(total or 0), int(texts or 0)
+    model = Model(counts, None, tokens, int(types))
+    log_below = counts.select("key", F.log10((F.col("n") + 1) / F.lit(float(model.norm))).alias("log_p"))
+    root = [F.lit(0).cast("long").alias("suffix"), F.lit(True).alias("rooted")]
+    contexts = counts.where((F.col("n") >= LEAST_CONTEXT) & ~ends).select("key", F.col("n").alias("seen"), *root)
+    if texts >= LEAST_CONTEXT:
+        contexts = contexts.unionByName(spark.range(1).select(F.lit(_signed(BEGIN)).alias("key"), F.lit(texts).cast("long").alias("seen"), *root))
+    parts = []
     for depth in range(1, DEPTH + 1):
-        if len(keys) == 0:
-            break
-        keys = np.sort(keys)
-        contexts = spark.sparkContext.broadcast(Places(keys))
-        arcs = training.select("text").mapInArrow(lambda b, c=contexts, d=depth: _count_arcs(b, shared, c, d), "key long, n long")
-        arcs = staged(arcs.groupBy("key").agg(F.sum("n").alias("n")), f"arcs-{depth}")
-        sizes = arcs.groupBy(F.shiftright("key", 20).alias("context")).agg(F.sum("n").alias("n")).toPandas()
-        seen = np.zeros(len(keys))
-        seen[sizes["context"].to_numpy(np.int64)] = sizes["n"].to_numpy(np.float64)
-        kept = arcs.where(F.col("n") >= least_arc).toPandas().sort_values("key")
-        arc, n = kept["key"].to_numpy(np.int64), kept["n"].to_numpy(np.float64)
-        context, symbol = arc >> 20, arc & (int(BASE) - 1)
-        _retain(tree, depth, keys, seen, context, symbol, n)
-        grown = (n >= least) & (symbol != END)
-        keys = keys[context[grown]] * BASE + (symbol[grown] + 1).astype(np.uint64)
-    return table, tree
-
-
-def _retain(tree: Tree, depth: int, keys: np.ndarray, seen: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> None:
-    """Add the contexts of one depth whose distributions diverge from their suffix's."""
-    if len(n) == 0:
-        tree.levels.append((Places(np.empty(0, np.uint64)), np.empty(0, np.int64)))
-        return
-    suffixes = [keys % BASE**np.uint64(d) for d in range(1, depth)]
-    suffix = tree.states(suffixes) if depth > 1 else np.zeros(len(keys), np.int64)
-    log_below = tree.log_p(suffix[context], symbol)
-    own = np.bincount(context, n - DISCOUNT, len(keys))
-    backoff = np.where(seen > 0, 1 - own / np.maximum(seen, 1), 1.0)
-    log_p = np.log10((n - DISCOUNT) / seen[context] + backoff[context] * 10**log_below)
-    explicit = np.bincount(context, n, len(keys))
-    gain = np.bincount(context, n * (log_p - log_below), len(keys)) + (seen - explicit) * np.log10(backoff)
-    cost = 0.5 * np.bincount(context, minlength=len(keys)) * np.log10(np.maximum(seen, 2))
-    kept = gain > cost
-    states = np.full(len(keys), -1, np.int64)
-    states[kept] = len(tree.suffix) + np.arange(int(kept.sum()))
-    tree.levels.append((Places(keys[kept]), states[kept]))
-    tree.suffix = np.append(tree.suffix, suffix[kept])
-    tree.log_backoff = np.append(tree.log_backoff, np.log10(backoff[kept]))
-    mine = kept[context]
-    tree.arcs = Places(np.append(tree.arcs.keys, states[context[mine]].astype(np.uint64) * BASE + symbol[mine].astype(np.uint64)))
-    tree.log_arcs = np.append(tree.log_arcs, log_p[mine])
+        arcs = _arcs(training, contexts, depth)
+        judged = _judge(arcs, log_below, depth)
+        kept = judged.where("kept")
+        left = F.log10("backoff")
+        parts.append(kept.select("key", (F.col("log_p") - F.col("log_below") - left).alias("value"), F.col("n").alias("uses")))
+        parts.append(kept.groupBy(F.col("context").alias("key")).agg(F.first(left).alias("value"), F.first("seen").alias("uses")))
+        log_below = judged.select("key", F.when(F.col("kept"), F.col("log_p")).otherwise(F.col("log_below")).alias("log_p"))
+        grown = judged.where((F.col("n") >= LEAST_CONTEXT) & ~F.col("ends"))
+        contexts = grown.select("key", F.col("n").alias("seen"), F.col("below").alias("suffix"), F.lit(False).alias("rooted"))
+    values = parts[0]
+    for part in parts[1:]:
+        values = values.unionByName(part)
+    model.values = staged(values.groupBy("key").agg(F.sum("value").alias("value"), F.max("uses").alias("uses")), "tree")
+    return model
+
+
+def _arcs(training: DataFrame, contexts: DataFrame, depth: int) -> DataFrame:
+    """Stored explicit transitions of the contexts of one depth."""
+    shared = training.sparkSession.sparkContext.broadcast(Bits(contexts))
+    counted = training.select("text").mapInArrow(lambda b: _count_arcs(b, shared, depth), "context long, symbol long, n long")
+    counted = counted.groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_ARC)
+    named = counted.join(contexts.withColumnRenamed("key", "context"), "context").mapInArrow(_name_arcs, ARCS)
+    arcs = staged(named, f"arcs-{depth}")
+    shared.destroy()
+    return arcs
+
+
+def _judge(arcs: DataFrame, log_below: DataFrame, depth: int) -> DataFrame:
+    """Stored transitions with their probabilities, and whether their context diverges enough from its suffix."""
+    sums = arcs.groupBy("context").agg(F.sum("n").alias("explicit"), F.count(F.lit(1)).alias("kinds"), F.first("seen").alias("all"))
+    sums = sums.select("context", "kinds", (F.col("all") - F.col("explicit")).alias("rest"), ((F.col("all") - F.col("explicit") + DISCOUNT * F.col("kinds")) / F.col("all")).alias("backoff"))
+    own = (F.col("n") - DISCOUNT) / F.col("seen")
+    judged = arcs.join(log_below.withColumnRenamed("key", "below").withColumnRenamed("log_p", "log_below"), "below").join(sums, "context")
+    judged = staged(judged.withColumn("log_p", F.log10(own + F.col("backoff") * F.pow(F.lit(10.0), "log_below"))), f"judged-{depth}")
+    discard(arcs)
+    gain = F.sum(F.col("n") * (F.col("log_p") - F.col("log_below"))) + F.first("rest") * F.log10(F.first("backoff"))
+    cost = 0.5 * F.first("kinds") * F.log10(F.first("seen"))
+    kept = staged(judged.groupBy("context").agg((gain > cost).alias("kept")), f"kept-{depth}")
+    return judged.join(kept, "context")
 
 
 SCORED = "row long, doc_id long, n_tokens long, n_known long, log_counts double, gain double, keys array<long>, times array<int>"
 
 
+@dataclass
+class Hot:
+    """The most frequent keys, and the bits of all others."""
+
+    index: SortedHashes
+    counts: np.ndarray  # of words; 0 for longer sequences
+    values: np.ndarray
+    others: Bits
+    log_norm: float
+
+
+def hot(model: Model) -> tuple[Hot, DataFrame]:
+    """The keys to broadcast and the table (key, n, value) of the others."""
+    whole = model.words.select("key", "n", F.lit(0.0).alias("value"), F.col("n").alias("uses"))
+    whole = whole.unionByName(model.values.select("key", F.lit(0).cast("long").alias("n"), "value", "uses"))
+    sizes = whole.groupBy(F.least("uses", F.lit(TOP_COUNT)).alias("uses")).agg(F.count(F.lit(1)).alias("kinds")).orderBy(F.desc("uses")).collect()
+    cut, held = TOP_COUNT + 1, 0
+    for row in sizes:  # at most TOP_COUNT rows
+        if held + row["kinds"] > HOT_KEYS:
+            break
+        cut, held = row["uses"], held + row["kinds"]
+    found = whole.where(F.col("uses") >= cut).select("key", "n", "value").toPandas()
+    keys, place = np.unique(found["key"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+    counts, values = np.zeros(len(keys), np.int64), np.zeros(len(keys))
+    np.add.at(counts, place, found["n"].to_numpy(np.int64))
+    np.add.at(values, place, found["value"].to_numpy(np.float64))
+    others = whole.where(F.col("uses") < cut).select("key", "n", "value")
+    return Hot(SortedHashes(keys), counts, values, Bits(others), float(np.log10(model.norm))), others
+
+
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    values, tree = not_blank(), shared.value
-    vocabulary = tree.vocabulary
+    known = shared.value
+    log_hot = np.log10(known.counts + 1.0)
     row = TaskContext.get().partitionId() << 40
-    log_hot = np.log10(vocabulary.counts + 1.0)
-    texts = vocabulary.symbol_counts[END]
-    for batch in batches:
-        data, offsets = buffers(batch.column(1))
-        for first, last in slices(offsets):
-            hashes, at = words(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], values)
-            rows = last - first
-            stream, place, hot = vocabulary.stream(hashes, at)
-            state = tree.states([context_keys(stream, d) for d in range(1, len(tree.levels) + 1)]) if tree.levels else np.zeros(len(stream) - 1, np.int64)
-            gains = tree.log_p(state, stream[1:]) - tree.log_root[stream[1:]]
-            ends = at + np.arange(rows + 1)
-            gain = np.add.reduceat(gains, ends[:-1]) if rows else np.empty(0)
-            owner = np.repeat(np.arange(rows), np.diff(at))
-            is_hot = hot >= 0
-            logs = np.bincount(owner[is_hot], log_hot[hot[is_hot]] if len(log_hot) else None, rows) + np.log10(texts + 1)
-            known = np.bincount(owner[is_hot], minlength=rows) + int(texts > 0)
-            order = np.lexsort((hashes[~is_hot], owner[~is_hot]))
-            key, of = hashes[~is_hot][order], owner[~is_hot][order]
-            begin = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (of[1:] != of[:-1]))) if len(key) else np.empty(0, np.int64)
-            times = np.diff(np.append(begin, len(key)))
-            bounds = pa.array(np.searchsorted(of[begin], np.arange(rows + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(row + np.arange(rows)), batch.column(0).slice(first, rows), pa.array(np.diff(at) + 1), pa.array(known.astype(np.int64)),
-                    pa.array(logs.astype(np.float64)), pa.array(gain.astype(np.float64)),
-                    pa.ListArray.from_arrays(bounds, pa.array(key[begin].view(np.int64))), pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32))),
-                ],
-                [c.split()[0] for c in SCORED.split(", ")],
-            )
-            row += rows
-
-
-def score(docs: DataFrame, table: DataFrame, tree: Tree) -> DataFrame:
+    for batch, first, last, hashes, at in _texts(batches, 1):
+        rows = last - first
+        symbols, begin = stream(hashes, at)
+        owner = np.repeat(np.arange(rows), np.diff(begin))
+        logs, gains, n_known = np.where(symbols == BEGIN, 0.0, -known.log_norm), np.zeros(len(symbols)), np.zeros(len(symbols), bool)
+        cold_keys, cold_rows = [], []
+        for keys, inside in sequences(symbols, begin, DEPTH + 1):
+            place = np.flatnonzero(inside)
+            found = known.index.find(keys[place])
+            some, hit = place[found >= 0], found[found >= 0]
+            if len(hit):  # by place first, since terms of one place nearly cancel
+                logs[some] += log_hot[hit]
+                gains[some] += known.values[hit]
+                n_known[some] |= known.counts[hit] > 0
+            rest = place[found < 0]
+            rest = rest[known.others.have(keys[rest])]
+            cold_keys.append(keys[rest])
+            cold_rows.append(owner[rest])
+        key, of = np.concatenate(cold_keys), np.concatenate(cold_rows)
+        order = np.lexsort((key, of))
+        key, of = key[order], of[order]
+        start = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (of[1:] != of[:-1]))) if len(key) else np.empty(0, np.int64)
+        times = np.diff(np.append(start, len(key)))
+        bounds = pa.array(np.searchsorted(of[start], np.arange(rows + 1)).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(row + np.arange(rows)), batch.column(0).slice(first, rows), pa.array(np.diff(at) + 1),
+                pa.array(np.bincount(owner, n_known, rows).astype(np.int64)), pa.array(np.bincount(owner, logs, rows)), pa.array(np.bincount(owner, gains, rows)),
+                pa.ListArray.from_arrays(bounds, pa.array(key[start].view(np.int64))), pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32))),
+            ],
+            [c.split()[0] for c in SCORED.split(", ")],
+        )
+        row += rows
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: token counts, the score of word frequencies alone, and the model's score (both base 10)."""
     spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(tree)
+    known, others = hot(model)
+    shared = spark.sparkContext.broadcast(known)
     scored = staged(docs.select("doc_id", "text").mapInArrow(lambda b: _score(b, shared), SCORED), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("keys", "times")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.times").alias("times"))
-    found = rare.join(table, "key").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_logs"), F.sum("times").alias("rare_known")
+    shared.destroy()
+    cold = scored.select("row", F.explode(F.arrays_zip("keys", "times")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.times").alias("times"))
+    found = cold.join(others, "key").groupBy("row").agg(
+        F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("cold_logs"),
+        F.sum(F.col("times") * F.col("value")).alias("cold_gain"),
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("cold_known"),
     )
     whole = scored.drop("keys", "times").join(found, "row", "left")
-    vocabulary = tree.vocabulary
-    base = F.col("log_counts") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(vocabulary.norm)))
+    base = F.col("log_counts") + F.coalesce("cold_logs", F.lit(0.0))
     return whole.select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(vocabulary.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"),
+        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("cold_known", F.lit(0))).alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
+        (base + F.col("gain") + F.coalesce("cold_gain", F.lit(0.0))).alias("score"),
     )
 
 
@@ -336,5 +334,4 @@ def held_out() -> F.Column:
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    table, tree = fit(docs.where(~held_out()))
-    return score(docs, table, tree).withColumn("held_out", held_out())
+    return score(docs, fit(docs.where(~held_out()))).withColumn("held_out", held_out())
