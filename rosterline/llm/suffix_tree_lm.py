@@ -36,10 +36,10 @@ from rosterline.llm.common import SortedHashes, buffers, discard, mix, not_blank
 DEPTH = 3
 LEAST_CONTEXT, LEAST_ARC = 12, 2
 DISCOUNT = 0.75
-HOT_KEYS = 1 << 20
+HOT_KEYS = 1 << 18
 TOP_COUNT = 100_000
 HELD_ROWS = 1 << 21
-BITS = 27
+BITS = 26
 
 BEGIN, END = np.uint64(0x5DEECE66D1234567), np.uint64(0xB5297A4D3F84D5B5)  # symbols beside the hashes of words
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -145,7 +145,7 @@ def _count_arcs(batches: Iterator[pa.RecordBatch], contexts, depth: int) -> Iter
     yield from sums.batches(True)
 
 
-ARCS = "context long, seen long, key long, below long, ends boolean, n long"
+ARCS = "context long, seen long, backoff double, n long, key long, below long, ends boolean"
 
 
 def _name_arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,12 +156,12 @@ def _name_arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rooted = batch.column("rooted").to_numpy(zero_copy_only=False)
         below = np.where(rooted, symbol, chain(suffix, symbol))
         keys = [pa.array(k.view(np.int64)) for k in (chain(context, symbol), below)]
-        yield pa.RecordBatch.from_arrays([batch.column("context"), batch.column("seen"), *keys, pa.array(symbol == END), batch.column("n")], names)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:4]), *keys, pa.array(symbol == END)], names)
 
 
 @dataclass
 class Model:
-    """The stored tree: ``words`` (key, n), and ``values`` (key, value, uses) of sequences."""
+    """The stored tree: ``words`` (key, n), and ``values`` (key, value, uses) of sequences as context and as transition."""
 
     words: DataFrame
     values: DataFrame
@@ -191,47 +191,55 @@ def fit(training: DataFrame) -> Model:
     contexts = counts.where((F.col("n") >= LEAST_CONTEXT) & ~ends).select("key", F.col("n").alias("seen"), *root)
     if texts >= LEAST_CONTEXT:
         contexts = contexts.unionByName(spark.range(1).select(F.lit(_signed(BEGIN)).alias("key"), F.lit(texts).cast("long").alias("seen"), *root))
-    parts = []
+    parts, spent = [], []
     for depth in range(1, DEPTH + 1):
-        arcs = _arcs(training, contexts, depth)
-        judged = _judge(arcs, log_below, depth)
-        kept = judged.where("kept")
+        counted, contexts = _count(training, contexts, depth)
+        arcs = _weigh(counted, contexts, log_below, depth)
+        discard(counted)
+        judged = _judge(arcs, contexts, depth)
+        spent += [arcs, contexts, judged]
         left = F.log10("backoff")
-        parts.append(kept.select("key", (F.col("log_p") - F.col("log_below") - left).alias("value"), F.col("n").alias("uses")))
-        parts.append(kept.groupBy(F.col("context").alias("key")).agg(F.first(left).alias("value"), F.first("seen").alias("uses")))
-        log_below = judged.select("key", F.when(F.col("kept"), F.col("log_p")).otherwise(F.col("log_below")).alias("log_p"))
-        grown = judged.where((F.col("n") >= LEAST_CONTEXT) & ~F.col("ends"))
+        whole = arcs.join(judged, "context")
+        parts.append(whole.where("kept").select("key", (F.col("log_p") - F.col("log_below") - left).alias("value"), F.col("n").alias("uses")))
+        parts.append(judged.where("kept").select(F.col("context").alias("key"), left.alias("value"), F.col("seen").alias("uses")))
+        log_below = whole.select("key", F.when(F.col("kept"), F.col("log_p")).otherwise(F.col("log_below")).alias("log_p"))
+        grown = arcs.where((F.col("n") >= LEAST_CONTEXT) & ~F.col("ends"))
         contexts = grown.select("key", F.col("n").alias("seen"), F.col("below").alias("suffix"), F.lit(False).alias("rooted"))
     values = parts[0]
     for part in parts[1:]:
         values = values.unionByName(part)
-    model.values = staged(values.groupBy("key").agg(F.sum("value").alias("value"), F.max("uses").alias("uses")), "tree")
+    model.values = staged(values, "tree")
+    discard(*spent)
     return model
 
 
-def _arcs(training: DataFrame, contexts: DataFrame, depth: int) -> DataFrame:
-    """Stored explicit transitions of the contexts of one depth."""
+def _count(training: DataFrame, contexts: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+    """Stored explicit transitions after the contexts of one depth, and these contexts with what they leave to the suffix."""
     shared = training.sparkSession.sparkContext.broadcast(Bits(contexts))
     counted = training.select("text").mapInArrow(lambda b: _count_arcs(b, shared, depth), "context long, symbol long, n long")
-    counted = counted.groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_ARC)
-    named = counted.join(contexts.withColumnRenamed("key", "context"), "context").mapInArrow(_name_arcs, ARCS)
-    arcs = staged(named, f"arcs-{depth}")
+    counted = staged(counted.groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_ARC), f"counted-{depth}")
     shared.destroy()
-    return arcs
-
-
-def _judge(arcs: DataFrame, log_below: DataFrame, depth: int) -> DataFrame:
-    """Stored transitions with their probabilities, and whether their context diverges enough from its suffix."""
-    sums = arcs.groupBy("context").agg(F.sum("n").alias("explicit"), F.count(F.lit(1)).alias("kinds"), F.first("seen").alias("all"))
-    sums = sums.select("context", "kinds", (F.col("all") - F.col("explicit")).alias("rest"), ((F.col("all") - F.col("explicit") + DISCOUNT * F.col("kinds")) / F.col("all")).alias("backoff"))
-    own = (F.col("n") - DISCOUNT) / F.col("seen")
-    judged = arcs.join(log_below.withColumnRenamed("key", "below").withColumnRenamed("log_p", "log_below"), "below").join(sums, "context")
-    judged = staged(judged.withColumn("log_p", F.log10(own + F.col("backoff") * F.pow(F.lit(10.0), "log_below"))), f"judged-{depth}")
-    discard(arcs)
-    gain = F.sum(F.col("n") * (F.col("log_p") - F.col("log_below"))) + F.first("rest") * F.log10(F.first("backoff"))
-    cost = 0.5 * F.first("kinds") * F.log10(F.first("seen"))
-    kept = staged(judged.groupBy("context").agg((gain > cost).alias("kept")), f"kept-{depth}")
-    return judged.join(kept, "context")
+    sums = counted.groupBy("context").agg(F.sum("n").alias("explicit"), F.count(F.lit(1)).alias("kinds"))
+    rest = F.col("seen") - F.col("explicit")
+    found = sums.join(contexts.withColumnRenamed("key", "context"), "context").select(
+        "context", "seen", "suffix", "rooted", "kinds", rest.alias("rest"), ((rest + DISCOUNT * F.col("kinds")) / F.col("seen")).alias("backoff")
+    )
+    return counted, staged(found, f"contexts-{depth}")
+
+
+def _weigh(counted: DataFrame, contexts: DataFrame, log_below: DataFrame, depth: int) -> DataFrame:
+    """Stored transitions with their probabilities in their context and in its suffix."""
+    named = counted.join(contexts.select("context", "suffix", "rooted", "seen", "backoff"), "context").mapInArrow(_name_arcs, ARCS)
+    arcs = named.join(log_below.select(F.col("key").alias("below"), F.col("log_p").alias("log_below")), "below")
+    log_p = F.log10((F.col("n") - DISCOUNT) / F.col("seen") + F.col("backoff") * F.pow(F.lit(10.0), "log_below"))
+    return staged(arcs.select("context", "key", "below", "ends", "n", "log_below", log_p.alias("log_p")), f"arcs-{depth}")
+
+
+def _judge(arcs: DataFrame, contexts: DataFrame, depth: int) -> DataFrame:
+    """Stored contexts, and whether each diverges enough from its suffix."""
+    gains = arcs.groupBy("context").agg(F.sum(F.col("n") * (F.col("log_p") - F.col("log_below"))).alias("gain"))
+    gain, cost = F.col("gain") + F.col("rest") * F.log10("backoff"), 0.5 * F.col("kinds") * F.log10("seen")
+    return staged(gains.join(contexts, "context").select("context", "seen", "backoff", (gain > cost).alias("kept")), f"judged-{depth}")
 
 
 SCORED = "row long, doc_id long, n_tokens long, n_known long, log_counts double, gain double, keys array<long>, times array<int>"
