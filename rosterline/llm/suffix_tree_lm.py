@@ -122,9 +122,9 @@ class Bits:
         """The keys are those of the column ``key``; at most 2^(BITS - 6) rows reach the driver."""
         self.in_word, self.of_word = 64 - BITS, 70 - BITS
         bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(key, {self.in_word}) & 63 AS INT))")
-        found = table.groupBy(F.shiftrightunsigned("key", self.of_word).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+        found = table.groupBy(F.shiftrightunsigned("key", self.of_word).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
         self.bits = np.zeros(1 << (BITS - 6), np.uint64)
-        self.bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+        self.bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
 
     def have(self, keys: np.ndarray) -> np.ndarray:
         bit = (keys >> np.uint64(self.in_word)) & np.uint64(63)
@@ -266,11 +266,11 @@ def hot(model: Model) -> tuple[Hot, DataFrame]:
         if held + row["kinds"] > HOT_KEYS:
             break
         cut, held = row["uses"], held + row["kinds"]
-    found = whole.where(F.col("uses") >= cut).select("key", "n", "value").toPandas()
-    keys, place = np.unique(found["key"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+    found = whole.where(F.col("uses") >= cut).select("key", "n", "value").toArrow()
+    keys, place = np.unique(found["key"].to_numpy().view(np.uint64), return_inverse=True)
     counts, values = np.zeros(len(keys), np.int64), np.zeros(len(keys))
-    np.add.at(counts, place, found["n"].to_numpy(np.int64))
-    np.add.at(values, place, found["value"].to_numpy(np.float64))
+    np.add.at(counts, place, found["n"].to_numpy())
+    np.add.at(values, place, found["value"].to_numpy())
     others = whole.where(F.col("uses") < cut).select("key", "n", "value")
     return Hot(SortedHashes(keys), counts, values, Bits(others), float(np.log10(model.norm))), others
 
