@@ -36,9 +36,10 @@ from rosterline.llm.common import SortedHashes, buffers, discard, mix, not_blank
 DEPTH = 3
 LEAST_CONTEXT, LEAST_ARC = 12, 2
 DISCOUNT = 0.75
-HOT_KEYS = 1 << 18
+HOT_KEYS = 1 << 19
 TOP_COUNT = 100_000
 HELD_ROWS = 1 << 21
+COLD_BATCH = 1 << 15
 BITS = 26
 
 BEGIN, END = np.uint64(0x5DEECE66D1234567), np.uint64(0xB5297A4D3F84D5B5)  # symbols beside the hashes of words
@@ -131,13 +132,14 @@ class Bits:
         return ((self.bits[(keys >> np.uint64(self.of_word)).astype(np.int64)] >> bit) & np.uint64(1)).astype(bool)
 
 
-def _count_arcs(batches: Iterator[pa.RecordBatch], contexts, depth: int) -> Iterator[pa.RecordBatch]:
-    known, sums = contexts.value, _Sums("context", "symbol", "n")
+def _count_arcs(batches: Iterator[pa.RecordBatch], shared, depth: int) -> Iterator[pa.RecordBatch]:
+    (contexts, explicit), sums = shared.value, _Sums("context", "symbol", "n")
     for _, _, _, hashes, at in _texts(batches, 0):
         symbols, begin = stream(hashes, at)
         *_, (keys, inside) = sequences(symbols, begin, depth)
         before = np.flatnonzero(inside[:-1] & (symbols[:-1] != END))
-        before = before[known.have(keys[before])]
+        before = before[contexts.have(keys[before])]
+        before = before[explicit.have(keys[before + 1])]  # the same symbol after the suffix is as frequent
         if len(before):
             context, symbol = keys[before], symbols[before + 1]
             sums.add(chain(context, symbol), context, symbol)
@@ -191,9 +193,10 @@ def fit(training: DataFrame) -> Model:
     contexts = counts.where((F.col("n") >= LEAST_CONTEXT) & ~ends).select("key", F.col("n").alias("seen"), *root)
     if texts >= LEAST_CONTEXT:
         contexts = contexts.unionByName(spark.range(1).select(F.lit(_signed(BEGIN)).alias("key"), F.lit(texts).cast("long").alias("seen"), *root))
+    explicit = counts.where(F.col("n") >= LEAST_ARC).select("key")
     parts, spent = [], []
     for depth in range(1, DEPTH + 1):
-        counted, contexts = _count(training, contexts, depth)
+        counted, contexts = _count(training, contexts, explicit, depth)
         arcs = _weigh(counted, contexts, log_below, depth)
         discard(counted)
         judged = _judge(arcs, contexts, depth)
@@ -203,6 +206,7 @@ def fit(training: DataFrame) -> Model:
         parts.append(whole.where("kept").select("key", (F.col("log_p") - F.col("log_below") - left).alias("value"), F.col("n").alias("uses")))
         parts.append(judged.where("kept").select(F.col("context").alias("key"), left.alias("value"), F.col("seen").alias("uses")))
         log_below = whole.select("key", F.when(F.col("kept"), F.col("log_p")).otherwise(F.col("log_below")).alias("log_p"))
+        explicit = arcs.select("key")
         grown = arcs.where((F.col("n") >= LEAST_CONTEXT) & ~F.col("ends"))
         contexts = grown.select("key", F.col("n").alias("seen"), F.col("below").alias("suffix"), F.lit(False).alias("rooted"))
     values = parts[0]
@@ -213,9 +217,12 @@ def fit(training: DataFrame) -> Model:
     return model
 
 
-def _count(training: DataFrame, contexts: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
-    """Stored explicit transitions after the contexts of one depth, and these contexts with what they leave to the suffix."""
-    shared = training.sparkSession.sparkContext.broadcast(Bits(contexts))
+def _count(training: DataFrame, contexts: DataFrame, explicit: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+    """Stored explicit transitions after the contexts of one depth, and these contexts with what they leave to the suffix.
+
+    ``explicit`` holds the transitions one level below (words at the root); only their longer forms can be explicit.
+    """
+    shared = training.sparkSession.sparkContext.broadcast((Bits(contexts), Bits(explicit)))
     counted = training.select("text").mapInArrow(lambda b: _count_arcs(b, shared, depth), "context long, symbol long, n long")
     counted = staged(counted.groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_ARC), f"counted-{depth}")
     shared.destroy()
@@ -242,7 +249,8 @@ def _judge(arcs: DataFrame, contexts: DataFrame, depth: int) -> DataFrame:
     return staged(gains.join(contexts, "context").select("context", "seen", "backoff", (gain > cost).alias("kept")), f"judged-{depth}")
 
 
-SCORED = "row long, doc_id long, n_tokens long, n_known long, log_counts double, gain double, keys array<long>, times array<int>"
+HEAD = ["doc_id", "n_tokens", "n_known", "logs", "gain"]
+SCORED = "row long, key long, times long, head struct<doc_id long, n_tokens long, n_known long, logs double, gain double>"
 
 
 @dataclass
@@ -302,15 +310,15 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         key, of = key[order], of[order]
         start = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (of[1:] != of[:-1]))) if len(key) else np.empty(0, np.int64)
         times = np.diff(np.append(start, len(key)))
-        bounds = pa.array(np.searchsorted(of[start], np.arange(rows + 1)).astype(np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(row + np.arange(rows)), batch.column(0).slice(first, rows), pa.array(np.diff(at) + 1),
-                pa.array(np.bincount(owner, n_known, rows).astype(np.int64)), pa.array(np.bincount(owner, logs, rows)), pa.array(np.bincount(owner, gains, rows)),
-                pa.ListArray.from_arrays(bounds, pa.array(key[start].view(np.int64))), pa.ListArray.from_arrays(bounds, pa.array(times.astype(np.int32))),
-            ],
-            [c.split()[0] for c in SCORED.split(", ")],
-        )
+        ids = row + np.arange(rows)
+        head = [batch.column(0).slice(first, rows), pa.array(np.diff(at) + 1), pa.array(np.bincount(owner, n_known, rows).astype(np.int64))]
+        head = pa.StructArray.from_arrays([*head, pa.array(np.bincount(owner, logs, rows)), pa.array(np.bincount(owner, gains, rows))], HEAD)
+        names = ["row", "key", "times", "head"]
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), pa.array(np.zeros(rows, np.int64)), head], names)
+        for k in range(0, len(start), COLD_BATCH):
+            part = start[k : k + COLD_BATCH]
+            cold = [pa.array(ids[of[part]]), pa.array(key[part].view(np.int64)), pa.array(times[k : k + COLD_BATCH]), pa.nulls(len(part), head.type)]
+            yield pa.RecordBatch.from_arrays(cold, names)
         row += rows
 
 
@@ -319,21 +327,24 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     spark = prepare(docs.sparkSession)
     known, others = hot(model)
     shared = spark.sparkContext.broadcast(known)
-    scored = staged(docs.select("doc_id", "text").mapInArrow(lambda b: _score(b, shared), SCORED), "scored")
-    shared.destroy()
-    cold = scored.select("row", F.explode(F.arrays_zip("keys", "times")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.times").alias("times"))
-    found = cold.join(others, "key").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("cold_logs"),
-        F.sum(F.col("times") * F.col("value")).alias("cold_gain"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("cold_known"),
-    )
-    whole = scored.drop("keys", "times").join(found, "row", "left")
-    base = F.col("log_counts") + F.coalesce("cold_logs", F.lit(0.0))
-    return whole.select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("cold_known", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (base + F.col("gain") + F.coalesce("cold_gain", F.lit(0.0))).alias("score"),
+    # a row for each text, which takes part in the join under a key of its own and 0 times, and one for each of its other keys
+    terms = docs.select("doc_id", "text").mapInArrow(lambda b: _score(b, shared), SCORED)
+    named = others.select(F.col("key").alias("other"), "n", "value").hint("shuffle_hash")
+    found = terms.join(named, (F.col("key") == F.col("other")) & F.col("head").isNull(), "left")
+    times, n = F.col("times"), F.coalesce("n", F.lit(0))
+    sums = found.groupBy("row").agg(
+        *(F.max(F.col("head")[c]).alias(c) for c in HEAD),
+        F.sum(times * F.log10(n + 1)).alias("cold_logs"),
+        F.sum(times * F.coalesce("value", F.lit(0.0))).alias("cold_gain"),
+        F.sum(F.when(n > 0, times).otherwise(0)).alias("cold_known"),
     )
+    base = F.col("logs") + F.col("cold_logs")
+    scores = staged(sums.select(
+        "doc_id", "n_tokens", (F.col("n_known") + F.col("cold_known")).alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain") + F.col("cold_gain")).alias("score"),
+    ), "scored")
+    shared.destroy()
+    return scores
 
 
 def held_out() -> F.Column:
