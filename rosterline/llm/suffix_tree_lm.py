@@ -36,11 +36,11 @@ from rosterline.llm.common import SortedHashes, buffers, discard, mix, not_blank
 DEPTH = 3
 LEAST_CONTEXT, LEAST_ARC = 12, 2
 DISCOUNT = 0.75
-HOT_KEYS = 1 << 19
+HOT_KEYS = 1 << 20
 TOP_COUNT = 100_000
 HELD_ROWS = 1 << 21
 COLD_BATCH = 1 << 15
-BITS = 26
+BITS = 27
 
 BEGIN, END = np.uint64(0x5DEECE66D1234567), np.uint64(0xB5297A4D3F84D5B5)  # symbols beside the hashes of words
 STEP = np.uint64(0x9E3779B97F4A7C15)
