@@ -103,3 +103,27 @@ def test_nothing_to_learn_from(docs):
     found = lm.score(docs([(1, "a b"), (2, None)]), model).collect()
     assert sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in found) == [(1, 3, 0, 0.0, 0.0), (2, 1, 0, 0.0, 0.0)]
     assert lm.score(docs([]), model).count() == 0
+
+
+def test_what_moves_between_tasks_is_a_few_packed_rows(docs, spark, monkeypatch):
+    """Sequences leave a task as packed columns, and a small table has few buckets whatever the partitions."""
+    monkeypatch.setattr(lm, "HOT_KEYS", 0)
+    table = docs([(k, " ".join(f"w{k % 7 * j}" for j in range(400))) for k in range(200)]).repartition(2).cache()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 300)
+        model = lm.fit(table)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    shared, buckets = spark.sparkContext.broadcast(lm.hot(model)), model.buckets
+    moved = table.select("doc_id", "text").mapInArrow(lambda b: lm._score(b, shared, buckets), lm.MESSAGE)
+    size, rows = moved.selectExpr("sum(octet_length(data))", "count(*)").first()
+    assert rows < 100 and size > 16 * 10000 and model.tree.count() < 1000 < model.values.count()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_packed_columns_come_back():
+    columns = [lm.np.array([], int), lm.np.array([1.5, -2.0, 0.0]), lm.np.array([-1, 2**62, 3])]
+    assert lm.unpack(lm.pack(columns[0]), 1).shape == (1, 0)
+    found = lm.unpack(lm.pack(*columns[1:]), 2)
+    assert found[0].view(float).tolist() == columns[1].tolist() and found[1].view(int).tolist() == columns[2].tolist()
