@@ -7,6 +7,7 @@ polynomial and mixed, so equal words have equal hashes in every task and session
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def prompt_cleanup(spark: SparkSession) -> Iterator[None]:
+    """Within, shuffle files go when their query ends, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read again, which cuts its lineage."""
     path = fresh_path(df.sparkSession, name)

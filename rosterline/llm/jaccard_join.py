@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import buffers, discard, mix, not_blank, prepare, slices, staged, windows, words
+from rosterline.llm.common import buffers, discard, mix, not_blank, prepare, prompt_cleanup, slices, staged, windows, words
 from rosterline.llm.components import components
 
 SHINGLE = 5
@@ -404,20 +404,22 @@ class _Join:
 
 def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All documents with their set and component, and the verified links between members of classes."""
-    prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     known = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
-    join = _Join(known)
-    buckets = join.buckets()
-    for centre in ("first", "last"):
-        join.verify(buckets.select(F.col(centre).alias("a"), F.col("doc_id").alias("b")))
-        labels = join.labels()
-        narrowed = join.still_open(buckets, labels)
+    with prompt_cleanup(spark):
+        join = _Join(known)
+        buckets = join.buckets()
+        for centre in ("first", "last"):
+            join.verify(buckets.select(F.col(centre).alias("a"), F.col("doc_id").alias("b")))
+            labels = join.labels()
+            narrowed = join.still_open(buckets, labels)
+            discard(buckets)
+            buckets = narrowed
+        join.verify(join.open_pairs(buckets, labels))
         discard(buckets)
-        buckets = narrowed
-    join.verify(join.open_pairs(buckets, labels))
-    discard(buckets)
+        labels = join.labels()
 
-    labels = join.labels().select("doc_id", F.col("component").alias("component_id")).distinct()
+    labels = labels.select("doc_id", F.col("component").alias("component_id")).distinct()
     unknown = docs.where("doc_id IS NULL").select("doc_id", "text").mapInArrow(_sets, SETS).withColumn("component_id", F.lit(None).cast("long"))
     found = join.sets.join(labels, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return found.unionByName(unknown.drop("parity", "sketch", "signatures", "spare")).drop("key_a", "key_b"), join.links

@@ -1,4 +1,5 @@
 import re
+import time
 from itertools import combinations
 
 import numpy as np
@@ -93,6 +94,29 @@ def test_keep_first_keeps_one_of_each_component_and_all_columns(docs):
     assert jaccard_join.keep_first(clash).columns == clash.columns and jaccard_join.keep_first(clash).count() == 4
 
 
+def test_shuffle_files_go_with_their_query(docs, spark):
+    """None of the join's many queries leaves its shuffle files to the driver's garbage collector."""
+
+    def kept():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while blocks.hasNext():
+            names.add(blocks.next().getName())
+        return {x for x in names if x.startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    table = docs([(k, " ".join(number_words(50 * (k // 3), 40 + k % 3))) for k in range(30)])
+    before = kept(), spark.conf.get(setting)
+    found, links = jaccard_join.link(table)
+    deadline = time.monotonic() + 20
+    while not kept() <= before[0] and time.monotonic() < deadline:  # files go in the background
+        time.sleep(0.1)
+    assert kept() <= before[0] and spark.conf.get(setting) == before[1]
+    first = sorted(found.collect())
+    assert len(first) == 30 and first == sorted(found.collect()) and {r["component_id"] for r in first} == set(range(0, 30, 3))
+    assert links.count() == links.count() > 0
+
+
 def test_parity_never_rules_out_a_similar_pair():
     rng = np.random.default_rng(5)
     for _ in range(300):
