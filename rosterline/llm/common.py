@@ -6,7 +6,9 @@ polynomial and mixed, so equal words have equal hashes in every task and session
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -44,6 +46,23 @@ def prompt_cleanup(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def tidy(step: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """The step of a task; at its end, freed memory that Arrow and the C library hold on to goes back to the system.
+
+    A Python worker lives on after its task, beside the executor's heap, and so do the pages of its largest task.
+    """
+
+    @functools.wraps(step)
+    def rows(*args, **kwargs) -> Iterator[pa.RecordBatch]:
+        yield from step(*args, **kwargs)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+        if trim:
+            trim(0)
+
+    return rows
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read again, which cuts its lineage."""
     path = fresh_path(df.sparkSession, name)
@@ -110,7 +129,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse, at least n of each."""
     if not _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, min(2 * n, SLICE_BYTES + 1))
         for name, base in (("up", _PRIME), ("down", _INVERSE)):
             steps = np.full(size, base & _MASK, np.uint64)
             steps[0] = 1

@@ -25,7 +25,7 @@ import pyarrow.dataset as pads
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import buffers, file_system, letters_and_digits, prepare, ragged, slices, words
+from rosterline.llm.common import buffers, file_system, letters_and_digits, prepare, ragged, slices, tidy, words
 from rosterline.session import fresh_path
 
 WINDOW = 10
@@ -243,6 +243,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     return docs.select("doc_id", "text").mapInArrow(lambda batches: _scan(batches, path, window), SCAN)
 
 
+@tidy
 def _keep_clean(batches: Iterator[pa.RecordBatch], text: int, path: str, window: int) -> Iterator[pa.RecordBatch]:
     values = letters_and_digits()
     for batch in batches:

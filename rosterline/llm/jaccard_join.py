@@ -49,13 +49,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import buffers, discard, mix, not_blank, prepare, prompt_cleanup, slices, staged, windows, words
+from rosterline.llm.common import buffers, discard, mix, not_blank, prepare, prompt_cleanup, slices, staged, tidy, windows, words
 from rosterline.llm.components import components
 
 SHINGLE = 5
 SKETCH = 8  # 64-bit words
 FILTER_BITS = 23
 SIGNED_BITS = 26
+# Bytes of text that a task hashes at once.
+SLICE_BYTES = 1 << 18
 # Signatures that a task folds at once, and about how many a range of hashes holds; the number of ranges follows the table.
 FOLDED_AT_ONCE, RANGE_ENTRIES = 1 << 19, 1 << 16
 # Lower ends of the bands from which on signatures are subsets of cells, and whole partitions.
@@ -175,13 +177,14 @@ def parity_distance(a: bytes, b: bytes) -> int:
     return (x ^ y).bit_count()
 
 
+@tidy
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per text; the first of equal sets in a task carries the signatures of all its bands."""
     values = not_blank()
     seen: set[bytes] = set()
     for batch in batches:
         data, offsets = buffers(batch.column(1))
-        for first, last in slices(offsets):
+        for first, last in slices(offsets, SLICE_BYTES):
             size, key_a, key_b, spare = (np.zeros(last - first, np.int64) for _ in range(4))
             bits, signed = [], []
             sketch = np.zeros((last - first, SKETCH), np.int64)
@@ -205,6 +208,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SETS.split(", ")])
 
 
+@tidy
 def _unpacked(batches: Iterator[pa.RecordBatch], shared: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """Stored signatures as rows; with a bitmap only those that it says may be shared."""
     for batch in batches:
@@ -227,6 +231,7 @@ def _counted(sigs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return every[begin], np.add.reduceat(np.concatenate(counts)[order], begin) if len(every) else np.empty(0, np.int64)
 
 
+@tidy
 def _packed_counts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Stored signatures, folded and packed by the range of hashes they fall into."""
 
@@ -249,6 +254,7 @@ def _packed_counts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.
         yield packed(held)
 
 
+@tidy
 def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Signatures of several documents, with their number; rows of a range follow one another."""
 
@@ -274,17 +280,19 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield shared(sigs, counts)
 
 
+@tidy
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     values = not_blank()
     for batch in batches:
         data, offsets = buffers(batch.column(1))
-        for first, last in slices(offsets):
+        for first, last in slices(offsets, SLICE_BYTES):
             found = list(shingle_sets(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], values))
             bounds = np.append(0, np.cumsum([len(x) for x in found])).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), lists], ["doc_id", "shingles"])
 
 
+@tidy
 def _near_by_parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size_a, size_b, bits_a, bits_b = (batch.column(i).to_pylist() for i in range(2, 6))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import SortedHashes, buffers, mix, prepare, staged
+from rosterline.llm.common import SortedHashes, buffers, mix, prepare, staged, tidy
 
 ORDER = 4
 TRAIN_ROWS = 600
@@ -130,6 +130,7 @@ class Model:
         return out
 
 
+@tidy
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -277,6 +278,7 @@ PREDICTED_ARROW = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()),
 
 
 def _predict_rows(docs: DataFrame, model) -> DataFrame:
+    @tidy
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -343,6 +345,7 @@ def keep_identified(docs: DataFrame, model) -> DataFrame:
     prepare(docs.sparkSession)
     text = docs.columns.index("text")
 
+    @tidy
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = predict(model.value, batch.column(text).to_pylist())

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm.common import buffers, file_system, located_words, not_blank, prepare, ragged, slices
+from rosterline.llm.common import buffers, file_system, located_words, not_blank, prepare, ragged, slices, tidy
 from rosterline.session import fresh_path
 
 MAGIC = b"RLTOKENS"
@@ -164,6 +164,7 @@ def encoder(tokenizer_path: str) -> WordEncoder:
     return _ENCODERS[tokenizer_path]
 
 
+@tidy
 def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     encode = encoder(tokenizer_path)
     width = encode.dtype.itemsize
@@ -244,6 +245,7 @@ def open_shard(path: str):
     return stream, width, offsets
 
 
+@tidy
 def _read_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for shard, path, records, start in zip(*(batch.column(i).to_pylist() for i in range(4))):

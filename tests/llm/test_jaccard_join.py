@@ -1,8 +1,12 @@
+import os
 import re
+import subprocess
+import sys
 import time
 from itertools import combinations
 
 import numpy as np
+import pytest
 from llm_helpers import number_words
 from rosterline.llm import jaccard_join
 from rosterline.llm.components import components
@@ -215,3 +219,33 @@ def test_components_of_chains_stars_and_loops(spark):
     found = {tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {(i, 0) for i in range(41)} | {(i, 100) for i in range(100, 140)} | {(200, 200), (300, 200)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+HELD_AFTER_A_TASK = """
+import re, sys
+import numpy as np, pyarrow as pa
+from rosterline.llm import jaccard_join
+
+def held():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+def batches():
+    rng = np.random.default_rng(7)
+    for k in range(6):
+        texts = [" ".join(map(str, rng.integers(0, 1 << 40, 150))) for _ in range(1000)]
+        yield pa.RecordBatch.from_pydict({"doc_id": list(range(1000 * k, 1000 * k + 1000)), "text": texts})
+
+for _ in batches():
+    pass
+before = held()
+for _ in jaccard_join._sets(batches()):
+    pass
+print(held() - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="needs the memory figures of Linux")
+def test_a_worker_holds_little_after_its_task():
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    run = subprocess.run([sys.executable, "-c", HELD_AFTER_A_TASK], capture_output=True, text=True, cwd=root, env=os.environ | {"PYTHONPATH": root}, check=True)
+    assert float(run.stdout) < 12  # 25 to 27 before memory was given back
